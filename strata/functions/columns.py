@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def _col(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    """Columns pass through, strings name a column, anything else is a literal."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 def chunk_id(idx, n, k) -> Column:
