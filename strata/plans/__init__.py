@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["sorting", "vectors"]
+_MODULES = ["sorting", "vectors", "lease"]
 
 
 def all_queries():
