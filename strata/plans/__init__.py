@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["sorting", "vectors", "lease"]
+_MODULES = ["sorting", "vectors", "lease", "lines"]
 
 
 def all_queries():
