@@ -32,6 +32,16 @@ def cents(x) -> Column:
     return F.round(_col(x) * 100).cast("long")
 
 
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
 def micros(ts) -> Column:
-    """Microseconds since the epoch; a timestamp_ntz is read as UTC."""
-    return F.unix_micros(_col(ts).cast("timestamp"))
+    """Microseconds since the epoch of a wall-clock (timestamp_ntz) column,
+    read as UTC whatever the session time zone is."""
+    c = _col(ts).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
+
+
+def ntz_from_micros(us) -> Column:
+    """The inverse of ``micros``: a timestamp_ntz, independent of the session zone."""
+    return F.timestamp_add("MICROSECOND", _col(us), F.expr(_EPOCH_NTZ))

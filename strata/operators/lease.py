@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import micros
+from ..functions.columns import micros, ntz_from_micros
 from .scan import Scan, ordered_scan
 
 # fixed values: lease rules of the booking service
@@ -172,7 +172,7 @@ def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitio
                  .withColumns({"action": F.col("kind"), "holder": F.lit(None).cast("string"),
                                "booked_us": F.lit(None).cast("long")}))
     out = folded.unionByName(others)
-    return out.withColumn("booked_at", F.timestamp_micros(F.col("booked_us")).cast("timestamp_ntz"))
+    return out.withColumn("booked_at", ntz_from_micros(F.col("booked_us")))
 
 
 # ------------------------------------------------------------------------ L5
@@ -255,7 +255,7 @@ def lease_intervals(resolved: DataFrame, limit_s: int = LIMIT_SECONDS, log_end_u
     reason = F.when(by_off, F.lit("off")).when(expiry <= log_end_us, F.lit("expired")).otherwise(F.lit("open"))
 
     def ts(c):
-        return F.timestamp_micros(c).cast("timestamp_ntz")
+        return ntz_from_micros(c)
 
     return book.select("cluster", "holder", F.col("request_id").alias("booking_id"),
                        ts(F.col("t_us")).alias("start"), ts(end_us).alias("end"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["sorting", "vectors", "lease", "lines", "gradebook"]
+_MODULES = ["sorting", "vectors", "lease", "lines", "gradebook", "records", "streams"]
 
 
 def all_queries():
