@@ -139,15 +139,13 @@ def _fold_fn(limit_us: int):
 
 def segment_requests(req: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None
                      ) -> DataFrame:
-    """Number the segments of each cluster: a new one starts after a gap >= limit."""
-    lagged = ordered_scan(req, ["t_us", "request_id"], ["cluster"], [Scan("_prev_t", "lag", "t_us")],
-                          n_partitions)
-    flagged = lagged.withColumn(
-        "_new", F.when(F.col("_prev_t").isNull() | (F.col("t_us") - F.col("_prev_t") >= limit_s * US), 1)
-                 .otherwise(0))
-    return (ordered_scan(flagged, ["t_us", "request_id"], ["cluster"], [Scan("seg", "sum", "_new")],
-                         n_partitions)
-            .drop("_prev_t", "_new"))
+    """Number the segments of each cluster: a new one starts after a gap >= limit.
+
+    One ordered scan (range exchange on ``(cluster, t_us, request_id)``);
+    segment edges that fall on partition edges are stitched exactly.
+    """
+    return ordered_scan(req, ["t_us", "request_id"], ["cluster"],
+                        [Scan("seg", "segment", "t_us", gap=limit_s * US)], n_partitions)
 
 
 def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None
@@ -219,17 +217,45 @@ def as_of_state(resolved: DataFrame, probes: DataFrame, limit_s: int = LIMIT_SEC
                      F.when(live, F.col("raw_holder")).otherwise(F.lit("")).alias("holder")))
 
 
+def listing_state(resolved: DataFrame, probes: DataFrame, clusters: Sequence[str],
+                  limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None) -> DataFrame:
+    """Holder of every listed cluster at each probe: one column ``_holder_<i>``
+    per cluster ('' when free or expired).
+
+    ``probes``: ``probe_id, t_us`` plus any payload columns, kept as they are.
+    Lease changes of all clusters and the probes form one time-ordered
+    stream; a forward fill per cluster column gives each probe the state of
+    every cluster in a single ordered scan (range partitioned by time, so it
+    spreads over all tasks), with no fan-out and no join.
+    """
+    ch = _changes(resolved)
+    h = [f"_h{i}" for i in range(len(clusters))]
+    b = [f"_b{i}" for i in range(len(clusters))]
+    ch_rows = ch.select(
+        "t_us", F.col("request_id").alias("_id"), F.lit(0).alias("_kind"),
+        *[F.when(F.col("cluster") == c, F.col("holder")).alias(h[i]) for i, c in enumerate(clusters)],
+        *[F.when(F.col("cluster") == c, F.col("booked_us")).alias(b[i]) for i, c in enumerate(clusters)])
+    pr_rows = probes.withColumns({"_id": F.col("probe_id"), "_kind": F.lit(1)})
+    u = ch_rows.unionByName(pr_rows, allowMissingColumns=True)
+    scans = [Scan(x, "ffill", x) for x in h + b]
+    st = ordered_scan(u, ["t_us", "_id", "_kind"], [], scans, n_partitions).where(F.col("_kind") == 1)
+    live = [(F.coalesce(F.col(h[i]), F.lit("")) != "") & (F.col("t_us") - F.col(b[i]) < limit_s * US)
+            for i in range(len(clusters))]
+    return st.select(*probes.columns, *[F.when(live[i], F.col(h[i])).otherwise(F.lit("")).alias(f"_holder_{i}")
+                                        for i in range(len(clusters))])
+
+
 def status_snapshot(resolved: DataFrame, probes: DataFrame, clusters: Sequence[str],
                     limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None) -> DataFrame:
     """Holder of every cluster at each probe time; an expired lease shows ''.
 
     ``probes``: ``probe_id, t_us``. ``clusters`` is the directory's cluster
-    list (a dimension, as in the service's listing). Probes are fanned out
-    to the listed clusters by a generator, not a join.
+    list (a dimension, as in the service's listing).
     """
-    fan = probes.select("probe_id", "t_us",
-                        F.explode(F.array(*[F.lit(c) for c in clusters])).alias("cluster"))
-    return as_of_state(resolved, fan, limit_s, n_partitions).select("probe_id", "cluster", "holder")
+    st = listing_state(resolved, probes.select("probe_id", "t_us"), clusters, limit_s, n_partitions)
+    pairs = F.array(*[F.struct(F.lit(c).alias("cluster"), F.col(f"_holder_{i}").alias("holder"))
+                      for i, c in enumerate(clusters)])
+    return st.select("probe_id", F.explode(pairs).alias("_p")).select("probe_id", "_p.cluster", "_p.holder")
 
 
 # ------------------------------------------------------------------------ L7
@@ -270,30 +296,31 @@ def replies(resolved: DataFrame, clusters: Sequence[str], limit_s: int = LIMIT_S
 
     Book, off and wait replies are followed by a newline and the status
     listing (after the request); status replies are the listing alone;
-    unknown groups get the wrong-group text alone.
+    unknown groups get the wrong-group text alone. The requests themselves
+    are the probes of ``listing_state``, so the listing needs no join back.
     """
-    probes = resolved.where(F.col("action") != "wrong_group").select(
-        F.col("request_id").alias("probe_id"), "t_us")
-    snap = status_snapshot(resolved, probes, clusters, limit_s, n_partitions)
-    pos = F.array_position(F.array(*[F.lit(c) for c in clusters]), F.col("cluster"))
-    item = F.format_string(REPLY_STATUS_ITEM.replace("{cluster}", "%s").replace("{holder}", "%s"),
-                           F.col("cluster"), F.col("holder"))
-    listing = (snap.groupBy("probe_id")
-                   .agg(F.array_sort(F.collect_list(F.struct(pos.alias("p"), item.alias("s")))).alias("_l"))
-                   .select(F.col("probe_id").alias("request_id"),
-                           F.array_join(F.transform("_l", lambda x: x["s"]), " ").alias("listing")))
-    wait = wait_time(resolved, limit_s).select("request_id", "wait_min", "wait_sec")
-    r = resolved.join(listing, "request_id", "left").join(wait, "request_id", "left")
-    first = (F.when(F.col("action") == "off", F.format_string(REPLY_OFF.replace("{grp}", "%s"), F.col("grp")))
-              .when(F.col("action") == "book", F.format_string(REPLY_ON.replace("{grp}", "%s"), F.col("grp")))
-              .when(F.col("action") == "wait", F.format_string(
-                  REPLY_WAIT.replace("{holder}", "%s").replace("{cluster}", "%s")
-                            .replace("{min}", "%d").replace("{sec}", "%d"),
-                  F.col("holder"), F.col("cluster"), F.col("wait_min"), F.col("wait_sec"))))
-    text = (F.when(F.col("action") == "wrong_group", F.lit(REPLY_WRONG_GROUP))
-             .when(F.col("action") == "status", F.col("listing"))
-             .otherwise(F.concat_ws("\n", first, F.col("listing"))))
-    return r.select("request_id", "action", text.alias("reply"))
+    payload = resolved.where(F.col("action") != "wrong_group").select(
+        F.col("request_id").alias("probe_id"), "t_us", F.col("action").alias("_p_action"),
+        F.col("grp").alias("_p_grp"), F.col("cluster").alias("_p_cluster"),
+        F.col("holder").alias("_p_holder"), F.col("booked_us").alias("_p_booked"))
+    st = listing_state(resolved, payload, clusters, limit_s, n_partitions)
+    item = REPLY_STATUS_ITEM.replace("{cluster}", "%s").replace("{holder}", "%s")
+    listing = F.concat_ws(" ", *[F.format_string(item, F.lit(c), F.col(f"_holder_{i}"))
+                                 for i, c in enumerate(clusters)])
+    rem = F.lit(limit_s * US) - (F.col("t_us") - F.col("_p_booked"))
+    wait = F.format_string(
+        REPLY_WAIT.replace("{holder}", "%s").replace("{cluster}", "%s").replace("{min}", "%d").replace("{sec}", "%d"),
+        F.col("_p_holder"), F.col("_p_cluster"), F.floor(rem / (60 * US)).cast("long"),
+        F.floor((rem % (60 * US)) / US).cast("long"))
+    act = F.col("_p_action")
+    first = (F.when(act == "off", F.format_string(REPLY_OFF.replace("{grp}", "%s"), F.col("_p_grp")))
+              .when(act == "book", F.format_string(REPLY_ON.replace("{grp}", "%s"), F.col("_p_grp")))
+              .when(act == "wait", wait))
+    text = F.when(act == "status", listing).otherwise(F.concat_ws("\n", first, listing))
+    answered = st.select(F.col("probe_id").alias("request_id"), act.alias("action"), text.alias("reply"))
+    wrong = resolved.where(F.col("action") == "wrong_group").select(
+        "request_id", "action", F.lit(REPLY_WRONG_GROUP).alias("reply"))
+    return answered.unionByName(wrong)
 
 
 # ----------------------------------------------------------------- L10, L11

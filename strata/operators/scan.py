@@ -5,7 +5,9 @@
 * ``row_number`` - 1-based position,
 * ``sum``        - running (inclusive) sum, NULL counted as 0,
 * ``ffill``      - last non-NULL value so far (as-of carry forward),
-* ``lag``        - the previous row's value (NULL on the group's first row).
+* ``lag``        - the previous row's value (NULL on the group's first row),
+* ``segment``    - 1-based session number: a new one starts at the group's
+  first row and wherever ``col - previous col >= gap``.
 
 A ``Window.partitionBy(group)`` puts a whole group in one task; with few
 groups (4 clusters, 7 chunks, one global order) that is one task per group
@@ -35,7 +37,7 @@ from pyspark.sql import types as T
 
 from ..session import default_partitions
 
-KINDS = ("row_number", "sum", "ffill", "lag")
+KINDS = ("row_number", "sum", "ffill", "lag", "segment")
 _B = "_scan_b"      # range partition id
 _LRN = "_scan_lrn"  # row number inside (partition, group)
 
@@ -45,12 +47,15 @@ class Scan:
     out: str
     kind: str
     col: str | None = None
+    gap: float | None = None
 
     def __post_init__(self):
         if self.kind not in KINDS:
             raise ValueError(f"unknown scan kind {self.kind!r}; use one of {KINDS}")
         if self.kind != "row_number" and not self.col:
             raise ValueError(f"scan {self.kind!r} needs an input column")
+        if self.kind == "segment" and self.gap is None:
+            raise ValueError("a segment scan needs a gap")
 
 
 def _names(cols) -> list[str]:
@@ -89,6 +94,7 @@ def _local_scan(batches: Iterator[pa.RecordBatch], group, scans, out_types) -> I
     c_sum: dict[str, float] = {}
     c_ffill: dict[str, pa.Array] = {}
     c_last: dict[str, pa.Array] = {}
+    c_seg: dict[str, tuple] = {}      # out -> (last value, last segment number)
     for batch in batches:
         n = batch.num_rows
         if n == 0:
@@ -104,6 +110,20 @@ def _local_scan(batches: Iterator[pa.RecordBatch], group, scans, out_types) -> I
                 continue
             arr = batch.column(s.col)
             valid = ~np.asarray(arr.is_null(), dtype=bool)
+            if s.kind == "segment":
+                v = arr.to_numpy(zero_copy_only=False).astype(np.float64)
+                prev = np.empty(n)
+                prev[1:] = v[:-1]
+                last_v, last_seg = c_seg.get(s.out, (np.nan, 0))
+                prev[0] = last_v
+                new = flags | ~valid | np.isnan(prev) | (v - prev >= s.gap)
+                new[0] = new[0] or not cont[0]
+                cs = np.cumsum(new.astype(np.int64))
+                base = np.where(start_idx > 0, cs[np.maximum(start_idx - 1, 0)], 0)
+                local = cs - base + np.where(cont, last_seg, 0)
+                cols[s.out] = pa.array(local, pa.int64())
+                c_seg[s.out] = (v[-1], int(local[-1]))
+                continue
             if s.kind == "sum":
                 is_int = pa.types.is_integer(arr.type)
                 v = np.nan_to_num(arr.to_numpy(zero_copy_only=False).astype(np.int64 if is_int else np.float64))
@@ -138,11 +158,17 @@ def _local_scan(batches: Iterator[pa.RecordBatch], group, scans, out_types) -> I
         yield batch, cols, flags
 
 
+def _local_name(out: str) -> str:
+    return out if out == _LRN else "_scan_o_" + out
+
+
 def _scan_fn(group, scans, out_types, out_names):
+    emit = [_local_name(c) for c in out_names]
+
     def fn(batches):
         for batch, cols, _ in _local_scan(batches, group, scans, out_types):
             arrays = [batch.column(c) for c in batch.schema.names] + [cols[c] for c in out_names]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(batch.schema.names) + out_names)
+            yield pa.RecordBatch.from_arrays(arrays, names=list(batch.schema.names) + emit)
     return fn
 
 
@@ -151,8 +177,9 @@ def _summary_fn(group, scans, out_types, summary_schema: pa.Schema):
     sum_scans = [s for s in scans if s.kind == "sum"]
     nn_scans = [s for s in scans if s.kind == "ffill"]
     lag_scans = [s for s in scans if s.kind == "lag"]
+    seg_scans = [s for s in scans if s.kind == "segment"]
 
-    def record(batch, cols, i):
+    def record(batch, cols, i, first_vals):
         rec = {g: batch.column(g)[i].as_py() for g in group}
         rec["_cnt"] = cols[_LRN][i].as_py()
         for s in sum_scans:
@@ -161,6 +188,10 @@ def _summary_fn(group, scans, out_types, summary_schema: pa.Schema):
             rec["_lnn_" + s.out] = cols[s.out][i].as_py()
         for s in lag_scans:
             rec["_lv_" + s.out] = batch.column(s.col)[i].as_py()
+        for s in seg_scans:
+            rec["_tot_" + s.out] = cols[s.out][i].as_py()
+            rec["_sf_" + s.out] = first_vals[s.out]
+            rec["_sl_" + s.out] = batch.column(s.col)[i].as_py()
         return rec
 
     def fn(batches):
@@ -168,17 +199,23 @@ def _summary_fn(group, scans, out_types, summary_schema: pa.Schema):
         in_first = True
         seen = False
         b = None
+        cur_first: dict = {}                 # value at the current group's first row
         for batch, cols, flags in _local_scan(batches, group, scans, out_types):
             b = batch.column(_B)[0].as_py()
+            starts = np.flatnonzero(flags)
             if in_first:
-                starts = np.flatnonzero(flags)
-                if not seen:            # row 0 of the partition starts the first group
-                    starts = starts[1:]
-                if len(starts):
+                later = starts if seen else starts[1:]   # row 0 of the partition starts group one
+                if len(later):
                     in_first = False
-                    first = record(batch, cols, starts[0] - 1) if starts[0] > 0 else last
+                    if later[0] > 0:
+                        first = record(batch, cols, later[0] - 1, cur_first if seen else
+                                       {s.out: batch.column(s.col)[0].as_py() for s in seg_scans})
+                    else:
+                        first = last
+            if len(starts):
+                cur_first = {s.out: batch.column(s.col)[int(starts[-1])].as_py() for s in seg_scans}
             seen = True
-            last = record(batch, cols, batch.num_rows - 1)
+            last = record(batch, cols, batch.num_rows - 1, cur_first)
         if last is None:
             return
         rows = [(1, last)] if in_first else [(0, first), (1, last)]
@@ -207,6 +244,8 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
             out_types_spark[s.out] = T.LongType()
         elif s.kind == "sum":
             out_types_spark[s.out] = _sum_type(fields[s.col].dataType)
+        elif s.kind == "segment":
+            out_types_spark[s.out] = T.LongType()
         else:
             out_types_spark[s.out] = fields[s.col].dataType
     from pyspark.sql.pandas.types import to_arrow_type
@@ -218,7 +257,7 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
            .sortWithinPartitions(*group, *order)
            .withColumn(_B, F.spark_partition_id()))
     data_schema = T.StructType(list(x.schema.fields) + [T.StructField(_LRN, T.LongType())] +
-                               [T.StructField(s.out, out_types_spark[s.out]) for s in scans
+                               [T.StructField(_local_name(s.out), out_types_spark[s.out]) for s in scans
                                 if s.kind != "row_number"])
     y = x.mapInArrow(_scan_fn(group, scans, out_types, local_names), data_schema)
 
@@ -232,6 +271,10 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
             sum_fields.append(T.StructField("_lnn_" + s.out, out_types_spark[s.out]))
         elif s.kind == "lag":
             sum_fields.append(T.StructField("_lv_" + s.out, out_types_spark[s.out]))
+        elif s.kind == "segment":
+            sum_fields += [T.StructField("_tot_" + s.out, T.LongType()),
+                           T.StructField("_sf_" + s.out, fields[s.col].dataType),
+                           T.StructField("_sl_" + s.out, fields[s.col].dataType)]
     summary_schema = T.StructType(sum_fields)
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -248,6 +291,19 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
         elif s.kind == "lag":
             offs.append(F.lag("_lv_" + s.out, 1).over(Window.partitionBy(*group).orderBy(_B))
                         .alias("_off_" + s.out))
+    seg_scans = [s for s in scans if s.kind == "segment"]
+    if seg_scans:
+        # a partition's first row starts a segment only if the gap to the
+        # previous partition's last row of the same group is wide enough
+        wp = Window.partitionBy(*group).orderBy(_B)
+        summary = summary.select("*", *[
+            F.when(F.lag("_sl_" + s.out).over(wp).isNull()
+                   | (F.col("_sf_" + s.out) - F.lag("_sl_" + s.out).over(wp) >= s.gap), 1)
+             .otherwise(0).alias("_tf_" + s.out) for s in seg_scans])
+        for s in seg_scans:
+            inc = F.col("_tot_" + s.out) - 1 + F.col("_tf_" + s.out)
+            offs.append(F.sum(inc).over(w).alias("_off_" + s.out))
+            offs.append((1 - F.col("_tf_" + s.out)).alias("_corr_" + s.out))
     offsets = summary.select(_B, *group, *offs)
     # at most 2 rows per range partition: a proven bound for the broadcast
     o = offsets.alias("o")
@@ -258,13 +314,17 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
         off = F.col("o._off_" + s.out) if s.kind != "row_number" else None
         if s.kind == "row_number":
             outs.append((F.col(f"y.{_LRN}") + F.coalesce(F.col("o._off_cnt"), F.lit(0))).alias(s.out))
-        elif s.kind == "sum":
-            outs.append((F.col(f"y.{s.out}") + F.coalesce(off, F.lit(0)))
-                        .cast(out_types_spark[s.out]).alias(s.out))
-        elif s.kind == "ffill":
-            outs.append(F.coalesce(F.col(f"y.{s.out}"), off).alias(s.out))
         else:
-            outs.append(F.when(F.col(f"y.{_LRN}") == 1, off).otherwise(F.col(f"y.{s.out}")).alias(s.out))
+            loc = F.col(f"y.{_local_name(s.out)}")
+            if s.kind == "sum":
+                outs.append((loc + F.coalesce(off, F.lit(0))).cast(out_types_spark[s.out]).alias(s.out))
+            elif s.kind == "ffill":
+                outs.append(F.coalesce(loc, off).alias(s.out))
+            elif s.kind == "segment":
+                outs.append((loc + F.coalesce(off, F.lit(0))
+                             - F.coalesce(F.col("o._corr_" + s.out), F.lit(0))).alias(s.out))
+            else:
+                outs.append(F.when(F.col(f"y.{_LRN}") == 1, off).otherwise(loc).alias(s.out))
     keep = [F.col(f"y.{c}") for c in schema.names if c not in {s.out for s in scans}]
     return joined.select(*keep, *outs)
 

@@ -17,7 +17,7 @@ def range_sort_rank(spark, sf_dir):
     """O1+O6 (flagship): whole documents cut into 100-byte records, range
     sorted on the unsigned 10-byte key (doc_id, chunk break ties), with
     the global 1-based position of every record."""
-    recs = text_records(table(spark, sf_dir, "documents"), "doc_id", "text")
+    recs = text_records(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "chunk", "key")
     ranked = O.global_position(recs, ["key", "doc_id", "chunk"], out="pos")
     return ranked.select("doc_id", "chunk", F.hex("key").alias("key_hex"), "pos")
 

@@ -56,3 +56,19 @@ def test_global_position_and_exchange_reuse(spark):
 def test_empty_input(spark):
     df = spark.range(0).selectExpr("id", "id as g")
     assert ordered_scan(df, ["id"], ["g"], [Scan("rn", "row_number")], n_partitions=3).count() == 0
+
+
+@pytest.mark.parametrize("n_part", [1, 4, 9])
+def test_segment_scan_matches_pandas(spark, n_part):
+    rng = np.random.default_rng(11 + n_part)
+    n = 2500
+    grp = np.where(rng.random(n) < 0.6, 0, rng.integers(1, 6, n))     # group 0 is hot
+    t = np.cumsum(rng.integers(1, 40, n))
+    rows = [(int(i), int(g), int(x)) for i, g, x in zip(range(n), grp, t)]
+    df = spark.createDataFrame(rows, "id long, g long, t long")
+    res = ordered_scan(df, ["t", "id"], ["g"], [Scan("seg", "segment", "t", gap=60)], n_partitions=n_part)
+    got = {r.id: r.seg for r in res.collect()}
+    pdf = pd.DataFrame(rows, columns=["id", "g", "t"]).sort_values(["g", "t", "id"])
+    gap = pdf.groupby("g")["t"].diff()
+    pdf["seg"] = (gap.isna() | (gap >= 60)).astype(int).groupby(pdf["g"]).cumsum()
+    assert all(got[i] == s for i, s in zip(pdf["id"], pdf["seg"]))
