@@ -16,7 +16,7 @@ from .scan import Scan, _names, global_position, ordered_scan
 
 __all__ = [
     "range_sort", "partition_summary", "range_partition_check", "partition_sort_check",
-    "order_check", "global_position", "merge_runs", "chunk_sizes", "chunk_sort",
+    "order_check", "global_position", "merge_runs", "merge_tagged", "sorted_runs", "chunk_sizes", "chunk_sort",
     "chunked_merge_sort", "chunk_id",
 ]
 
@@ -129,7 +129,21 @@ def merge_runs(runs: Sequence[DataFrame], key: Sequence, pos: str = "pos", out:
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t)
-    return global_position(u, [*_names(key), run_col, pos], out=out, n_partitions=n)
+    return merge_tagged(u, key, pos, out, run_col, n)
+
+
+def merge_tagged(runs: DataFrame, key: Sequence, pos: str = "pos", out: str = "merged_pos",
+                 run_col: str = "run_id", n: int | None = None) -> DataFrame:
+    """O4 on runs already stacked in one frame and told apart by ``run_col``."""
+    return global_position(runs, [*_names(key), run_col, pos], out=out, n_partitions=n)
+
+
+def sorted_runs(df: DataFrame, run_col: str, key: Sequence, pos: str = "pos", n: int | None = None) -> DataFrame:
+    """Sort every run on ``key``: ``pos`` is the 1-based place inside its run.
+
+    A grouped ordered scan, so one long run is still spread over many tasks.
+    """
+    return ordered_scan(df, _names(key), [run_col], [Scan(pos, "row_number")], n)
 
 
 def chunk_sizes(df: DataFrame, idx: str, k: int, n_rows=None) -> DataFrame:

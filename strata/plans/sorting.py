@@ -43,12 +43,10 @@ def order_check(spark, sf_dir):
 def merge_runs(spark, sf_dir):
     """Orders in 4 runs by o_orderkey % 4, each sorted on (o_totalprice,
     o_orderkey); merged with the lower run winning ties."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    runs = []
-    for r in range(N_RUNS):
-        run = orders.where(F.col("o_orderkey") % N_RUNS == r)
-        runs.append(O.global_position(run, ["o_totalprice", "o_orderkey"], out="pos"))
-    merged = O.merge_runs(runs, ["o_totalprice"], pos="pos", out="merged_pos")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", (F.col("o_orderkey") % N_RUNS).cast("int").alias("run_id"))
+    runs = O.sorted_runs(orders, "run_id", ["o_totalprice", "o_orderkey"], pos="pos")
+    merged = O.merge_tagged(runs, ["o_totalprice"], pos="pos", out="merged_pos")
     return merged.select("o_orderkey", "run_id", F.col("pos").alias("run_pos"), "merged_pos")
 
 
