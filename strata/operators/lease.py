@@ -148,24 +148,44 @@ def segment_requests(req: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions:
                         [Scan("seg", "segment", "t_us", gap=limit_s * US)], n_partitions)
 
 
-def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None
-                   ) -> DataFrame:
+CHAIN_ABOVE_ROWS = 2_000_000     # segments longer than this use the pointer chain
+
+
+def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None,
+                   chain_above_rows: int | None = CHAIN_ABOVE_ROWS) -> DataFrame:
     """L4: one action per request: book, wait, off, status or wrong_group.
 
     Input: ``request_id, ts, grp, is_off, cluster, kind`` (from L1-L3).
     Output adds ``t_us``, ``action``, ``holder`` (live holder after the
     request, '' if free) and ``booked_at`` (start of the lease in force;
     on an ``off`` row the lease just released; NULL when the cluster is free).
+
+    Segments of up to ``chain_above_rows`` requests are folded, one task
+    per segment; longer ones (a cluster that never rests) are resolved as a
+    pointer chain (``lease_chain``), which spreads one segment over all
+    tasks. ``chain_above_rows=None`` always folds; ``0`` always chains.
     """
     req = requests.withColumn("t_us", micros("ts"))
     cl = req.where(F.col("kind") == "request")
     segs = segment_requests(cl, limit_s, n_partitions)
     n = n_partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out_schema = T.StructType(list(segs.schema.fields) + _FOLD_ADDED)
-    folded = (segs.repartition(n, "cluster", "seg")
+    to_fold, to_chain = segs, None
+    if chain_above_rows is not None:
+        sizes = segs.groupBy("cluster", "seg").agg(F.count(F.lit(1)).alias("_seg_rows"))
+        long_segs = sizes.where(F.col("_seg_rows") > chain_above_rows).select("cluster", "seg")
+        if chain_above_rows == 0 or long_segs.limit(1).count() > 0:
+            from .lease_chain import resolve_by_chain
+
+            tagged = segs.join(long_segs.withColumn("_long", F.lit(True)), ["cluster", "seg"], "left")
+            to_fold = tagged.where(F.col("_long").isNull()).drop("_long")
+            to_chain = tagged.where(F.col("_long")).drop("_long")
+    folded = (to_fold.repartition(n, "cluster", "seg")
                   .sortWithinPartitions("cluster", "seg", "t_us", "request_id")
-                  .mapInPandas(_fold_fn(limit_s * US), out_schema)
-                  .drop("seg"))
+                  .mapInPandas(_fold_fn(limit_s * US), out_schema))
+    if to_chain is not None:
+        folded = folded.unionByName(resolve_by_chain(to_chain, limit_s * US, n_partitions))
+    folded = folded.drop("seg")
     others = (req.where(F.col("kind") != "request")
                  .withColumns({"action": F.col("kind"), "holder": F.lit(None).cast("string"),
                                "booked_us": F.lit(None).cast("long")}))

@@ -126,3 +126,14 @@ def test_segmented_fold_equals_plain_fold(spark, steps):
     got = [x.action for x in r.orderBy("request_id").collect()]
     plain = _plain_fold([(tt, m.split()[0], m.endswith(" off")) for tt, m, *_ in case])
     assert got == plain
+
+
+def test_lease_case_by_pointer_chain(spark):
+    """The chain path (used for segments too long for one task) gives the fold's answer."""
+    c = LS.resolve_cluster(LS.parse_requests(_requests(spark, CASE)), _directory(spark))
+    r = LS.resolve_leases(c, n_partitions=3, chain_above_rows=0)
+    got = {x.request_id: (x.action, x.holder) for x in r.collect()}
+    for i, (_, _, action, holder) in enumerate(CASE):
+        assert got[i] == (action, holder), (i, CASE[i], got[i])
+    folded = {x.request_id: x.booked_at for x in _resolve(spark, CASE).collect()}
+    assert folded == {x.request_id: x.booked_at for x in r.collect()}
