@@ -25,19 +25,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
+from ..session import materialize as _materialize
 from .scan import Scan, ordered_scan
 
 US = 1_000_000
 
 
-def _materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to a fresh folder of the shared checkpoint directory and read back."""
-    path = fresh_dir(df.sparkSession, name)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def next_booking(req: DataFrame, limit_us: int, n_partitions: int | None = None) -> DataFrame:
     """For every non-off request: its releasing off (if within the limit) and ``nxt``.
 

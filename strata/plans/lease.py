@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import micros
 from ..operators import lease as LS
+from ..session import materialize
 from ..sources.tables import table
 
 CLUSTERS = ["c0", "c1", "c2", "c3"]
@@ -44,8 +45,15 @@ def _classified(spark, sf_dir):
     return LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)), directory(spark, sf_dir))
 
 
-def _resolved(spark, sf_dir):
-    return LS.resolve_leases(_classified(spark, sf_dir))
+def _resolved(spark, sf_dir, shared: bool = False):
+    """The resolved log; ``shared=True`` writes it once for plans that read it
+    in several branches, so the fold is not recomputed per branch."""
+    r = LS.resolve_leases(_classified(spark, sf_dir))
+    return materialize(r, "lease-resolved") if shared else r
+
+
+def _log_end(spark, sf_dir):
+    return request_log(spark, sf_dir).select(F.max(micros("ts"))).scalar()
 
 
 def request_parse(spark, sf_dir):
@@ -66,22 +74,22 @@ def lease_wait(spark, sf_dir):
 
 
 def lease_status(spark, sf_dir):
-    r = _resolved(spark, sf_dir)
+    r = _resolved(spark, sf_dir, shared=True)
     probes = r.where(F.col("action") == "status").select(F.col("request_id").alias("probe_id"), "t_us")
     return LS.status_snapshot(r, probes, CLUSTERS)
 
 
 def lease_intervals(spark, sf_dir):
-    return LS.lease_intervals(_resolved(spark, sf_dir))
+    return LS.lease_intervals(_resolved(spark, sf_dir), log_end_us=_log_end(spark, sf_dir))
 
 
 def lease_reply(spark, sf_dir):
-    return LS.replies(_resolved(spark, sf_dir), CLUSTERS)
+    return LS.replies(_resolved(spark, sf_dir, shared=True), CLUSTERS)
 
 
 def lease_usage(spark, sf_dir):
-    r = _resolved(spark, sf_dir)
-    return LS.usage(r, LS.lease_intervals(r))
+    r = _resolved(spark, sf_dir, shared=True)
+    return LS.usage(r, LS.lease_intervals(r, log_end_us=_log_end(spark, sf_dir)))
 
 
 def _sightings(spark, sf_dir):

@@ -69,3 +69,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet into a fresh folder of the shared checkpoint
+    directory and read it back: a lineage cut for frames that feed several
+    branches, which survives the loss of executors (unlike a local checkpoint)."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
