@@ -33,15 +33,19 @@ def range_sort(df: DataFrame, keys: Sequence, n: int | None = None) -> DataFrame
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-_SUMMARY = T.StructType([
-    T.StructField("pid", T.IntegerType()), T.StructField("n", T.LongType()),
-    T.StructField("first", T.DoubleType()), T.StructField("last", T.DoubleType()),
-    T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()),
-    T.StructField("n_inversions", T.LongType()),
-])
+def _summary_schema(dt: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("pid", T.IntegerType()), T.StructField("n", T.LongType()),
+        T.StructField("first", dt), T.StructField("last", dt),
+        T.StructField("lo", dt), T.StructField("hi", dt),
+        T.StructField("n_inversions", T.LongType()),
+    ])
 
 
-def _edge_fn(col: str):
+def _edge_fn(col: str, arrow_schema: pa.Schema):
+    """Per partition: rows, first/last value, min/max and descending neighbours."""
+    import pyarrow.compute as pc
+
     def fn(batches):
         from pyspark import TaskContext
 
@@ -49,34 +53,39 @@ def _edge_fn(col: str):
         n = inv = 0
         first = last = lo = hi = None
         for batch in batches:
-            if batch.num_rows == 0:
+            m = batch.num_rows
+            if m == 0:
                 continue
-            v = batch.column(col).to_numpy(zero_copy_only=False).astype(np.float64)
-            if last is not None and v[0] < last:
+            v = batch.column(col)
+            if last is not None and pc.less(v[0], last).as_py():
                 inv += 1
-            inv += int(np.count_nonzero(v[1:] < v[:-1]))
+            if m > 1:
+                inv += pc.sum(pc.less(v.slice(1), v.slice(0, m - 1))).as_py() or 0
             if first is None:
-                first = float(v[0])
-            last = float(v[-1])
-            lo = float(v.min()) if lo is None else min(lo, float(v.min()))
-            hi = float(v.max()) if hi is None else max(hi, float(v.max()))
-            n += batch.num_rows
+                first = v[0]
+            last = v[m - 1]
+            mm = pc.min_max(v)
+            lo = mm["min"] if lo is None or pc.less(mm["min"], lo).as_py() else lo
+            hi = mm["max"] if hi is None or pc.greater(mm["max"], hi).as_py() else hi
+            n += m
         if n:
             yield pa.RecordBatch.from_pylist(
-                [dict(pid=pid, n=n, first=first, last=last, lo=lo, hi=hi, n_inversions=inv)],
-                schema=pa.schema([("pid", pa.int32()), ("n", pa.int64()), ("first", pa.float64()),
-                                  ("last", pa.float64()), ("lo", pa.float64()), ("hi", pa.float64()),
-                                  ("n_inversions", pa.int64())]))
+                [dict(pid=pid, n=n, first=first.as_py(), last=last.as_py(), lo=lo.as_py(), hi=hi.as_py(),
+                      n_inversions=inv)], schema=arrow_schema)
     return fn
 
 
 def partition_summary(df: DataFrame, col: str) -> DataFrame:
     """O5 edge summary: one row per non-empty partition, in the frame's own order.
 
-    One vectorised pass per partition; the result has one row per partition,
-    so anything done on it afterwards is bounded by the partition count.
+    One vectorised pass per partition over any orderable column; the result
+    has one row per partition, so anything done on it afterwards is bounded
+    by the partition count.
     """
-    return df.select(col).mapInArrow(_edge_fn(col), _SUMMARY)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = _summary_schema(df.schema[col].dataType)
+    return df.select(col).mapInArrow(_edge_fn(col, to_arrow_schema(schema)), schema)
 
 
 def _stitched(summary: DataFrame) -> DataFrame:

@@ -67,6 +67,7 @@ class _Reader(DataSourceReader):
         self.value_len = int(options.get("valueLength", VALUE_LEN))
         self.split = int(options.get("splitSize", DEFAULT_SPLIT))
         self.origin = options.get("includeOrigin", "false").lower() == "true"
+        self.columns = _columns(options)
 
     def partitions(self):
         from pyarrow import fs as pafs
@@ -112,9 +113,13 @@ class _Reader(DataSourceReader):
                     if n == 0:
                         return
                 rows = np.frombuffer(buf, dtype=np.uint8, count=n * rec).reshape(n, rec)
-                cols = [_binary(rows[:, :self.key_len].tobytes(), self.key_len, n),
-                        _binary(rows[:, self.key_len:].tobytes(), self.value_len, n)]
-                names = ["key", "value"]
+                cols, names = [], []
+                if "key" in self.columns:
+                    cols.append(_binary(rows[:, :self.key_len].tobytes(), self.key_len, n))
+                    names.append("key")
+                if "value" in self.columns:
+                    cols.append(_binary(rows[:, self.key_len:].tobytes(), self.value_len, n))
+                    names.append("value")
                 if self.origin:
                     cols += [pa.array([partition.path] * n, pa.string()),
                              pa.array(pos + np.arange(n, dtype=np.int64) * rec, pa.int64())]
@@ -124,6 +129,15 @@ class _Reader(DataSourceReader):
                 remaining -= n
 
 
+def _columns(options) -> list[str]:
+    """``columns=key`` reads keys only (the value bytes are skipped)."""
+    cols = [c.strip() for c in options.get("columns", "key,value").split(",") if c.strip()]
+    bad = set(cols) - {"key", "value"}
+    if bad or not cols:
+        raise ValueError(f"fixedrec: columns must be key and/or value, not {sorted(bad) or cols}")
+    return cols
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     temp: str
@@ -218,7 +232,7 @@ class FixedRecordSource(DataSource):
         return NAME
 
     def schema(self):
-        fields = [StructField("key", BinaryType()), StructField("value", BinaryType())]
+        fields = [StructField(c, BinaryType()) for c in _columns(self.options)]
         if self.options.get("includeOrigin", "false").lower() == "true":
             fields += [StructField("_file", StringType()), StructField("_offset", LongType())]
         return StructType(fields)
@@ -235,11 +249,14 @@ def register(spark) -> None:
 
 
 def read_records(spark, path: str, split_size: int | None = None, include_origin: bool = False,
-                 key_len: int = KEY_LEN, value_len: int = VALUE_LEN):
-    """S1-S3 as a DataFrame: ``key, value`` (and ``_file, _offset``)."""
+                 key_len: int = KEY_LEN, value_len: int = VALUE_LEN, columns: str = "key,value"):
+    """S1-S3 as a DataFrame: ``key, value`` (and ``_file, _offset``).
+
+    Python sources get no column pruning from Spark, so ``columns="key"``
+    asks for the keys alone."""
     register(spark)
     r = (spark.read.format(NAME).option("keyLength", key_len).option("valueLength", value_len)
-         .option("includeOrigin", str(include_origin).lower()))
+         .option("includeOrigin", str(include_origin).lower()).option("columns", columns))
     if split_size:
         r = r.option("splitSize", split_size)
     return r.load(path)

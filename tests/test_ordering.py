@@ -54,3 +54,9 @@ def test_chunked_merge_sort_sorted_and_k_check(spark):
     assert vals == sorted(vals) and len(vals) == 1000
     with pytest.raises(ValueError):
         O.chunked_merge_sort(df, "idx", "v", 1)
+
+
+def test_order_check_on_strings(spark):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(["a", "b", "b", "a", "c", "B"])], "p long, v string")
+    r = O.order_check(df, "v", ["p"], 3).first()
+    assert (r.n_inversions, r.unsorted) == (2, 1)

@@ -68,3 +68,11 @@ def test_text_records_cover_whole_texts(spark):
     assert [(r.doc_id, r.chunk) for r in rows] == [(1, 0), (1, 1), (1, 2), (3, 0)]
     assert bytes(rows[2].key) + bytes(rows[2].value) == b"a" * 50 + b"\x00" * 50
     assert bytes(rows[3].key)[:2] == "é".encode()
+
+
+def test_key_only_read(spark):
+    d = tempfile.mkdtemp()
+    recs = _write(f"{d}/a", 9)
+    got = read_records(spark, d, columns="key", split_size=250).collect()
+    assert [list(r.asDict()) for r in got[:1]] == [["key"]]
+    assert sorted(bytes(r.key) for r in got) == sorted(r[:10] for r in recs)
