@@ -15,6 +15,12 @@ def exact_count(df: DataFrame, out: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(out))
 
 
+def counter_values(df: DataFrame, order, out: str = "counter") -> DataFrame:
+    """A3 per row: the counter's value right after each increment, in arrival
+    order (a global position, spread over all tasks)."""
+    return global_position(df, order, out=out)
+
+
 def counter_rollup(df: DataFrame, worker: str, out: str = "n") -> DataFrame:
     """A2: count per worker plus the grand total (worker NULL)."""
     return df.rollup(worker).agg(F.count(F.lit(1)).alias(out))

@@ -46,6 +46,17 @@ def copy_verify(spark, sf_dir):
     return V.verify_copy(li, copy)
 
 
+def copy_digest_verify(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    copy = V.copy_table(li, fresh_dir(spark, "copy-lineitem"))
+    return V.verify_digest(li, copy)
+
+
+def counter_values(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    return L.counter_values(ev, ["ts", "event_id"]).select("event_id", "counter")
+
+
 def counter(spark, sf_dir):
     return L.exact_count(table(spark, sf_dir, "events"))
 
@@ -96,7 +107,9 @@ QUERIES = {
     "vector_add_chunked": vector_add_chunked,
     "vector_add_array": vector_add_array,
     "copy_verify": copy_verify,
+    "copy_digest_verify": copy_digest_verify,
     "counter": counter,
+    "counter_values": counter_values,
     "counter_rollup": counter_rollup,
     "account_numbers": account_numbers,
     "transfer_legs": transfer_legs,
@@ -129,7 +142,10 @@ SQL = {
     "copy_verify": """
         select count(*) as n_source, count(*) as n_copy, 0::bigint as missing, 0::bigint as extra,
                true as equal, true as schema_equal from lineitem""",
+    "copy_digest_verify": """
+        select count(*) as n_source, count(*) as n_copy, true as digest_equal from lineitem""",
     "counter": "select count(*) as n from events",
+    "counter_values": "select event_id, row_number() over (order by ts, event_id) as counter from events",
     "counter_rollup": "select event_type, count(*) as n from events group by rollup (event_type)",
     "account_numbers": "select c_custkey, row_number() over (order by c_custkey) as aid from customer",
     "transfer_legs": _LEGS + " select seq, leg, acct, delta from legs",
