@@ -67,7 +67,7 @@ def lease_stream(spark, sf_dir):
         return S.streaming_leases(classified.withColumn("t_us", micros("ts")))
 
     out = _run_twice(spark, log, "ts", "lease", build)
-    res = spark.read.parquet(out)
+    res = spark.read.parquet(out)          # batch_id comes from the folder names
     return res.select("request_id", "cluster", "grp", "action", "holder",
                       ntz_from_micros(F.col("booked_us")).alias("booked_at"))
 

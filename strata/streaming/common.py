@@ -59,16 +59,18 @@ def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], No
 
 
 def append_batches(out: str, keep: list[str] | None = None):
-    """foreachBatch sink: append the batch's rows with their batch id."""
+    """foreachBatch sink, idempotent: batch ``N`` goes to ``out/batch_id=N``
+    in overwrite mode, so a batch replayed after a failure replaces its own
+    earlier attempt instead of adding rows twice."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         b = batch if keep is None else batch.select(*keep)
-        b.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
+        b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
     return on_batch
 
 
 def latest_per_key(spark: SparkSession, out: str, keys: list[str], values: list[str]) -> DataFrame:
     """Final table of an update-mode stream: each key's row from its last batch."""
-    df = spark.read.parquet(out)
+    df = spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
     latest = F.max_by(F.struct(*values), "batch_id")
     if keys:
         return df.groupBy(*keys).agg(latest.alias("_v")).select(*keys, "_v.*")

@@ -66,3 +66,28 @@ def test_copy_verify_detects_changes(spark, tmp_path):
     # value equality: -0.0 equals 0.0
     zeros = spark.range(100).selectExpr("id", "cast(0.0 as double) as z")
     assert V.verify_copy(src, zeros).first().equal
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 5), st.integers(1, 5), st.integers(0, 10_000)), min_size=0, max_size=40))
+def test_random_transfers_conserve_money(spark, transfers):
+    acc = spark.createDataFrame([(a, 1000 * a) for a in range(1, 6)], "acct long, opening long")
+    t = spark.createDataFrame([(i, s, d, amt) for i, (s, d, amt) in enumerate(transfers)],
+                              "seq long, src long, dst long, amount long")
+    legs = L.transfer_legs(t)
+    bal = {r.acct: r.closing for r in L.closing_balances(acc, legs).collect()}
+    expect = {a: 1000 * a for a in range(1, 6)}
+    for s, d, amt in transfers:
+        expect[s] -= amt
+        expect[d] += amt
+    assert bal == expect
+    assert L.conservation(acc, L.closing_balances(acc, legs)).first().conserved
+    last = {}
+    for r in L.running_balance(acc, legs, n_partitions=3).collect():
+        if r.acct not in last or (r.seq, r.leg) > last[r.acct][0]:
+            last[r.acct] = ((r.seq, r.leg), r.balance)
+    assert all(bal[a] == b for a, (_, b) in last.items())
