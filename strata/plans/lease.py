@@ -46,8 +46,9 @@ def _classified(spark, sf_dir):
 
 
 def _resolved(spark, sf_dir, shared: bool = False):
-    """The resolved log; ``shared=True`` writes it once for plans that read it
-    in several branches, so the fold is not recomputed per branch."""
+    """The resolved log. ``shared=True`` writes it once for plans that read it
+    in several branches or feed it to a range exchange (whose bound sampling
+    would otherwise run the fold a second time)."""
     r = LS.resolve_leases(_classified(spark, sf_dir))
     return materialize(r, "lease-resolved") if shared else r
 
@@ -80,7 +81,7 @@ def lease_status(spark, sf_dir):
 
 
 def lease_intervals(spark, sf_dir):
-    return LS.lease_intervals(_resolved(spark, sf_dir), log_end_us=_log_end(spark, sf_dir))
+    return LS.lease_intervals(_resolved(spark, sf_dir, shared=True), log_end_us=_log_end(spark, sf_dir))
 
 
 def lease_reply(spark, sf_dir):
@@ -100,7 +101,7 @@ def _sightings(spark, sf_dir):
 
 
 def idle_jobs(spark, sf_dir):
-    return LS.idle_jobs(_resolved(spark, sf_dir), _sightings(spark, sf_dir))
+    return LS.idle_jobs(_resolved(spark, sf_dir, shared=True), _sightings(spark, sf_dir))
 
 
 def listings(spark, sf_dir):
@@ -117,7 +118,7 @@ def listings(spark, sf_dir):
 
 
 def foreign_paths(spark, sf_dir):
-    return LS.foreign_paths(_resolved(spark, sf_dir), listings(spark, sf_dir))
+    return LS.foreign_paths(_resolved(spark, sf_dir, shared=True), listings(spark, sf_dir))
 
 
 QUERIES = {
