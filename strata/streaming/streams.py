@@ -40,33 +40,41 @@ LEASE_OUT = T.StructType([
 
 
 class LeaseProcessor(StatefulProcessor):
-    """Per cluster, holder and booking time in a ValueState.
+    """Per cluster, holder, booking time and the last (time, id) served,
+    in a ValueState.
 
     Rows of one cluster in a micro-batch are folded in (time, id) order with
     the same rules as the batch fold (eager expiry at ``booked + limit``).
-    A cluster's rows of one micro-batch are held by one task; the trigger
-    size (files per trigger) bounds them.
+    A request older than the last one served arrives too late to be served
+    in order: it is answered ``late`` and leaves the state alone (counted,
+    not applied). A cluster's rows of one micro-batch are held by one task;
+    the trigger size (files per trigger) bounds them.
     """
 
     def __init__(self, limit_s: int = LIMIT_SECONDS):
         self.limit_us = limit_s * US
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lease = handle.getValueState("lease", "holder string, booked_us long")
+        self.lease = handle.getValueState("lease", "holder string, booked_us long, last_t long, last_id long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "request_id"], kind="stable")
         if self.lease.exists():
-            holder, booked = self.lease.get()
+            holder, booked, last_t, last_id = self.lease.get()
         else:
-            holder, booked = "", None
+            holder, booked, last_t, last_id = "", None, None, None
         n = len(pdf)
         grp, off, t = pdf["grp"].to_numpy(), pdf["is_off"].to_numpy(), pdf["t_us"].to_numpy()
+        rid = pdf["request_id"].to_numpy()
         action = np.empty(n, dtype=object)
         hold = np.empty(n, dtype=object)
         bk = np.full(n, np.nan)
         for i in range(n):
             ti = int(t[i])
+            if last_t is not None and (ti, int(rid[i])) < (last_t, last_id):
+                action[i], hold[i] = "late", None
+                continue
+            last_t, last_id = ti, int(rid[i])
             live = holder != "" and booked is not None and ti - booked < self.limit_us
             if not live:
                 holder = ""
@@ -83,7 +91,7 @@ class LeaseProcessor(StatefulProcessor):
             hold[i] = holder
             if holder != "" or action[i] == "off":
                 bk[i] = booked
-        self.lease.update((holder, booked))
+        self.lease.update((holder, booked, last_t, last_id))
         yield pd.DataFrame({
             "request_id": pdf["request_id"].to_numpy(), "cluster": pdf["cluster"].to_numpy(),
             "grp": grp, "action": action, "holder": hold,
