@@ -60,3 +60,29 @@ def test_order_check_on_strings(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(["a", "b", "b", "a", "c", "B"])], "p long, v string")
     r = O.order_check(df, "v", ["p"], 3).first()
     assert (r.n_inversions, r.unsorted) == (2, 1)
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.binary(min_size=0, max_size=4), min_size=0, max_size=80), st.integers(1, 6))
+def test_range_sort_concatenation_is_sorted(spark, keys, n):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key binary, id long")
+    parts = O.range_sort(df, ["key", "id"], n).rdd.glom().map(lambda rows: [bytes(r.key) for r in rows]).collect()
+    flat = [k for p in parts for k in p]
+    assert flat == sorted(keys)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.integers(0, 60), st.integers(1, 9))
+def test_chunk_sizes_property(spark, n, k):
+    df = spark.range(n).select(chunk_id(F.col("id"), n, k).alias("c"))
+    got = {r.c: r.n for r in df.groupBy("c").agg(F.count("*").alias("n")).collect()}
+    sizes = [got.get(i, 0) for i in range(k)]
+    assert sum(sizes) == n
+    if n // k:
+        assert sizes[:-1] == [n // k] * (k - 1) and sizes[-1] == n // k + n % k
+    else:
+        assert sizes[-1] == n
