@@ -233,6 +233,10 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
                  n_partitions: int | None = None) -> DataFrame:
     """Add the scan columns to ``df``; see the module doc. ``order`` should be total."""
     spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # both branches must read one range exchange; separately planned
+        # exchanges may sample different bounds, which would be wrong silently
+        spark.conf.set("spark.sql.exchange.reuse", "true")
     order, group = _names(order), _names(group)
     scans = [s if isinstance(s, Scan) else Scan(*s) for s in scans]
     n = n_partitions or default_partitions(spark)

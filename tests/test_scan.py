@@ -72,3 +72,14 @@ def test_segment_scan_matches_pandas(spark, n_part):
     gap = pdf.groupby("g")["t"].diff()
     pdf["seg"] = (gap.isna() | (gap >= 60)).astype(int).groupby(pdf["g"]).cumsum()
     assert all(got[i] == s for i, s in zip(pdf["id"], pdf["seg"]))
+
+
+def test_exchange_reuse_is_switched_back_on(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 3000).selectExpr("id", "(id * 31) % 3000 as k")
+        res = global_position(df, ["k", "id"], n_partitions=5)
+        assert sorted(r.pos for r in res.collect()) == list(range(1, 3001))
+        assert spark.conf.get("spark.sql.exchange.reuse") == "true"
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
