@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import micros, ntz_from_micros
+from ..session import ship_package
 from .scan import Scan, ordered_scan
 
 # fixed values: lease rules of the booking service
@@ -165,6 +166,7 @@ def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitio
     pointer chain (``lease_chain``), which spreads one segment over all
     tasks. ``chain_above_rows=None`` always folds; ``0`` always chains.
     """
+    ship_package(requests.sparkSession)
     req = requests.withColumn("t_us", micros("ts"))
     cl = req.where(F.col("kind") == "request")
     segs = segment_requests(cl, limit_s, n_partitions)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import chunk_id
-from ..session import default_partitions
+from ..session import default_partitions, ship_package
 from .scan import Scan, _names, global_position, ordered_scan
 
 __all__ = [
@@ -84,6 +84,7 @@ def partition_summary(df: DataFrame, col: str) -> DataFrame:
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(df.sparkSession)
     schema = _summary_schema(df.schema[col].dataType)
     return df.select(col).mapInArrow(_edge_fn(col, to_arrow_schema(schema)), schema)
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import default_partitions
+from ..session import default_partitions, ship_package
 
 KINDS = ("row_number", "sum", "ffill", "lag", "segment")
 _B = "_scan_b"      # range partition id
@@ -233,6 +233,7 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
                  n_partitions: int | None = None) -> DataFrame:
     """Add the scan columns to ``df``; see the module doc. ``order`` should be total."""
     spark = df.sparkSession
+    ship_package(spark)
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # both branches must read one range exchange; separately planned
         # exchanges may sample different bounds, which would be wrong silently

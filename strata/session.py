@@ -78,3 +78,41 @@ def materialize(df, name: str):
     path = fresh_dir(df.sparkSession, name)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in the Python workers (what ``--py-files`` does).
+
+    Functions handed to ``mapInArrow``/``mapInPandas``, the record source and
+    the stateful processor live in this package; the workers must import it.
+    Once per application the package is zipped into the shared checkpoint
+    folder and added with ``addPyFile``, so executors fetch it from there.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    import strata
+
+    root = os.path.dirname(os.path.abspath(strata.__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    folder = fresh_dir(spark, "pyfiles")
+    from pyarrow import fs as pafs
+
+    fs, base = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+    fs.create_dir(base, recursive=True)
+    with fs.open_output_stream(f"{base}/strata.zip") as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(f"{folder}/strata.zip")
+    _SHIPPED.add(sc.applicationId)

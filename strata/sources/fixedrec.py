@@ -245,6 +245,9 @@ class FixedRecordSource(DataSource):
 
 
 def register(spark) -> None:
+    from ..session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(FixedRecordSource)
 
 

@@ -6,6 +6,7 @@ so a restarted query continues where it stopped.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,13 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..operators.lease import LIMIT_SECONDS, US
 from ..operators.ledger import transfer_legs
+from ..session import ship_package
+
+# The stateful processor is also unpickled in a driver-side Python worker
+# that does not see ``addPyFile`` entries: ship this module's code by value.
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def running_count(stream: DataFrame, out: str = "n") -> DataFrame:
@@ -109,6 +117,7 @@ def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS) -> Dat
     Requests of a known cluster go through the stateful processor; status
     and wrong-group requests need no state.
     """
+    ship_package(classified.sparkSession)
     req = classified.where(F.col("kind") == "request").select(
         "request_id", "t_us", "grp", "is_off", "cluster")
     stateful = req.groupBy("cluster").transformWithStateInPandas(
