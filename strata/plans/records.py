@@ -8,10 +8,10 @@ from ..operators.ordering import range_sort
 from ..session import fresh_dir
 from ..sources import fixedrec
 from ..sources.records import text_records
+from ..sources.synthetic import INT_RANGE, uniform_floats, uniform_ints
 from ..sources.tables import table
 
 SEED = 42
-INT_RANGE = 100_000     # fixed value: the generator draws ints in 0..99999
 
 
 def record_roundtrip(spark, sf_dir):
@@ -30,8 +30,7 @@ def synthetic_ints(spark, sf_dir):
     """One uniform int in 0..99999 and one float in [0, 1] per lineitem row,
     from a seeded generator, so runs repeat."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey")
-    g = li.select(F.floor(F.rand(SEED) * INT_RANGE).cast("int").alias("v"),
-                  F.rand(SEED + 1).cast("float").alias("x"))
+    g = uniform_floats(uniform_ints(li, SEED), SEED + 1)
     return g.agg(F.count(F.lit(1)).alias("n"),
                  F.coalesce(F.bool_and(F.col("v").between(0, INT_RANGE - 1)), F.lit(True)).alias("ints_in_range"),
                  F.coalesce(F.bool_and(F.col("x").between(0.0, 1.0)), F.lit(True)).alias("floats_in_range"))

@@ -265,8 +265,28 @@ def read_records(spark, path: str, split_size: int | None = None, include_origin
     return r.load(path)
 
 
-def write_records(df, path: str, mode: str = "append", key_len: int = KEY_LEN, value_len: int = VALUE_LEN):
-    """One file per partition, in partition order."""
+def write_records(df, path: str, mode: str = "error", key_len: int = KEY_LEN, value_len: int = VALUE_LEN):
+    """One file per partition, in partition order.
+
+    ``mode``: ``error`` (default) refuses a folder that already holds files;
+    ``append`` writes into it (the reference's behaviour); ``overwrite``
+    replaces the part files. Spark offers only append and overwrite to Python
+    sinks, so the refusal is checked here, before any task runs.
+    """
     register(df.sparkSession)
+    if not path:
+        raise ValueError("fixedrec: output directory not set")
+    mode = mode.lower()
+    if mode in ("error", "errorifexists"):
+        from pyarrow import fs as pafs
+
+        fs, root = _fs(path)
+        info = fs.get_file_info(root)
+        if info.type == pafs.FileType.File or (
+                info.type == pafs.FileType.Directory and fs.get_file_info(pafs.FileSelector(root))):
+            raise FileExistsError(f"fixedrec: output {path} already exists")
+        mode = "append"
+    elif mode not in ("append", "overwrite"):
+        raise ValueError(f"fixedrec: unsupported mode {mode!r}")
     (df.select("key", "value").write.format(NAME).mode(mode)
        .option("keyLength", key_len).option("valueLength", value_len).save(path))

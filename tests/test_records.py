@@ -76,3 +76,13 @@ def test_key_only_read(spark):
     got = read_records(spark, d, columns="key", split_size=250).collect()
     assert [list(r.asDict()) for r in got[:1]] == [["key"]]
     assert sorted(bytes(r.key) for r in got) == sorted(r[:10] for r in recs)
+
+
+def test_error_mode_refuses_existing_output(spark):
+    out = tempfile.mkdtemp()
+    df = spark.createDataFrame([(b"0123456789", b"v" * 90)], "key binary, value binary")
+    write_records(df, out + "/new")                       # default mode: error, folder absent
+    with pytest.raises(FileExistsError):
+        write_records(df, out + "/new")
+    write_records(df, out + "/new", mode="overwrite")
+    assert read_records(spark, out + "/new").count() == 1
