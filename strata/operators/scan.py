@@ -62,6 +62,35 @@ def _names(cols) -> list[str]:
     return [c if isinstance(c, str) else c._jc.toString() for c in cols]
 
 
+def scan_partitions(df: DataFrame) -> int:
+    """Range partitions for a scan, sized the way AQE coalesces: Catalyst's
+    size estimate over the minimum partition size when parallelism comes
+    first (the default), else over the advisory size; between 1 and the
+    session's shuffle partitions. Fixed once per scan, so both branches
+    agree (AQE itself must not coalesce this exchange: see the module doc)."""
+    spark = df.sparkSession
+    cap = default_partitions(spark)
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the session's setting
+        return cap
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true").lower() == "true"
+    target = (_bytes(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB") if first
+              else _bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    return max(1, min(cap, -(-est // target)))
+
+
+def _bytes(spark, key: str, default: str) -> int:
+    raw = (spark.conf.get(key, default) or default).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    num = raw.rstrip("kmgb")
+    unit = raw[len(num):] or "b"
+    try:
+        return max(1, int(float(num) * units.get(unit, 1)))
+    except ValueError:
+        return 1 << 20
+
+
 def _sum_type(dt: T.DataType) -> T.DataType:
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return T.LongType()
@@ -240,7 +269,7 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
         spark.conf.set("spark.sql.exchange.reuse", "true")
     order, group = _names(order), _names(group)
     scans = [s if isinstance(s, Scan) else Scan(*s) for s in scans]
-    n = n_partitions or default_partitions(spark)
+    n = n_partitions or scan_partitions(df)
     schema = df.schema
     fields = {f.name: f for f in schema.fields}
     out_types_spark: dict[str, T.DataType] = {}
