@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import micros, ntz_from_micros
 from ..operators import lease as LS
 from ..operators import ledger as L
+from ..operators.scan import scan_partitions
 from ..session import fresh_dir
 from ..sources.tables import table
 from ..streaming import common as C
@@ -24,11 +25,18 @@ from . import vectors as vector_plan
 def _run_twice(spark, df, ts, name, build, keep=None, mode="append"):
     landing, first, second = C.land_in_two_runs(spark, df, ts, name)
     out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
-    for write in (first, second):
-        write()
-        stream = (spark.readStream.schema(df.schema)
-                  .option("maxFilesPerTrigger", C.FILES_PER_TRIGGER).parquet(landing))
-        C.run_available_now(build(stream), C.append_batches(out, keep), ckpt, None, mode)
+    # state partitions are fixed by the first run of a checkpoint: size them
+    # from the input like a scan, then give the session its setting back
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(scan_partitions(df)))
+    try:
+        for write in (first, second):
+            write()
+            stream = (spark.readStream.schema(df.schema)
+                      .option("maxFilesPerTrigger", C.FILES_PER_TRIGGER).parquet(landing))
+            C.run_available_now(build(stream), C.append_batches(out, keep), ckpt, None, mode)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return out
 
 
