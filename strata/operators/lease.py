@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import micros, ntz_from_micros
-from ..session import ship_package
-from .scan import Scan, ordered_scan
+from ..session import materialize, ship_package
+from .scan import Scan, ordered_scan, scan_partitions
 
 # fixed values: lease rules of the booking service
 LIMIT_SECONDS = 15 * 60          # a booking lasts 15 minutes
@@ -170,10 +170,13 @@ def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitio
     req = requests.withColumn("t_us", micros("ts"))
     cl = req.where(F.col("kind") == "request")
     segs = segment_requests(cl, limit_s, n_partitions)
-    n = n_partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out_schema = T.StructType(list(segs.schema.fields) + _FOLD_ADDED)
     to_fold, to_chain = segs, None
     if chain_above_rows is not None:
+        # the segment sizes decide the path, so the segmented log is written
+        # once and both the size check and the fold read it
+        segs = materialize(segs, "lease-segments")
+        to_fold = segs
         sizes = segs.groupBy("cluster", "seg").agg(F.count(F.lit(1)).alias("_seg_rows"))
         long_segs = sizes.where(F.col("_seg_rows") > chain_above_rows).select("cluster", "seg")
         if chain_above_rows == 0 or long_segs.limit(1).count() > 0:
@@ -182,6 +185,7 @@ def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitio
             tagged = segs.join(long_segs.withColumn("_long", F.lit(True)), ["cluster", "seg"], "left")
             to_fold = tagged.where(F.col("_long").isNull()).drop("_long")
             to_chain = tagged.where(F.col("_long")).drop("_long")
+    n = n_partitions or scan_partitions(to_fold)
     folded = (to_fold.repartition(n, "cluster", "seg")
                   .sortWithinPartitions("cluster", "seg", "t_us", "request_id")
                   .mapInPandas(_fold_fn(limit_s * US), out_schema))
