@@ -137,3 +137,20 @@ def test_lease_case_by_pointer_chain(spark):
         assert got[i] == (action, holder), (i, CASE[i], got[i])
     folded = {x.request_id: x.booked_at for x in _resolve(spark, CASE).collect()}
     assert folded == {x.request_id: x.booked_at for x in r.collect()}
+
+
+def test_mixed_fold_and_chain_routing(spark):
+    """A dense stretch (one long segment) goes to the chain, the rest to the fold."""
+    import random
+
+    rnd = random.Random(5)
+    case, t = [], 0
+    for i in range(260):
+        t += rnd.randint(1, 120) if i < 200 else rnd.randint(600, 1200)   # dense, then sparse
+        g = rnd.randint(1, 3)
+        case.append((t, f"group0{g}" + (" off" if rnd.random() < 0.3 else ""), None, None))
+    c = LS.resolve_cluster(LS.parse_requests(_requests(spark, case)), _directory(spark))
+    r = LS.resolve_leases(c, n_partitions=3, chain_above_rows=50)
+    got = [x.action for x in r.orderBy("request_id").collect()]
+    plain = _plain_fold([(tt, m.split()[0], m.endswith(" off")) for tt, m, *_ in case])
+    assert got == plain
