@@ -13,8 +13,15 @@ from ..operators import gradebook as G
 from ..sources.tables import table
 
 
-def sheet(spark, sf_dir):
+ROW_OFFSET = 2      # row_idx = p_partkey + 2 (the sheet's first data row is 2)
+
+
+def sheet(spark, sf_dir, rows: tuple[int, int] | None = None):
+    """The sheet; ``rows=(lo, hi)`` keeps that row window, stated on the
+    source key so the range reaches the parquet scan as a pushed filter."""
     p = table(spark, sf_dir, "part")
+    if rows is not None:
+        p = p.where(F.col("p_partkey").between(rows[0] - ROW_OFFSET, rows[1] - ROW_OFFSET))
     words = F.split("p_name", " ")
     size = F.col("p_size").cast("string")
     g3 = (F.when(F.col("p_size") % 5 == 0, F.concat(F.lit(" "), size, F.lit(" ")))
@@ -23,7 +30,7 @@ def sheet(spark, sf_dir):
            .when(F.col("p_size") % 5 == 3, F.lit("None"))
            .otherwise(F.concat(size, F.lit("e1"))))
     return p.select(
-        (F.col("p_partkey") + 2).cast("int").alias("row_idx"),
+        (F.col("p_partkey") + ROW_OFFSET).cast("int").alias("row_idx"),
         F.element_at(words, 1).alias("first"), F.element_at(words, 2).alias("last"),
         F.col("p_brand").alias("id_number"),
         (F.col("p_partkey") % 16 + 1).cast("int").alias("group_num"),
@@ -44,7 +51,9 @@ def _saves(spark, sf_dir):
 
 
 def sheet_window(spark, sf_dir):
-    return G.sheet_window(sheet(spark, sf_dir)).select("row_idx", "first", "last", "id_number", "group_num")
+    """Rows 2..65 of the sheet (the window is also re-checked on row_idx)."""
+    s = sheet(spark, sf_dir, rows=(G.FIRST_ROW, G.LAST_ROW))
+    return G.sheet_window(s).select("row_idx", "first", "last", "id_number", "group_num")
 
 
 def grade_long(spark, sf_dir):
