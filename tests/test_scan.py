@@ -83,3 +83,32 @@ def test_exchange_reuse_is_switched_back_on(spark):
         assert spark.conf.get("spark.sql.exchange.reuse") == "true"
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_scan_across_many_arrow_batches(spark):
+    """Tiny Arrow batches: group state must carry across batches of one partition."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = np.random.default_rng(3)
+        n = 900
+        grp = np.where(rng.random(n) < 0.5, 1, rng.integers(2, 9, n))
+        t = np.cumsum(rng.integers(1, 30, n))
+        vals = rng.integers(-9, 9, n)
+        nulls = rng.random(n) < 0.3
+        rows = [(i, int(g), int(x), None if m else int(v)) for i, (g, x, v, m) in enumerate(zip(grp, t, vals, nulls))]
+        df = spark.createDataFrame(rows, "id long, g long, t long, v long")
+        res = ordered_scan(df, ["t", "id"], ["g"],
+                           [Scan("rn", "row_number"), Scan("s", "sum", "v"), Scan("ff", "ffill", "v"),
+                            Scan("lg", "lag", "v"), Scan("seg", "segment", "t", gap=40)],
+                           n_partitions=4).toPandas().set_index("id").sort_index()
+        pdf = pd.DataFrame(rows, columns=["id", "g", "t", "v"]).astype({"v": "float64"})
+        exp = _brute(pdf, ["g"], ["t", "id"], "v").set_index("id").sort_index()
+        gap = exp.sort_values(["g", "t"]).groupby("g")["t"].diff()
+        exp["seg"] = (gap.isna() | (gap >= 40)).astype(int).groupby(exp.sort_values(["g", "t"])["g"]).cumsum()
+        assert (res["rn"].to_numpy() == exp["rn"].to_numpy()).all()
+        assert np.allclose(res["s"].to_numpy(dtype=float), exp["s"].to_numpy(dtype=float))
+        pd.testing.assert_series_equal(res["ff"].astype("float64"), exp["ff"].astype("float64"), check_names=False)
+        pd.testing.assert_series_equal(res["lg"].astype("float64"), exp["lg"].astype("float64"), check_names=False)
+        assert (res["seg"].to_numpy() == exp["seg"].sort_index().to_numpy()).all()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
