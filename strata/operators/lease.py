@@ -13,11 +13,12 @@ request has looked at it since.
 
 Scale: a request that comes ``>= limit`` after the previous request of its
 cluster finds the cluster free, so those requests cut each cluster's log
-into independent segments. Gap detection and segment numbering are ordered
-scans that split busy clusters over many tasks; each segment is then folded
-in one streaming pass with O(1) state (``mapInPandas`` over rows sorted by
-``(cluster, seg, ts, id)``). A segment is one task: a cluster that never
-rests for ``limit`` is folded by a single task, streaming, never collected.
+into independent segments. Segment numbering is one ordered scan (a busy
+cluster is split over many tasks, edges stitched exactly). A segment of up
+to ``CHAIN_ABOVE_ROWS`` requests is folded in one streaming pass with O(1)
+state (``mapInPandas`` over rows sorted by ``(cluster, seg, ts, id)``); a
+longer one (a cluster that never rests for ``limit``) is resolved as a
+pointer chain over all tasks (``lease_chain``). No group is ever collected.
 """
 
 from __future__ import annotations
