@@ -16,10 +16,11 @@ as data.
 Writing (S4, S5). One file per partition, ``part-NNNNN`` by partition
 index, so a range-sorted frame gives files whose concatenation is sorted.
 Each task attempt writes a temporary file; the job commit renames them,
-an abort deletes them. The output path must be given. In ``append`` mode
-an existing directory is written into (the reference's behaviour);
-``overwrite`` clears old part files first. All file access goes through
-``pyarrow.fs``, so local, HDFS and S3 paths work alike.
+an abort deletes them. The output path must be given. ``write_records``
+refuses an existing output by default (``error``); ``append`` writes into
+it (the reference's behaviour); ``overwrite`` clears old part files first.
+``columns=key`` reads keys only. All file access goes through ``pyarrow.fs``,
+so local, HDFS and S3 paths work alike.
 """
 
 from __future__ import annotations
