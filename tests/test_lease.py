@@ -154,3 +154,13 @@ def test_mixed_fold_and_chain_routing(spark):
     got = [x.action for x in r.orderBy("request_id").collect()]
     plain = _plain_fold([(tt, m.split()[0], m.endswith(" off")) for tt, m, *_ in case])
     assert got == plain
+
+
+def test_fold_state_across_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {x.request_id: (x.action, x.holder) for x in _resolve(spark, CASE, n=2).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for i, (_, _, action, holder) in enumerate(CASE):
+        assert got[i] == (action, holder), (i, CASE[i], got[i])
