@@ -11,7 +11,6 @@ FIRST_ROW, LAST_ROW = 2, 65
 ASSIGNMENTS = [(1, "g1", "f1"), (2, "g2", "f2"), (3, "g3", "f3")]
 LABEL_FORMAT = "(%02d) %s %s"
 NOT_A_NUMBER = "-"
-GRAM = 3
 
 # a number as the grade editor accepts it, after trimming and removing
 # underscores between digits: decimal or exponent form, or nan / inf words
@@ -69,52 +68,37 @@ def label(group_num: Column, first: Column, last: Column) -> Column:
     return F.format_string(LABEL_FORMAT, group_num.cast("int"), first, last)
 
 
-def _grams(col: Column, n: int) -> Column:
-    return F.expr(f"transform(sequence(1, greatest(length({col._jc.toString()}) - {n} + 1, 1)),"
-                  f" i -> substring({col._jc.toString()}, i, {n}))")
-
-
 def first_match(labels: DataFrame, terms: DataFrame, row: str = "row_idx", text: str = "label",
                 term: str = "term") -> DataFrame:
     """For each term, the first row (lowest ``row``) whose label contains
     it, case-insensitively; -1 if none; the empty term matches the first row.
 
-    No pair of (term, row) is formed blindly. Labels are indexed by their
-    n-grams (n <= 3) with the first row and the count of each gram. A term
-    of up to 3 characters *is* a gram, so its answer is that gram's first
-    row. A longer term is checked only against rows holding its rarest
-    3-gram, then the first matching row is kept.
+    No (term, row) pair is ever formed. For every length that some term has,
+    each label yields all its substrings of that length; those are reduced
+    to the first row per substring (partial aggregation per task, so a
+    substring found in most rows costs one row per task), and the terms
+    equi-join that table. The work is linear in label characters times the
+    number of distinct term lengths, and exact.
     """
     lab = labels.select(F.col(row).alias("_row"), F.lower(F.col(text)).alias("_l"))
-    idx = None
-    for n in range(1, GRAM + 1):
-        g = lab.select("_row", F.explode(_grams(F.col("_l"), n)).alias("gram")).where(F.length("gram") == n)
-        idx = g if idx is None else idx.unionByName(g)
-    idx = idx.distinct()
-    gram_stats = idx.groupBy("gram").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_freq"))
-
     t = terms.select(F.col(term).alias("term")).distinct().withColumn("_t", F.lower("term"))
+    # the distinct term lengths: a handful of small ints, bounded by the longest term
+    lengths = sorted(r[0] for r in t.select(F.length("_t")).distinct().collect() if r[0])
     first_row = lab.select(F.min("_row")).scalar()
-
-    short = (t.where(F.length("_t").between(1, GRAM))
-              .join(gram_stats, F.col("_t") == F.col("gram"), "left")
-              .select("term", F.col("_first").alias("_hit")))
-
-    long_t = t.where(F.length("_t") > GRAM)
-    tg = long_t.select("term", "_t", F.explode(_grams(F.col("_t"), GRAM)).alias("gram"))
-    rarest = (tg.join(gram_stats, "gram", "left")
-                .groupBy("term", "_t")
-                .agg(F.min_by("gram", F.coalesce(F.col("_freq"), F.lit(0))).alias("gram"),
-                     F.min(F.coalesce(F.col("_freq"), F.lit(0))).alias("_f")))
-    cand = (rarest.where(F.col("_f") > 0).join(idx, "gram")
-                  .join(lab, "_row")
-                  .where(F.col("_l").contains(F.col("_t")))
-                  .groupBy("term").agg(F.min("_row").alias("_hit")))
-    long_res = long_t.select("term").join(cand, "term", "left")
-
-    empty = t.where(F.length("_t") == 0).select("term", first_row.alias("_hit"))
-    res = short.unionByName(long_res).unionByName(empty)
-    return res.select("term", F.coalesce(F.col("_hit").cast("long"), F.lit(-1).cast("long")).alias("first_row"))
+    def of_length(m: int):
+        starts = F.sequence(F.lit(1), F.length("_l") - m + 1)
+        return (F.when(F.length("_l") >= m, F.transform(starts, lambda i: F.substring("_l", i, m)))
+                 .otherwise(F.array().cast("array<string>")))
+
+    if lengths:
+        subs = F.flatten(F.array(*[of_length(m) for m in lengths]))
+        first_seen = (lab.select("_row", F.explode(subs).alias("_s"))
+                         .groupBy("_s").agg(F.min("_row").alias("_hit")))
+        hits = t.join(first_seen, F.col("_t") == F.col("_s"), "left").select("term", "_t", "_hit")
+    else:
+        hits = t.select("term", "_t", F.lit(None).cast("long").alias("_hit"))
+    hit = F.when(F.length("_t") == 0, first_row).otherwise(F.col("_hit"))
+    return hits.select("term", F.coalesce(hit.cast("long"), F.lit(-1).cast("long")).alias("first_row"))
 
 
 def lookup(long: DataFrame, requests: DataFrame, keys=("row_idx", "assignment")) -> DataFrame:

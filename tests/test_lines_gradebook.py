@@ -80,3 +80,20 @@ def test_sheet_window(spark):
     s = spark.range(0, 100).selectExpr("cast(id as int) as row_idx")
     w = G.sheet_window(s)
     assert w.count() == 64 and w.agg(F.min("row_idx"), F.max("row_idx")).first() == (2, 65)
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_ALPHA = st.text(alphabet="abAB ()1", min_size=0, max_size=8)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(_ALPHA, min_size=1, max_size=12), st.lists(_ALPHA, min_size=1, max_size=8))
+def test_first_match_equals_brute_force(spark, labels, terms):
+    lab = spark.createDataFrame([(i + 2, x) for i, x in enumerate(labels)], "row_idx int, label string")
+    ts = spark.createDataFrame([(x,) for x in terms], "term string")
+    got = {r.term: r.first_row for r in G.first_match(lab, ts).collect()}
+    for term in set(terms):
+        hits = [i + 2 for i, x in enumerate(labels) if term.lower() in x.lower()]
+        assert got[term] == (hits[0] if hits else -1), (term, labels)
