@@ -75,11 +75,16 @@ def _accounts(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("acct"), cents("c_acctbal").alias("opening"))
 
 
-def _legs(spark, sf_dir):
-    """Transfers from orders: o_custkey pays (o_custkey*7+1) % customers."""
+def _legs(spark, sf_dir, hot: bool = False):
+    """Transfers from orders: o_custkey pays (o_custkey*7+1) % customers.
+
+    ``hot=True``: every third order is paid by account 0 instead, so one
+    account holds about a third of all legs (the skew case)."""
     n_cust = table(spark, sf_dir, "customer").select(F.count(F.lit(1))).scalar()
     o = table(spark, sf_dir, "orders")
-    transfers = o.select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("src"),
+    src = F.when(F.col("o_orderkey") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("o_custkey")) \
+        if hot else F.col("o_custkey")
+    transfers = o.select(F.col("o_orderkey").alias("seq"), src.alias("src"),
                          ((F.col("o_custkey") * 7 + 1) % n_cust).alias("dst"),
                          cents("o_totalprice").alias("amount"))
     return L.transfer_legs(transfers)
@@ -97,6 +102,11 @@ def running_balance(spark, sf_dir):
     return L.running_balance(_accounts(spark, sf_dir), _legs(spark, sf_dir))
 
 
+def running_balance_hot(spark, sf_dir):
+    """A7 with one account holding about a third of all legs."""
+    return L.running_balance(_accounts(spark, sf_dir), _legs(spark, sf_dir, hot=True))
+
+
 def conservation(spark, sf_dir):
     acc = _accounts(spark, sf_dir)
     return L.conservation(acc, L.closing_balances(acc, _legs(spark, sf_dir)))
@@ -115,6 +125,7 @@ QUERIES = {
     "transfer_legs": transfer_legs,
     "balances": balances,
     "running_balance": running_balance,
+    "running_balance_hot": running_balance_hot,
     "conservation": conservation,
 }
 
@@ -155,6 +166,12 @@ SQL = {
                ((select opening from acc where acc.acct = legs.acct)
                 + sum(delta) over (partition by acct order by seq, leg))::bigint as balance
         from legs""",
+    "running_balance_hot": _LEGS.replace(
+        "o_custkey as src,", "case when o_orderkey % 3 = 0 then 0 else o_custkey end as src,") + """
+        select seq, leg, acct, delta,
+               ((select opening from acc where acc.acct = legs.acct)
+                + sum(delta) over (partition by acct order by seq, leg))::bigint as balance
+        from legs""",
     "conservation": _LEGS + """
         select (select sum(opening) from acc)::bigint as opening_total,
                (select sum(closing) from bal)::bigint as closing_total,
