@@ -56,7 +56,7 @@ class LeaseProcessor(StatefulProcessor):
     A request older than the last one served arrives too late to be served
     in order: it is answered ``late`` and leaves the state alone (counted,
     not applied). A cluster's rows of one micro-batch are held by one task;
-    the trigger size (files per trigger) bounds them.
+    bound them with ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``.
     """
 
     def __init__(self, limit_s: int = LIMIT_SECONDS):
