@@ -34,11 +34,16 @@ def request_log(spark, sf_dir):
         F.col("event_id").alias("request_id"), "ts", msg.alias("msg"))
 
 
-def directory(spark, sf_dir):
+def directory(spark, sf_dir, one_cluster: bool = False):
+    """Every user is a group; its cluster is ``user_id % 4``, or ``c0`` for
+    all groups when ``one_cluster`` (the skew case: one cluster gets every
+    request)."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()
+    cluster = (F.lit("c0") if one_cluster
+               else F.concat(F.lit("c"), (F.col("user_id") % 4).cast("string")))
+    order = F.lit(0).cast("long") if one_cluster else (F.col("user_id") % 4)
     return users.select(F.concat(F.lit("g"), F.col("user_id").cast("string")).alias("grp"),
-                        F.concat(F.lit("c"), (F.col("user_id") % 4).cast("string")).alias("cluster"),
-                        (F.col("user_id") % 4).alias("cluster_order"))
+                        cluster.alias("cluster"), order.alias("cluster_order"))
 
 
 def _classified(spark, sf_dir):
@@ -57,6 +62,12 @@ def _log_end(spark, sf_dir):
     return request_log(spark, sf_dir).select(F.max(micros("ts"))).scalar()
 
 
+def lease_resolve_hot(spark, sf_dir):
+    """L4 with a single cluster for all groups: one key holds every request."""
+    c = LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)), directory(spark, sf_dir, True))
+    return LS.resolve_leases(c).select("request_id", "cluster", "grp", "action", "holder", "booked_at")
+
+
 def request_parse(spark, sf_dir):
     return LS.parse_requests(request_log(spark, sf_dir)).select("request_id", "grp", "is_off")
 
@@ -125,6 +136,7 @@ QUERIES = {
     "request_parse": request_parse,
     "request_cluster": request_cluster,
     "lease_resolve": lease_resolve,
+    "lease_resolve_hot": lease_resolve_hot,
     "lease_wait": lease_wait,
     "lease_status": lease_status,
     "lease_intervals": lease_intervals,
@@ -222,6 +234,9 @@ SQL = {
     "request_cluster": _BASE + " select request_id, grp, cluster, kind from cl",
     "lease_resolve": _BASE + """
         select request_id, cluster, grp, action, holder, make_timestamp(booked_us) as booked_at from res""",
+    "lease_resolve_hot": _BASE.replace("'c' || (user_id % 4) as cluster from events",
+                                       "'c0' as cluster from events") + """
+        select request_id, cluster, grp, action, holder, make_timestamp(booked_us) as booked_at from res""",
     "lease_wait": _BASE + _WAIT,
     "lease_status": _BASE + """,
         probes as (select r.request_id as probe_id, k.cluster, r.t_us from res r, clusters k

@@ -30,3 +30,16 @@ def test_hot_account_running_balance_matches_brute_force(spark):
         run += d
         expect.append(run)
     assert got == expect
+
+
+def test_single_cluster_log_is_split_by_the_segment_scan(spark):
+    from strata.functions.columns import micros
+    from strata.operators import lease as LS
+    from strata.plans import lease as LP
+
+    c = LS.resolve_cluster(LS.parse_requests(LP.request_log(spark, SF)), LP.directory(spark, SF, True))
+    req = c.where(F.col("kind") == "request").withColumn("t_us", micros("ts"))
+    assert req.select("cluster").distinct().count() == 1
+    parts = (req.repartitionByRange(8, "cluster", "t_us", "request_id")
+                .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts >= 4                       # one key, many tasks
