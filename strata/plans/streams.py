@@ -45,6 +45,20 @@ def _run_twice(spark, df, ts, name, build, keep=None, mode="append"):
     return out
 
 
+def counter_values_stream(spark, sf_dir):
+    """A3 per row on a stream: the counter's value after each event, in
+    arrival order (the second run continues from the first run's total)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    landing, first, second = C.land_in_two_runs(spark, ev, "ts", "counter-values")
+    out, totals = fresh_dir(spark, "counter-values-out"), fresh_dir(spark, "counter-values-totals")
+    ckpt = fresh_dir(spark, "counter-values-ckpt")
+    for write in (first, second):
+        write()
+        stream = spark.readStream.schema(ev.schema).parquet(landing)
+        C.run_available_now(stream, S.counter_values_sink(out, totals, ["ts", "event_id"]), ckpt)
+    return spark.read.parquet(out).select("event_id", "counter")
+
+
 def counter_stream(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     out = _run_twice(spark, ev, "ts", "counter", S.running_count, mode="update")
@@ -86,6 +100,7 @@ def lease_stream(spark, sf_dir):
 
 
 QUERIES = {
+    "counter_values_stream": counter_values_stream,
     "counter_stream": counter_stream,
     "balances_stream": balances_stream,
     "lease_stream": lease_stream,
@@ -96,6 +111,7 @@ def _sql():
     from . import lease, vectors
 
     return {
+        "counter_values_stream": vectors.SQL["counter_values"],
         "counter_stream": vectors.SQL["counter"],
         "balances_stream": vectors.SQL["balances"],
         "lease_stream": lease.SQL["lease_resolve"],

@@ -32,6 +32,41 @@ def running_count(stream: DataFrame, out: str = "n") -> DataFrame:
     return stream.groupBy().agg(F.count(F.lit(1)).alias(out))
 
 
+def counter_values_sink(out: str, totals: str, order):
+    """A3 per row, as a ``foreachBatch`` sink: the counter after each increment.
+
+    A micro-batch is ranked in arrival order with the hot-safe global
+    position (spread over all tasks, no single-key state) and shifted by the
+    total of all earlier batches, kept as a one-row table per batch id. A
+    replayed batch reads the same earlier totals and overwrites its own
+    folders, so it is idempotent.
+    """
+    from pyspark.sql import functions as F
+
+    from ..operators.scan import global_position
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        try:
+            prev_df = (spark.read.parquet(totals).where(F.col("batch_id") < batch_id)
+                       .agg(F.max("total").alias("t")))
+            prev = prev_df.first()["t"] or 0          # one number
+        except Exception:  # noqa: BLE001 - no earlier batch has written yet
+            prev = 0
+        ranked = global_position(batch, order, out="_pos")
+        ranked = materialize_batch(ranked.withColumn("counter", F.col("_pos") + F.lit(prev)).drop("_pos"),
+                                   f"{out}/batch_id={batch_id}")
+        n = ranked.count()
+        spark.createDataFrame([(prev + n,)], "total long").write.mode("overwrite") \
+             .parquet(f"{totals}/batch_id={batch_id}")
+    return on_batch
+
+
+def materialize_batch(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def running_balances(transfers: DataFrame) -> DataFrame:
     """Money moved per account so far; transfers apply as they arrive."""
     return transfer_legs(transfers).groupBy("acct").agg(F.sum("delta").alias("moved"))
