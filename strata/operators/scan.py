@@ -140,18 +140,24 @@ def _local_scan(batches: Iterator[pa.RecordBatch], group, scans, out_types) -> I
             arr = batch.column(s.col)
             valid = ~np.asarray(arr.is_null(), dtype=bool)
             if s.kind == "segment":
-                v = arr.to_numpy(zero_copy_only=False).astype(np.float64)
-                prev = np.empty(n)
+                if pa.types.is_integer(arr.type):      # exact int64 arithmetic, no float rounding
+                    v = arr.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                else:
+                    v = np.nan_to_num(arr.to_numpy(zero_copy_only=False).astype(np.float64))
+                last_v, last_seg = c_seg.get(s.out, (None, 0))
+                prev = np.empty_like(v)
                 prev[1:] = v[:-1]
-                last_v, last_seg = c_seg.get(s.out, (np.nan, 0))
-                prev[0] = last_v
-                new = flags | ~valid | np.isnan(prev) | (v - prev >= s.gap)
+                prev[0] = 0 if last_v is None else last_v
+                prev_ok = np.empty(n, dtype=bool)
+                prev_ok[1:] = valid[:-1]
+                prev_ok[0] = last_v is not None
+                new = flags | ~valid | ~prev_ok | (v - prev >= s.gap)
                 new[0] = new[0] or not cont[0]
                 cs = np.cumsum(new.astype(np.int64))
                 base = np.where(start_idx > 0, cs[np.maximum(start_idx - 1, 0)], 0)
                 local = cs - base + np.where(cont, last_seg, 0)
                 cols[s.out] = pa.array(local, pa.int64())
-                c_seg[s.out] = (v[-1], int(local[-1]))
+                c_seg[s.out] = (v[-1].item() if valid[-1] else None, int(local[-1]))
                 continue
             if s.kind == "sum":
                 is_int = pa.types.is_integer(arr.type)
