@@ -160,9 +160,10 @@ def _local_scan(batches: Iterator[pa.RecordBatch], group, scans, out_types) -> I
                 c_seg[s.out] = (v[-1].item() if valid[-1] else None, int(local[-1]))
                 continue
             if s.kind == "sum":
-                is_int = pa.types.is_integer(arr.type)
-                v = np.nan_to_num(arr.to_numpy(zero_copy_only=False).astype(np.int64 if is_int else np.float64))
-                v = np.where(valid, v, 0)
+                if pa.types.is_integer(arr.type):      # exact: never through float64
+                    v = arr.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                else:
+                    v = np.where(valid, np.nan_to_num(arr.to_numpy(zero_copy_only=False).astype(np.float64)), 0.0)
                 cs = np.cumsum(v)
                 base = np.where(start_idx > 0, cs[np.maximum(start_idx - 1, 0)], 0)
                 local = cs - base + np.where(cont, c_sum.get(s.out, 0), 0)

@@ -112,3 +112,10 @@ def test_scan_across_many_arrow_batches(spark):
         assert (res["seg"].to_numpy() == exp["seg"].sort_index().to_numpy()).all()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_sum_is_exact_for_large_integers(spark):
+    big = 2 ** 60
+    df = spark.createDataFrame([(1, big + 1), (2, None), (3, big + 3)], "t long, v long")
+    out = sorted((r.t, r.s) for r in ordered_scan(df, ["t"], [], [Scan("s", "sum", "v")], n_partitions=2).collect())
+    assert out == [(1, big + 1), (2, big + 1), (3, 2 * big + 4)]
