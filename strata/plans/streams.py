@@ -99,11 +99,29 @@ def lease_stream(spark, sf_dir):
                       ntz_from_micros(F.col("booked_us")).alias("booked_at"))
 
 
+def lease_stream_batched(spark, sf_dir):
+    """L9 through the batch resolver per micro-batch (busy clusters split)."""
+    log = lease_plan.request_log(spark, sf_dir)
+    directory = lease_plan.directory(spark, sf_dir)
+    landing, first, second = C.land_in_two_runs(spark, log, "ts", "lease-batched")
+    out, state = fresh_dir(spark, "lease-batched-out"), fresh_dir(spark, "lease-batched-state")
+    ckpt = fresh_dir(spark, "lease-batched-ckpt")
+    for write in (first, second):
+        write()
+        stream = spark.readStream.schema(log.schema).parquet(landing)
+        classified = LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
+        C.run_available_now(classified, S.lease_batches_sink(out, state), ckpt)
+    res = spark.read.parquet(out)
+    return res.select("request_id", "cluster", "grp", "action", "holder",
+                      ntz_from_micros(F.col("booked_us")).alias("booked_at"))
+
+
 QUERIES = {
     "counter_values_stream": counter_values_stream,
     "counter_stream": counter_stream,
     "balances_stream": balances_stream,
     "lease_stream": lease_stream,
+    "lease_stream_batched": lease_stream_batched,
 }
 
 
@@ -115,6 +133,7 @@ def _sql():
         "counter_stream": vectors.SQL["counter"],
         "balances_stream": vectors.SQL["balances"],
         "lease_stream": lease.SQL["lease_resolve"],
+        "lease_stream_batched": lease.SQL["lease_resolve"],
     }
 
 

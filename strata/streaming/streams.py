@@ -162,3 +162,68 @@ def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS) -> Dat
         "request_id", "cluster", "grp", F.col("kind").alias("action"),
         F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"))
     return stateful.unionByName(others)
+
+
+STATE_COLS = "cluster string, holder string, booked_us long, last_t long, last_id long"
+
+
+def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
+    """L9 for busy clusters, as a ``foreachBatch`` sink.
+
+    Each micro-batch is resolved by the batch resolver (segment scan, fold
+    or pointer chain), so one busy cluster is spread over all tasks. The
+    state between batches is one row per cluster (holder, lease start, last
+    request served), written per batch id in the shared folder. A live lease
+    enters the next batch as a pseudo booking at its start time; requests
+    older than the last one served are answered ``late``. Replaying a batch
+    reads the same earlier state and overwrites its own folders.
+    """
+    from pyspark.sql import Window
+
+    from ..functions.columns import ntz_from_micros
+    from ..operators.lease import resolve_leases
+
+    limit_us = limit_s * US
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        try:
+            older = spark.read.parquet(state).where(F.col("batch_id") < batch_id)
+            last_id = older.agg(F.max("batch_id")).first()[0]
+            prev = older.where(F.col("batch_id") == last_id).drop("batch_id") if last_id is not None else None
+        except Exception:  # noqa: BLE001 - nothing written yet
+            prev = None
+        if prev is None:
+            prev = spark.createDataFrame([], STATE_COLS)
+        req = batch.where(F.col("kind") == "request")
+        p = prev.select(F.col("cluster").alias("_pc"), F.col("last_t").alias("_lt"), F.col("last_id").alias("_li"))
+        tagged = req.join(p, F.col("cluster") == F.col("_pc"), "left")
+        is_late = F.col("_lt").isNotNull() & ((F.col("t_us") < F.col("_lt")) |
+                                              ((F.col("t_us") == F.col("_lt")) & (F.col("request_id") < F.col("_li"))))
+        tagged = tagged.withColumn("_late", is_late).drop("_pc", "_lt", "_li")
+        in_order = tagged.where(~F.col("_late")).drop("_late", "t_us")
+        late = tagged.where(F.col("_late")).select(
+            "request_id", "cluster", "grp", F.lit("late").alias("action"),
+            F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"))
+        # a live lease from earlier batches re-enters as a pseudo booking
+        live = prev.where((F.col("holder") != "") & F.col("booked_us").isNotNull())
+        pseudo = live.select(
+            (F.lit(-1) - F.row_number().over(Window.orderBy("cluster"))).cast("long").alias("request_id"),
+            ntz_from_micros(F.col("booked_us")).alias("ts"), F.lit(None).cast("string").alias("msg"),
+            F.col("holder").alias("grp"), F.lit(False).alias("is_off"), "cluster", F.lit("request").alias("kind"))
+        resolved = resolve_leases(in_order.unionByName(pseudo, allowMissingColumns=True)
+                                  .unionByName(batch.where(F.col("kind") != "request").drop("t_us"),
+                                               allowMissingColumns=True), limit_s)
+        answered = resolved.where(F.col("request_id") >= 0).select(
+            "request_id", "cluster", "grp", "action", "holder", "booked_us")
+        answered.unionByName(late).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # new state: the last request served per cluster (or the old row)
+        served = (resolved.where(F.col("cluster").isNotNull() & (F.col("request_id") >= 0))
+                  .groupBy("cluster")
+                  .agg(F.max_by(F.struct(F.coalesce("holder", F.lit("")).alias("holder"), "booked_us",
+                                         F.col("t_us").alias("last_t"), F.col("request_id").alias("last_id")),
+                                F.struct("t_us", "request_id")).alias("_s"))
+                  .select("cluster", "_s.*"))
+        kept = prev.join(served.select("cluster"), "cluster", "left_anti")
+        served.unionByName(kept).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+    return on_batch

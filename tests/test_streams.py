@@ -39,3 +39,31 @@ def test_state_survives_restart_and_late_requests_are_flagged(spark):
     assert got[2] == ("wait", "group01")          # the booking from the first run is still live
     assert got[3][0] == "late"
     assert got[4] == ("book", "group02")          # 1000 s after the booking: expired
+
+
+def _run_batched(spark, parts):
+    landing, out = fresh_dir(spark, "tb-land"), fresh_dir(spark, "tb-out")
+    state, ckpt = fresh_dir(spark, "tb-state"), fresh_dir(spark, "tb-ckpt")
+    directory = spark.createDataFrame([("group01", "c1", 0), ("group02", "c1", 0)],
+                                      "grp string, cluster string, cluster_order int")
+    schema = "request_id long, ts timestamp_ntz, msg string"
+    for rows in parts:
+        spark.createDataFrame([(i, T0 + dt.timedelta(seconds=s), m) for i, s, m in rows], schema) \
+             .write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        classified = LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
+        C.run_available_now(classified, S.lease_batches_sink(out, state), ckpt)
+    return {r.request_id: (r.action, r.holder) for r in spark.read.parquet(out).collect()}
+
+
+def test_batched_lease_stream_carries_state_and_flags_late(spark):
+    got = _run_batched(spark, [
+        [(0, 0, "group01"), (1, 100, "group02")],
+        [(2, 200, "group02"), (3, 50, "group02"), (4, 1000, "group02"), (5, 1010, "group01 off")],
+    ])
+    assert got[0] == ("book", "group01")
+    assert got[1] == ("wait", "group01")
+    assert got[2] == ("wait", "group01")          # the lease from the first run is still live
+    assert got[3][0] == "late"
+    assert got[4] == ("book", "group02")
+    assert got[5] == ("status", "group02")        # group01 no longer holds it
