@@ -11,7 +11,6 @@ from ..functions.columns import micros
 from ..session import fresh_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-FILES_PER_TRIGGER = 4            # a production bound on micro-batch size
 
 
 def use_rocksdb(spark: SparkSession) -> None:
