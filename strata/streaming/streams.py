@@ -178,8 +178,6 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
     older than the last one served are answered ``late``. Replaying a batch
     reads the same earlier state and overwrites its own folders.
     """
-    from pyspark.sql import Window
-
     from ..functions.columns import ntz_from_micros
     from ..operators.lease import resolve_leases
 
@@ -208,7 +206,7 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
         # a live lease from earlier batches re-enters as a pseudo booking
         live = prev.where((F.col("holder") != "") & F.col("booked_us").isNotNull())
         pseudo = live.select(
-            (F.lit(-1) - F.row_number().over(Window.orderBy("cluster"))).cast("long").alias("request_id"),
+            (F.lit(-1) - F.monotonically_increasing_id()).alias("request_id"),   # unique, no window
             ntz_from_micros(F.col("booked_us")).alias("ts"), F.lit(None).cast("string").alias("msg"),
             F.col("holder").alias("grp"), F.lit(False).alias("is_off"), "cluster", F.lit("request").alias("kind"))
         resolved = resolve_leases(in_order.unionByName(pseudo, allowMissingColumns=True)
