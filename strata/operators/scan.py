@@ -322,6 +322,7 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
     summary = x.mapInArrow(_summary_fn(group, scans, out_types, to_arrow_schema(summary_schema)),
                            summary_schema)
     # one row per (partition, boundary group): a single-group partition reports once
+    # windows over the edge table only: at most 2 rows per range partition
     w = Window.partitionBy(*group).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offs = [F.sum("_cnt").over(w).alias("_off_cnt")]
     for s in scans:
