@@ -67,3 +67,31 @@ def test_batched_lease_stream_carries_state_and_flags_late(spark):
     assert got[3][0] == "late"
     assert got[4] == ("book", "group02")
     assert got[5] == ("status", "group02")        # group01 no longer holds it
+
+
+def test_sinks_are_idempotent_on_replay(spark):
+    ev = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=10 * i)) for i in range(10)],
+                               "event_id long, ts timestamp_ntz")
+    out, totals = fresh_dir(spark, "tr-out"), fresh_dir(spark, "tr-totals")
+    sink = S.counter_values_sink(out, totals, ["ts", "event_id"])
+    first, second = ev.where("event_id < 6"), ev.where("event_id >= 6")
+    sink(first, 0)
+    sink(first, 0)            # replay after a failure
+    sink(second, 1)
+    got = sorted((r.event_id, r.counter) for r in spark.read.parquet(out).collect())
+    assert got == [(i, i + 1) for i in range(10)]
+
+    directory = spark.createDataFrame([("group01", "c1", 0), ("group02", "c1", 0)],
+                                      "grp string, cluster string, cluster_order int")
+    req = spark.createDataFrame([(0, T0, "group01"), (1, T0 + dt.timedelta(seconds=100), "group02"),
+                                 (2, T0 + dt.timedelta(seconds=200), "group02")],
+                                "request_id long, ts timestamp_ntz, msg string")
+    classified = LS.resolve_cluster(LS.parse_requests(req), directory).withColumn("t_us", micros("ts"))
+    out2, state = fresh_dir(spark, "tr-out2"), fresh_dir(spark, "tr-state")
+    lease = S.lease_batches_sink(out2, state)
+    a, b = classified.where("request_id < 2"), classified.where("request_id >= 2")
+    lease(a, 0)
+    lease(a, 0)
+    lease(b, 1)
+    got2 = {r.request_id: (r.action, r.holder) for r in spark.read.parquet(out2).collect()}
+    assert got2 == {0: ("book", "group01"), 1: ("wait", "group01"), 2: ("wait", "group01")}
