@@ -181,8 +181,6 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
     from ..functions.columns import ntz_from_micros
     from ..operators.lease import resolve_leases
 
-    limit_us = limit_s * US
-
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
@@ -202,7 +200,7 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
         in_order = tagged.where(~F.col("_late")).drop("_late", "t_us")
         late = tagged.where(F.col("_late")).select(
             "request_id", "cluster", "grp", F.lit("late").alias("action"),
-            F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"))
+            F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"), "t_us")
         # a live lease from earlier batches re-enters as a pseudo booking
         live = prev.where((F.col("holder") != "") & F.col("booked_us").isNotNull())
         pseudo = live.select(
@@ -213,10 +211,13 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
                                   .unionByName(batch.where(F.col("kind") != "request").drop("t_us"),
                                                allowMissingColumns=True), limit_s)
         answered = resolved.where(F.col("request_id") >= 0).select(
-            "request_id", "cluster", "grp", "action", "holder", "booked_us")
-        answered.unionByName(late).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        # new state: the last request served per cluster (or the old row)
-        served = (resolved.where(F.col("cluster").isNotNull() & (F.col("request_id") >= 0))
+            "request_id", "cluster", "grp", "action", "holder", "booked_us", "t_us")
+        path = f"{out}/batch_id={batch_id}"
+        answered.unionByName(late).write.mode("overwrite").parquet(path)
+        # new state: the last request served per cluster (or the old row),
+        # taken from the written answers so the batch is resolved once
+        written = spark.read.parquet(path)
+        served = (written.where(F.col("cluster").isNotNull() & (F.col("action") != "late"))
                   .groupBy("cluster")
                   .agg(F.max_by(F.struct(F.coalesce("holder", F.lit("")).alias("holder"), "booked_us",
                                          F.col("t_us").alias("last_t"), F.col("request_id").alias("last_id")),
