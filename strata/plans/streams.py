@@ -25,6 +25,23 @@ from . import lease as lease_plan
 from . import vectors as vector_plan
 
 
+class _sized_shuffles:
+    """Size shuffle partitions from the input for the stream's runs, then
+    give the session its setting back (state partitions are fixed by the
+    first run of a checkpoint)."""
+
+    def __init__(self, spark, df):
+        self.spark, self.n = spark, scan_partitions(df)
+
+    def __enter__(self):
+        self.before = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.before)
+        return False
+
+
 def _run_twice(spark, df, ts, name, build, keep=None, mode="append"):
     landing, first, second = C.land_in_two_runs(spark, df, ts, name)
     out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
@@ -52,10 +69,11 @@ def counter_values_stream(spark, sf_dir):
     landing, first, second = C.land_in_two_runs(spark, ev, "ts", "counter-values")
     out, totals = fresh_dir(spark, "counter-values-out"), fresh_dir(spark, "counter-values-totals")
     ckpt = fresh_dir(spark, "counter-values-ckpt")
-    for write in (first, second):
-        write()
-        stream = spark.readStream.schema(ev.schema).parquet(landing)
-        C.run_available_now(stream, S.counter_values_sink(out, totals, ["ts", "event_id"]), ckpt)
+    with _sized_shuffles(spark, ev):
+        for write in (first, second):
+            write()
+            stream = spark.readStream.schema(ev.schema).parquet(landing)
+            C.run_available_now(stream, S.counter_values_sink(out, totals, ["ts", "event_id"]), ckpt)
     return spark.read.parquet(out).select("event_id", "counter")
 
 
@@ -106,11 +124,12 @@ def lease_stream_batched(spark, sf_dir):
     landing, first, second = C.land_in_two_runs(spark, log, "ts", "lease-batched")
     out, state = fresh_dir(spark, "lease-batched-out"), fresh_dir(spark, "lease-batched-state")
     ckpt = fresh_dir(spark, "lease-batched-ckpt")
-    for write in (first, second):
-        write()
-        stream = spark.readStream.schema(log.schema).parquet(landing)
-        classified = LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
-        C.run_available_now(classified, S.lease_batches_sink(out, state), ckpt)
+    with _sized_shuffles(spark, log):
+        for write in (first, second):
+            write()
+            stream = spark.readStream.schema(log.schema).parquet(landing)
+            classified = LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
+            C.run_available_now(classified, S.lease_batches_sink(out, state), ckpt)
     res = spark.read.parquet(out)
     return res.select("request_id", "cluster", "grp", "action", "holder",
                       ntz_from_micros(F.col("booked_us")).alias("booked_at"))
