@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from strata.sources.tables import TABLES
-from tools.oracle_check import rows_of
+from tools.oracle_check import rows_of, spark_type
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,4 +33,6 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    stypes = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert rows_of(df.columns, df.collect()) == rows_of(rel.columns, rel.fetchall())
