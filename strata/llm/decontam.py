@@ -282,8 +282,7 @@ def _merged(df: DataFrame, names: dict[str, str], new: list[str]) -> DataFrame:
         single = F.array(F.struct(s.alias("s"), e.alias("e")))
         return F.when(F.size(acc) == 0, single).when(top["e"] >= s, joined).otherwise(F.concat(acc, single))
 
-    typed = F.transform(spans, lambda x: F.struct(x["0"].alias("s"), x["1"].alias("e")))
-    merged = F.aggregate(typed, empty, step)
+    merged = F.aggregate(spans, empty, step)
     longer = F.when(old[4].isNull() | (add[4]["words"] > old[4]["words"]), F.coalesce(add[4], old[4])) \
         .otherwise(old[4])
     out = {names["hit_starts"]: F.transform(merged, lambda x: x["s"]),

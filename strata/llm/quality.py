@@ -29,12 +29,12 @@ from pyspark.sql import types as T
 from .common import annotate, bounded_sample, held_out, join_small, materialize
 
 DICTIONARY_BYTES = 400 << 10
-BLOCK = 256
+BLOCK = 128
 LEVEL = 4
 SAMPLE_ROWS = 1000
 CALIBRATION_ROWS = 1500
 #: part of the labelled rows, by hash of the key, that calibrates instead of building dictionaries
-CALIBRATION_SHARE = 0.5
+CALIBRATION_SHARE = 0.3
 
 
 @dataclass(frozen=True)
