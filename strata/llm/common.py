@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from ..session import materialize
 
 #: rows are cut to about this many text bytes before a Python step holds them as objects
 SLICE_BYTES = 8 << 20
+#: a sample takes the most frequent groups up to this many, which bounds it as a whole
+GROUPS = 10_000
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -89,16 +91,20 @@ def _arrow(t: T.DataType) -> pa.DataType:
 def bounded_sample(df: DataFrame, group: Column, key: Column, rows: int) -> DataFrame:
     """At most ``rows`` rows of each ``group`` value, those with the smallest hash of ``key``.
 
-    The choice depends on the keys alone, not on partitions. Spark's window
-    group limit keeps ``rows`` rows per group in each map task, so a hot group
-    sends a bounded number of rows to its reducer.
+    The choice depends on the keys alone, not on partitions. Groups are counted
+    first, and only rows whose hash lies in the share that holds about twice
+    ``rows`` of them are shuffled, so a hot group sends a bounded number of rows to
+    its reducer at every size. A null group is a group.
     """
-    from pyspark.sql import Window
-
-    g, h, r, k = (unused(df, n) for n in ("_g", "_h", "_r", "_k"))
+    g, h, r, k, n, u = (unused(df, x) for x in ("_g", "_h", "_r", "_k", "_n", "_u"))
+    top = 1 << 40
+    keyed = df.withColumns({g: group, k: key, h: F.pmod(F.xxhash64(key), F.lit(top))})
+    counts = df.select(group.alias(u)).groupBy(u).agg(F.count("*").alias(n))
+    near = keyed.join(F.broadcast(materialize(counts.orderBy(F.col(n).desc()).limit(GROUPS), "group-counts")),
+                      F.col(g).eqNullSafe(F.col(u)))
+    near = near.where(F.col(h).cast("double") * F.col(n) <= F.lit(float(top)) * (2 * rows + 100))
     w = Window.partitionBy(g).orderBy(h, k)
-    return (df.withColumns({g: group, k: key, h: F.xxhash64(key)})
-            .withColumn(r, F.row_number().over(w)).where(F.col(r) <= rows).drop(g, h, r, k))
+    return near.withColumn(r, F.row_number().over(w)).where(F.col(r) <= rows).drop(g, h, r, k, n, u)
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
