@@ -1,0 +1,154 @@
+"""Every corpus query on the smallest tables: SQL where there is one, contracts and plain versions elsewhere."""
+
+import collections
+import hashlib
+import json
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as E
+from strata.llm import queries as Q
+from tools.oracle_check import rows_of, spark_type
+
+SF = "/root/testdata/sf0.001"
+
+
+def out_fold(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_registered():
+    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in Q.QUERIES}
+    assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(Q.SQL))
+def test_sql(spark, con, name):
+    df = Q.QUERIES[name](spark, SF)
+    rel = con.sql(Q.SQL[name])
+    assert {f.name: spark_type(f.dataType) for f in df.schema.fields} == dict(zip(rel.columns, map(str, rel.types)))
+    assert rows_of(df.columns, df.collect()) == rows_of(rel.columns, rel.fetchall())
+
+
+@pytest.fixture(scope="module")
+def texts(con):
+    return dict(con.sql("select doc_id, text from documents").fetchall())
+
+
+def test_op1(spark, con):
+    df = Q.op1_html_extraction(spark, SF)
+    assert df.columns[:4] == ["page_id", "url", "text", "n_chars"]
+    pages = dict(con.sql("select page_id, html from pages").fetchall())
+    rows = df.collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        inside = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
+        import html
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " " if "<br" in b else "", b)).split())
+                  for b in re.split(r"</?(?:p|h1)>", inside)]
+        assert r.text == "\n\n".join(b for b in blocks if b)
+        assert r.n_chars == len(r.text)
+
+
+def test_op2(spark, con):
+    rows = Q.op2_tool_call_linking(spark, SF).collect()
+    conv = con.sql("select conv_id, turn, role, text from conversations").fetchall()
+    calls = {f"{c}:{t}": (c, t, role, text) for c, t, role, text in conv if role != "assistant"}
+    results = {f"{c}:{t - 1}": text for c, t, role, text in conv if role == "assistant"}
+    assert {r.call_id for r in rows} == set(calls) | set(results)
+
+    def level(i):
+        c, t = calls[i][:2]
+        return 0 if f"{c}:{t - 2}" not in calls else 1 + level(f"{c}:{t - 2}")
+
+    for r in rows:
+        if r.call_id not in calls:
+            assert r.status == "orphan_result" and r.valid is None
+            continue
+        _, turn, role, text = calls[r.call_id]
+        assert r.level == level(r.call_id)
+        assert r.status == ("linked" if r.call_id in results else "no_result")
+        words = len(re.split(r"\s+", text.strip(" ")))
+        topic = re.match(r"[^,\n]*(?=,)", text)
+        args = {"n_words": str(words) if "\n" in text else words, "text": text}
+        if topic and topic[0]:
+            args["topic"] = topic[0]
+        wrong = (["missing topic"] if role == "system" and "topic" not in args else []) + (
+            ["type n_words"] if "\n" in text else [])
+        assert (r.errors, r.valid) == (",".join(wrong), not wrong)
+        want = {"arguments": args, "conversation": calls[r.call_id][0], "id": r.call_id, "level": r.level,
+                "name": "configure" if role == "system" else "reply", "result": results.get(r.call_id),
+                "status": r.status, "turn": turn}
+        assert r.json == json.dumps(want, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_op5(spark, texts):
+    import xxhash
+
+    def plain(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        h = [xxhash.xxh64_intdigest(" ".join(w[i:i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fp = {d: plain(t) for d, t in texts.items()}
+    least = {d: d for d in fp}
+    changed = True
+    while changed:
+        changed = False
+        for a in fp:
+            for b in fp:
+                if (fp[a] ^ fp[b]).bit_count() <= 3 and least[a] < least[b]:
+                    least[b], changed = least[a], True
+    rows = Q.op5_simhash_near_dedup(spark, SF).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in rows} == {
+        (d, f"{fp[d]:016x}", least[d]) for d in fp}
+    assert len(rows) == len(fp)
+
+
+def test_op6(spark, con, texts):
+    rows = Q.op6_quality_classifier(spark, "/root/testdata/sf0.1").collect()
+    assert len(rows) == 10000
+    labels = dict(con.sql("select doc_id, quality from '/root/testdata/sf0.1/labels.parquet'").fetchall())
+    assert all(r.held_out == out_fold(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+               for r in rows)
+    out = [(r.score, r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    good = np.array([s for s, _, y in out if y == 1])
+    bad = np.array([s for s, _, y in out if y == 0])
+    assert (good[:, None] > bad).mean() > 0.985                      # ranks held-out pairs right
+    assert np.mean([p == y for _, p, y in out]) > 0.95
+    assert np.mean([p for _, p, y in out if y == 1]) > 0.97          # good documents stay
+
+
+def test_op7(spark, texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(Q.vocabulary("byte_bpe_50k.json"))
+    rows = Q.op7_bpe_encode_decode(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = t.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_op8(spark, texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(Q.vocabulary("word_bpe_49k.json"))
+    rows = Q.op8_token_counts(spark, SF).collect()
+    assert {tuple(r) for r in rows} == {
+        (d, len(x.encode()), n := len(t.encode(x, add_special_tokens=False).ids), n > 2048) for d, x in texts.items()}
+    assert len(rows) == len(texts)
+
+
+def test_op10(spark, con):
+    rows = Q.op10_language_id(spark, "/root/testdata/sf0.01").collect()
+    lang = dict(con.sql("select doc_id, lang from '/root/testdata/sf0.01/documents.parquet'").fetchall())
+    assert len(rows) == len(lang)
+    assert all(r.held_out == out_fold(r.doc_id) and 0 <= r.score <= 1 for r in rows)
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows if r.held_out]) > 0.97
+    assert set(collections.Counter(r.lang_pred for r in rows)) <= set(lang.values()) | {"und"}

@@ -1,0 +1,115 @@
+import collections
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import Row
+
+from strata.llm import simhash as S
+from strata.llm.components import connected_components
+
+DOCS = "doc_id long, text string, fp string, component_id int, key string, hash int"
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def plain_components(values, bits):
+    left, out = set(values), {}
+    while left:
+        todo = [left.pop()]
+        group = set(todo)
+        while todo:
+            x = todo.pop()
+            near = {y for y in left if (x ^ y).bit_count() <= bits}
+            left -= near
+            group |= near
+            todo += near
+        out.update(dict.fromkeys(group, frozenset(group)))
+    return out
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 5])
+def test_position_sets_cover(bits):
+    from itertools import combinations
+    for agreeing in combinations(range(8), 8 - bits):
+        assert any(set(s) <= set(agreeing) for s in S.position_sets(bits))
+    assert len(S.position_sets(3)) == 14
+
+
+@pytest.mark.parametrize("bits", [2, 3, 4])
+def test_links_connect_what_is_near(spark, bits):
+    rng = random.Random(bits)
+    values = set()
+    for _ in range(60):
+        x = rng.getrandbits(64)
+        values.add(x)
+        for _ in range(rng.randint(0, 12)):         # chains of near copies
+            for _ in range(rng.randint(1, 4)):
+                x ^= 1 << rng.randrange(64)
+            values.add(x)
+    x = rng.getrandbits(64)
+    values |= {x ^ (1 << rng.randrange(20)) ^ (1 << rng.randrange(20)) for _ in range(300)}   # one large group
+    want = plain_components(values, bits)
+    df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    edges = S.link(df, bits)
+    n = edges.count()
+    label = {r.node: r.component for r in connected_components(edges).collect()}
+    got = collections.defaultdict(set)
+    for v in values:
+        got[label.get(signed(v), signed(v))].add(v)
+    assert set(map(frozenset, got.values())) == set(want.values())
+    assert n < len(S.position_sets(bits)) * len(values)        # forests, not all pairs
+
+
+def test_long_list_equals_pairwise():
+    rng = np.random.default_rng(3)
+    fps = np.unique(rng.integers(0, 1 << 18, 700).astype(np.uint64) << np.uint64(3))
+    want = plain_components([int(x) for x in fps], 3)
+    edges = S._long_list(fps, list(range(24)), 3)
+    up = {int(x): {int(x)} for x in fps}
+    for a, b in edges:
+        a, b = int(fps[a]), int(fps[b])
+        both = up[a] | up[b]
+        for x in both:
+            up[x] = both
+    assert {frozenset(v) for v in up.values()} == set(want.values())
+
+
+def test_fingerprint_of_edge_texts():
+    assert S.fingerprint(None) == S.fingerprint("") == S.fingerprint(" \t\r\n\x0b\f") == 0
+    assert S.fingerprint("One  two") == S.fingerprint(b"one\ttwo") != S.fingerprint("one two three")
+    assert S.fingerprint("É a b") != S.fingerprint("é a b")            # only A-Z are lower-cased
+    long = "word " * 200_000
+    assert S.fingerprint(long) == S.fingerprint("word word word")
+
+
+def test_edge_rows(spark):
+    rows = [(7, "a b c d", "x", 1, "k", 2), (3, "A b\tc d", None, None, None, None), (3, "a b c d", None, None, None, None),
+            (None, None, None, None, None, None), (9, "", "y", 0, "", 0), (9, "", "y", 0, "", 0),
+            (5, "quite another text here", None, None, None, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id) for r in S.near_duplicates(df).collect())
+    assert got == [(False, 3, 3), (False, 3, 3), (False, 5, 5), (False, 7, 3), (False, 9, 9), (False, 9, 9), (True, 0, 9)]
+    kept = S.deduplicate(df)
+    assert kept.columns == df.columns
+    kept = kept.collect()
+    assert sorted(r.doc_id for r in kept) == [3, 5, 9]
+    assert Row(*rows[4]) in [Row(*r) for r in kept]
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], DOCS)
+    assert S.near_duplicates(df).collect() == [] and S.deduplicate(df).collect() == []
+    assert S.near_duplicates(df).columns == ["doc_id", "fingerprint", "component_id"]
+
+
+def test_components_of_long_paths_and_hubs(spark):
+    n = 1500
+    path = [(i, i + 1) for i in range(n)]
+    hub = [(5000, 5001 + i) for i in range(n)] + [(5000, 5000)]
+    df = spark.createDataFrame(path + hub + hub[:3], "a long, b long")
+    got = collections.Counter(r.component for r in connected_components(df).collect())
+    assert got == {0: n + 1, 5000: n + 1}
+    assert connected_components(df.limit(0)).collect() == []
