@@ -63,15 +63,38 @@ def counter(raw: bytes, kind: str):
     return lambda texts: [len(e) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _encode(misses: DataFrame, path: str) -> DataFrame:
+REMEMBERED = 400_000     # words whose counts a task keeps
+
+
+def by_words(count):
+    """Counts of texts from counts of their words, for tokenizers that drop white space: no token spans it,
+    so a text's count is the sum over its words, and a task encodes each distinct word once while it remembers it."""
+    known: dict[str, int] = {}
+
+    def run(texts):
+        split = [t.split(" ") for t in texts]
+        new = {w for words in split for w in words if w not in known}
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = {w for words in split for w in words}
+        new = list(new)
+        for at in range(0, len(new), 10_000):
+            known.update(zip(new[at:at + 10_000], count(new[at:at + 10_000])))
+        return [sum(map(known.__getitem__, words)) for words in split]
+
+    return run
+
+
+def _encode(misses: DataFrame, path: str, drops_white_space: bool = False) -> DataFrame:
     """(digest, n_tokens) of rows (digest, text)."""
     shared = broadcast_bytes(misses.sparkSession, path)
     kind = path.rsplit(".", 1)[-1]
 
     def run(batches):
         count = counter(shared.value, kind)
+        count = by_words(count) if drops_white_space else count
         for whole in batches:
-            for b in slices(whole, 1, 1 << 20):
+            for b in slices(whole, 1, (8 if drops_white_space else 1) << 20):
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count(b.column(1).to_pylist()), pa.int64())],
                                                  ["digest", "n_tokens"])
 
@@ -100,6 +123,6 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
                          .join(known, "digest", "left_anti"), "token-misses")
     texts = rows.join(misses.withColumnRenamed("digest", "miss"),
                       (rows["digest"] == F.col("miss")) & rows["id"].eqNullSafe(F.col("first_id")), "left_semi")
-    _encode(texts.select("digest", "text"), path).write.mode("append").parquet(folder)
+    _encode(texts.select("digest", "text"), path, drops_white_space).write.mode("append").parquet(folder)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return narrow.join(counts, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")

@@ -35,7 +35,7 @@ def test_only_misses_are_encoded(spark, monkeypatch):
     first = sorted(map(str, C.count_tokens(df, path, cache).collect()))
     seen = []
     real = C._encode
-    monkeypatch.setattr(C, "_encode", lambda misses, p: seen.append(misses.count()) or real(misses, p))
+    monkeypatch.setattr(C, "_encode", lambda misses, *a: seen.append(misses.count()) or real(misses, *a))
     assert sorted(map(str, C.count_tokens(df, path, cache).collect())) == first
     more = df.unionByName(spark.createDataFrame([(9, "new text", None, None), (10, "new text", None, None)], SCHEMA))
     assert C.count_tokens(more, path, cache).count() == len(ROWS) + 2
@@ -66,3 +66,19 @@ def test_sentencepiece_model(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     got = {(r.doc_id, r.n_bytes): r.n_tokens for r in C.count_tokens(df, path, fresh_dir(spark, "cache")).collect()}
     assert got == {(d, len((t or "").encode())): len(sp.encode(t or "")) for d, t, *_ in ROWS}
+
+
+def test_counts_by_words_equal_whole_texts(monkeypatch):
+    import random
+
+    with open(vocabulary("word_bpe_49k.json"), "rb") as f:
+        whole = C.counter(f.read(), "json")
+    rng = random.Random(4)
+    parts = list(" \t\n\x0b\f\rsredtlvm'SLΣσς12²٣é中\u0301\u00a0\u3000😀ǅİ#$.,-_\x00\x1c\x85\u200b\u2028") + [
+        "<|endoftext|>", "<|startoftext|>", "'s", "'LL", "  ", "the", "<|"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(8000)]
+    folded = [re.sub("[ \t\n\x0b\f\r]+", " ", t) for t in texts]
+    monkeypatch.setattr(C, "REMEMBERED", 1000)
+    run = C.by_words(whole)
+    got = [n for i in range(0, len(folded), 500) for n in run(folded[i:i + 500])]
+    assert got == whole(texts)
