@@ -80,18 +80,18 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     names = {n: unused(pages, n) for n in ("host", "path", "rule", "verdict")}
     host, path = host_and_path(F.col(url_col))
     split = pages.withColumns({names["host"]: host, names["path"]: path})
-    h, p = F.col("host"), F.col("path")
     pairs = split.select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path")).distinct()
     if not found:
         out = split.withColumns({names["rule"]: F.lit(None).cast("string"), names["verdict"]: F.lit(default)})
         return out, names
-    digests = pairs.select("host", "path", F.explode(_expressions(h, p, shapes)).alias("expression")) \
+    digests = pairs.select("host", "path", F.explode(_expressions(F.col("host"), F.col("path"), shapes)).alias("expression")) \
         .select("host", "path", F.sha2("expression", 256).alias("digest"))
     digests = digests.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
     fits = digests.join(r, "prefix").where("digest = rule_digest")
     best = fits.groupBy("host", "path").agg(
         F.max(F.struct(F.length("rule").alias("size"), "block", "rule")).alias("best"))
-    best = best.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "best")
-    out = split.join(best, (split[names["host"]] == best["_h"]) & (split[names["path"]] == best["_p"]), "left")
-    verdict = F.when(F.col("best").isNull(), F.lit(default)).when(F.col("best.block"), "block").otherwise("allow")
-    return out.withColumns({names["rule"]: F.col("best.rule"), names["verdict"]: verdict}).drop("_h", "_p", "best"), names
+    h, p, b = (unused(split, n) for n in ("_h", "_p", "_best"))
+    best = best.select(F.col("host").alias(h), F.col("path").alias(p), F.col("best").alias(b))
+    out = split.join(best, (split[names["host"]] == best[h]) & (split[names["path"]] == best[p]), "left")
+    verdict = F.when(F.col(b).isNull(), F.lit(default)).when(F.col(b)["block"], "block").otherwise("allow")
+    return out.withColumns({names["rule"]: F.col(b)["rule"], names["verdict"]: verdict}).drop(h, p, b), names
