@@ -334,7 +334,7 @@ def rebuilt_page(texts: list[str], noise: list[str], rng: random.Random) -> str:
         else:
             parts.append(f"<table><tr><td>{t}</td><td>{' '.join(t.split()[:3])}</td></tr></table>")
     for kind in NOISE:
-        if rng.random() < 0.18:
+        if rng.random() < 0.25:
             parts.insert(rng.randint(0, len(parts)), _noise_html(kind, rng, prose, short))
     if rng.random() < 0.3:
         parts.append(_noise_html(NOISE[6], rng, prose, short))
@@ -367,7 +367,7 @@ def labelled_pages(pages: list[str], rebuilt: int = 2, seed: int = 7) -> list[tu
     stock = [s for s in stock if s[0]] or [
         (["A first paragraph of plain text, long enough to read.", "A second paragraph follows the first one here."],
          ["Home", "About us", "All rights reserved by their owners, see the terms."])]
-    for _ in range(max(200, rebuilt * len(stock))):
+    for _ in range(max(400, rebuilt * len(stock))):
         texts, noise = rng.choice(stock)
         k = rng.randint(1, min(8, len(texts)))
         found = blocks(rebuilt_page(rng.sample(texts, k), noise, rng), paths)
