@@ -32,15 +32,20 @@ def check_assignment(c: Column) -> Column:
     """An assignment index outside 1..3 is an error, as in the editor."""
     n = len(ASSIGNMENTS)
     return F.when(c.between(1, n), c).otherwise(
-        F.raise_error(F.concat(F.lit("wrong assignment index: "), c.cast("string")))).cast("int")
+        F.raise_error(F.concat(F.lit(f"assignments are numbered 1 to {n}, not "), c.cast("string")))).cast("int")
 
 
 def coerce_grade(s: Column) -> Column:
-    """The grade as a double if the text is a number, else NULL (shown as '-')."""
+    """The grade as a double if the text is a number, else NULL (``grade_cell`` shows '-')."""
     t = F.regexp_replace(F.regexp_replace(s, r"^\s+|\s+$", ""), r"(?<=\d)_(?=\d)", "")
     return F.when(F.lower(t).rlike(_NUMBER), t.try_cast("double"))
 
 
+def grade_cell(s: Column) -> Column:
+    """The cell's text: the number, or ``-`` where the text is none."""
+    return F.coalesce(coerce_grade(s).cast("string"), F.lit(NOT_A_NUMBER))
+
+
 def apply_updates(base: DataFrame, updates: DataFrame, keys=("row_idx", "assignment"),
                   seq: str = "seq") -> DataFrame:
     """The latest save of each cell overwrites grade and feedback.
@@ -48,17 +53,18 @@ def apply_updates(base: DataFrame, updates: DataFrame, keys=("row_idx", "assignm
     ``base``: keys + ``grade`` (text) + ``feedback``. ``updates``: keys +
     ``seq`` + ``grade`` (input text) + ``feedback``. The latest save per cell
     is found by an aggregate (partial per task, so a much-edited cell costs
-    one row per task), then joined onto the base by the cell key.
+    one row per task), then joined onto the base by the cell key. A save
+    counts whatever it holds: one with neither grade nor feedback clears the cell.
     """
     keys = list(keys)
     latest = (updates.groupBy(*keys)
               .agg(F.max_by(F.struct("grade", "feedback"), seq).alias("_u"))
-              .select(*keys, F.col("_u.grade").alias("_ug"), F.col("_u.feedback").alias("_uf")))
+              .select(*keys, F.col("_u.grade").alias("_ug"), F.col("_u.feedback").alias("_uf"),
+                      F.lit(True).alias("_saved")))
     j = base.join(latest, keys, "left")
-    updated = F.col("_ug").isNotNull() | F.col("_uf").isNotNull()
-    return j.select(*keys,
-                    F.when(updated, coerce_grade(F.col("_ug"))).otherwise(coerce_grade(F.col("grade")))
-                    .alias("grade"),
+    updated = F.col("_saved").isNotNull()
+    text = F.when(updated, F.col("_ug")).otherwise(F.col("grade"))
+    return j.select(*keys, coerce_grade(text).alias("grade"), grade_cell(text).alias("cell"),
                     F.when(updated, F.col("_uf")).otherwise(F.col("feedback")).alias("feedback"),
                     updated.alias("updated"))
 
@@ -82,21 +88,15 @@ def first_match(labels: DataFrame, terms: DataFrame, row: str = "row_idx", text:
     """
     lab = labels.select(F.col(row).alias("_row"), F.lower(F.col(text)).alias("_l"))
     t = terms.select(F.col(term).alias("term")).distinct().withColumn("_t", F.lower("term"))
-    # the distinct term lengths: a handful of small ints, bounded by the longest term
-    lengths = sorted(r[0] for r in t.select(F.length("_t")).distinct().collect() if r[0])
+    # the distinct term lengths, as one small array that Spark fills in when the plan runs
+    lengths = t.where("_t <> ''").agg(F.collect_set(F.length("_t")).alias("_ms")).scalar()
     first_row = lab.select(F.min("_row")).scalar()
-    def of_length(m: int):
-        starts = F.sequence(F.lit(1), F.length("_l") - m + 1)
-        return (F.when(F.length("_l") >= m, F.transform(starts, lambda i: F.substring("_l", i, m)))
-                 .otherwise(F.array().cast("array<string>")))
-
-    if lengths:
-        subs = F.flatten(F.array(*[of_length(m) for m in lengths]))
-        first_seen = (lab.select("_row", F.explode(subs).alias("_s"))
-                         .groupBy("_s").agg(F.min("_row").alias("_hit")))
-        hits = t.join(first_seen, F.col("_t") == F.col("_s"), "left").select("term", "_t", "_hit")
-    else:
-        hits = t.select("term", "_t", F.lit(None).cast("long").alias("_hit"))
+    cut = lab.withColumn("_ms", lengths).select("_row", "_l", F.explode("_ms").alias("_m")) \
+        .where(F.length("_l") >= F.col("_m"))
+    starts = F.sequence(F.lit(1), F.length("_l") - F.col("_m") + 1)
+    first_seen = (cut.select("_row", F.explode(F.transform(starts, lambda i: F.substr("_l", i, F.col("_m")))).alias("_s"))
+                     .groupBy("_s").agg(F.min("_row").alias("_hit")))
+    hits = t.join(first_seen, F.col("_t") == F.col("_s"), "left").select("term", "_t", "_hit")
     hit = F.when(F.length("_t") == 0, first_row).otherwise(F.col("_hit"))
     return hits.select("term", F.coalesce(hit.cast("long"), F.lit(-1).cast("long")).alias("first_row"))
 

@@ -14,26 +14,21 @@ request has looked at it since.
 Scale: a request that comes ``>= limit`` after the previous request of its
 cluster finds the cluster free, so those requests cut each cluster's log
 into independent segments. Segment numbering is one ordered scan (a busy
-cluster is split over many tasks, edges stitched exactly). A segment of up
-to ``CHAIN_ABOVE_ROWS`` requests is folded in one streaming pass with O(1)
-state (``mapInPandas`` over rows sorted by ``(cluster, seg, ts, id)``); a
-longer one (a cluster that never rests for ``limit``) is resolved as a
-pointer chain over all tasks (``lease_chain``). No group is ever collected.
+cluster is split over many tasks, edges stitched exactly). The bookings of a
+segment are a pointer chain, resolved over all tasks by joins on unique keys
+(``lease_chain``). No group is ever collected or folded row by row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import micros, ntz_from_micros
-from ..session import materialize, ship_package
-from .scan import Scan, ordered_scan, scan_partitions
+from ..session import materialize
+from .scan import Scan, ordered_scan
 
 # fixed values: lease rules of the booking service
 LIMIT_SECONDS = 15 * 60          # a booking lasts 15 minutes
@@ -56,9 +51,9 @@ US = 1_000_000
 
 # --------------------------------------------------------------------- L1-L3
 def parse_requests(df: DataFrame, msg: str = "msg") -> DataFrame:
-    """L1: trim, split on whitespace; exactly two tokens make ``tok2 == 'off'``
+    """L1: strip white space of every kind, split on it; exactly two tokens make ``tok2 == 'off'``
     the off flag, any other count keeps only the first token (flag ignored)."""
-    tok = F.split(F.trim(F.col(msg)), r"\s+")
+    tok = F.split(F.regexp_replace(F.col(msg), r"^\s+|\s+$", ""), r"\s+")
     return df.withColumns({
         "grp": F.element_at(tok, 1),
         "is_off": F.coalesce((F.size(tok) == 2) & (F.element_at(tok, 2) == OFF_WORD), F.lit(False)),
@@ -88,57 +83,6 @@ def resolve_cluster(requests: DataFrame, directory: DataFrame, grp: str = "grp",
 
 
 # ------------------------------------------------------------------------ L4
-_FOLD_ADDED = [
-    T.StructField("action", T.StringType()),
-    T.StructField("holder", T.StringType()),
-    T.StructField("booked_us", T.LongType()),
-]
-
-
-def _fold_fn(limit_us: int):
-    """Fold rows sorted by (cluster, seg, t_us, request_id); state resets per segment."""
-    def fold(batches):
-        key = None
-        holder, booked = "", None
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            cl = pdf["cluster"].to_numpy()
-            sg = pdf["seg"].to_numpy()
-            grp = pdf["grp"].to_numpy()
-            off = pdf["is_off"].to_numpy()
-            t = pdf["t_us"].to_numpy()
-            action = np.empty(n, dtype=object)
-            hold = np.empty(n, dtype=object)
-            bk = np.full(n, np.nan)
-            for i in range(n):
-                k = (cl[i], sg[i])
-                if k != key:                       # a segment starts free
-                    key, holder, booked = k, "", None
-                ti = int(t[i])
-                live = holder != "" and ti - booked < limit_us
-                if not live:
-                    holder = ""
-                if off[i]:
-                    if live and holder == grp[i]:
-                        action[i] = "off"
-                        holder = ""
-                    else:
-                        action[i] = "status"
-                elif not live:
-                    action[i] = "book"
-                    holder, booked = grp[i], ti
-                else:
-                    action[i] = "wait"
-                hold[i] = holder
-                if holder != "" or action[i] == "off":   # the lease in force (or just ended)
-                    bk[i] = booked
-            yield pdf.assign(action=action, holder=hold,
-                             booked_us=pd.Series(bk, index=pdf.index).astype("Int64"))
-    return fold
-
-
 def segment_requests(req: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None
                      ) -> DataFrame:
     """Number the segments of each cluster: a new one starts after a gap >= limit.
@@ -150,11 +94,7 @@ def segment_requests(req: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions:
                         [Scan("seg", "segment", "t_us", gap=limit_s * US)], n_partitions)
 
 
-CHAIN_ABOVE_ROWS = 2_000_000     # segments longer than this use the pointer chain
-
-
-def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None,
-                   chain_above_rows: int | None = CHAIN_ABOVE_ROWS) -> DataFrame:
+def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None) -> DataFrame:
     """L4: one action per request: book, wait, off, status or wrong_group.
 
     Input: ``request_id, ts, grp, is_off, cluster, kind`` (from L1-L3).
@@ -162,41 +102,19 @@ def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitio
     request, '' if free) and ``booked_at`` (start of the lease in force;
     on an ``off`` row the lease just released; NULL when the cluster is free).
 
-    Segments of up to ``chain_above_rows`` requests are folded, one task
-    per segment; longer ones (a cluster that never rests) are resolved as a
-    pointer chain (``lease_chain``), which spreads one segment over all
-    tasks. ``chain_above_rows=None`` always folds; ``0`` always chains.
+    The bookings of every segment are a pointer chain (``lease_chain``), so a
+    cluster that never rests is spread over all tasks like any other.
     """
-    ship_package(requests.sparkSession)
+    from .lease_chain import resolve_by_chain
+
     req = requests.withColumn("t_us", micros("ts"))
-    cl = req.where(F.col("kind") == "request")
-    segs = segment_requests(cl, limit_s, n_partitions)
-    out_schema = T.StructType(list(segs.schema.fields) + _FOLD_ADDED)
-    to_fold, to_chain = segs, None
-    if chain_above_rows is not None:
-        # the segment sizes decide the path, so the segmented log is written
-        # once and both the size check and the fold read it
-        segs = materialize(segs, "lease-segments")
-        to_fold = segs
-        sizes = segs.groupBy("cluster", "seg").agg(F.count(F.lit(1)).alias("_seg_rows"))
-        long_segs = sizes.where(F.col("_seg_rows") > chain_above_rows).select("cluster", "seg")
-        if chain_above_rows == 0 or long_segs.limit(1).count() > 0:
-            from .lease_chain import resolve_by_chain
-
-            tagged = segs.join(long_segs.withColumn("_long", F.lit(True)), ["cluster", "seg"], "left")
-            to_fold = tagged.where(F.col("_long").isNull()).drop("_long")
-            to_chain = tagged.where(F.col("_long")).drop("_long")
-    n = n_partitions or scan_partitions(to_fold)
-    folded = (to_fold.repartition(n, "cluster", "seg")
-                  .sortWithinPartitions("cluster", "seg", "t_us", "request_id")
-                  .mapInPandas(_fold_fn(limit_s * US), out_schema))
-    if to_chain is not None:
-        folded = folded.unionByName(resolve_by_chain(to_chain, limit_s * US, n_partitions))
-    folded = folded.drop("seg")
+    segs = materialize(segment_requests(req.where(F.col("kind") == "request"), limit_s, n_partitions),
+                       "lease-segments")
+    resolved = resolve_by_chain(segs, limit_s * US, n_partitions).drop("seg")
     others = (req.where(F.col("kind") != "request")
                  .withColumns({"action": F.col("kind"), "holder": F.lit(None).cast("string"),
                                "booked_us": F.lit(None).cast("long")}))
-    out = folded.unionByName(others)
+    out = resolved.unionByName(others)
     return out.withColumn("booked_at", ntz_from_micros(F.col("booked_us")))
 
 

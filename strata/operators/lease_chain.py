@@ -1,4 +1,4 @@
-"""L4 without a sequential fold: bookings as a pointer chain (for busy clusters).
+"""L4 without a sequential fold: bookings as a pointer chain.
 
 After a booking at request ``r`` (group ``g``, time ``t``) the state depends
 on ``r`` alone, so the *next* booking does too:
@@ -48,17 +48,21 @@ def next_booking(req: DataFrame, limit_us: int, n_partitions: int | None = None)
                  .select("request_id", "t_us", "cluster", "grp",
                          F.when(F.col("off_t") - F.col("t_us") < limit_us, F.col("off_t")).alias("off_t"),
                          F.when(F.col("off_t") - F.col("t_us") < limit_us, F.col("off_id")).alias("off_id")))
-    # probe key: just after the releasing off, or at the expiry time
+    # probe key: just after the releasing off, or before every request at the expiry time
+    books = _materialize(books, "lease-offs")
+    released = F.col("off_t").isNotNull()
     probe_t = F.coalesce(F.col("off_t"), F.col("t_us") + F.lit(limit_us))
-    probe_id = F.coalesce(F.col("off_id"), F.lit(-1).cast("long"))
-    probes = books.select("cluster", probe_t.alias("_kt"), probe_id.alias("_kid"), F.lit(0).alias("_kind"),
+    probes = books.select("cluster", probe_t.alias("_kt"), F.when(released, F.col("off_id")).alias("_kid"),
+                          F.when(released, 0).otherwise(1).alias("_at_expiry"), F.lit(0).alias("_kind"),
                           F.col("request_id").alias("_src"), F.lit(None).cast("long").alias("_nid"))
     cands = books.select("cluster", F.col("t_us").alias("_kt"), F.col("request_id").alias("_kid"),
-                         F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_src"),
-                         F.col("request_id").alias("_nid"))
+                         F.lit(0).alias("_at_expiry"), F.lit(1).alias("_kind"),
+                         F.lit(None).cast("long").alias("_src"), F.col("request_id").alias("_nid"))
     u = probes.unionByName(cands).withColumns({"_rk": -F.col("_kt"), "_ri": -F.col("_kid")})
-    # descending key order: the nearest greater non-off request is carried to the probe
-    found = ordered_scan(u, ["_rk", "_ri", "_kind"], ["cluster"], [Scan("nxt", "ffill", "_nid")], n_partitions)
+    # descending key order: the nearest greater non-off request is carried to the probe; an expiry probe
+    # comes after all requests of its time
+    found = ordered_scan(u, ["_rk", "_at_expiry", "_ri", "_kind", "_src"], ["cluster"],
+                         [Scan("nxt", "ffill", "_nid")], n_partitions)
     nxt = found.where(F.col("_kind") == 0).select(F.col("_src").alias("request_id"), "nxt")
     return books.join(nxt, "request_id")
 
@@ -90,7 +94,7 @@ def resolve_by_chain(req: DataFrame, limit_us: int, n_partitions: int | None = N
     """Actions for requests of whole segments: ``req`` has ``seg`` from the
     segment scan. Output: input columns + ``action, holder, booked_us``."""
     nb = next_booking(req, limit_us, n_partitions)
-    nb = nb.join(req.select("request_id", "seg"), "request_id")
+    nb = _materialize(nb.join(req.select("request_id", "seg"), "request_id"), "lease-next")
     # pointers stay inside their segment; the segment's first non-off request is a booking
     segs = nb.select(F.col("request_id").alias("nxt"), F.col("seg").alias("_nseg"))
     nodes = (nb.join(segs, "nxt", "left")
@@ -98,27 +102,23 @@ def resolve_by_chain(req: DataFrame, limit_us: int, n_partitions: int | None = N
     anchors = (nb.groupBy("cluster", "seg")
                  .agg(F.min_by("request_id", F.struct("t_us", "request_id")).alias("request_id")))
     bk = nb.join(chain_members(nodes, anchors), "request_id").select("request_id", "off_t", "off_id")
-    rows = req.join(bk.withColumn("_b", F.lit(True)), "request_id", "left").withColumns({
-        "_bid": F.when(F.col("_b"), F.col("request_id")),
-        "_bt": F.when(F.col("_b"), F.col("t_us")),
-        "_bg": F.when(F.col("_b"), F.col("grp")),
-        "_bot": F.when(F.col("_b"), F.coalesce(F.col("off_t"), F.lit(-1).cast("long"))),
-        "_boi": F.when(F.col("_b"), F.coalesce(F.col("off_id"), F.lit(-1).cast("long")))})
-    s = ordered_scan(rows, ["t_us", "request_id"], ["cluster", "seg"],
-                     [Scan("_fb", "ffill", "_bid"), Scan("_ft", "ffill", "_bt"), Scan("_fg", "ffill", "_bg"),
-                      Scan("_fot", "ffill", "_bot"), Scan("_foi", "ffill", "_boi")], n_partitions)
+    # the booking in force is carried as one value; a booking without a release has NULLs in it
+    booking = F.struct("request_id", "t_us", "grp", "off_t", "off_id")
+    rows = req.join(bk.withColumn("_b", F.lit(True)), "request_id", "left") \
+        .withColumn("_bk", F.when(F.col("_b"), booking))
+    s = ordered_scan(rows, ["t_us", "request_id"], ["cluster", "seg"], [Scan("_f", "ffill", "_bk")], n_partitions)
+    at, rid, off_t, off_id = F.col("t_us"), F.col("request_id"), F.col("_f.off_t"), F.col("_f.off_id")
     is_book = F.col("_b").isNotNull()
-    has_rel = F.col("_fot") >= 0
-    is_release = has_rel & (F.col("t_us") == F.col("_fot")) & (F.col("request_id") == F.col("_foi"))
-    released = has_rel & ((F.col("t_us") > F.col("_fot")) |
-                          ((F.col("t_us") == F.col("_fot")) & (F.col("request_id") > F.col("_foi"))))
-    live = F.col("_fb").isNotNull() & ~released & (F.col("t_us") - F.col("_ft") < limit_us)
+    has_rel = off_t.isNotNull()
+    is_release = has_rel & (at == off_t) & (rid == off_id)
+    released = has_rel & ((at > off_t) | ((at == off_t) & (rid > off_id)))
+    live = F.col("_f").isNotNull() & ~released & (at - F.col("_f.t_us") < limit_us)
     action = (F.when(is_book, F.lit("book"))
                .when(is_release, F.lit("off"))
                .when(live & ~F.col("is_off"), F.lit("wait"))
                .otherwise(F.lit("status")))
     holder = (F.when(is_book, F.col("grp")).when(is_release, F.lit(""))
-               .when(live, F.col("_fg")).otherwise(F.lit("")))
-    booked = (F.when(is_book, F.col("t_us")).when(is_release | live, F.col("_ft")))
+               .when(live, F.col("_f.grp")).otherwise(F.lit("")))
+    booked = (F.when(is_book, at).when(is_release | live, F.col("_f.t_us")))
     return s.select(*req.columns, action.alias("action"), holder.alias("holder"),
                     booked.cast("long").alias("booked_us"))

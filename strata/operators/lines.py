@@ -17,7 +17,6 @@ from .scan import Scan, ordered_scan
 PID_PATTERN = r"(\d+) SparkSubmit"
 LISTING_PATTERN = r"(.+) (/.*)"
 HOST_PATTERN = r"(\d+.\d+.\d+.\d+) (student\d+)-(.*)"
-HOST_IDS = ["x1", "x2", "x3"]
 MASTER_ROLE = "master"
 WORKER_ROLE = "worker"
 
@@ -67,10 +66,9 @@ def host_entries(lines: DataFrame, line_col: str = "line", keep: Sequence[str] =
     return single_match_rows(lines, line_col, HOST_PATTERN, ["ip", "name", "id"], keep)
 
 
-def host_map(entries: DataFrame, order: str = "line_no", ids: Sequence[str] = HOST_IDS) -> DataFrame:
-    """T5: ``name -> {id -> ip}`` as one column per host id; a later line wins."""
-    return (entries.groupBy("name").pivot("id", list(ids))
-            .agg(F.max_by("ip", order)))
+def host_map(entries: DataFrame, order: str = "line_no") -> DataFrame:
+    """T5: ``name -> {id -> ip}`` as rows ``(name, id, ip)``, whatever ids there are; a later line wins."""
+    return entries.groupBy("name", "id").agg(F.max_by("ip", order).alias("ip"))
 
 
 def roles(hosts: DataFrame, cluster: str = "cluster", node_order: str = "node_no",

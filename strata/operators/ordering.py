@@ -41,6 +41,15 @@ def _summary_schema(dt: T.DataType) -> T.StructType:
     ])
 
 
+def _descends(before, after) -> bool:
+    """Is ``after`` below ``before``, NULL being the lowest value (as Spark sorts)?"""
+    import pyarrow.compute as pc
+
+    if not before.is_valid or not after.is_valid:
+        return before.is_valid
+    return pc.less(after, before).as_py()
+
+
 def _edge_fn(col: str, arrow_schema: pa.Schema):
     """Per partition: rows, first/last value, min/max and descending neighbours."""
     import pyarrow.compute as pc
@@ -56,21 +65,23 @@ def _edge_fn(col: str, arrow_schema: pa.Schema):
             if m == 0:
                 continue
             v = batch.column(col)
-            if last is not None and pc.less(v[0], last).as_py():
+            if last is not None and _descends(last, v[0]):
                 inv += 1
             if m > 1:
                 inv += pc.sum(pc.less(v.slice(1), v.slice(0, m - 1))).as_py() or 0
+                inv += pc.sum(pc.and_(v.slice(1).is_null(), v.slice(0, m - 1).is_valid())).as_py() or 0
             if first is None:
                 first = v[0]
             last = v[m - 1]
             mm = pc.min_max(v)
-            lo = mm["min"] if lo is None or pc.less(mm["min"], lo).as_py() else lo
-            hi = mm["max"] if hi is None or pc.greater(mm["max"], hi).as_py() else hi
+            if mm["min"].is_valid:          # a batch of NULLs alone has no range
+                lo = mm["min"] if lo is None or pc.less(mm["min"], lo).as_py() else lo
+                hi = mm["max"] if hi is None or pc.greater(mm["max"], hi).as_py() else hi
             n += m
         if n:
             yield pa.RecordBatch.from_pylist(
-                [dict(pid=pid, n=n, first=first.as_py(), last=last.as_py(), lo=lo.as_py(), hi=hi.as_py(),
-                      n_inversions=inv)], schema=arrow_schema)
+                [dict(pid=pid, n=n, first=first.as_py(), last=last.as_py(), lo=None if lo is None else lo.as_py(),
+                      hi=None if hi is None else hi.as_py(), n_inversions=inv)], schema=arrow_schema)
     return fn
 
 
@@ -92,21 +103,27 @@ def _stitched(summary: DataFrame) -> DataFrame:
     w = Window.orderBy("pid")   # over <= n partition rows, never over data
     return (summary
             .withColumn("prev_last", F.lag("last").over(w))
-            .withColumn("prev_hi", F.lag("hi").over(w)))
+            # the greatest value of any earlier partition: partitions of NULLs alone hide nothing
+            .withColumn("prev_hi", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("first_is_lower", F.col("prev_last").isNotNull()
+                        & (F.col("first").isNull() | (F.col("prev_last") > F.col("first")))))
+
 
+def range_partition_check(df: DataFrame, key: str, n: int | None = None, ties: Sequence = ()) -> DataFrame:
+    """O2: after range partitioning, later partitions hold no lower values.
 
-def range_partition_check(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
-    """O2: after range partitioning, neighbouring partitions hold disjoint ranges."""
-    s = _stitched(partition_summary(range_sort(df, [key], n), key))
+    ``ties``: columns that order equal keys, so that a frequent key is cut into several partitions.
+    """
+    s = _stitched(partition_summary(range_sort(df, [key, *ties], n), key))
     return s.agg(F.sum("n").cast("long").alias("n_rows"),
                  F.count_if(F.col("prev_hi") > F.col("lo")).cast("long").alias("overlapping_ranges"))
 
 
-def partition_sort_check(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
-    """O3: every partition is sorted and partitions follow each other in order."""
-    s = _stitched(partition_summary(range_sort(df, [key], n), key))
+def partition_sort_check(df: DataFrame, key: str, n: int | None = None, ties: Sequence = ()) -> DataFrame:
+    """O3: every partition is sorted and partitions follow each other in order (``ties`` as in O2)."""
+    s = _stitched(partition_summary(range_sort(df, [key, *ties], n), key))
     return s.agg(F.sum("n").cast("long").alias("n_rows"),
-                 (F.sum("n_inversions") + F.count_if(F.col("prev_last") > F.col("first")))
+                 (F.sum("n_inversions") + F.count_if("first_is_lower"))
                  .cast("long").alias("inversions"))
 
 
@@ -120,7 +137,7 @@ def order_check(df: DataFrame, value: str, position: Sequence, n: int | None = N
     """
     ordered = range_sort(df.select(*position, value), position, n)
     s = _stitched(partition_summary(ordered, value))
-    inv = F.sum("n_inversions") + F.count_if(F.col("prev_last") > F.col("first"))
+    inv = F.sum("n_inversions") + F.count_if("first_is_lower")
     return s.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
                  F.coalesce(inv, F.lit(0)).cast("long").alias("n_inversions"),
                  F.when(F.coalesce(inv, F.lit(0)) > 0, 1).otherwise(0).alias("unsorted"))
@@ -183,6 +200,6 @@ def chunked_merge_sort(df: DataFrame, idx: str, key: str, k: int, out: str = "me
     argument of the reference has no meaning here. Lower chunk wins ties.
     """
     if k < 2:
-        raise ValueError("k should not be less than 2")
+        raise ValueError(f"a merge sort needs at least two chunks, not {k}")
     sorted_chunks = chunk_sort(df, idx, [key], k, out="chunk_pos", n=n)
     return global_position(sorted_chunks, [key, "chunk", "chunk_pos"], out=out, n_partitions=n)

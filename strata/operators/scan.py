@@ -3,7 +3,7 @@
 ``ordered_scan`` computes, per group and in a total order, any mix of
 
 * ``row_number`` - 1-based position,
-* ``sum``        - running (inclusive) sum, NULL counted as 0,
+* ``sum``        - running (inclusive) sum in Spark's own sum type, NULL adds nothing,
 * ``ffill``      - last non-NULL value so far (as-of carry forward),
 * ``lag``        - the previous row's value (NULL on the group's first row),
 * ``segment``    - 1-based session number: a new one starts at the group's
@@ -11,35 +11,32 @@
 
 A ``Window.partitionBy(group)`` puts a whole group in one task; with few
 groups (4 clusters, 7 chunks, one global order) that is one task per group
-whatever the cluster size. Instead the rows are range-partitioned on
-``(group, order)``: a hot group is cut into many partitions. Each partition
-is scanned locally in one vectorised pass, then partition edges are
-stitched: every partition reports at most two boundary groups (its first
-and its last), so the stitch table has at most ``2 * n`` rows. That bound
-is what makes the broadcast of the offsets safe at any data size.
-
-Both the data branch and the summary branch read the *same* range exchange
-(the Arrow pass is a pruning barrier, so their inputs are identical and AQE
-reuses the exchange). Two separately planned range exchanges may sample
-different bounds, so this is a correctness property, checked in the tests.
+whatever the cluster size. Instead every row gets an explicit bucket: its place
+among bounds on ``(group, order)`` that come from a hash sample of those keys.
+The sample depends on the data alone, so every branch of a plan, every run and every
+retried task computes the same bucket; nothing rests on an exchange being
+reused. Windows run per ``(group, bucket)``, and a per-bucket aggregate
+carries counts, sums and last values from the earlier buckets of a group. Only
+groups that span buckets need that table: at most two rows per bucket, the bound
+that makes its broadcast safe at any data size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import default_partitions, ship_package
-
 KINDS = ("row_number", "sum", "ffill", "lag", "segment")
-_B = "_scan_b"      # range partition id
-_LRN = "_scan_lrn"  # row number inside (partition, group)
+BUCKET_BYTES = 1 << 30           # a bucket's share of the input, by Catalyst's size estimate
+SMALL_BUCKET_BYTES = 1 << 20     # while there are fewer buckets than cores
+ROW_BYTES = 200                  # a row's share where rows are counted
+SAMPLE_PER_BUCKET = 20
+_HASH = 1 << 30
+_B = "_scan_b"
 
 
 @dataclass(frozen=True)
@@ -63,312 +60,154 @@ def _names(cols) -> list[str]:
 
 
 def scan_partitions(df: DataFrame) -> int:
-    """Range partitions for a scan, sized the way AQE coalesces: Catalyst's
-    size estimate over the minimum partition size when parallelism comes
-    first (the default), else over the advisory size; between 1 and the
-    session's shuffle partitions. Fixed once per scan, so both branches
-    agree (AQE itself must not coalesce this exchange: see the module doc)."""
-    spark = df.sparkSession
-    cap = default_partitions(spark)
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: use the session's setting
-        return cap
-    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true").lower() == "true"
-    target = (_bytes(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB") if first
-              else _bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
-    return max(1, min(cap, -(-est // target)))
-
-
-def _bytes(spark, key: str, default: str) -> int:
-    raw = (spark.conf.get(key, default) or default).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    num = raw.rstrip("kmgb")
-    unit = raw[len(num):] or "b"
-    try:
-        return max(1, int(float(num) * units.get(unit, 1)))
-    except ValueError:
-        return 1 << 20
-
-
-def _sum_type(dt: T.DataType) -> T.DataType:
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return T.LongType()
-    return T.DoubleType()
-
-
-def _starts(batch: pa.RecordBatch, group: Sequence[str], carry_key) -> tuple[np.ndarray, tuple]:
-    """Flag rows that begin a new group; row 0 compares with the carried key."""
-    n = batch.num_rows
-    flags = np.zeros(n, dtype=bool)
-    keys_first, keys_last = [], []
-    for g in group:
-        arr = batch.column(g)
-        valid = ~np.asarray(arr.is_null(), dtype=bool)
-        vals = arr.to_numpy(zero_copy_only=False)
-        if n > 1:
-            same = (vals[1:] == vals[:-1]) & valid[1:] & valid[:-1]
-            same |= ~valid[1:] & ~valid[:-1]
-            flags[1:] |= ~same
-        keys_first.append(arr[0].as_py())
-        keys_last.append(arr[n - 1].as_py())
-    flags[0] = carry_key is None or tuple(keys_first) != carry_key[0]
-    return flags, tuple(keys_last)
-
-
-def _local_scan(batches: Iterator[pa.RecordBatch], group, scans, out_types) -> Iterator[tuple]:
-    """Yield (batch, local columns, start flags) with state carried across batches."""
-    carry_key = None            # (key,) of the last row seen
-    c_lrn = 0
-    c_sum: dict[str, float] = {}
-    c_ffill: dict[str, pa.Array] = {}
-    c_last: dict[str, pa.Array] = {}
-    c_seg: dict[str, tuple] = {}      # out -> (last value, last segment number)
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        flags, last_key = _starts(batch, group, carry_key)
-        ar = np.arange(n)
-        start_idx = np.maximum.accumulate(np.where(flags, ar, -1))
-        cont = start_idx < 0                      # rows continuing the carried group
-        lrn = np.where(cont, c_lrn + ar + 1, ar - start_idx + 1).astype(np.int64)
-        cols: dict[str, pa.Array] = {_LRN: pa.array(lrn, pa.int64())}
-        for s in scans:
-            if s.kind == "row_number":
-                continue
-            arr = batch.column(s.col)
-            valid = ~np.asarray(arr.is_null(), dtype=bool)
-            if s.kind == "segment":
-                if pa.types.is_integer(arr.type):      # exact int64 arithmetic, no float rounding
-                    v = arr.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                else:
-                    v = np.nan_to_num(arr.to_numpy(zero_copy_only=False).astype(np.float64))
-                last_v, last_seg = c_seg.get(s.out, (None, 0))
-                prev = np.empty_like(v)
-                prev[1:] = v[:-1]
-                prev[0] = 0 if last_v is None else last_v
-                prev_ok = np.empty(n, dtype=bool)
-                prev_ok[1:] = valid[:-1]
-                prev_ok[0] = last_v is not None
-                new = flags | ~valid | ~prev_ok | (v - prev >= s.gap)
-                new[0] = new[0] or not cont[0]
-                cs = np.cumsum(new.astype(np.int64))
-                base = np.where(start_idx > 0, cs[np.maximum(start_idx - 1, 0)], 0)
-                local = cs - base + np.where(cont, last_seg, 0)
-                cols[s.out] = pa.array(local, pa.int64())
-                c_seg[s.out] = (v[-1].item() if valid[-1] else None, int(local[-1]))
-                continue
-            if s.kind == "sum":
-                if pa.types.is_integer(arr.type):      # exact: never through float64
-                    v = arr.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                else:
-                    v = np.where(valid, np.nan_to_num(arr.to_numpy(zero_copy_only=False).astype(np.float64)), 0.0)
-                cs = np.cumsum(v)
-                base = np.where(start_idx > 0, cs[np.maximum(start_idx - 1, 0)], 0)
-                local = cs - base + np.where(cont, c_sum.get(s.out, 0), 0)
-                cols[s.out] = pa.array(local, out_types[s.out])
-                c_sum[s.out] = local[-1]
-            else:
-                # index into [carried value] + batch; -1 means NULL
-                if s.kind == "ffill":
-                    lnn = np.maximum.accumulate(np.where(valid, ar, -1))
-                    take = np.where(lnn >= np.maximum(start_idx, 0), lnn + 1, -1)
-                    take = np.where(cont & (lnn < 0), 0, take)
-                else:  # lag
-                    take = np.where(ar > np.maximum(start_idx, 0), ar, -1)  # ar-1 shifted by +1
-                    take = np.where(cont & (ar == 0), 0, take)
-                carried = (c_ffill if s.kind == "ffill" else c_last).get(s.out)
-                if carried is None:
-                    carried = pa.nulls(1, arr.type)
-                src = pa.concat_arrays([carried, arr])
-                idx = pa.array(take, pa.int64(), mask=take < 0)
-                res = src.take(idx)
-                cols[s.out] = res
-                if s.kind == "ffill":
-                    c_ffill[s.out] = res.slice(n - 1, 1)
-                else:
-                    c_last[s.out] = arr.slice(n - 1, 1)
-        c_lrn = int(lrn[-1])
-        carry_key = (last_key,)
-        yield batch, cols, flags
-
-
-def _local_name(out: str) -> str:
-    return out if out == _LRN else "_scan_o_" + out
-
-
-def _scan_fn(group, scans, out_types, out_names):
-    emit = [_local_name(c) for c in out_names]
-
-    def fn(batches):
-        for batch, cols, _ in _local_scan(batches, group, scans, out_types):
-            arrays = [batch.column(c) for c in batch.schema.names] + [cols[c] for c in out_names]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(batch.schema.names) + emit)
-    return fn
-
-
-def _summary_fn(group, scans, out_types, summary_schema: pa.Schema):
-    """At most two rows per partition: its first and its last group."""
-    sum_scans = [s for s in scans if s.kind == "sum"]
-    nn_scans = [s for s in scans if s.kind == "ffill"]
-    lag_scans = [s for s in scans if s.kind == "lag"]
-    seg_scans = [s for s in scans if s.kind == "segment"]
-
-    def record(batch, cols, i, first_vals):
-        rec = {g: batch.column(g)[i].as_py() for g in group}
-        rec["_cnt"] = cols[_LRN][i].as_py()
-        for s in sum_scans:
-            rec["_tot_" + s.out] = cols[s.out][i].as_py()
-        for s in nn_scans:
-            rec["_lnn_" + s.out] = cols[s.out][i].as_py()
-        for s in lag_scans:
-            rec["_lv_" + s.out] = batch.column(s.col)[i].as_py()
-        for s in seg_scans:
-            rec["_tot_" + s.out] = cols[s.out][i].as_py()
-            rec["_sf_" + s.out] = first_vals[s.out]
-            rec["_sl_" + s.out] = batch.column(s.col)[i].as_py()
-        return rec
-
-    def fn(batches):
-        first = last = None
-        in_first = True
-        seen = False
-        b = None
-        cur_first: dict = {}                 # value at the current group's first row
-        for batch, cols, flags in _local_scan(batches, group, scans, out_types):
-            b = batch.column(_B)[0].as_py()
-            starts = np.flatnonzero(flags)
-            if in_first:
-                later = starts if seen else starts[1:]   # row 0 of the partition starts group one
-                if len(later):
-                    in_first = False
-                    if later[0] > 0:
-                        first = record(batch, cols, later[0] - 1, cur_first if seen else
-                                       {s.out: batch.column(s.col)[0].as_py() for s in seg_scans})
-                    else:
-                        first = last
-            if len(starts):
-                cur_first = {s.out: batch.column(s.col)[int(starts[-1])].as_py() for s in seg_scans}
-            seen = True
-            last = record(batch, cols, batch.num_rows - 1, cur_first)
-        if last is None:
-            return
-        rows = [(1, last)] if in_first else [(0, first), (1, last)]
-        out = {name: [] for name in summary_schema.names}
-        for edge, rec in rows:
-            out[_B].append(b)
-            out["_edge"].append(edge)
-            for k, v in rec.items():
-                out[k].append(v)
-        yield pa.RecordBatch.from_pydict(out, schema=summary_schema)
-    return fn
+    """Buckets for a scan, from the input alone and not bounded by any session setting.
+
+    While Catalyst's size estimate asks for no more buckets than there are cores, there are as many
+    as leave each ``SMALL_BUCKET_BYTES``. Beyond, the estimate is not trusted (after joins it
+    multiplies sizes): rows are counted, and each bucket gets ``BUCKET_BYTES`` of them.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimate > cores * SMALL_BUCKET_BYTES:
+        estimate = min(estimate, df.count() * ROW_BYTES)
+    return max(1, min(cores, -(-estimate // SMALL_BUCKET_BYTES)), -(-estimate // BUCKET_BYTES))
+
+
+def _bounds(df: DataFrame, keys: list[str], n: int) -> Column | None:
+    """At most ``n - 1`` ascending split points of the keys, as a constant array; None for an empty frame.
+
+    Every ``SAMPLE_PER_BUCKET``-th row of a sample becomes one: the rows with the smallest
+    key hashes, about ``SAMPLE_PER_BUCKET * n`` of them, which is what reaches the driver.
+    """
+    wanted = SAMPLE_PER_BUCKET * n
+    hashed = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(_HASH)).alias("_hash"))
+    if wanted <= 20_000:
+        sample = hashed.orderBy("_hash").limit(wanted)
+    else:
+        share = min(1.0, wanted / max(1, df.count()))
+        sample = hashed.where(F.col("_hash") <= int(_HASH * share))
+    drawn = sample.select(*keys).orderBy(*keys).collect()
+    if not drawn:
+        return None
+    picked = sorted({len(drawn) * i // n for i in range(1, n)})
+    types = [df.schema[k].dataType for k in keys]
+    return F.array_sort(F.array(*[
+        F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(drawn[i], types, keys)]) for i in picked]))
+
+
+def _bucketed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """``df`` with its bucket: how many of the bounds are at or below its keys."""
+    bounds = _bounds(df, keys, n) if n > 1 else None
+    if bounds is None:
+        return df.withColumn(_B, F.lit(0))
+    key = F.struct(*[F.col(k) for k in keys])
+    # binary search: the bounds in [lo, hi) are not yet compared with the row's keys
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+
+    def step(s, _):
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        below = F.get(bounds, mid) <= key
+        open_ = s["lo"] < s["hi"]
+        return F.struct(F.when(open_ & below, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(open_ & ~below, mid).otherwise(s["hi"]).alias("hi"))
+
+    steps = F.array(*[F.lit(i) for i in range(n.bit_length())])
+    return df.withColumn(_B, F.aggregate(steps, start, step, lambda s: s["lo"]))
 
 
 def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Sequence[Scan] = (),
                  n_partitions: int | None = None) -> DataFrame:
     """Add the scan columns to ``df``; see the module doc. ``order`` should be total."""
-    spark = df.sparkSession
-    ship_package(spark)
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # both branches must read one range exchange; separately planned
-        # exchanges may sample different bounds, which would be wrong silently
-        spark.conf.set("spark.sql.exchange.reuse", "true")
     order, group = _names(order), _names(group)
     scans = [s if isinstance(s, Scan) else Scan(*s) for s in scans]
     n = n_partitions or scan_partitions(df)
-    schema = df.schema
-    fields = {f.name: f for f in schema.fields}
-    out_types_spark: dict[str, T.DataType] = {}
-    for s in scans:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    x = _bucketed(df, [*group, *order], n)
+    here = Window.partitionBy(*group, _B).orderBy(*order)
+    so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def local(s: Scan) -> Column:
         if s.kind == "row_number":
-            out_types_spark[s.out] = T.LongType()
-        elif s.kind == "sum":
-            out_types_spark[s.out] = _sum_type(fields[s.col].dataType)
-        elif s.kind == "segment":
-            out_types_spark[s.out] = T.LongType()
-        else:
-            out_types_spark[s.out] = fields[s.col].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    out_types = {k: to_arrow_type(v) for k, v in out_types_spark.items()}
-    local_names = [_LRN] + [s.out for s in scans if s.kind != "row_number"]
-
-    x = (df.repartitionByRange(n, *group, *order)
-           .sortWithinPartitions(*group, *order)
-           .withColumn(_B, F.spark_partition_id()))
-    data_schema = T.StructType(list(x.schema.fields) + [T.StructField(_LRN, T.LongType())] +
-                               [T.StructField(_local_name(s.out), out_types_spark[s.out]) for s in scans
-                                if s.kind != "row_number"])
-    y = x.mapInArrow(_scan_fn(group, scans, out_types, local_names), data_schema)
-
-    sum_fields = [T.StructField(_B, T.IntegerType()), T.StructField("_edge", T.IntegerType())]
-    sum_fields += [T.StructField(g, fields[g].dataType) for g in group]
-    sum_fields.append(T.StructField("_cnt", T.LongType()))
+            return F.row_number().over(here).cast("long")
+        if s.kind == "sum":
+            v = F.col(s.col).cast("long") if isinstance(types[s.col], T.IntegralType) else F.col(s.col)
+            return F.sum(v).over(so_far)
+        if s.kind == "ffill":
+            return F.last(s.col, ignorenulls=True).over(so_far)
+        if s.kind == "lag":
+            return F.lag(s.col).over(here)
+        # 1 where a segment starts, as far as this bucket knows
+        gap = F.col(s.col) - F.lag(s.col).over(here)
+        return F.when(gap < F.lit(s.gap), 0).otherwise(1).cast("long")
+
+    y = x.select("*", *[local(s).alias("_l_" + s.out) for s in scans],
+                 *([F.row_number().over(here).alias("_rn")] if any(s.kind in ("lag", "segment") for s in scans) else []))
+    for s in scans:
+        if s.kind == "segment":
+            y = y.withColumn("_l_" + s.out, F.sum("_l_" + s.out).over(so_far))
+    if n == 1:
+        return y.select(*_kept(df, scans), *[_whole(s).alias(s.out) for s in scans])
+
+    at = F.struct(*order)
+    aggs = [F.count(F.lit(1)).alias("_cnt")]
     for s in scans:
         if s.kind == "sum":
-            sum_fields.append(T.StructField("_tot_" + s.out, out_types_spark[s.out]))
+            v = F.col(s.col).cast("long") if isinstance(types[s.col], T.IntegralType) else F.col(s.col)
+            aggs.append(F.sum(v).alias("_a_" + s.out))
         elif s.kind == "ffill":
-            sum_fields.append(T.StructField("_lnn_" + s.out, out_types_spark[s.out]))
+            aggs.append(F.max_by(F.col(s.col), F.when(F.col(s.col).isNotNull(), at)).alias("_a_" + s.out))
         elif s.kind == "lag":
-            sum_fields.append(T.StructField("_lv_" + s.out, out_types_spark[s.out]))
+            aggs.append(F.max_by(F.struct(F.col(s.col).alias("v")), at).alias("_a_" + s.out))
         elif s.kind == "segment":
-            sum_fields += [T.StructField("_tot_" + s.out, T.LongType()),
-                           T.StructField("_sf_" + s.out, fields[s.col].dataType),
-                           T.StructField("_sl_" + s.out, fields[s.col].dataType)]
-    summary_schema = T.StructType(sum_fields)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    summary = x.mapInArrow(_summary_fn(group, scans, out_types, to_arrow_schema(summary_schema)),
-                           summary_schema)
-    # one row per (partition, boundary group): a single-group partition reports once
-    # windows over the edge table only: at most 2 rows per range partition
-    w = Window.partitionBy(*group).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offs = [F.sum("_cnt").over(w).alias("_off_cnt")]
+            aggs += [F.max("_l_" + s.out).alias("_a_" + s.out), F.min_by(F.struct(F.col(s.col).alias("v")), at)
+                     .alias("_f_" + s.out), F.max_by(F.struct(F.col(s.col).alias("v")), at).alias("_e_" + s.out)]
+    source = y if any(s.kind == "segment" for s in scans) else x
+    edges = source.groupBy(*group, _B).agg(*aggs)
+    w = Window.partitionBy(*group).orderBy(_B)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    offs = [F.sum("_cnt").over(before).alias("_o_cnt")]
+    for s in scans:
+        if s.kind == "segment":
+            # a bucket's first row goes on with a segment if the gap to the earlier bucket's last row is small
+            joins = F.col(f"_f_{s.out}.v") - F.lag("_e_" + s.out).over(w)["v"] < F.lit(s.gap)
+            edges = edges.withColumn("_j_" + s.out, F.when(joins, 1).otherwise(0).cast("long"))
     for s in scans:
         if s.kind == "sum":
-            offs.append(F.sum("_tot_" + s.out).over(w).alias("_off_" + s.out))
+            offs.append(F.sum("_a_" + s.out).over(before).alias("_o_" + s.out))
         elif s.kind == "ffill":
-            offs.append(F.last("_lnn_" + s.out, ignorenulls=True).over(w).alias("_off_" + s.out))
+            offs.append(F.last("_a_" + s.out, ignorenulls=True).over(before).alias("_o_" + s.out))
         elif s.kind == "lag":
-            offs.append(F.lag("_lv_" + s.out, 1).over(Window.partitionBy(*group).orderBy(_B))
-                        .alias("_off_" + s.out))
-    seg_scans = [s for s in scans if s.kind == "segment"]
-    if seg_scans:
-        # a partition's first row starts a segment only if the gap to the
-        # previous partition's last row of the same group is wide enough
-        wp = Window.partitionBy(*group).orderBy(_B)
-        summary = summary.select("*", *[
-            F.when(F.lag("_sl_" + s.out).over(wp).isNull()
-                   | (F.col("_sf_" + s.out) - F.lag("_sl_" + s.out).over(wp) >= s.gap), 1)
-             .otherwise(0).alias("_tf_" + s.out) for s in seg_scans])
-        for s in seg_scans:
-            inc = F.col("_tot_" + s.out) - 1 + F.col("_tf_" + s.out)
-            offs.append(F.sum(inc).over(w).alias("_off_" + s.out))
-            offs.append((1 - F.col("_tf_" + s.out)).alias("_corr_" + s.out))
-    offsets = summary.select(_B, *group, *offs)
-    # at most 2 rows per range partition: a proven bound for the broadcast
-    o = offsets.alias("o")
-    cond = [F.col(f"y.{_B}") == F.col(f"o.{_B}")] + [F.col(f"y.{g}").eqNullSafe(F.col(f"o.{g}")) for g in group]
-    joined = y.alias("y").join(F.broadcast(o), on=cond, how="left")
-    outs: list[Column] = []
-    for s in scans:
-        off = F.col("o._off_" + s.out) if s.kind != "row_number" else None
-        if s.kind == "row_number":
-            outs.append((F.col(f"y.{_LRN}") + F.coalesce(F.col("o._off_cnt"), F.lit(0))).alias(s.out))
-        else:
-            loc = F.col(f"y.{_local_name(s.out)}")
-            if s.kind == "sum":
-                outs.append((loc + F.coalesce(off, F.lit(0))).cast(out_types_spark[s.out]).alias(s.out))
-            elif s.kind == "ffill":
-                outs.append(F.coalesce(loc, off).alias(s.out))
-            elif s.kind == "segment":
-                outs.append((loc + F.coalesce(off, F.lit(0))
-                             - F.coalesce(F.col("o._corr_" + s.out), F.lit(0))).alias(s.out))
-            else:
-                outs.append(F.when(F.col(f"y.{_LRN}") == 1, off).otherwise(loc).alias(s.out))
-    keep = [F.col(f"y.{c}") for c in schema.names if c not in {s.out for s in scans}]
-    return joined.select(*keep, *outs)
+            offs.append(F.lag("_a_" + s.out).over(w)["v"].alias("_o_" + s.out))
+        elif s.kind == "segment":
+            offs.append((F.sum(F.col("_a_" + s.out) - F.col("_j_" + s.out)).over(before) - F.col("_j_" + s.out))
+                        .alias("_o_" + s.out))
+    carried = edges.select(F.col(_B).alias("_ob"), *[F.col(g).alias(f"_og{i}") for i, g in enumerate(group)], *offs) \
+        .where("_o_cnt is not null")
+    # rows only for a group's buckets after its first: at most two per bucket, a proven bound for the broadcast
+    cond = [F.col(_B) == F.col("_ob")] + [F.col(g).eqNullSafe(F.col(f"_og{i}")) for i, g in enumerate(group)]
+    joined = y.join(F.broadcast(carried), cond, "left")
+    return joined.select(*_kept(df, scans), *[_stitched(s).alias(s.out) for s in scans])
+
+
+def _kept(df: DataFrame, scans: Sequence[Scan]) -> list[Column]:
+    outs = {s.out for s in scans}
+    return [F.col(c) for c in df.columns if c not in outs]
+
+
+def _whole(s: Scan) -> Column:
+    loc = F.col("_l_" + s.out)
+    return F.coalesce(loc, F.lit(0)) if s.kind == "sum" else loc
+
+
+def _stitched(s: Scan) -> Column:
+    loc, off = F.col("_l_" + s.out), F.col("_o_" + s.out) if s.kind != "row_number" else F.col("_o_cnt")
+    if s.kind in ("row_number", "segment"):
+        return loc + F.coalesce(off, F.lit(0))
+    if s.kind == "sum":
+        return F.coalesce(loc + off, loc, off, F.lit(0))
+    if s.kind == "ffill":
+        return F.coalesce(loc, off)
+    return F.when(F.col("_rn") == 1, off).otherwise(loc)
 
 
 def global_position(df: DataFrame, order: Sequence, out: str = "pos", group: Sequence = (),

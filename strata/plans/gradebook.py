@@ -31,7 +31,8 @@ def sheet(spark, sf_dir, rows: tuple[int, int] | None = None):
            .otherwise(F.concat(size, F.lit("e1"))))
     return p.select(
         (F.col("p_partkey") + ROW_OFFSET).cast("int").alias("row_idx"),
-        F.element_at(words, 1).alias("first"), F.element_at(words, 2).alias("last"),
+        F.element_at(words, 1).alias("first"),
+        F.array_join(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), " ").alias("last"),
         F.col("p_brand").alias("id_number"),
         (F.col("p_partkey") % 16 + 1).cast("int").alias("group_num"),
         size.alias("g1"), F.col("p_type").alias("f1"),
@@ -62,7 +63,8 @@ def grade_long(spark, sf_dir):
 
 def grade_coerce(spark, sf_dir):
     lg = G.grades_long(sheet(spark, sf_dir))
-    return lg.select("row_idx", "assignment", G.coerce_grade(F.col("grade")).alias("grade_num"))
+    return lg.select("row_idx", "assignment", G.coerce_grade(F.col("grade")).alias("grade_num"),
+                     G.grade_cell(F.col("grade")).alias("cell"))
 
 
 def grade_update(spark, sf_dir):
@@ -82,7 +84,7 @@ def first_match(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     words = p.select(F.explode(F.transform(F.split("p_name", " "), F.upper)).alias("term"))
     brands = p.select(F.col("p_brand").alias("term"))
-    frags = p.select(F.substring("p_type", 1, 2).alias("term"))
+    frags = p.select(F.explode(F.split("p_type", " ")).alias("term"))
     terms = words.unionByName(brands).unionByName(frags)
     return G.first_match(_labels(spark, sf_dir), terms)
 
@@ -107,7 +109,7 @@ QUERIES = {
 
 _SHEET = r"""with sheet as (
   select (p_partkey + 2)::int as row_idx, string_split(p_name, ' ')[1] as first,
-         string_split(p_name, ' ')[2] as last, p_brand as id_number, (p_partkey % 16 + 1)::int as group_num,
+         array_to_string(string_split(p_name, ' ')[2:], ' ') as last, p_brand as id_number, (p_partkey % 16 + 1)::int as group_num,
          p_size::varchar as g1, p_type as f1, printf('%.2f', p_retailprice) as g2, p_brand as f2,
          case p_size % 5 when 0 then ' ' || p_size || ' ' when 1 then 'abc' when 2 then p_size || '_000'
                          when 3 then 'None' else p_size || 'e1' end as g3,
@@ -128,7 +130,8 @@ def _coerce(x):
 SQL = {
     "sheet_window": _SHEET + " select row_idx, first, last, id_number, group_num from sheet where row_idx between 2 and 65",
     "grade_long": _SHEET + " select row_idx, assignment, grade, feedback from long",
-    "grade_coerce": _SHEET + f" select row_idx, assignment, {_coerce('grade')} as grade_num from long",
+    "grade_coerce": _SHEET + f" select row_idx, assignment, {_coerce('grade')} as grade_num,"
+                    f" coalesce({_coerce('grade')}::varchar, '-') as cell from long",
     "grade_update": _SHEET + f""",
         saves as (select o_orderkey as seq, (o_custkey + 2)::int as row_idx, (o_orderkey % 3 + 1)::int as assignment,
                          case when o_orderstatus = 'F' then (floor(o_totalprice) % 100)::bigint::varchar
@@ -139,6 +142,8 @@ SQL = {
                    from saves group by all)
         select l.row_idx, l.assignment,
                case when u.row_idx is not null then {_coerce('u.ug')} else {_coerce('l.grade')} end as grade,
+               coalesce(case when u.row_idx is not null then {_coerce('u.ug')} else {_coerce('l.grade')} end::varchar,
+                        '-') as cell,
                case when u.row_idx is not null then u.uf else l.feedback end as feedback,
                u.row_idx is not null as updated
         from long l left join latest u using (row_idx, assignment)""",
@@ -148,7 +153,7 @@ SQL = {
         terms as (select distinct term from (
                     select upper(unnest(string_split(p_name, ' '))) as term from part
                     union all select p_brand from part
-                    union all select substr(p_type, 1, 2) from part))
+                    union all select unnest(string_split(p_type, ' ')) from part))
         select t.term, coalesce((select min(row_idx) from lab where contains(lab.l, lower(t.term))), -1)::bigint
                as first_row
         from terms t""",

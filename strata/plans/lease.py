@@ -1,9 +1,9 @@
 """Driver-table queries for the lease family.
 
 The request log is built from ``events``: each user is a group, its cluster
-is ``user_id % 4``. Message by event type: ``error`` -> ``g<u> off``,
+is ``user_id % 4``. Message by event type: ``error`` -> ``g<u> off`` (between a tab and a line end),
 ``click`` -> ``  g<u> off please `` (three tokens: flag ignored),
-``purchase`` -> ``g<u>`` (or the unknown ``x<u>`` when ``props.k >= 90``),
+``purchase`` -> ``g<u>`` and a newline (or the unknown ``x<u>`` when ``props.k >= 90``),
 ``signup`` -> ``status``. ``view`` rows are not requests: they are job
 sightings (L10) and directory listings of a page path (L11).
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import micros
 from ..operators import lease as LS
-from ..session import materialize
+from ..session import fresh_dir
 from ..sources.tables import table
 
 CLUSTERS = ["c0", "c1", "c2", "c3"]
@@ -25,10 +25,10 @@ def request_log(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     u = F.col("user_id").cast("string")
     k = F.get_json_object("props", "$.k").cast("int")
-    msg = (F.when(F.col("event_type") == "error", F.concat(F.lit("g"), u, F.lit(" off")))
+    msg = (F.when(F.col("event_type") == "error", F.concat(F.lit("\tg"), u, F.lit(" off\r\n")))
             .when(F.col("event_type") == "click", F.concat(F.lit("  g"), u, F.lit(" off please ")))
             .when((F.col("event_type") == "purchase") & (k >= 90), F.concat(F.lit("x"), u))
-            .when(F.col("event_type") == "purchase", F.concat(F.lit("g"), u))
+            .when(F.col("event_type") == "purchase", F.concat(F.lit("g"), u, F.lit("\n")))
             .otherwise(F.lit("status")))
     return ev.where(F.col("event_type") != "view").select(
         F.col("event_id").alias("request_id"), "ts", msg.alias("msg"))
@@ -50,12 +50,19 @@ def _classified(spark, sf_dir):
     return LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)), directory(spark, sf_dir))
 
 
-def _resolved(spark, sf_dir, shared: bool = False):
-    """The resolved log. ``shared=True`` writes it once for plans that read it
-    in several branches or feed it to a range exchange (whose bound sampling
-    would otherwise run the fold a second time)."""
-    r = LS.resolve_leases(_classified(spark, sf_dir))
-    return materialize(r, "lease-resolved") if shared else r
+_RESOLVED: dict[tuple[str, str, bool], str] = {}
+
+
+def _resolved(spark, sf_dir, one_cluster: bool = False):
+    """The resolved log, written once per application and input for the whole family of lease queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, one_cluster)
+    if key not in _RESOLVED:
+        classified = LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)),
+                                        directory(spark, sf_dir, one_cluster))
+        path = fresh_dir(spark, "lease-resolved")
+        LS.resolve_leases(classified).write.parquet(path)
+        _RESOLVED[key] = path
+    return spark.read.parquet(_RESOLVED[key])
 
 
 def _log_end(spark, sf_dir):
@@ -64,8 +71,7 @@ def _log_end(spark, sf_dir):
 
 def lease_resolve_hot(spark, sf_dir):
     """L4 with a single cluster for all groups: one key holds every request."""
-    c = LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)), directory(spark, sf_dir, True))
-    return LS.resolve_leases(c).select("request_id", "cluster", "grp", "action", "holder", "booked_at")
+    return _resolved(spark, sf_dir, True).select("request_id", "cluster", "grp", "action", "holder", "booked_at")
 
 
 def request_parse(spark, sf_dir):
@@ -86,21 +92,21 @@ def lease_wait(spark, sf_dir):
 
 
 def lease_status(spark, sf_dir):
-    r = _resolved(spark, sf_dir, shared=True)
+    r = _resolved(spark, sf_dir)
     probes = r.where(F.col("action") == "status").select(F.col("request_id").alias("probe_id"), "t_us")
     return LS.status_snapshot(r, probes, CLUSTERS)
 
 
 def lease_intervals(spark, sf_dir):
-    return LS.lease_intervals(_resolved(spark, sf_dir, shared=True), log_end_us=_log_end(spark, sf_dir))
+    return LS.lease_intervals(_resolved(spark, sf_dir), log_end_us=_log_end(spark, sf_dir))
 
 
 def lease_reply(spark, sf_dir):
-    return LS.replies(_resolved(spark, sf_dir, shared=True), CLUSTERS)
+    return LS.replies(_resolved(spark, sf_dir), CLUSTERS)
 
 
 def lease_usage(spark, sf_dir):
-    r = _resolved(spark, sf_dir, shared=True)
+    r = _resolved(spark, sf_dir)
     return LS.usage(r, LS.lease_intervals(r, log_end_us=_log_end(spark, sf_dir)))
 
 
@@ -112,7 +118,7 @@ def _sightings(spark, sf_dir):
 
 
 def idle_jobs(spark, sf_dir):
-    return LS.idle_jobs(_resolved(spark, sf_dir, shared=True), _sightings(spark, sf_dir))
+    return LS.idle_jobs(_resolved(spark, sf_dir), _sightings(spark, sf_dir))
 
 
 def listings(spark, sf_dir):
@@ -129,7 +135,7 @@ def listings(spark, sf_dir):
 
 
 def foreign_paths(spark, sf_dir):
-    return LS.foreign_paths(_resolved(spark, sf_dir, shared=True), listings(spark, sf_dir))
+    return LS.foreign_paths(_resolved(spark, sf_dir), listings(spark, sf_dir))
 
 
 QUERIES = {
@@ -150,15 +156,15 @@ _BASE = r"""
 with recursive
 req as (
   select event_id as request_id, ts, epoch_us(ts) as t_us,
-         case when event_type = 'error' then 'g' || user_id || ' off'
+         case when event_type = 'error' then chr(9) || 'g' || user_id || ' off' || chr(13) || chr(10)
               when event_type = 'click' then '  g' || user_id || ' off please '
               when event_type = 'purchase' and (props->>'k')::int >= 90 then 'x' || user_id
-              when event_type = 'purchase' then 'g' || user_id
+              when event_type = 'purchase' then 'g' || user_id || chr(10)
               else 'status' end as msg
   from events where event_type <> 'view'),
 parsed as (
   select request_id, ts, t_us, tok[1] as grp, coalesce(len(tok) = 2 and tok[2] = 'off', false) as is_off
-  from (select *, string_split_regex(trim(msg), '\s+') as tok from req)),
+  from (select *, string_split_regex(regexp_replace(msg, '^\s+|\s+$', '', 'g'), '\s+') as tok from req)),
 dir as (select distinct 'g' || user_id as grp, 'c' || (user_id % 4) as cluster from events),
 cl as (
   select p.*, d.cluster,

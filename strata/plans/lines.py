@@ -61,7 +61,7 @@ def _hosts_file(spark, sf_dir):
     ip = F.concat_ws(".", F.lit("10"), F.col("s_nationkey").cast("string"),
                      (F.floor(k / 256) % 256).cast("string"), (k % 256).cast("string"))
     host = F.concat(F.lit(NODE_BASE), (F.lit(90) + F.floor(k / 3) % 20).cast("string"),
-                    F.lit("-x"), (k % 3 + 1).cast("string"))
+                    F.lit("-x"), (k % 4 + 1).cast("string"))
     line = F.when(F.col("s_acctbal") < 0, F.concat(ip, F.lit(" localhost"))) \
             .otherwise(F.concat_ws(" ", ip, host))
     return s.select(k.alias("line_no"), line.alias("line"))
@@ -79,7 +79,7 @@ def roles(spark, sf_dir):
     """Nodes in groups of four consecutive numbers form a cluster."""
     e = X.host_entries(_hosts_file(spark, sf_dir), "line", ["line_no"])
     latest = e.groupBy("name", "id").agg(F.max_by("ip", "line_no").alias("ip"))
-    node_no = F.substring("name", len(NODE_BASE) + 1, 10).cast("long")
+    node_no = F.substr("name", F.lit(len(NODE_BASE) + 1)).cast("long")
     base = latest.select(F.min(node_no)).scalar()
     hosts = latest.select("name", "id", "ip", node_no.alias("node_no"),
                           F.floor((node_no - base) / 4).cast("long").alias("cluster"))
@@ -102,7 +102,7 @@ _HOSTS = """with s as (select s_suppkey as line_no,
         case when s_acctbal < 0 then '10.' || s_nationkey || '.' || (s_suppkey // 256) % 256 || '.' || s_suppkey % 256
                                      || ' localhost'
              else '10.' || s_nationkey || '.' || (s_suppkey // 256) % 256 || '.' || s_suppkey % 256
-                  || ' student' || (90 + (s_suppkey // 3) % 20) || '-x' || (s_suppkey % 3 + 1) end as line
+                  || ' student' || (90 + (s_suppkey // 3) % 20) || '-x' || (s_suppkey % 4 + 1) end as line
         from supplier),
     e as (select line_no, regexp_extract(line, '(\\d+.\\d+.\\d+.\\d+) (student\\d+)-(.*)', 1) as ip,
                  regexp_extract(line, '(\\d+.\\d+.\\d+.\\d+) (student\\d+)-(.*)', 2) as name,
@@ -135,10 +135,7 @@ SQL = {
         select page_id, line_no, unnest(a) as path from m""",
     "host_entries": _HOSTS + " select line_no, ip, name, id from e",
     "host_map": _HOSTS + """
-        select name, max_by(ip, line_no) filter (where id = 'x1') as x1,
-               max_by(ip, line_no) filter (where id = 'x2') as x2,
-               max_by(ip, line_no) filter (where id = 'x3') as x3
-        from e group by name""",
+        select name, id, max_by(ip, line_no) as ip from e group by name, id""",
     "roles": _HOSTS + """,
         h as (select name, id, max_by(ip, line_no) as ip, substr(name, 8)::bigint as node_no from e group by name, id),
         c as (select *, ((node_no - (select min(node_no) from h)) // 4)::bigint as cluster from h)

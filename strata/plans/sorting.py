@@ -24,12 +24,12 @@ def range_sort_rank(spark, sf_dir):
 
 def range_partition_check(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return O.range_partition_check(li, "l_extendedprice", N_RANGES)
+    return O.range_partition_check(li, "l_extendedprice", N_RANGES, ["l_orderkey", "l_linenumber"])
 
 
 def partition_sort_check(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return O.partition_sort_check(li, "l_extendedprice", N_RANGES)
+    return O.partition_sort_check(li, "l_extendedprice", N_RANGES, ["l_orderkey", "l_linenumber"])
 
 
 LINEITEM_POSITION = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]

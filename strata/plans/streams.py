@@ -1,12 +1,11 @@
 """Stream twins over the driver tables.
 
-Each query lands its input table in two time-ordered halves in a fresh
+Each query lands its input table in four time-ordered parts in a fresh
 folder of the shared checkpoint directory and runs an ``availableNow``
-stream after each half on one checkpoint: the second run resumes from the
-state of the first. The result is compared with the batch twin's SQL.
-In production, bound micro-batches with ``maxFilesPerTrigger`` (or
-``maxBytesPerTrigger``); requests that then arrive after newer ones of their
-cluster are answered ``late`` by the lease stream.
+stream after each part on one checkpoint: every run resumes from the
+state of the one before. The result is compared with the batch twin's SQL.
+Micro-batches are bounded by ``maxFilesPerTrigger``; requests that arrive
+after newer ones of their cluster are answered ``late`` by the lease stream.
 """
 
 from __future__ import annotations
@@ -42,44 +41,30 @@ class _sized_shuffles:
         return False
 
 
-def _run_twice(spark, df, ts, name, build, keep=None, mode="append"):
-    landing, first, second = C.land_in_two_runs(spark, df, ts, name)
-    out, ckpt = fresh_dir(spark, f"{name}-out"), fresh_dir(spark, f"{name}-ckpt")
-    # state partitions are fixed by the first run of a checkpoint: size them
-    # from the input like a scan, then give the session its setting back
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(scan_partitions(df)))
-    try:
-        for write in (first, second):
+def _run_parts(spark, df, ts, name, sink, build=lambda stream: stream, mode="append"):
+    """Land ``df`` part by part in time order, with a run after each on one checkpoint: arrival order equals
+    time order between micro-batches, so the twin must equal the batch result."""
+    landing, writers = C.land_in_runs(spark, df, ts, name)
+    ckpt = fresh_dir(spark, f"{name}-ckpt")
+    with _sized_shuffles(spark, df):
+        for write in writers:
             write()
-            # each landed half is one micro-batch, so arrival order equals
-            # time order and the twin must equal the batch result (files of
-            # one half are not time-ordered among themselves)
-            stream = spark.readStream.schema(df.schema).parquet(landing)
-            C.run_available_now(build(stream), C.append_batches(out, keep), ckpt, None, mode)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    return out
+            C.run_available_now(build(C.open_stream(spark, df.schema, landing)), sink, ckpt, None, mode)
 
 
 def counter_values_stream(spark, sf_dir):
     """A3 per row on a stream: the counter's value after each event, in
     arrival order (the second run continues from the first run's total)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    landing, first, second = C.land_in_two_runs(spark, ev, "ts", "counter-values")
     out, totals = fresh_dir(spark, "counter-values-out"), fresh_dir(spark, "counter-values-totals")
-    ckpt = fresh_dir(spark, "counter-values-ckpt")
-    with _sized_shuffles(spark, ev):
-        for write in (first, second):
-            write()
-            stream = spark.readStream.schema(ev.schema).parquet(landing)
-            C.run_available_now(stream, S.counter_values_sink(out, totals, ["ts", "event_id"]), ckpt)
+    _run_parts(spark, ev, "ts", "counter-values", S.counter_values_sink(out, totals, ["ts", "event_id"]))
     return spark.read.parquet(out).select("event_id", "counter")
 
 
 def counter_stream(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    out = _run_twice(spark, ev, "ts", "counter", S.running_count, mode="update")
+    out = fresh_dir(spark, "counter-out")
+    _run_parts(spark, ev, "ts", "counter", C.append_batches(out), S.running_count, "update")
     return C.latest_per_key(spark, out, [], ["n"])
 
 
@@ -94,7 +79,8 @@ def balances_stream(spark, sf_dir):
             F.round(F.col("o_totalprice") * 100).cast("long").alias("amount"))
         return S.running_balances(transfers)
 
-    out = _run_twice(spark, o, "o_orderdate", "balances", build, mode="update")
+    out = fresh_dir(spark, "balances-out")
+    _run_parts(spark, o, "o_orderdate", "balances", C.append_batches(out), build, "update")
     moved = C.latest_per_key(spark, out, ["acct"], ["moved"])
     acc = vector_plan._accounts(spark, sf_dir)
     return (acc.join(moved, "acct", "left")
@@ -111,7 +97,8 @@ def lease_stream(spark, sf_dir):
         classified = LS.resolve_cluster(LS.parse_requests(stream), directory)
         return S.streaming_leases(classified.withColumn("t_us", micros("ts")))
 
-    out = _run_twice(spark, log, "ts", "lease", build)
+    out = fresh_dir(spark, "lease-out")
+    _run_parts(spark, log, "ts", "lease", C.append_batches(out), build)
     res = spark.read.parquet(out)          # batch_id comes from the folder names
     return res.select("request_id", "cluster", "grp", "action", "holder",
                       ntz_from_micros(F.col("booked_us")).alias("booked_at"))
@@ -121,15 +108,12 @@ def lease_stream_batched(spark, sf_dir):
     """L9 through the batch resolver per micro-batch (busy clusters split)."""
     log = lease_plan.request_log(spark, sf_dir)
     directory = lease_plan.directory(spark, sf_dir)
-    landing, first, second = C.land_in_two_runs(spark, log, "ts", "lease-batched")
     out, state = fresh_dir(spark, "lease-batched-out"), fresh_dir(spark, "lease-batched-state")
-    ckpt = fresh_dir(spark, "lease-batched-ckpt")
-    with _sized_shuffles(spark, log):
-        for write in (first, second):
-            write()
-            stream = spark.readStream.schema(log.schema).parquet(landing)
-            classified = LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
-            C.run_available_now(classified, S.lease_batches_sink(out, state), ckpt)
+
+    def build(stream):
+        return LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
+
+    _run_parts(spark, log, "ts", "lease-batched", S.lease_batches_sink(out, state), build)
     res = spark.read.parquet(out)
     return res.select("request_id", "cluster", "grp", "action", "holder",
                       ntz_from_micros(F.col("booked_us")).alias("booked_at"))

@@ -35,9 +35,16 @@ def vector_add_chunked(spark, sf_dir):
 def vector_add_array(spark, sf_dir):
     """V2: embedding i plus embedding i+1, element by element."""
     e = table(spark, sf_dir, "embeddings")
-    a = e.select("vec_id", F.col("embedding").alias("a"))
-    b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
-    return a.join(b, "vec_id").select("vec_id", V.array_add("a", "b").alias("sum_vec"))
+    ends = e.agg(F.min("vec_id").alias("lo"), F.max("vec_id").alias("hi"))
+    a = e.where(F.col("vec_id") < ends.select("hi").scalar()).select("vec_id", F.col("embedding").alias("a"),
+                                                                     F.lit(True).alias("_in_a"))
+    b = e.where(F.col("vec_id") > ends.select("lo").scalar()).select(
+        (F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"), F.lit(True).alias("_in_b"))
+    both = a.join(b, "vec_id", "full_outer")
+    gap = F.col("_in_a").isNull() | F.col("_in_b").isNull()
+    total = F.when(gap, F.raise_error(F.lit("vector_add_array: the vector ids have a gap"))) \
+        .otherwise(V.array_add("a", "b"))
+    return both.select("vec_id", total.alias("sum_vec"))
 
 
 def copy_verify(spark, sf_dir):

@@ -7,37 +7,38 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-RANGE_SAMPLE_PER_PARTITION = 200
-
-
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "strata") -> SparkSession:
     """Build (or reuse) a session with UTC time, AQE and the UI off.
 
-    On a cluster, pass ``master=None`` and let spark-submit decide; the
-    defaults below only apply when nothing else has set them.
+    What is already set (by spark-submit, ``spark-defaults.conf`` or an active session) stays as it is;
+    only arguments given here override it. Without any master the session is local.
     """
+    from pyspark import SparkConf, SparkContext
+
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    builder = (
-        builder
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.rangeExchange.sampleSizePerPartition",
-                str(RANGE_SAMPLE_PER_PARTITION))
+    if "PYSPARK_GATEWAY_PORT" in os.environ:        # started by spark-submit: its settings are in the JVM
+        SparkContext._ensure_initialized()
+    submitted = SparkConf()
+    master = master or os.environ.get("SPARK_MASTER") or submitted.get("spark.master", None) or f"local[{cpus}]"
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
         # the lease stream keeps per-cluster state in RocksDB
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    )
-    spark = builder.getOrCreate()
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+    if master.startswith("local"):
+        defaults |= {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
+    conf = {k: v for k, v in defaults.items() if not submitted.contains(k)}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}
+    spark = SparkSession.builder.appName(app).master(master).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -46,14 +47,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is always
-    used. Only when it is unset (local tests, bench) a scratch folder is
-    made and registered, so later calls agree.
+    used. Only when it is unset and the master is local (tests, bench) a scratch
+    folder is made and registered, so later calls agree; on a cluster that is an error, as
+    each machine would write to a disk of its own.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         path = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)

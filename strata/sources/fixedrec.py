@@ -25,6 +25,7 @@ so local, HDFS and S3 paths work alike.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -76,8 +77,9 @@ class _Reader(DataSourceReader):
         fs, root = _fs(self.path)
         info = fs.get_file_info(root)
         if info.type == pafs.FileType.Directory:
-            files = [f for f in fs.get_file_info(pafs.FileSelector(root, recursive=False))
-                     if f.type == pafs.FileType.File and not f.base_name.startswith(("_", "."))]
+            files = [f for f in fs.get_file_info(pafs.FileSelector(root, recursive=True))
+                     if f.type == pafs.FileType.File
+                     and not any(x.startswith(("_", ".")) for x in f.path.removeprefix(root).split("/"))]
         elif info.type == pafs.FileType.File:
             files = [info]
         else:
@@ -109,7 +111,7 @@ class _Reader(DataSourceReader):
                 got = len(buf)
                 if got < want:                            # the file ends inside this chunk
                     if got % rec:
-                        raise EOFError(f"read past eof: {partition.path} at offset {pos + got - got % rec}")
+                        raise EOFError(f"{partition.path} ends inside a record, which starts at offset {pos + got - got % rec}")
                     n, remaining = got // rec, got // rec
                     if n == 0:
                         return
@@ -141,8 +143,7 @@ def _columns(options) -> list[str]:
 
 @dataclass
 class _Written(WriterCommitMessage):
-    temp: str
-    final: str
+    path: str
 
 
 class _Writer(DataSourceArrowWriter):
@@ -153,7 +154,8 @@ class _Writer(DataSourceArrowWriter):
         self.key_len = int(options.get("keyLength", KEY_LEN))
         self.value_len = int(options.get("valueLength", VALUE_LEN))
         self.overwrite = overwrite
-        self.job = uuid.uuid4().hex[:12]
+        # sorts after every earlier job's name, so appended records come after what is there
+        self.job = f"job-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         names = [f.name for f in schema.fields]
         if names[:2] != ["key", "value"]:
             raise ValueError("fixedrec: the frame must start with key and value columns")
@@ -166,10 +168,11 @@ class _Writer(DataSourceArrowWriter):
         ctx = TaskContext.get()
         pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         fs, root = _fs(self.path)
-        tmp_dir = f"{root}/_temporary/{self.job}"
-        fs.create_dir(tmp_dir, recursive=True)
-        temp = f"{tmp_dir}/part-{pid:05d}-{attempt}"
-        final = f"{root}/part-{pid:05d}"
+        top = f"{root}/_temporary/{self.job}"
+        fs.create_dir(f"{top}/attempts", recursive=True)
+        fs.create_dir(f"{top}/{self.job}", recursive=True)
+        temp = f"{top}/attempts/part-{pid:010d}-{attempt}-{ctx.taskAttemptId()}"
+        final = f"{top}/{self.job}/part-{pid:010d}"
         with fs.open_output_stream(temp) as out:
             for batch in iterator:
                 n = batch.num_rows
@@ -188,30 +191,27 @@ class _Writer(DataSourceArrowWriter):
                 rows[:, :self.key_len] = kb[ko[0]:ko[-1]].reshape(n, self.key_len)
                 rows[:, self.key_len:] = vb[vo[0]:vo[-1]].reshape(n, self.value_len)
                 out.write(rows.tobytes())
-        return _Written(temp, final)
+        fs.move(temp, final)        # by the task; a second attempt writes the same records
+        return _Written(final)
 
     def commit(self, messages):
+        """One folder move publishes the job, whatever its number of parts."""
+        from pyarrow import fs as pafs
+
         fs, root = _fs(self.path)
-        if self.overwrite:
-            from pyarrow import fs as pafs
-
-            keep = {m.final for m in messages if m is not None}
-            for f in fs.get_file_info(pafs.FileSelector(root, recursive=False)):
-                if f.type == pafs.FileType.File and f.base_name.startswith("part-") and f.path not in keep:
-                    fs.delete_file(f.path)
-        for m in messages:
-            if m is not None:
-                fs.move(m.temp, m.final)
+        older = [f for f in fs.get_file_info(pafs.FileSelector(root, recursive=False))
+                 if f.base_name.startswith(("part-", "job-"))] if self.overwrite else []
+        if any(m is not None for m in messages):
+            fs.move(f"{root}/_temporary/{self.job}/{self.job}", f"{root}/{self.job}")
+        for f in older:
+            if f.type == pafs.FileType.Directory:
+                fs.delete_dir(f.path)
+            else:
+                fs.delete_file(f.path)
         _drop_temporary(fs, root, self.job)
 
     def abort(self, messages):
         fs, root = _fs(self.path)
-        for m in messages:
-            if m is not None:
-                try:
-                    fs.delete_file(m.temp)
-                except OSError:
-                    pass
         _drop_temporary(fs, root, self.job)
 
 
@@ -269,9 +269,10 @@ def read_records(spark, path: str, split_size: int | None = None, include_origin
 def write_records(df, path: str, mode: str = "error", key_len: int = KEY_LEN, value_len: int = VALUE_LEN):
     """One file per partition, in partition order.
 
-    ``mode``: ``error`` (default) refuses a folder that already holds files;
-    ``append`` writes into it (the reference's behaviour); ``overwrite``
-    replaces the part files. Spark offers only append and overwrite to Python
+    Every write makes a folder of its own whose name sorts after earlier ones;
+    part names sort by partition at any count. ``mode``: ``error`` (default)
+    refuses a folder that already holds files; ``append`` adds to it;
+    ``overwrite`` replaces what it holds. Spark offers only append and overwrite to Python
     sinks, so the refusal is checked here, before any task runs.
     """
     register(df.sparkSession)
@@ -291,3 +292,15 @@ def write_records(df, path: str, mode: str = "error", key_len: int = KEY_LEN, va
         raise ValueError(f"fixedrec: unsupported mode {mode!r}")
     (df.select("key", "value").write.format(NAME).mode(mode)
        .option("keyLength", key_len).option("valueLength", value_len).save(path))
+
+
+def sort_records(spark, in_path: str, out_path: str, n: int | None = None, mode: str = "error",
+                 key_len: int = KEY_LEN, value_len: int = VALUE_LEN) -> None:
+    """The sort job: record files in, record files out, sorted by unsigned key bytes, then value bytes.
+
+    ``n`` output partitions (default: shuffle parallelism); the parts one after the other are sorted.
+    """
+    from ..operators.ordering import range_sort
+
+    records = read_records(spark, in_path, key_len=key_len, value_len=value_len)
+    write_records(range_sort(records, ["key", "value"], n), out_path, mode, key_len, value_len)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import micros
 from ..session import fresh_dir
 
+#: bound of a micro-batch; with files of one block that is what one trigger holds
+FILES_PER_TRIGGER = 1000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -18,30 +20,38 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def land_in_two_runs(spark: SparkSession, df: DataFrame, ts: str, name: str):
-    """Split ``df`` at the middle of its time range into an earlier and a later
-    part, and return ``(landing_dir, write_first, write_second)``.
+def land_in_runs(spark: SparkSession, df: DataFrame, ts: str, name: str, parts: int = 4):
+    """Split ``df`` into ``parts`` equal stretches of its time range, and return
+    ``(landing_dir, writers)``, one writer per part.
 
-    The stream reads the landing folder; calling ``write_first`` then a run,
-    then ``write_second`` and a second run on the same checkpoint shows that
-    state carries across runs (restarts).
+    The stream reads the landing folder; a run after each writer on the same
+    checkpoint shows that state carries across batches and restarts.
     """
     landing = fresh_dir(spark, f"{name}-landing")
     t = micros(ts)
     lo_hi = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()  # two numbers to the driver
-    cut = None if lo_hi["lo"] is None else lo_hi["lo"] + (lo_hi["hi"] - lo_hi["lo"]) // 2
 
-    def write(part: DataFrame):
-        part.write.mode("append").parquet(landing)
-
-    def first():
-        write(df.where(t < F.lit(cut)) if cut is not None else df)
-
-    def second():
-        if cut is not None:
-            write(df.where(t >= F.lit(cut)))
-
-    return landing, first, second
+    def writer(part: DataFrame):
+        return lambda: part.write.mode("append").parquet(landing)
+
+    if lo_hi["lo"] is None:
+        return landing, [writer(df)]
+    cuts = [lo_hi["lo"] + (lo_hi["hi"] - lo_hi["lo"]) * i // parts for i in range(1, parts)]
+    edges = [None, *cuts, None]
+    writers = []
+    for lo, hi in zip(edges, edges[1:]):
+        inside = F.lit(True)
+        if lo is not None:
+            inside &= t >= F.lit(lo)
+        if hi is not None:
+            inside &= t < F.lit(hi)
+        writers.append(writer(df.where(inside)))
+    return landing, writers
+
+
+def open_stream(spark: SparkSession, schema, landing: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """A file stream whose micro-batches are bounded."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
 
 
 def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str,

@@ -47,12 +47,8 @@ def counter_values_sink(out: str, totals: str, order):
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            prev_df = (spark.read.parquet(totals).where(F.col("batch_id") < batch_id)
-                       .agg(F.max("total").alias("t")))
-            prev = prev_df.first()["t"] or 0          # one number
-        except Exception:  # noqa: BLE001 - no earlier batch has written yet
-            prev = 0
+        # every batch writes its total; one that can't be read fails this batch
+        prev = spark.read.parquet(f"{totals}/batch_id={batch_id - 1}").first()["total"] if batch_id else 0
         ranked = global_position(batch, order, out="_pos")
         ranked = materialize_batch(ranked.withColumn("counter", F.col("_pos") + F.lit(prev)).drop("_pos"),
                                    f"{out}/batch_id={batch_id}")
@@ -94,11 +90,13 @@ class LeaseProcessor(StatefulProcessor):
     bound them with ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``.
     """
 
-    def __init__(self, limit_s: int = LIMIT_SECONDS):
+    def __init__(self, limit_s: int = LIMIT_SECONDS, idle_ttl_s: int | None = None):
         self.limit_us = limit_s * US
+        self.idle_ttl_s = idle_ttl_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lease = handle.getValueState("lease", "holder string, booked_us long, last_t long, last_id long")
+        ttl = self.idle_ttl_s * 1000 if self.idle_ttl_s else None
+        self.lease = handle.getValueState("lease", "holder string, booked_us long, last_t long, last_id long", ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "request_id"], kind="stable")
@@ -145,9 +143,18 @@ class LeaseProcessor(StatefulProcessor):
         pass
 
 
-def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS) -> DataFrame:
+def late_requests(answers: DataFrame) -> DataFrame:
+    """Per cluster: requests served, and requests that came too late to be served in order."""
+    return answers.where("cluster is not null").groupBy("cluster").agg(
+        F.count_if(F.col("action") != "late").alias("served"), F.count_if(F.col("action") == "late").alias("late"))
+
+
+def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS, idle_ttl_s: int | None = None) -> DataFrame:
     """One action per request as requests arrive.
 
+    ``idle_ttl_s``: the state of a cluster without requests for so long (processing time) is dropped;
+    by default it is kept.
+
     ``classified``: a stream of ``request_id, t_us, grp, is_off, cluster, kind``.
     Requests of a known cluster go through the stateful processor; status
     and wrong-group requests need no state.
@@ -156,8 +163,8 @@ def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS) -> Dat
     req = classified.where(F.col("kind") == "request").select(
         "request_id", "t_us", "grp", "is_off", "cluster")
     stateful = req.groupBy("cluster").transformWithStateInPandas(
-        statefulProcessor=LeaseProcessor(limit_s), outputStructType=LEASE_OUT,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=LeaseProcessor(limit_s, idle_ttl_s), outputStructType=LEASE_OUT,
+        outputMode="Append", timeMode="ProcessingTime" if idle_ttl_s else "None")
     others = classified.where(F.col("kind") != "request").select(
         "request_id", "cluster", "grp", F.col("kind").alias("action"),
         F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"))
@@ -170,8 +177,8 @@ STATE_COLS = "cluster string, holder string, booked_us long, last_t long, last_i
 def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
     """L9 for busy clusters, as a ``foreachBatch`` sink.
 
-    Each micro-batch is resolved by the batch resolver (segment scan, fold
-    or pointer chain), so one busy cluster is spread over all tasks. The
+    Each micro-batch is resolved by the batch resolver (segment scan and
+    pointer chain), so one busy cluster is spread over all tasks. The
     state between batches is one row per cluster (holder, lease start, last
     request served), written per batch id in the shared folder. A live lease
     enters the next batch as a pseudo booking at its start time; requests
@@ -183,14 +190,9 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            older = spark.read.parquet(state).where(F.col("batch_id") < batch_id)
-            last_id = older.agg(F.max("batch_id")).first()[0]
-            prev = older.where(F.col("batch_id") == last_id).drop("batch_id") if last_id is not None else None
-        except Exception:  # noqa: BLE001 - nothing written yet
-            prev = None
-        if prev is None:
-            prev = spark.createDataFrame([], STATE_COLS)
+        # every batch writes the whole state; one that can't be read fails this batch
+        prev = (spark.read.schema(STATE_COLS).parquet(f"{state}/batch_id={batch_id - 1}") if batch_id
+                else spark.createDataFrame([], STATE_COLS))
         req = batch.where(F.col("kind") == "request")
         p = prev.select(F.col("cluster").alias("_pc"), F.col("last_t").alias("_lt"), F.col("last_id").alias("_li"))
         tagged = req.join(p, F.col("cluster") == F.col("_pc"), "left")
@@ -201,16 +203,17 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
         late = tagged.where(F.col("_late")).select(
             "request_id", "cluster", "grp", F.lit("late").alias("action"),
             F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"), "t_us")
-        # a live lease from earlier batches re-enters as a pseudo booking
+        # a live lease from earlier batches re-enters as a pseudo booking, under the id of the last request
+        # served there: before all requests of this batch, whatever their ids are
         live = prev.where((F.col("holder") != "") & F.col("booked_us").isNotNull())
         pseudo = live.select(
-            (F.lit(-1) - F.monotonically_increasing_id()).alias("request_id"),   # unique, no window
+            F.col("last_id").alias("request_id"), F.lit(True).alias("_carried"),
             ntz_from_micros(F.col("booked_us")).alias("ts"), F.lit(None).cast("string").alias("msg"),
             F.col("holder").alias("grp"), F.lit(False).alias("is_off"), "cluster", F.lit("request").alias("kind"))
         resolved = resolve_leases(in_order.unionByName(pseudo, allowMissingColumns=True)
                                   .unionByName(batch.where(F.col("kind") != "request").drop("t_us"),
                                                allowMissingColumns=True), limit_s)
-        answered = resolved.where(F.col("request_id") >= 0).select(
+        answered = resolved.where(F.col("_carried").isNull()).select(
             "request_id", "cluster", "grp", "action", "holder", "booked_us", "t_us")
         path = f"{out}/batch_id={batch_id}"
         answered.unionByName(late).write.mode("overwrite").parquet(path)

@@ -22,8 +22,11 @@ def test_hosts_map_and_roles(spark):
     e = X.host_entries(df, "line", ["line_no"])
     assert [(r.ip, r.name, r.id) for r in e.orderBy("line_no").collect()][0] == ("10.244.40.4", "student96", "x2")
     assert e.count() == 3
-    m = X.host_map(e).first()
-    assert (m.name, m.x1, m.x2, m.x3) == ("student96", "10.0.0.2", "10.0.0.1", None)   # later line wins
+    assert sorted(map(tuple, X.host_map(e).collect())) == [("student96", "x1", "10.0.0.2"),
+                                                           ("student96", "x2", "10.0.0.1")]   # later line wins
+    more = spark.createDataFrame([(9, "10.0.0.9 student96-x4"), (8, "10.0.0.8 student7-y")], "line_no long, line string")
+    got = X.host_map(X.host_entries(more, "line", ["line_no"])).collect()
+    assert sorted(map(tuple, got)) == [("student7", "y", "10.0.0.8"), ("student96", "x4", "10.0.0.9")]
     hosts = spark.createDataFrame([(0, n, f"student{93 + n}", f"x{i}") for n in range(4) for i in (1, 2, 3)],
                                   "cluster long, node_no long, name string, id string")
     roles = [r.role for r in X.roles(hosts, n_partitions=3).orderBy("node_no", "id").collect()]
@@ -43,7 +46,8 @@ def test_extract_rows_all_matches(spark):
                                         ("1_000", 1000.0), ("1e3", 1000.0), ("1.5d", None), ("", None)])
 def test_grade_coercion(spark, text, value):
     df = spark.createDataFrame([(text,)], "g string")
-    assert df.select(G.coerce_grade(F.col("g")).alias("v")).first().v == value
+    r = df.select(G.coerce_grade(F.col("g")).alias("v"), G.grade_cell(F.col("g")).alias("cell")).first()
+    assert r.v == value and r.cell == ("-" if value is None else str(value))
 
 
 def _sheet(spark):
@@ -61,9 +65,13 @@ def test_wide_to_long_updates_lookup(spark):
                                   "seq long, row_idx int, assignment int, grade string, feedback string")
     up = {(r.row_idx, r.assignment): (r.grade, r.feedback) for r in G.apply_updates(lg, saves).collect()}
     assert up[(2, 1)] == (None, "b") and up[(3, 2)] == (8.0, "c") and up[(2, 2)] == (2.0, "fine")
+    # a save with neither grade nor feedback clears the cell
+    none = spark.createDataFrame([(1, 2, 1, "7", "a"), (2, 2, 1, None, None)], saves.schema)
+    r = G.apply_updates(lg, none).where("row_idx = 2 and assignment = 1").first()
+    assert (r.grade, r.cell, r.feedback, r.updated) == (None, "-", None, True)
     req = spark.createDataFrame([(2, 3)], "row_idx int, assignment int")
     assert G.lookup(lg, req).first().grade == "3"
-    with pytest.raises(Exception, match="wrong assignment index"):
+    with pytest.raises(Exception, match="numbered 1 to 3"):
         G.lookup(lg, spark.createDataFrame([(2, 4)], "row_idx int, assignment int")).collect()
 
 

@@ -86,3 +86,23 @@ def test_chunk_sizes_property(spark, n, k):
         assert sizes[:-1] == [n // k] * (k - 1) and sizes[-1] == n // k + n % k
     else:
         assert sizes[-1] == n
+
+
+def test_partition_checks_with_nulls(spark):
+    """NULLs sort first; partitions of NULLs alone hide no overlap."""
+    rows = [(None,)] * 40 + [(i,) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int")
+    assert O.partition_sort_check(df, "k", 5).first().inversions == 0
+    assert O.range_partition_check(df, "k", 5).first().overlapping_ranges == 0
+    by_hand = spark.createDataFrame([(0, 5), (0, 9), (1, None), (1, None), (2, 7), (2, 8)], "p int, k int")
+    parts = by_hand.repartitionByRange(3, "p").sortWithinPartitions("p")
+    s = O._stitched(O.partition_summary(parts, "k"))
+    assert s.where("prev_hi > lo").count() == 1               # 9 before 7, past the NULLs
+    assert s.where("first_is_lower").count() == 1             # NULL after 9
+
+
+def test_ties_cut_a_frequent_key(spark):
+    df = spark.range(4000).selectExpr("id", "if(id % 3 > 0, 7, id % 50) as k")
+    one, cut = (O.partition_summary(O.range_sort(df, keys, 8), "k").collect() for keys in (["k"], ["k", "id"]))
+    assert max(r.n for r in cut) < 1000 < max(r.n for r in one)
+    assert O.partition_sort_check(df, "k", 8, ["id"]).first().inversions == 0

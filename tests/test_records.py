@@ -36,7 +36,7 @@ def test_truncated_file_raises_and_empty_file_is_empty(spark):
     d = tempfile.mkdtemp()
     with open(f"{d}/f", "wb") as f:
         f.write(b"x" * 250)
-    with pytest.raises(Exception, match="read past eof"):
+    with pytest.raises(Exception, match="ends inside a record"):
         read_records(spark, d).collect()
     with open(f"{d}/f", "wb") as f:
         f.write(b"")
@@ -48,18 +48,22 @@ def test_sort_write_read_round_trip(spark):
     recs = text_records(docs, "doc_id", "text").select("key", "value")
     out = tempfile.mkdtemp() + "/out"
     write_records(range_sort(recs, ["key"], 3), out)
-    assert sorted(os.listdir(out)) == ["part-00000", "part-00001", "part-00002"]
+    (job,) = os.listdir(out)
+    out_job = f"{out}/{job}"
+    assert sorted(os.listdir(out_job)) == [f"part-{i:010d}" for i in range(3)]
     # the concatenated files are sorted by unsigned key
-    blob = b"".join(open(f"{out}/{f}", "rb").read() for f in sorted(os.listdir(out)))
+    blob = b"".join(open(f"{out_job}/{f}", "rb").read() for f in sorted(os.listdir(out_job)))
     keys = [blob[i:i + 10] for i in range(0, len(blob), 100)]
     assert keys == sorted(keys) and len(blob) % 100 == 0
     back = read_records(spark, out, split_size=4096)
     a = recs.select(F.hex("key"), F.hex("value"))
     b = back.select(F.hex("key"), F.hex("value"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    # append into an existing directory is allowed (reference behaviour)
-    write_records(range_sort(recs, ["key"], 3), out, mode="append")
-    assert read_records(spark, out).count() == recs.count()
+    # append adds, after what is there
+    write_records(recs.limit(1), out, mode="append")
+    both = read_records(spark, out, include_origin=True).orderBy("_file", "_offset").collect()
+    assert len(both) == recs.count() + 1
+    assert b"".join(bytes(r.key) for r in both[:-1]) == b"".join(keys)
 
 
 def test_text_records_cover_whole_texts(spark):
@@ -86,3 +90,34 @@ def test_error_mode_refuses_existing_output(spark):
         write_records(df, out + "/new")
     write_records(df, out + "/new", mode="overwrite")
     assert read_records(spark, out + "/new").count() == 1
+
+
+def test_append_keeps_earlier_records(spark):
+    d = tempfile.mkdtemp()
+    recs = _write(f"{d}/a", 6)
+    out = d + "/out"
+    write_records(read_records(spark, f"{d}/a"), out)
+    more = spark.createDataFrame([(b"0123456789", b"v" * 90)], "key binary, value binary")
+    write_records(more, out, mode="append")
+    assert sorted(bytes(r.key) + bytes(r.value) for r in read_records(spark, out).collect()) == \
+        sorted(recs + [b"0123456789" + b"v" * 90])
+    write_records(more, out, mode="overwrite")
+    assert read_records(spark, out).count() == 1 and len(os.listdir(out)) == 1
+
+
+def test_part_names_sort_at_any_count():
+    names = [f"part-{i:010d}" for i in (0, 99_999, 100_000, 9_999_999)]
+    assert names == sorted(names)
+
+
+def test_sort_job(spark):
+    from strata.sources.fixedrec import sort_records
+
+    d = tempfile.mkdtemp()
+    recs = _write(f"{d}/a", 500)
+    sort_records(spark, f"{d}/a", f"{d}/out", n=4)
+    got = read_records(spark, f"{d}/out", include_origin=True).orderBy("_file", "_offset").collect()
+    assert [bytes(r.key) + bytes(r.value) for r in got] == sorted(recs)
+    assert len({r._file for r in got}) == 4
+    with pytest.raises(FileExistsError):
+        sort_records(spark, f"{d}/a", f"{d}/out")

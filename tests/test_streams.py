@@ -95,3 +95,28 @@ def test_sinks_are_idempotent_on_replay(spark):
     lease(b, 1)
     got2 = {r.request_id: (r.action, r.holder) for r in spark.read.parquet(out2).collect()}
     assert got2 == {0: ("book", "group01"), 1: ("wait", "group01"), 2: ("wait", "group01")}
+
+
+def test_negative_ids_are_answered(spark):
+    got = _run_batched(spark, [[(-7, 0, "group01"), (3, 100, "group02")], [(-9, 200, "group02"), (-2, 1000, "group02")]])
+    assert got == {-7: ("book", "group01"), 3: ("wait", "group01"), -9: ("wait", "group01"), -2: ("book", "group02")}
+
+
+def test_an_unreadable_state_fails_the_batch(spark):
+    import pytest
+
+    ev = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=10 * i)) for i in range(10)],
+                               "event_id long, ts timestamp_ntz")
+    out, totals = fresh_dir(spark, "tu-out"), fresh_dir(spark, "tu-totals")
+    sink = S.counter_values_sink(out, totals, ["ts", "event_id"])
+    sink(ev.where("event_id < 5"), 0)
+    spark.createDataFrame([("not a total",)], "total string").write.mode("overwrite").text(f"{totals}/batch_id=0")
+    with pytest.raises(Exception):
+        sink(ev.where("event_id >= 5"), 1)
+    with pytest.raises(Exception):
+        S.lease_batches_sink(out, fresh_dir(spark, "tu-state"))(ev, 1)      # batch 1 without the state of batch 0
+
+
+def test_late_requests_are_counted(spark):
+    df = spark.createDataFrame([("c1", "book"), ("c1", "late"), ("c1", "wait"), (None, "status")], "cluster string, action string")
+    assert [tuple(r) for r in S.late_requests(df).collect()] == [("c1", 2, 1)]
