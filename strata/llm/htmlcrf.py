@@ -435,7 +435,7 @@ def train(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_P
     characters; other pages teach nothing."""
     rows = pages.select(F.col(html_col).alias("html")).where("html is not null and length(html) <= 100000")
     keyed = rows.select(F.xxhash64("html").alias("key"), "html")
-    few = bounded_sample(keyed, F.lit(0), F.col("key"), sample_pages)
+    few = bounded_sample(keyed, F.pmod("key", F.lit(1)), F.col("key"), sample_pages)    # one group of all
     return fit(labelled_pages(sorted(r["html"] for r in few.select("html").collect())))
 
 
