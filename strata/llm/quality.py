@@ -146,7 +146,7 @@ def train_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     out = held_out(F.col(id_col)) if keep_out is None else keep_out
     ids = labels.where(~out & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("label"))
-    known = docs.select(id_col).distinct().join(ids, id_col)
+    known = docs.where(F.col(text_col).isNotNull()).select(id_col).distinct().join(ids, id_col)
     # a margin over the two samples, as either half is chosen by hash
     most = 4 * max(SAMPLE_ROWS, CALIBRATION_ROWS)
     chosen = bounded_sample(known, F.col("label"), F.col(id_col), most)
@@ -154,115 +154,6 @@ def train_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return train(materialize(rows.withColumnRenamed(id_col, "key"), "quality-sample"), counts=_counts(known))
 
 
-def score(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -500, 500)))
-
-
-class Evidence:
-    """Bytes saved by the good dictionary over the bad one, per byte of text."""
-
-    def __init__(self, good: bytes, bad: bytes):
-        import zstandard as z
-
-        def compressor(content):
-            if len(content) < 8:
-                return z.ZstdCompressor(level=LEVEL, write_content_size=False)
-            d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            return z.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False)
-
-        self.good, self.bad = compressor(good), compressor(bad)
-
-    def __call__(self, text: str | None) -> float:
-        if not text:
-            return 0.0
-        raw = text.encode()
-        good, bad, saved = self.good.compress, self.bad.compress, 0
-        for at in range(0, len(raw), BLOCK):
-            block = raw[at:at + BLOCK]
-            saved += len(bad(block)) - len(good(block))
-        return saved / len(raw)
-
-
-def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic regression on one feature by Newton steps, slightly damped."""
-    scale = float(np.abs(x).max(initial=0)) or 1.0
-    a = np.stack([x / scale, np.ones_like(x)], 1)
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (weight * (y - p)) - 1e-3 * w
-        hess = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w += step
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(w[0] / scale), float(w[1])
-
-
-def _evidence_of(df: DataFrame, text_col: str, good: bytes, bad: bytes) -> tuple[DataFrame, str]:
-    shared = df.sparkSession.sparkContext.broadcast((good, bad))
-
-    def make():
-        of = Evidence(*shared.value)
-        return lambda texts: [[of(t) for t in texts]]
-
-    out, (name,) = annotate(df, text_col, make, [("evidence", T.DoubleType())])
-    return out, name
-
-
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", key_col: str = "key",
-          sample_rows: int = SAMPLE_ROWS, calibration_rows: int = CALIBRATION_ROWS,
-          counts: dict[int, int] | None = None) -> Model:
-    """Fit on rows with a text, a label (1 good, 0 bad) and a key that the samples are chosen by.
-
-    ``counts``: rows of each label where they come from, if ``labelled`` is itself a sample.
-    """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"),
-                           F.col(key_col).alias("key")).where("text is not null and label in (0, 1)")
-    counts = counts or _counts(rows)
-    if set(counts) != {0, 1}:
-        return Model(b"", b"", 0.0, 0.0)
-    share = F.pmod(F.xxhash64(F.lit("calibrate"), "key"), F.lit(1000)) < int(1000 * CALIBRATION_SHARE)
-    # one piece of each text, as long as its share of the dictionary, from a place that the key's hash picks
-    per = F.lit(max(64, DICTIONARY_BYTES // max(1, sample_rows)))
-    at = F.pmod(F.xxhash64("key"), F.greatest(F.lit(1), F.length("text") - per + 1)).cast("int") + 1
-    pieces = bounded_sample(rows.where(~share).select("label", "key", F.substring("text", at, per).alias("piece")),
-                            F.col("label"), F.col("key"), sample_rows)
-    got = sorted((r["label"], r["piece"]) for r in pieces.select("label", "piece").collect())
-    good, bad = (("\n".join(p for k, p in got if k == label)).encode()[-DICTIONARY_BYTES:] for label in (1, 0))
-    few = bounded_sample(rows.where(share), F.col("label"), F.col("key"), calibration_rows)
-    scored, name = _evidence_of(few, "text", good, bad)
-    pairs = np.array([(r[0], r[1]) for r in scored.select(name, "label").collect()], float).reshape(-1, 2)
-    if len(set(pairs[:, 1])) < 2:
-        return Model(good, bad, 0.0, 0.0)
-    x, y = pairs[:, 0], pairs[:, 1]
-    # the sample holds as many rows of either label; weights restore the share that each has
-    weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
-    slope, offset = _fit_curve(x, y, weight * len(y) / weight.sum())
-    return Model(good, bad, slope, offset)
-
-
-def _counts(rows: DataFrame) -> dict[int, int]:
-    return {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-
-
-def train_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "quality", keep_out: Column | None = None) -> Model:
-    """Join ``labels`` to ``docs`` by id (held-out ids excluded) and fit.
-
-    Rows that can be chosen are found on ids and labels alone, so only chosen
-    texts meet a shuffle: at most a few thousand rows.
-    """
-    out = held_out(F.col(id_col)) if keep_out is None else keep_out
-    ids = labels.where(~out & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("label"))
-    known = docs.select(id_col).distinct().join(ids, id_col)
-    # a margin over the two samples, as either half is chosen by hash
-    chosen = bounded_sample(known, F.col("label"), F.col(id_col), 4 * max(SAMPLE_ROWS, CALIBRATION_ROWS))
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col)
-    return train(rows.withColumnRenamed(id_col, "key"))
-
-
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> tuple[DataFrame, list[str]]:
     """``docs`` plus (score, predicted), under names that no column has; second result: those names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -69,3 +69,19 @@ def test_whole_text_counts():
     e = Q.Evidence(words(rng, 3000).encode(), junk(rng, 3000).encode())
     good, bad = words(rng, 2000), junk(rng, 2000)
     assert e(good) > e(good + bad) > e(bad)
+
+
+def test_shares_hold_beyond_the_sample(spark):
+    most = 4 * max(Q.SAMPLE_ROWS, Q.CALIBRATION_ROWS)
+    # labels that say nothing of the text, so the score is the share of good rows: 4 in 5
+    docs = spark.range(9 * most).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("river "), F.sha1(F.col("id").cast("string"))).alias("text"))
+    labels = docs.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) > 0).cast("int").alias("quality"))
+    out = ~Q.held_out(F.col("doc_id"))
+    assert min(r["count"] for r in labels.where(out).groupBy("quality").count().collect()) > most
+    # rows without a text teach nothing, so they do not count either
+    blank = spark.range(9 * most, 20 * most).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    both = docs.unionByName(blank), labels.unionByName(blank.select("doc_id", F.lit(0).alias("quality")))
+    m = Q.train_on_labels(*both)
+    scored, (score, _) = Q.score(docs, m)
+    assert scored.agg(F.avg(score)).first()[0] == pytest.approx(0.8, abs=0.03)
