@@ -36,11 +36,12 @@ def tool_messages(conversations):
     """(calls, results) read from chat turns. A turn of the user calls ``reply`` and one of the system
     ``configure``, by the id <conversation>:<turn>, going on from the call two turns earlier; a turn of the
     assistant is the result of the call one turn earlier. The topic is what comes before the first comma;
-    a text with more lines than one gives its word count as text, which the schema refuses."""
+    a text with more lines than one gives its word count as text, which the schema refuses. Without a
+    conversation or a turn there is no id."""
     turn, text = F.col("turn"), F.col("text")
 
     def call_id(t):
-        return F.concat_ws(":", F.col("conv_id").cast("string"), t.cast("string"))
+        return F.concat(F.col("conv_id").cast("string"), F.lit(":"), t.cast("string"))
 
     words = F.size(F.split(F.trim(text), r"\s+"))
     topic = F.regexp_extract(text, r"^([^,\n]*),", 1)
@@ -61,7 +62,7 @@ def tool_messages(conversations):
 def op2_tool_call_linking(spark, sf_dir):
     calls, results = tool_messages(table(spark, sf_dir, "conversations"))
     schemas = spark.createDataFrame(TOOL_SCHEMAS, "name string, param string, type string, required boolean")
-    out = toolcalls.link_calls(calls, results, schemas)
+    out = toolcalls.link_calls(calls, results, schemas, copies=True)
     return out.select("conv_id", "call_id", "turn", "level", "status", "valid",
                       F.array_join("errors", ",").alias("errors"), "n_calls", "n_results", "json")
 

@@ -11,8 +11,10 @@ Arguments are parsed as variants: an object is checked against its tool's schema
 serialised with sorted keys and no white space.
 
 Defined results. Calls without an identifier are kept, at level 0, with status
-``no_id``. Of calls that share an identifier the first by (turn, name, arguments) is the call
-and ``n_calls`` says how many there were; results likewise (turn, content; ``n_results``). A result
+``no_id``. Of calls that share an identifier the first by (turn, name, arguments, parent) is the call
+and ``n_calls`` says how many there were; results likewise (turn, content; ``n_results``). With
+``copies`` the others follow as rows of their own, ``duplicate_call`` and ``duplicate_result``, at the level and
+with the counts of their identifier, their own arguments validated and serialised. A result
 whose call is missing is kept with status ``orphan_result``. A parent that is missing makes a
 root; calls on a cycle of parents, or behind one, have a null level and status
 ``cycle``. Null or invalid JSON, duplicate keys, values too large for a variant and
@@ -23,19 +25,35 @@ Numbers beyond 38 digits are serialised as doubles. Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 KEYS = ["conv_id", "call_id"]
+#: repeated identifiers are broadcast up to so many
+BROADCAST_ROWS = 200_000
+
+
+def _numbered(rows: DataFrame, uid: str) -> DataFrame:
+    """Rows with an identifier, written with a number each, so that equal rows can be told apart."""
+    rows = rows.where("call_id is not null").withColumn(uid, F.monotonically_increasing_id())
+    return materialize(rows, "numbered")
 
 
 def _first(rows: DataFrame, by: list[str], count: str) -> DataFrame:
-    """The first row of each (conversation, id) and how many there were."""
-    w = Window.partitionBy(*KEYS)
-    return (rows.withColumn("_r", F.row_number().over(w.orderBy(*by))).withColumn(count, F.count("*").over(w))
-            .where("_r = 1").drop("_r"))
+    """The first row of each (conversation, id) and how many there were; ``by`` holds all other columns.
+    Each task sends one row of an id on, however many it has."""
+    found = rows.groupBy(*KEYS).agg(F.min(F.struct(*by)).alias("_s"), F.count("*").alias(count))
+    return found.select(*KEYS, "_s.*", count)
+
+
+def _copies(rows: DataFrame, linked: DataFrame, uid: str, count: str, status: str) -> DataFrame:
+    """The numbered ``rows`` but the first of each (conversation, id), with what ``linked`` says of their id."""
+    ids = materialize(linked.where(F.col(count) > 1).select(*KEYS, F.col(uid).alias("_first"), "level", "n_calls",
+                                                            "n_results"), "repeated-ids")
+    found = _linked(rows, F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "inner")
+    return found.where(F.col(uid) != F.col("_first")).drop("_first").withColumn("copy", F.lit(status))
 
 
 def _linked(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -101,27 +119,36 @@ def errors(kinds: Column, params: Column) -> Column:
             .otherwise(F.array_sort(F.concat(missing, typed, unknown))))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row for each call and each orphan result.
+def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, copies: bool = False) -> DataFrame:
+    """One row for each call identifier, call without one and orphan result; with ``copies`` one also for each
+    further call and result of an identifier.
 
     ``calls``: conv_id, call_id (string), turn, name, arguments (JSON text), parent_id;
     ``results``: conv_id, call_id, turn, content; ``schemas``: name, param, type, required.
 
     Columns: conv_id, call_id, turn, parent_id, name, level, status (linked, no_result, orphan_result,
-    no_id, cycle), valid, errors, result_turn, n_calls, n_results, json.
+    no_id, cycle, duplicate_call, duplicate_result), valid, errors, result_turn, n_calls, n_results, json.
     """
     calls = calls.select("conv_id", F.col("call_id").cast("string").alias("call_id"), "turn",
                          F.col("name").cast("string").alias("name"), F.col("arguments").cast("string").alias("arguments"),
                          F.col("parent_id").cast("string").alias("parent_id"))
-    named = _first(calls.where("call_id is not null"), ["turn", "name", "arguments", "parent_id"], "n_calls")
-    named = materialize(named, "calls")
+    every_call = _numbered(calls, "_call_uid")
+    named = materialize(_first(every_call, ["turn", "name", "arguments", "parent_id", "_call_uid"], "n_calls"), "calls")
     answers = results.select("conv_id", F.col("call_id").cast("string").alias("call_id"),
                              F.col("turn").alias("result_turn"), F.col("content").cast("string").alias("content"))
-    known = _first(answers.where("call_id is not null"), ["result_turn", "content"], "n_results")
+    every_result = _numbered(answers, "_result_uid")
+    known = materialize(_first(every_result, ["result_turn", "content", "_result_uid"], "n_results"), "results")
     nameless = calls.where("call_id is null").withColumn("n_calls", F.lit(1).cast("long"))
     lost = answers.where("call_id is null").withColumn("n_results", F.lit(1).cast("long"))
     depth = levels(named).withColumn("has_level", F.lit(True))
-    rows = _linked(_linked(named, depth, "left"), known, "full")
+    linked = _linked(_linked(named, depth, "left"), known, "full")
+    rows = linked.withColumn("copy", F.lit(None).cast("string"))
+    if copies and not named.where("n_calls > 1").isEmpty():
+        rows = rows.unionByName(_copies(every_call, linked, "_call_uid", "n_calls", "duplicate_call"),
+                                allowMissingColumns=True)
+    if copies and not known.where("n_results > 1").isEmpty():
+        rows = rows.unionByName(_copies(every_result, linked, "_result_uid", "n_results", "duplicate_result"),
+                                allowMissingColumns=True)
     rows = rows.unionByName(nameless.withColumn("level", F.lit(0).cast("long")), allowMissingColumns=True)
     rows = rows.unionByName(lost, allowMissingColumns=True)
     wanted = schemas.select(F.col("name").alias("tool"), "param", "type", "required").distinct() \
@@ -133,8 +160,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     rows = rows.withColumn("parsed", F.when(F.schema_of_variant("parsed").startswith("OBJECT"), F.col("parsed")))
     kinds = F.transform_values(F.col("parsed").cast("map<string,variant>"),
                                lambda _, v: json_kind(F.schema_of_variant(v)))
-    is_call = F.col("n_calls").isNotNull()
-    status = (F.when(~is_call, "orphan_result").when(F.col("call_id").isNull(), "no_id")
+    is_call = F.coalesce(F.col("copy") == "duplicate_call", F.col("n_calls").isNotNull())
+    status = (F.when(F.col("copy").isNotNull(), F.col("copy")).when(~is_call, "orphan_result").when(F.col("call_id").isNull(), "no_id")
               .when(F.col("level").isNull(), "cycle").when(F.col("n_results").isNull(), "no_result")
               .otherwise("linked"))
     rows = rows.withColumn("errors", F.when(is_call, errors(kinds, F.col("params")))).withColumn("status", status)

@@ -84,3 +84,31 @@ def test_main_path_has_no_python(spark):
     from strata.llm import queries as Q
     plan = Q.op2_tool_call_linking(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_copies_are_rows_of_their_own(spark):
+    calls = [(1, "a", 1, "f", '{"x":1}', None), (1, "a", 2, "f", '{"x":"no"}', None), (1, "a", 2, "f", '{"x":"no"}', None),
+             (1, "b", 3, "f", '{"x":2}', "a"), (None, "a", 1, "f", '{"x":3}', None), (None, "a", 1, "f", '{"x":4}', None)]
+    results = [(1, "a", 5, "ok"), (1, "a", 6, "more"), (1, "a", 6, "more"), (1, "zz", 7, "lost"), (1, "zz", 8, "too")]
+    c, r = spark.createDataFrame([(*x, 5, "x") for x in calls], CALLS), spark.createDataFrame([(*x, 1) for x in results], RESULTS)
+    s = spark.createDataFrame(SCHEMAS, "name string, param string, type string, required boolean")
+    out = C.link_calls(c, r, s, copies=True).collect()
+    got = sorted((r.status, r.conv_id or 0, r.call_id, r.turn or 0, r.level, r.valid, r.result_turn, r.n_calls, r.n_results,
+                  json.loads(r.json)["result"], (json.loads(r.json)["arguments"] or {}).get("x")) for r in out)
+    assert got == [
+        ("duplicate_call", 0, "a", 1, 0, True, None, 2, 0, None, 4),
+        *[("duplicate_call", 1, "a", 2, 0, False, None, 3, 3, None, "no")] * 2,
+        *[("duplicate_result", 1, "a", 0, 0, None, 6, 3, 3, "more", None)] * 2,
+        ("duplicate_result", 1, "zz", 0, None, None, 8, 0, 2, "too", None),
+        ("linked", 1, "a", 1, 0, True, 5, 3, 3, "ok", 1), ("no_result", 0, "a", 1, 0, True, None, 2, 0, None, 3),
+        ("no_result", 1, "b", 3, 1, True, None, 1, 0, None, 2),
+        ("orphan_result", 1, "zz", 0, None, None, 7, 0, 2, "lost", None)]
+
+
+def test_every_message_of_a_query_is_a_row(spark, tmp_path):
+    from strata.llm import queries as Q
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "you"), (1, 1, "assistant", "one"), (1, 1, "assistant", "two"),
+            (1, None, "user", "x"), (1, None, "user", "y"), (1, None, "assistant", "z"), (None, 0, "user", "u")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(r.status for r in Q.op2_tool_call_linking(spark, str(tmp_path)).collect())
+    assert got == ["duplicate_call", "duplicate_result", "linked", "no_id", "no_id", "no_id", "orphan_result"]
