@@ -1,6 +1,7 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
-Vectors are dealt to shards by a hash, so repeated vectors and hot ids spread;
+Identical rows are first counted as one, of which no more than k copies can be among the k best.
+Vectors are dealt to shards, and queries to blocks, by a hash of id and vector, so repeated vectors and hot ids spread;
 a shard is built once into a ball tree of bounded bytes and written. Queries
 are a stated set, dealt into blocks; a (shard, block) pair is one group,
 and every pair is searched.
@@ -228,7 +229,7 @@ def _blocks(queries: DataFrame, block_bytes: int) -> DataFrame:
     blocks = counts.select(F.col("dim").alias("d"), F.greatest(
         F.lit(1), F.ceil(F.col("n") * F.col("dim") * 8 / block_bytes)).cast("int").alias("blocks"))
     return queries.join(blocks, queries["dim"] == blocks["d"]).select(
-        "id", "v", "dim", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+        "id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"))
 
 
 def _searched(pairs_of_trees: DataFrame, queries: DataFrame, k: int, first_leaf_only: bool) -> DataFrame:
@@ -255,9 +256,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     quantised vectors over all other rows, ties to the smaller id."""
     points = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"),
                             F.coalesce(is_query, F.lit(False)).alias("q")).where("id is not null and v is not null")
+    points = points.groupBy("id", "v").agg(F.max("q").alias("q"), F.count("*").alias("n"))
     points = materialize(points.withColumn("dim", F.size("v")), "vectors")
-    trees = materialize(_trees(points.select("id", "v", "dim"), shard_bytes), "ball-trees")
-    queries = points.where("q").select("id", "v", "dim").distinct()
+    # no more than k of a row's copies can be among the k best
+    copies = points.select("id", "v", "dim", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    trees = materialize(_trees(copies.select("id", "v", "dim"), shard_bytes), "ball-trees")
+    queries = points.where("q").select("id", "v", "dim")
     queries = materialize(_blocks(queries, block_bytes).withColumn("version", F.xxhash64("v")), "query-blocks")
     # every (shard, block) pair of one vector length is a group; the pairs come from key columns alone
     shards = trees.select("dim", "shard")

@@ -74,3 +74,29 @@ def test_search_prunes_and_stays_exact():
         B._scores = real
     assert (again.score == best.score).all() and (again.id == best.id).all()
     assert sum(seen) < 0.5 * len(q) * 4000
+
+
+def test_copies_and_hot_ids_are_spread(spark, monkeypatch):
+    rows = [(1, [1.0, 2.0])] * 3000 + [(2, [float(i), 1.0]) for i in range(500)] + [(i, [0.5, 0.25]) for i in range(3, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    dealt, trees, blocks = [], B._trees, B._blocks
+
+    def watched_trees(points, size):
+        dealt.append(points.groupBy("id", "v").count().agg(F.max("count")).first()[0])
+        return trees(points, size)
+
+    def watched_blocks(queries, size):
+        out = blocks(queries, 1000)
+        dealt.append(out.where("id = 2").select("block").distinct().count())
+        return out
+
+    monkeypatch.setattr(B, "_trees", watched_trees)
+    monkeypatch.setattr(B, "_blocks", watched_blocks)
+    got = B.top_k(df, F.col("vec_id") == 3, k=5).collect()
+    # 256 * 0.5 * 256 * 499 and so on: the last vectors of id 2 score highest
+    assert [(r.id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [
+        (2, 128 * 256 * x + 64 * 256) for x in (499, 498, 497, 496, 495)]
+    got = B.top_k(df.where("vec_id <> 2"), F.col("vec_id") == 3, k=4).collect()
+    assert [r.id for r in sorted(got, key=lambda r: r["rank"])] == [1] * 4
+    B.top_k(df, F.col("vec_id") == 2, k=5)
+    assert max(dealt[0::2]) <= 5 and dealt[-1] > 1
