@@ -32,11 +32,14 @@ def good_quality(spark, docs, sf_dir):
 
 
 def known_language(spark, docs, sf_dir):
-    """Documents whose text is in a learned language, and in the one they are tagged with, if any."""
+    """Documents with letters, but for those whose text contradicts their tag, if that is a learned language."""
     ship_package(spark)
-    found, (lang, _) = langid.predict(docs, langid.train_on_documents(docs))
-    same = F.col("lang").isNull() | (F.col(lang) == F.col("lang"))
-    return found.where((F.col(lang) != langid.UNKNOWN) & same).select(*docs.columns)
+    profiles = langid.train_on_documents(docs)
+    found, (lang, _) = langid.predict(docs, profiles)
+    # without a learned language every text is unknown, also those with letters
+    letters = (F.col(lang) != langid.UNKNOWN) | F.col("text").rlike(r"\p{L}")
+    contradicted = F.col("lang").isin(profiles.names) & (F.col(lang) != F.col("lang"))
+    return found.where(letters & ~F.coalesce(contradicted, F.lit(False))).select(*docs.columns)
 
 
 def one_of_near_duplicates(spark, docs, sf_dir):

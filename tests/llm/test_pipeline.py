@@ -90,3 +90,19 @@ def test_edge_tables(spark, rows):
         else:
             assert out.count() == docs.count()
         docs = materialize(out, "edge")
+
+
+def test_language_stage_keeps_what_it_cannot_judge(spark):
+    known_language = dict(P.STAGES)["language ID"]
+    schema = table(spark, SF, "documents").select("doc_id", "text", "lang").schema
+    texts = {r.lang: r.text for r in table(spark, SF, "documents").collect()}
+    untagged = [(i, t, None) for i, t in enumerate(texts.values())] + [(90, "42 !!", None), (91, None, None)]
+    got = known_language(spark, spark.createDataFrame(untagged, schema), SF).collect()
+    assert {r.doc_id for r in got} == set(range(len(texts)))
+    held = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    one, other = sorted(texts)[:2]
+    seen = [i for i in range(100, 200) if i not in held]
+    rows = [*((i, texts[one], one) for i in seen[:20]), *((i, texts[other], other) for i in seen[20:40]),
+            (held[0], texts[one], "xx"), (held[1], texts[one], other), (held[2], "42", "xx")]
+    got = {r.doc_id for r in known_language(spark, spark.createDataFrame(rows, schema), SF).collect()}
+    assert got == {*seen[:40], held[0]}
