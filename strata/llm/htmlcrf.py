@@ -57,6 +57,8 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)(
 _ATTR = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _NAME = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+#: an unquoted value takes the slash before the end of the tag
+_UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"'>]+/$""")
 _END = {t: re.compile(f"</{t}", re.I) for t in RAW}
 
 
@@ -101,7 +103,7 @@ def blocks(page: str, paths: Paths) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int]] = []
     text: list[str] = []
-    at = links = linked = silent = 0
+    at = links = linked = silent = 0        # silent: how many silent elements are open
 
     def flush():
         nonlocal linked
@@ -138,6 +140,23 @@ def blocks(page: str, paths: Paths) -> list[Block]:
             links = max(0, links + (-1 if m[1] else 1))
         elif tag == "br":
             text.append(" ")
+        elif silent or tag in SILENT:
+            # dropped like an inline element: what is open around it goes on
+            if tag not in BLOCK:
+                continue
+            if m[1]:
+                i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+                if i is None:
+                    continue
+                outer = next((j for j, (t, _) in enumerate(stack) if t in SILENT), len(stack))
+                if i < outer:       # the end of an element around a silent one that was not closed
+                    pop_to(outer)
+                    flush()
+                    links = 0
+                pop_to(i)
+            elif tag not in VOID and not (tag == "svg" and m[3].endswith("/") and not _UNQUOTED_SLASH.search(m[3])):
+                stack.append((tag, paths.child(stack[-1][1] if stack else 0, tag, m[3].strip())))
+                silent += tag in SILENT
         elif tag in BLOCK:
             flush()
             links = 0
@@ -161,9 +180,10 @@ def blocks(page: str, paths: Paths) -> list[Block]:
                         low = i
                 pop_to(low)
             stack.append((tag, paths.child(stack[-1][1] if stack else 0, tag, m[3].strip())))
-            silent += tag in SILENT
     if at < len(page) and not silent:
         text.append(page[at:])
+    if silent:
+        pop_to(next(j for j, (t, _) in enumerate(stack) if t in SILENT))
     flush()
     return out
 

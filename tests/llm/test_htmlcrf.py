@@ -108,3 +108,15 @@ def test_training_without_pages(spark):
     assert H.train(spark.createDataFrame([(PAGE,)] * 3, "html string")) == H.train(
         spark.createDataFrame([(PAGE,)] * 3, "html string"))
     assert np.isfinite(list(m.weight.values())).all()
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<p>a <svg class="icon"/> b</p><p>c</p>', ["a b", "c"]), ("<p>a <svg hidden/>b", ["a b"]),
+    ("<p>a <svg class=icon/>x</svg>b</p>c", ["a b", "c"]), ("<p>a <svg><text>x</text></svg> b</p>", ["a b"]),
+    ("<p>a <noscript><p>x<div>y</div></noscript> b</p>", ["a b"]), ("<p>a <object><svg>x</svg>y</object> b", ["a b"]),
+    ("<div><p>a <svg>x</p>b</div>c", ["a", "b", "c"]), ("<p>a <map>x", ["a"]), ("<p>a</svg> b</p>", ["a b"])])
+def test_silent_elements_are_inline(page, want):
+    paths = H.Paths()
+    got = H.blocks(page, paths)
+    assert [b.text for b in got] == want
+    assert all("a:svg" not in paths.features[b.path] for b in got)
