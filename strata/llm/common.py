@@ -14,8 +14,8 @@ from ..session import materialize
 
 #: rows are cut to about this many text bytes before a Python step holds them as objects
 SLICE_BYTES = 8 << 20
-#: a sample takes the most frequent groups up to this many, which bounds it as a whole
-GROUPS = 10_000
+#: counts of a sample's groups are broadcast up to so many groups
+BROADCAST_GROUPS = 200_000
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -94,13 +94,14 @@ def bounded_sample(df: DataFrame, group: Column, key: Column, rows: int) -> Data
     The choice depends on the keys alone, not on partitions. Groups are counted
     first, and only rows whose hash lies in the share that holds about twice
     ``rows`` of them are shuffled, so a hot group sends a bounded number of rows to
-    its reducer at every size. A null group is a group.
+    its reducer at every size. A null group is a group, and every group gives rows, however many there are.
     """
     g, h, r, k, n, u = (unused(df, x) for x in ("_g", "_h", "_r", "_k", "_n", "_u"))
     top = 1 << 40
     keyed = df.withColumns({g: group, k: key, h: F.pmod(F.xxhash64(key), F.lit(top))})
     counts = df.select(group.alias(u)).groupBy(u).agg(F.count("*").alias(n))
-    near = keyed.join(F.broadcast(materialize(counts.orderBy(F.col(n).desc()).limit(GROUPS), "group-counts")),
+    counts = materialize(counts, "group-counts")
+    near = keyed.join(F.broadcast(counts) if counts.count() <= BROADCAST_GROUPS else counts,
                       F.col(g).eqNullSafe(F.col(u)))
     near = near.where(F.col(h).cast("double") * F.col(n) <= F.lit(float(top)) * (2 * rows + 100))
     w = Window.partitionBy(g).orderBy(h, k)

@@ -8,8 +8,8 @@ profile lacks costs the profile's size. The least distance names the language,
 and 1 minus that distance over the greatest possible one is the score.
 
 Profiles are fitted on at most ``sample_rows`` rows of each language (those with
-the smallest key hash), counted whole on the executors; documents are ranked
-over their whole text.
+the smallest key hash), counted whole on the executors; every language is learned, and the driver and each
+task hold one rank table of languages by n-grams. Documents are ranked over their whole text.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
 so is everything if no language was learned; equal distances go to the smaller

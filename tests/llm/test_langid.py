@@ -88,3 +88,14 @@ def test_ties_and_empty(spark):
 def test_long_text():
     p = L.Profiles({k: L.ranked(*L.grams(t)).tolist() for k, t in TEXTS.items()})
     assert p.predict(TEXTS["de"] * 3000)[0] == "de"
+
+
+def test_every_group_is_sampled(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from strata.llm import common
+    df = spark.range(20_100).select("id", F.when(F.col("id") > 0, F.col("id") % 10_050).alias("lang"))
+    got = common.bounded_sample(df, F.col("lang"), F.col("id"), 1)
+    assert got.count() == got.distinct().count() == 10_051          # one of each, and the null group
+    monkeypatch.setattr(common, "BROADCAST_GROUPS", 10, raising=False)
+    assert sorted(map(str, common.bounded_sample(df, F.col("lang"), F.col("id"), 1).collect())) == sorted(map(str, got.collect()))
