@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_dir
 from ..sources.tables import table
-from . import balltree, bpe, decontam, htmlcrf, langid, quality, simhash, tokencount, toolcalls, urlfilter
+from . import (balltree, bpe, decontam, fim, hardneg, htmlcrf, langid, oph, quality, simhash, tokencount, toolcalls,
+               urlfilter)
 from .common import held_out
 
 
@@ -129,9 +130,31 @@ def op10_language_id(spark, sf_dir):
                       F.col(score).alias("score"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, at = fim.rearrange(docs, "doc_id", "text")
+    back, text = fim.restore(out.drop("text"), at["output"], at["form"])
+    return back.select("doc_id", F.col(at["n"]).alias("n"), F.col(at["form"]).alias("form"),
+                       F.col(at["prefix_units"]).alias("prefix_chars"), F.col(at["middle_units"]).alias("middle_chars"),
+                       F.sha2(at["output"], 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hardneg.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_document_fingerprints(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return oph.edited_neighbours(docs).select("doc_id", "n_chars", "edited_sha256", "fingerprint",
+                                              "edited_fingerprint", "near_edited", "near_next")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_tool_call_linking, op3_url_filter, op4_exact_top_k, op5_simhash_near_dedup,
-    op6_quality_classifier, op7_bpe_encode_decode, op8_token_counts, op9_benchmark_decontamination, op10_language_id)}
+    op6_quality_classifier, op7_bpe_encode_decode, op8_token_counts, op9_benchmark_decontamination, op10_language_id,
+    op11_fill_in_middle, op12_hard_negatives, op13_document_fingerprints)}
 
 _RULES = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
 
@@ -188,4 +211,37 @@ SQL: dict[str, str] = {
                coalesce(n_hit, 0) > 0 as contaminated
         from words d left join covered c on c.doc_id = d.id left join named m on m.doc_id = d.id
         where d.kind = 'd'""",
+    "op11_fill_in_middle": """
+        with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, ''))::bigint as n,
+                          sha256('1:' || coalesce(doc_id::varchar, '')) as x from documents),
+        h as (select doc_id, t, n, ('0x' || x[1:8])::bigint % (n + 1) as c1, ('0x' || x[9:16])::bigint % (n + 1) as c2,
+                     ('0x' || x[17:24])::bigint as h3, ('0x' || x[25:32])::bigint as h4 from d),
+        f as (select doc_id, t, n, least(c1, c2) as a, greatest(c1, c2) as b,
+                     case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                               or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+              from h),
+        p as (select *, '<P>' || substring(t, 1, a) as pre, '<M>' || substring(t, a + 1, b - a) as mid,
+                     '<S>' || substring(t, b + 1, n - b) as suf from f)
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+               case when form <> 'plain' then b - a end as middle_chars,
+               sha256(case form when 'plain' then t when 'psm' then pre || suf || mid else suf || pre || mid end)
+                   as output_sha256, sha256(t) as restored_sha256
+        from p""",
+    "op12_hard_negatives": """
+        with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                          list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
+                   from embeddings where vec_id is not null and label is not null and embedding is not null
+                     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+                     coalesce(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])), 0)::bigint
+                         as score
+              from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+        p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+              qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+        n as (select anchor_id, positive_id, vec_id as negative_id, positive_score, s.score as negative_score,
+                     row_number() over (partition by anchor_id, positive_id order by s.score desc, vec_id) as rank
+              from p join s using (anchor_id)
+              where not same and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score)
+        select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
+        from n where rank <= 3""",
 }

@@ -21,7 +21,7 @@ def out_fold(doc_id):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in Q.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in Q.QUERIES}
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
@@ -152,3 +152,14 @@ def test_op10(spark, con):
     assert all(r.held_out == out_fold(r.doc_id) and 0 <= r.score <= 1 for r in rows)
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows if r.held_out]) > 0.97
     assert set(collections.Counter(r.lang_pred for r in rows)) <= set(lang.values()) | {"und"}
+
+
+def test_op13(spark, texts):
+    from strata.llm import oph
+    from test_oph import expected
+
+    rows = Q.op13_document_fingerprints(spark, SF).collect()
+    assert sorted(tuple(r) for r in rows) == sorted(expected(texts.items()))
+    near = [r.near_edited for r in rows if r.n_chars > 2000]
+    assert 0.2 < np.mean(near) < 0.5                     # half of the text is another's
+    assert all(len(r.fingerprint) == oph.BINS * oph.BITS // 4 for r in rows if r.n_chars)
