@@ -92,25 +92,25 @@ def minima(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return out
 
 
-def packed(values: np.ndarray, bits: int = BITS) -> str:
-    """The low-order ``bits`` of every value, in bin order, as hex."""
+def packed(values: np.ndarray, bits: int = BITS) -> bytes:
+    """The low-order ``bits`` of every value, in bin order."""
     at = np.arange(bits - 1, -1, -1, dtype=np.uint64)
-    return np.packbits(((values[:, None] >> at) & np.uint64(1)).astype(np.uint8)).tobytes().hex()
+    return np.packbits(((values[:, None] >> at) & np.uint64(1)).astype(np.uint8)).tobytes()
 
 
-def fingerprint(text: str | None, width: int = WIDTH, bins: int = BINS, bits: int = BITS) -> str:
-    """The fingerprint of one text; '' without words."""
+def fingerprint(text: str | None, width: int = WIDTH, bins: int = BINS, bits: int = BITS) -> bytes:
+    """The fingerprint of one text; empty without words."""
     hashes = shingle_hashes(text, width)
-    return packed(minima(hashes, bins), bits) if len(hashes) else ""
+    return packed(minima(hashes, bins), bits) if len(hashes) else b""
 
 
-def likeness(a: str, b: str, bits: int = BITS) -> float:
+def likeness(a: bytes, b: bytes, bits: int = BITS) -> float:
     """The estimated Jaccard similarity of two fingerprints of the same ``bits``, chance agreements taken off."""
     if a == b:
         return 1.0
     if not a or not b:
         return 0.0
-    x, y = (np.unpackbits(np.frombuffer(bytes.fromhex(f), np.uint8)).reshape(-1, bits) for f in (a, b))
+    x, y = (np.unpackbits(np.frombuffer(f, np.uint8)).reshape(-1, bits) for f in (a, b))
     chance = 2.0 ** -bits
     share = float((x == y).all(1).mean())
     return min(1.0, max(0.0, (share - chance) / (1 - chance)))
@@ -127,7 +127,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", width: int = WIDTH, bi
     _check(bins, bits)
 
     def make():
-        return lambda texts: [[fingerprint(t, width, bins, bits) for t in texts]]
+        return lambda texts: [[fingerprint(t, width, bins, bits).hex() for t in texts]]
 
     found, names = annotate(docs, text_col, make, [(out, T.StringType())])
     return found, names[0]
@@ -139,8 +139,8 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-FIELDS = [("n_chars", T.LongType()), ("edited_sha256", T.StringType()), ("fingerprint", T.StringType()),
-          ("edited_fingerprint", T.StringType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
+FIELDS = [("n_chars", T.LongType()), ("edited_sha256", T.BinaryType()), ("fingerprint", T.BinaryType()),
+          ("edited_fingerprint", T.BinaryType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
 #: of partitions: number, is this its first or last row, and that row's text
 EDGE = [("part", T.IntegerType()), ("is_first", T.BooleanType()), ("is_last", T.BooleanType()),
         ("text", T.StringType())]
@@ -149,13 +149,14 @@ EDGE = [("part", T.IntegerType()), ("is_first", T.BooleanType()), ("is_last", T.
 def _compared(text: str, fp: str, following: str, next_fp: str, make, bits: int) -> tuple:
     new = edited(text, following)
     new_fp = fp if new == text else make(new)
-    return (len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fp, new_fp,
+    return (len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), fp, new_fp,
             likeness(fp, new_fp, bits), likeness(fp, next_fp, bits))
 
 
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                       bins: int = BINS, bits: int = BITS, partitions: int | None = None) -> DataFrame:
-    """(id, ``FIELDS``): each document's fingerprint, that of its text edited by the next document, and likenesses."""
+    """(id, ``FIELDS``, digests and fingerprints as hex): each document's fingerprint, that of its text edited by the
+    next document, and likenesses."""
     _check(bins, bits)
     n = partitions or default_partitions(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
@@ -207,7 +208,9 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     done = lasts.select("id", "text", "fingerprint", "following", "fp").mapInArrow(
         complete, T.StructType(schema.fields[:7]))
-    return found.where("not is_last").select(*done.columns).unionByName(done).withColumnRenamed("id", id_col)
+    whole = found.where("not is_last").select(*done.columns).unionByName(done)
+    return whole.select(F.col("id").alias(id_col), *(F.lower(F.hex(f)).alias(f) if isinstance(t, T.BinaryType)
+                                                     else F.col(f) for f, t in FIELDS))
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
