@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import chunk_id
-from ..session import default_partitions, ship_package
-from .scan import Scan, _names, global_position, ordered_scan
+from ..session import ship_package
+from .scan import Scan, global_position, ordered_scan
+from .splits import _names, exchange, plan
 
 __all__ = [
     "range_sort", "partition_summary", "range_partition_check", "partition_sort_check",
@@ -23,13 +24,14 @@ __all__ = [
 def range_sort(df: DataFrame, keys: Sequence, n: int | None = None) -> DataFrame:
     """O1-O3: partitions hold ascending, disjoint key ranges, each sorted.
 
-    Split points come from a sample of the keys (range exchange), the sort
+    Split points are quantiles of a merged KLL sketch of the first key (``splits``), the sort
     runs inside each partition, so writing the partitions in order gives a
-    sorted whole. ``n`` defaults to the shuffle parallelism and is kept as
+    sorted whole. ``n`` follows from the measured bytes unless it is given, and is kept as
     asked (REPARTITION_BY_NUM: AQE does not coalesce it).
     """
-    n = n or default_partitions(df.sparkSession)
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    named = _names(keys)
+    n, points = plan(df, named, n)
+    return exchange(df, named if points else keys, n, points).sortWithinPartitions(*keys)
 
 
 def _summary_schema(dt: T.DataType) -> T.StructType:

@@ -11,11 +11,15 @@
 
 A ``Window.partitionBy(group)`` puts a whole group in one task; with few
 groups (4 clusters, 7 chunks, one global order) that is one task per group
-whatever the cluster size. Instead every row gets an explicit bucket: its place
-among bounds on ``(group, order)`` that come from a hash sample of those keys.
-The sample depends on the data alone, so every branch of a plan, every run and every
-retried task computes the same bucket; nothing rests on an exchange being
-reused. Windows run per ``(group, bucket)``, and a per-bucket aggregate
+whatever the cluster size. Instead the rows go through one range exchange on
+``(group, order)`` (``splits``), and the number of the partition that a row lands in, its bucket, is
+written with it, once, to the shared folder. Whatever is computed from the buckets later, and any retried
+task, reads the same written numbers; no row is compared with bounds again, and plans
+do not grow with the bucket count.
+
+Positions in one global order need no window: a bucket is sorted when it is written, a row's place in
+it is the low part of ``monotonically_increasing_id``, and the bucket sizes give the offsets. All
+other scans are windows per ``(group, bucket)``, one task per bucket, and a per-bucket aggregate
 carries counts, sums and last values from the earlier buckets of a group. Only
 groups that span buckets need that table: at most two rows per bucket, the bound
 that makes its broadcast safe at any data size.
@@ -30,13 +34,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+from .splits import _names, exchange, measured_partitions, plan, written_tasks
+
 KINDS = ("row_number", "sum", "ffill", "lag", "segment")
-BUCKET_BYTES = 1 << 30           # a bucket's share of the input, by Catalyst's size estimate
-SMALL_BUCKET_BYTES = 1 << 20     # while there are fewer buckets than cores
-ROW_BYTES = 200                  # a row's share where rows are counted
-SAMPLE_PER_BUCKET = 20
-_HASH = 1 << 30
 _B = "_scan_b"
+_ID = "_scan_id"
+_LOCAL_BITS = 33                 # of monotonically_increasing_id: the row's place in its partition
 
 
 @dataclass(frozen=True)
@@ -55,64 +59,24 @@ class Scan:
             raise ValueError("a segment scan needs a gap")
 
 
-def _names(cols) -> list[str]:
-    return [c if isinstance(c, str) else c._jc.toString() for c in cols]
-
+def _bucketed(df: DataFrame, keys: list[str], n: int, points: list[int] | None = None) -> DataFrame:
+    """``df`` with its bucket, written once: the partition of a range exchange on ``keys``."""
+    x = exchange(df, keys, n, points).withColumn(_B, F.spark_partition_id())
+    return materialize(x.coalesce(written_tasks(df, n)), "scan-buckets")
 
-def scan_partitions(df: DataFrame) -> int:
-    """Buckets for a scan, from the input alone and not bounded by any session setting.
 
-    While Catalyst's size estimate asks for no more buckets than there are cores, there are as many
-    as leave each ``SMALL_BUCKET_BYTES``. Beyond, the estimate is not trusted (after joins it
-    multiplies sizes): rows are counted, and each bucket gets ``BUCKET_BYTES`` of them.
-    """
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimate > cores * SMALL_BUCKET_BYTES:
-        estimate = min(estimate, df.count() * ROW_BYTES)
-    return max(1, min(cores, -(-estimate // SMALL_BUCKET_BYTES)), -(-estimate // BUCKET_BYTES))
-
-
-def _bounds(df: DataFrame, keys: list[str], n: int) -> Column | None:
-    """At most ``n - 1`` ascending split points of the keys, as a constant array; None for an empty frame.
-
-    Every ``SAMPLE_PER_BUCKET``-th row of a sample becomes one: the rows with the smallest
-    key hashes, about ``SAMPLE_PER_BUCKET * n`` of them, which is what reaches the driver.
-    """
-    wanted = SAMPLE_PER_BUCKET * n
-    hashed = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(_HASH)).alias("_hash"))
-    if wanted <= 20_000:
-        sample = hashed.orderBy("_hash").limit(wanted)
-    else:
-        share = min(1.0, wanted / max(1, df.count()))
-        sample = hashed.where(F.col("_hash") <= int(_HASH * share))
-    drawn = sample.select(*keys).orderBy(*keys).collect()
-    if not drawn:
-        return None
-    picked = sorted({len(drawn) * i // n for i in range(1, n)})
-    types = [df.schema[k].dataType for k in keys]
-    return F.array_sort(F.array(*[
-        F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(drawn[i], types, keys)]) for i in picked]))
-
-
-def _bucketed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """``df`` with its bucket: how many of the bounds are at or below its keys."""
-    bounds = _bounds(df, keys, n) if n > 1 else None
-    if bounds is None:
-        return df.withColumn(_B, F.lit(0))
-    key = F.struct(*[F.col(k) for k in keys])
-    # binary search: the bounds in [lo, hi) are not yet compared with the row's keys
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-
-    def step(s, _):
-        mid = F.shiftright(s["lo"] + s["hi"], 1)
-        below = F.get(bounds, mid) <= key
-        open_ = s["lo"] < s["hi"]
-        return F.struct(F.when(open_ & below, mid + 1).otherwise(s["lo"]).alias("lo"),
-                        F.when(open_ & ~below, mid).otherwise(s["hi"]).alias("hi"))
-
-    steps = F.array(*[F.lit(i) for i in range(n.bit_length())])
-    return df.withColumn(_B, F.aggregate(steps, start, step, lambda s: s["lo"]))
+def _placed(df: DataFrame, order: list[str], outs: list[str], n: int, points: list[int] | None) -> DataFrame:
+    """``df`` with each row's 1-based place in ``order`` under every name of ``outs``: one exchange, no window."""
+    x = exchange(df, order, n, points).sortWithinPartitions(*order).withColumn(_ID, F.monotonically_increasing_id())
+    x = materialize(x.coalesce(written_tasks(df, n)), "scan-places")
+    bucket, local = F.shiftright(_ID, _LOCAL_BITS), F.col(_ID).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    sizes = x.groupBy(bucket.alias("_ob")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per bucket: what the window runs over, and what is broadcast
+    earlier = Window.orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_ob", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o"))
+    joined = x.join(F.broadcast(offsets), bucket == F.col("_ob"))
+    place = F.col("_o") + local + 1
+    return joined.select(*[F.col(c) for c in df.columns if c not in outs], *[place.alias(o) for o in outs])
 
 
 def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Sequence[Scan] = (),
@@ -120,9 +84,16 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
     """Add the scan columns to ``df``; see the module doc. ``order`` should be total."""
     order, group = _names(order), _names(group)
     scans = [s if isinstance(s, Scan) else Scan(*s) for s in scans]
-    n = n_partitions or scan_partitions(df)
+    # a group column has few values as a rule: its prefix parts nothing, so only the count is planned then
+    n, points = plan(df, order, n_partitions) if not group else (n_partitions or measured_partitions(df), None)
+    if n > 1 and not group and all(s.kind == "row_number" for s in scans):
+        return _placed(df, order, [s.out for s in scans], n, points)
     types = {f.name: f.dataType for f in df.schema.fields}
-    x = _bucketed(df, [*group, *order], n)
+    if n > 1:
+        x0 = _bucketed(df, [*group, *order], n, points)
+        x = x0.repartitionById(n, F.col(_B))
+    else:
+        x = df.withColumn(_B, F.lit(0))
     here = Window.partitionBy(*group, _B).orderBy(*order)
     so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -161,7 +132,7 @@ def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Se
         elif s.kind == "segment":
             aggs += [F.max("_l_" + s.out).alias("_a_" + s.out), F.min_by(F.struct(F.col(s.col).alias("v")), at)
                      .alias("_f_" + s.out), F.max_by(F.struct(F.col(s.col).alias("v")), at).alias("_e_" + s.out)]
-    source = y if any(s.kind == "segment" for s in scans) else x
+    source = y if any(s.kind == "segment" for s in scans) else x0
     edges = source.groupBy(*group, _B).agg(*aggs)
     w = Window.partitionBy(*group).orderBy(_B)
     before = w.rowsBetween(Window.unboundedPreceding, -1)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import micros, ntz_from_micros
 from ..operators import lease as LS
 from ..operators import ledger as L
-from ..operators.scan import scan_partitions
+from ..operators.splits import measured_partitions
 from ..session import fresh_dir
 from ..sources.tables import table
 from ..streaming import common as C
@@ -30,7 +30,7 @@ class _sized_shuffles:
     first run of a checkpoint)."""
 
     def __init__(self, spark, df):
-        self.spark, self.n = spark, scan_partitions(df)
+        self.spark, self.n = spark, measured_partitions(df)
 
     def __enter__(self):
         self.before = self.spark.conf.get("spark.sql.shuffle.partitions")

@@ -125,20 +125,39 @@ def test_sums_follow_spark(spark, n_part):
         ordered_scan(df, ["t"], [], [Scan("s", "sum", "v")], n_partitions=n_part).collect()
 
 
-def test_bucket_count_follows_the_input(spark, monkeypatch):
-    from strata.operators import scan as S
+def test_bucket_count_follows_the_bytes(spark, monkeypatch):
+    from strata.operators import splits as S
 
-    assert S.scan_partitions(spark.range(10)) == 1
+    assert S.measured_partitions(spark.range(10)) == 1
     monkeypatch.setattr(S, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(S, "SMALL_BUCKET_BYTES", 1000)
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     try:
-        assert S.scan_partitions(spark.range(100_000)) == 800          # 8 bytes a row, no session cap
+        assert S.measured_partitions(spark.range(100_000)) == 800          # 8 bytes a row, no session cap
         big = spark.range(2000).join(spark.range(2000).withColumnRenamed("id", "j"), F.col("id") == F.col("j"))
-        assert S.scan_partitions(big) == 2000 * S.ROW_BYTES // 1000    # rows counted, not sizes multiplied
+        assert S.measured_partitions(big) == 2000 * 16 // 1000             # bytes summed, not sizes multiplied
+        wide = spark.range(50).selectExpr("id", "repeat('x', 10000) as s", "array(id, id) as a", "named_struct('a', 1) as m")
+        n = S.measured_partitions(wide)
+        assert 50 * 10_000 // 1000 <= n <= 50 * 10_100 // 1000             # wide rows count by their bytes
+        assert S.plan(wide, ["id"])[0] == n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_tasks_follow_buckets_and_plans_do_not_grow(spark):
+    df = spark.range(0, 4000).selectExpr("id", "(id * 31) % 4001 as k", "id % 3 as g")
+    sizes = []
+    for n in (6, 60):
+        placed = global_position(df, ["k", "id"], n_partitions=n)
+        assert sorted(r.pos for r in placed.collect()) == list(range(1, 4001))
+        scanned = ordered_scan(df, ["k", "id"], ["g"], [Scan("s", "sum", "id")], n_partitions=n)
+        plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+        assert f", {n}" in plan and "shufflepartitionidpassthrough" in \
+            scanned._jdf.queryExecution().executedPlan().toString().lower()
+        sizes.append(len(plan))
+    assert abs(sizes[1] - sizes[0]) < 200
+
+
 def test_sum_is_exact_for_large_integers(spark):
     big = 2 ** 60
     df = spark.createDataFrame([(1, big + 1), (2, None), (3, big + 3)], "t long, v long")
