@@ -11,12 +11,9 @@ releases it, ``status`` asks for the listing. Per cluster, in time order:
 Expiry is eager: a lease is over at ``booked_at + limit`` whether or not a
 request has looked at it since.
 
-Scale: a request that comes ``>= limit`` after the previous request of its
-cluster finds the cluster free, so those requests cut each cluster's log
-into independent segments. Segment numbering is one ordered scan (a busy
-cluster is split over many tasks, edges stitched exactly). The bookings of a
-segment are a pointer chain, resolved over all tasks by joins on unique keys
-(``lease_chain``). No group is ever collected or folded row by row.
+Scale: the bookings of a cluster are a pointer chain. The log is cut into pieces of bounded bytes, each
+piece is worked by itself, and only what crosses a piece's border is joined (``lease_chain``), so a busy
+cluster is split over many tasks and no group is ever collected.
 """
 
 from __future__ import annotations
@@ -102,15 +99,14 @@ def resolve_leases(requests: DataFrame, limit_s: int = LIMIT_SECONDS, n_partitio
     request, '' if free) and ``booked_at`` (start of the lease in force;
     on an ``off`` row the lease just released; NULL when the cluster is free).
 
-    The bookings of every segment are a pointer chain (``lease_chain``), so a
+    The bookings of a cluster are a pointer chain, ranked by block exits (``lease_chain``), so a
     cluster that never rests is spread over all tasks like any other.
     """
     from .lease_chain import resolve_by_chain
 
-    req = requests.withColumn("t_us", micros("ts"))
-    segs = materialize(segment_requests(req.where(F.col("kind") == "request"), limit_s, n_partitions),
-                       "lease-segments")
-    resolved = resolve_by_chain(segs, limit_s * US, n_partitions).drop("seg")
+    # written once: parsing and the directory join would else run again for the size, the bounds and both branches
+    req = materialize(requests.withColumn("t_us", micros("ts")), "lease-requests")
+    resolved = resolve_by_chain(req.where(F.col("kind") == "request"), limit_s * US, n_partitions)
     others = (req.where(F.col("kind") != "request")
                  .withColumns({"action": F.col("kind"), "holder": F.lit(None).cast("string"),
                                "booked_us": F.lit(None).cast("long")}))

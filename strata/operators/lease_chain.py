@@ -1,124 +1,355 @@
-"""L4 without a sequential fold: bookings as a pointer chain.
+"""L4 without a sequential fold: list ranking of bookings by block exits.
 
 After a booking at request ``r`` (group ``g``, time ``t``) the state depends
-on ``r`` alone, so the *next* booking does too:
-
-* if ``g`` sends ``off`` before ``t + limit``, the lease ends at that off and
-  the next booking is the first non-off request after it;
-* otherwise the lease ends at ``t + limit`` and the next booking is the first
-  non-off request at or after that time.
-
-``next(r)`` comes from two ordered scans (hot-group safe): the first off of
-the same group after ``r``, and an as-of lookup of the first non-off request
-after a probe key. The bookings of a segment are then the nodes on the
-chain that starts at the segment's first non-off request. The chain is
-enumerated by pointer doubling: tables ``J_j(x) = next^(2^j)(x)`` are built by
-self-joins (each written to the shared checkpoint folder, which cuts the
-lineage), then anchors are refined top-down, ``A := A + J_j(A)``. That is
-O(log L) joins on unique keys, whatever the length of the chain. A last
-ordered scan carries the booking in force to every request and derives
-wait / off / status.
+on ``r`` alone, so the *next* booking does too: the lease ends at ``g``'s first ``off`` before
+``t + limit``, else at ``t + limit``, and the first non-off request after that books. The bookings
+of a cluster are the nodes on the pointer chain from its first non-off request.
+
+The log is cut into pieces, a cluster's rows in one bucket of a range exchange on (cluster, time, id),
+so a busy cluster has many. Three steps:
+
+1. One vectorised pass per piece gives every request its pointer inside the piece and, by
+   pointer jumping, its *exit*: the last booking of the piece if the request books. Sorted rows are
+   written with their bucket, and with them what the piece's neighbours need: the requests at which an earlier lease can
+   let the next booking fall (up to ``limit`` after the piece's start, and the first one after that), the
+   first off of each group in that time, and the exits of those requests.
+2. Only those border rows are chained: an exit's lease end, the request that books next, and that
+   request's exit in its own piece. Exits on the chain of each cluster are found by pointer doubling on this small
+   table; the last one before a piece is the lease that the piece starts with.
+3. One more pass per piece starts from that lease and answers every request.
+
+The log is written once, the border rows with it; the answers are the result. A piece is what a task
+holds in memory: about ``PIECE_BYTES``. A log of one piece needs neither borders nor joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize as _materialize
+from ..session import materialize, ship_package
+from . import splits
 from .scan import Scan, ordered_scan
 
 US = 1_000_000
+PIECE_BYTES = 64 << 20
+WALKED_LINKS = 200_000          # border links that may be followed in one task
+KEYS = ("cluster", "t_us", "request_id")
+_EARLY = -(1 << 61)              # a request without a time comes first
 
+#: of border rows: kind (head, off, exit or piece), the bucket, and what the neighbours need
+BORDER = T.StructType([
+    T.StructField("_kind", T.StringType()), T.StructField("_bucket", T.IntegerType()),
+    T.StructField("_cluster", T.StringType()), T.StructField("_t", T.LongType()), T.StructField("_id", T.LongType()),
+    T.StructField("_grp", T.StringType()), T.StructField("_exit", T.LongType()), T.StructField("_open", T.BooleanType()),
+    T.StructField("_off_t", T.LongType()), T.StructField("_off_id", T.LongType())])
+#: the lease that a piece starts with
+CARRIED = ("_in_t", "_in_grp", "_in_off_t", "_in_off_id")
 
-def next_booking(req: DataFrame, limit_us: int, n_partitions: int | None = None) -> DataFrame:
-    """For every non-off request: its releasing off (if within the limit) and ``nxt``.
 
-    ``req``: ``request_id, t_us, cluster, grp, is_off`` (one segment or more
-    per cluster; pointers never leave the cluster).
-    """
-    # the first off of the same group strictly after each request (reverse-time fill)
-    rev = req.withColumns({
-        "_rt": -F.col("t_us"), "_rid": -F.col("request_id"),
-        "_ot": F.when(F.col("is_off"), F.col("t_us")),
-        "_oid": F.when(F.col("is_off"), F.col("request_id"))})
-    offs = ordered_scan(rev, ["_rt", "_rid"], ["cluster", "grp"],
-                        [Scan("off_t", "ffill", "_ot"), Scan("off_id", "ffill", "_oid")], n_partitions)
-    books = (offs.where(~F.col("is_off"))
-                 .select("request_id", "t_us", "cluster", "grp",
-                         F.when(F.col("off_t") - F.col("t_us") < limit_us, F.col("off_t")).alias("off_t"),
-                         F.when(F.col("off_t") - F.col("t_us") < limit_us, F.col("off_id")).alias("off_id")))
-    # probe key: just after the releasing off, or before every request at the expiry time
-    books = _materialize(books, "lease-offs")
-    released = F.col("off_t").isNotNull()
-    probe_t = F.coalesce(F.col("off_t"), F.col("t_us") + F.lit(limit_us))
-    probes = books.select("cluster", probe_t.alias("_kt"), F.when(released, F.col("off_id")).alias("_kid"),
-                          F.when(released, 0).otherwise(1).alias("_at_expiry"), F.lit(0).alias("_kind"),
-                          F.col("request_id").alias("_src"), F.lit(None).cast("long").alias("_nid"))
-    cands = books.select("cluster", F.col("t_us").alias("_kt"), F.col("request_id").alias("_kid"),
-                         F.lit(0).alias("_at_expiry"), F.lit(1).alias("_kind"),
-                         F.lit(None).cast("long").alias("_src"), F.col("request_id").alias("_nid"))
-    u = probes.unionByName(cands).withColumns({"_rk": -F.col("_kt"), "_ri": -F.col("_kid")})
-    # descending key order: the nearest greater non-off request is carried to the probe; an expiry probe
-    # comes after all requests of its time
-    found = ordered_scan(u, ["_rk", "_at_expiry", "_ri", "_kind", "_src"], ["cluster"],
-                         [Scan("nxt", "ffill", "_nid")], n_partitions)
-    nxt = found.where(F.col("_kind") == 0).select(F.col("_src").alias("request_id"), "nxt")
-    return books.join(nxt, "request_id")
-
-
-def chain_members(nodes: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Nodes reachable from ``anchors`` along ``nxt`` (anchors included).
-
-    ``nodes``: ``request_id, nxt``; ``anchors``: ``request_id``. Pointer
-    doubling: the number of rounds is log2 of the longest chain.
+class Piece:
+    """A cluster's requests of one bucket in (time, id) order, with the pointers between them."""
+
+    def __init__(self, t: np.ndarray, ids: np.ndarray, grp: np.ndarray, off: np.ndarray, limit: int):
+        n = len(t)
+        self.t, self.ids, self.grp, self.off, self.limit, self.n = t, ids, grp, off, limit, n
+        # the first off of the same group after each request, and whether it comes within the limit
+        at = np.flatnonzero(off)
+        at = at[np.lexsort((at, grp[at]))]
+        keys = grp[at] * (n + 1) + at
+        i = np.searchsorted(keys, grp * (n + 1) + np.arange(n) + 1)
+        found = i < len(at)
+        self.release = np.full(n, n)
+        self.release[found] = at[i[found]]
+        same = found.copy()
+        same[found] = grp[self.release[found]] == grp[found]
+        self.released = same
+        self.released[same] = t[self.release[same]] - t[same] < limit
+        # the first non-off request at or after each place
+        self.taker = np.full(n + 1, n)
+        asks = np.flatnonzero(~off)
+        self.taker[asks] = asks
+        self.taker = np.minimum.accumulate(self.taker[::-1])[::-1]
+        end = np.where(self.released, self.release + 1, np.searchsorted(t, t + limit))
+        self.next = self.taker[end]
+
+    def exits(self) -> np.ndarray:
+        """The last booking of the piece on the chain from each request."""
+        e = np.where(self.next < self.n, self.next, np.arange(self.n))
+        while True:
+            further = e[e]
+            if (further == e).all():
+                return e
+            e = further
+
+    def after(self, t: int, rid: int) -> int:
+        """How many rows are at or before (t, rid)."""
+        lo, hi = np.searchsorted(self.t, t, "left"), np.searchsorted(self.t, t, "right")
+        return int(lo + np.searchsorted(self.ids[lo:hi], rid, "right"))
+
+    def chain(self, start: int) -> np.ndarray:
+        """The bookings from ``start`` (a place, or ``n`` for none)."""
+        out, step = [], self.next.tolist()
+        while start < self.n:
+            out.append(start)
+            start = step[start]
+        return np.array(out, np.int64)
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """(cluster codes in row order, t, id, group codes, off) of sorted rows."""
+    cluster = table.column("cluster").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    grp = table.column("grp").combine_chunks().dictionary_encode(null_encoding="encode").indices
+    t = table.column("t_us").combine_chunks().fill_null(_EARLY).to_numpy(zero_copy_only=False)
+    off = table.column("is_off").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False)
+    return (cluster, t, table.column("request_id").to_numpy(), grp.to_numpy(zero_copy_only=False).astype(np.int64),
+            off.astype(bool))
+
+
+def _pieces(table: pa.Table, limit: int):
+    """(first row, row after the last, piece) of every cluster in the sorted rows of a bucket."""
+    if not table.num_rows:
+        return
+    cluster, t, ids, grp, off = _columns(table)
+    cuts = [0, *(np.flatnonzero(np.diff(cluster)) + 1).tolist(), table.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield lo, hi, Piece(t[lo:hi], ids[lo:hi], grp[lo:hi], off[lo:hi], limit)
+
+
+def _borders(table: pa.Table, bucket: int, limit: int) -> list[dict]:
+    """What the other pieces need to know of this bucket's."""
+    out = []
+    names, groups = table.column("cluster"), table.column("grp")
+    for lo, _, p in _pieces(table, limit):
+        window = p.t[0] + limit
+        exits = p.exits()
+        asks = np.flatnonzero(~p.off)
+        n_heads = np.searchsorted(p.t[asks], window) + 1
+        heads = asks[:n_heads]
+        offs = np.flatnonzero(p.off & (p.t < window))
+        offs = offs[np.unique(p.grp[offs], return_index=True)[1]]
+        mine = {"_bucket": bucket, "_cluster": names[lo].as_py()}
+        out.append({"_kind": "piece", **mine})
+        out += [{"_kind": "head", **mine, "_t": int(p.t[i]), "_id": int(p.ids[i]), "_exit": int(p.ids[exits[i]])}
+                for i in heads]
+        out += [{"_kind": "off", **mine, "_t": int(p.t[i]), "_id": int(p.ids[i]), "_grp": groups[lo + int(i)].as_py()}
+                for i in offs]
+        for i in np.unique(exits[heads]):
+            r = int(p.release[i]) if p.released[i] else None
+            out.append({"_kind": "exit", **mine, "_t": int(p.t[i]), "_id": int(p.ids[i]),
+                        "_grp": groups[lo + int(i)].as_py(), "_exit": int(p.ids[i]),
+                        "_open": r is None and bool(p.t[i] + limit > p.t[-1]),
+                        "_off_t": None if r is None else int(p.t[r]), "_off_id": None if r is None else int(p.ids[r])})
+    return out
+
+
+def _answer(p: Piece, carried: tuple) -> tuple[np.ndarray, ...]:
+    """(action codes, place of the lease's request or -1 for the carried one, is the lease named?, is it in force?)."""
+    t0, _, off_t, off_id = carried
+    if t0 is None:
+        end = 0
+    elif off_t is not None:
+        end = p.after(off_t, off_id)
+    else:
+        end = int(np.searchsorted(p.t, t0 + p.limit))
+    books = p.chain(int(p.taker[end]))
+    place = np.arange(p.n)
+    lease = np.full(p.n, -1)
+    lease[books] = books
+    lease = np.maximum.accumulate(lease)
+    own = lease >= 0
+    at = np.where(own, lease, 0)
+    live = own & (p.t - p.t[at] < p.limit) & ~(p.released[at] & (place >= p.release[at]))
+    off_now = own & p.released[at] & (place == p.release[at])
+    if t0 is not None:
+        before = place < end
+        if off_t is not None and end and p.t[end - 1] == off_t and p.ids[end - 1] == off_id:
+            off_now[end - 1] |= not own[end - 1]
+            before &= place < end - 1
+        live |= ~own & before & (p.t - t0 < p.limit)
+    action = np.where(off_now, 1, np.where(live & ~p.off, 2, 3))
+    action[books] = 0
+    return action, lease, live | off_now, live
+
+
+ACTIONS = ("book", "off", "wait", "status")
+
+
+def _answered(table: pa.Table, limit: int, carried) -> pa.Table:
+    """The rows plus action, holder and booked_us; ``carried``: a row number -> the lease its piece starts with."""
+    n = table.num_rows
+    action, holder_at, live = np.full(n, 3), np.full(n, -1), np.zeros(n, bool)
+    booked, has = np.zeros(n, np.int64), np.zeros(n, bool)
+    extra: list = []                         # the groups of carried leases, behind the table's own
+    for lo, hi, p in _pieces(table, limit):
+        lease_in = carried(lo)
+        a, lease, named, on = _answer(p, lease_in)
+        action[lo:hi] = a
+        own = lease >= 0
+        holder_at[lo:hi] = np.where(own, lo + lease, n + len(extra))
+        booked[lo:hi] = np.where(own, p.t[np.where(own, lease, 0)], lease_in[0] or 0)
+        has[lo:hi], live[lo:hi] = named, on
+        if lease_in[0] is not None:
+            extra.append(lease_in[1])
+    groups = pa.chunked_array([*table.column("grp").cast(pa.string()).chunks, pa.array(extra, pa.string())])
+    names = groups.take(pa.array(holder_at, mask=~live)) if len(groups) else pa.array([None] * n, pa.string())
+    return (table.append_column("action", pa.array(ACTIONS).take(pa.array(action)))
+            .append_column("holder", pa.compute.fill_null(names, ""))
+            .append_column("booked_us", pa.array(booked, mask=~has)))
+
+
+def _whole(batches, schema: pa.Schema) -> pa.Table:
+    batches = list(batches)
+    return pa.Table.from_batches(batches) if batches else schema.empty_table()
+
+
+def _prepared(rows: DataFrame, n: int, limit_us: int) -> DataFrame:
+    """Sorted rows with their bucket, and border rows, written once."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema.fields), *BORDER.fields])
+    arrow, width = to_arrow_schema(out), len(rows.columns)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        bucket = TaskContext.get().partitionId()
+        table = _whole(batches, pa.schema(list(arrow)[:width]))
+        m = table.num_rows
+        if not m:
+            return
+        for name, value in (("_kind", "row"), ("_bucket", bucket)):
+            table = table.append_column(name, pa.array([value] * m, arrow.field(name).type))
+        for f in list(arrow)[table.num_columns:]:
+            table = table.append_column(f.name, pa.nulls(m, f.type))
+        yield from table.cast(arrow).to_batches(max_chunksize=10_000)
+        border = pa.Table.from_pylist(_borders(table, bucket, limit_us), schema=pa.schema(list(arrow)[-len(BORDER):]))
+        cols = [pa.nulls(border.num_rows, f.type) for f in list(arrow)[:width]] + border.columns
+        yield from pa.Table.from_arrays(cols, schema=arrow).to_batches(max_chunksize=10_000)
+
+    ordered = splits.exchange(rows, list(KEYS), n, None).sortWithinPartitions(*KEYS)
+    return materialize(ordered.mapInArrow(run, out), "lease-pieces")
+
+
+def _linked(borders: DataFrame, limit_us: int) -> DataFrame:
+    """Exits with their lease's end and ``link``: the exit of the piece in which the next booking falls."""
+    exits = borders.where("_kind = 'exit'").select("_cluster", "_bucket", "_t", "_id", "_grp", "_open", "_off_t", "_off_id")
+    # an open lease may be given back in a later piece: the first off of the group before the limit
+    width = F.lit(limit_us)
+    offs = borders.where("_kind = 'off'").select(
+        F.col("_cluster").alias("c"), F.col("_grp").alias("g"), F.col("_bucket").alias("b"),
+        F.floor(F.col("_t") / width).alias("bin"), F.struct(F.col("_t").alias("t"), F.col("_id").alias("id")).alias("o"))
+    first = F.floor(F.col("_t") / width)
+    asked = exits.where("_open").withColumn("bin", F.explode(F.array(first, first + 1)))
+    given = (asked.join(offs, (F.col("_cluster") == F.col("c")) & F.col("_grp").eqNullSafe(F.col("g"))
+                        & (asked["bin"] == offs["bin"]))
+             .where((F.col("b") > F.col("_bucket")) & (F.col("o.t") - F.col("_t") < width))
+             .groupBy(F.col("_id").alias("gid")).agg(F.min("o").alias("given")))
+    exits = exits.join(given, F.col("_id") == F.col("gid"), "left").select(
+        "_cluster", "_bucket", "_t", "_id", "_grp", F.coalesce("_off_t", "given.t").alias("_off_t"),
+        F.coalesce("_off_id", "given.id").alias("_off_id"))
+    exits = materialize(exits, "lease-exits")
+    # the next booking: the first head of a later piece after the lease's end (reverse-time fill)
+    by_off = F.col("_off_t").isNotNull()
+    none = F.lit(None).cast("long")
+    probes = exits.select("_cluster", F.coalesce("_off_t", F.col("_t") + width).alias("_kt"),
+                          F.when(by_off, F.col("_off_id")).alias("_kid"), F.when(by_off, 0).otherwise(1).alias("_expiry"),
+                          F.lit(0).alias("_kind"), F.col("_id").alias("_src"), none.alias("_to"))
+    heads = borders.where("_kind = 'head'").select(
+        "_cluster", F.col("_t").alias("_kt"), F.col("_id").alias("_kid"), F.lit(0).alias("_expiry"),
+        F.lit(1).alias("_kind"), none.alias("_src"), F.col("_exit").alias("_to"))
+    u = probes.unionByName(heads).withColumns({"_rt": -F.col("_kt"), "_rid": -F.col("_kid")})
+    found = ordered_scan(u, ["_rt", "_expiry", "_rid", "_kind", "_src"], ["_cluster"], [Scan("link", "ffill", "_to")])
+    links = found.where("_kind = 0").select(F.col("_src").alias("_id"), "link")
+    return materialize(exits.join(links, "_id"), "lease-links")
+
+
+def reached(links: DataFrame, starts: DataFrame, most: int) -> DataFrame:
+    """Ids on the chains from ``starts`` along ``link`` (starts included); no chain has more than ``most`` links.
+
+    While all links number at most ``WALKED_LINKS``, a cluster's are followed in one task; beyond, by pointer
+    doubling over all tasks. Both give every id.
     """
-    levels = [_materialize(nodes.select(F.col("request_id").alias("x"), F.col("nxt").alias("j")), "lease-j0")]
-    while True:
-        cur = levels[-1]
-        if cur.where(F.col("j").isNotNull()).limit(1).count() == 0:
-            levels.pop()                      # no jump of this length exists
-            break
-        a, b = cur.alias("a"), cur.alias("b")
-        nxt_level = (a.join(b, F.col("a.j") == F.col("b.x"), "left")
-                      .select(F.col("a.x").alias("x"), F.col("b.j").alias("j")))
-        levels.append(_materialize(nxt_level, f"lease-j{len(levels)}"))
-    members = anchors.select(F.col("request_id").alias("x"))
-    for lvl in reversed(levels):
-        hop = (members.join(lvl, "x").where(F.col("j").isNotNull()).select(F.col("j").alias("x")))
-        members = _materialize(members.unionByName(hop).distinct(), "lease-path")
-    return members.select(F.col("x").alias("request_id"))
+    if links.count() <= WALKED_LINKS:
+        return _walked(links, starts)
+    levels = [links.where("link is not null").select(F.col("_id").alias("x"), F.col("link").alias("j"))]
+    for i in range(1, max(1, most).bit_length()):
+        a, b = levels[-1].alias("a"), levels[-1].alias("b")
+        levels.append(materialize(a.join(b, F.col("a.j") == F.col("b.x")).select("a.x", "b.j"), f"lease-jumps-{i}"))
+    found = starts.select(F.col("_id").alias("x"))
+    for level in reversed(levels):
+        hop = found.join(level, "x").select(F.col("j").alias("x"))
+        found = materialize(found.unionByName(hop).distinct(), "lease-path")
+    return found.select(F.col("x").alias("_id"))
+
+
+def _walked(links: DataFrame, starts: DataFrame) -> DataFrame:
+    def walk(some: pd.DataFrame, begin: pd.DataFrame) -> pd.DataFrame:
+        step = {x: j for x, j in zip(some["_id"], some["link"]) if pd.notna(j)}
+        out = []
+        for x in begin["_id"]:
+            while x is not None:
+                out.append(int(x))
+                x = step.get(x)
+        return pd.DataFrame({"_id": out}, dtype="int64")
+
+    return links.select("_cluster", "_id", "link").groupBy("_cluster").cogroup(
+        starts.groupBy("_cluster")).applyInPandas(walk, "_id long")
+
+
+def _carried_in(borders: DataFrame, n: int, limit_us: int) -> DataFrame:
+    """(cluster, bucket, ``CARRIED``): the lease that each piece starts with, if any booking came before it."""
+    links = _linked(borders, limit_us)
+    starts = borders.where("_kind = 'head'").groupBy("_cluster").agg(
+        F.min_by("_exit", F.struct("_t", "_id")).alias("_id"))
+    path = links.join(reached(links, starts, n), "_id")
+    lease = F.struct(F.col("_t").alias("t"), F.col("_grp").alias("grp"), F.col("_off_t").alias("off_t"),
+                     F.col("_off_id").alias("off_id"))
+    marks = path.select("_cluster", "_bucket", lease.alias("_lease")).unionByName(
+        borders.where("_kind = 'piece'").select("_cluster", "_bucket"), allowMissingColumns=True)
+    per_piece = marks.groupBy("_cluster", "_bucket").agg(F.max("_lease").alias("_lease"))
+    # one row per piece, at most one per bucket in a cluster
+    earlier = Window.partitionBy("_cluster").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_piece.select("_cluster", "_bucket", F.last("_lease", ignorenulls=True).over(earlier).alias("_in"))
+    return carried.where("_in is not null").select(
+        F.col("_cluster").alias("_c"), F.col("_bucket").alias("_b"),
+        *[F.col(f"_in.{c[4:]}").alias(c) for c in CARRIED])
 
 
 def resolve_by_chain(req: DataFrame, limit_us: int, n_partitions: int | None = None) -> DataFrame:
-    """Actions for requests of whole segments: ``req`` has ``seg`` from the
-    segment scan. Output: input columns + ``action, holder, booked_us``."""
-    nb = next_booking(req, limit_us, n_partitions)
-    nb = _materialize(nb.join(req.select("request_id", "seg"), "request_id"), "lease-next")
-    # pointers stay inside their segment; the segment's first non-off request is a booking
-    segs = nb.select(F.col("request_id").alias("nxt"), F.col("seg").alias("_nseg"))
-    nodes = (nb.join(segs, "nxt", "left")
-               .select("request_id", F.when(F.col("_nseg") == F.col("seg"), F.col("nxt")).alias("nxt")))
-    anchors = (nb.groupBy("cluster", "seg")
-                 .agg(F.min_by("request_id", F.struct("t_us", "request_id")).alias("request_id")))
-    bk = nb.join(chain_members(nodes, anchors), "request_id").select("request_id", "off_t", "off_id")
-    # the booking in force is carried as one value; a booking without a release has NULLs in it
-    booking = F.struct("request_id", "t_us", "grp", "off_t", "off_id")
-    rows = req.join(bk.withColumn("_b", F.lit(True)), "request_id", "left") \
-        .withColumn("_bk", F.when(F.col("_b"), booking))
-    s = ordered_scan(rows, ["t_us", "request_id"], ["cluster", "seg"], [Scan("_f", "ffill", "_bk")], n_partitions)
-    at, rid, off_t, off_id = F.col("t_us"), F.col("request_id"), F.col("_f.off_t"), F.col("_f.off_id")
-    is_book = F.col("_b").isNotNull()
-    has_rel = off_t.isNotNull()
-    is_release = has_rel & (at == off_t) & (rid == off_id)
-    released = has_rel & ((at > off_t) | ((at == off_t) & (rid > off_id)))
-    live = F.col("_f").isNotNull() & ~released & (at - F.col("_f.t_us") < limit_us)
-    action = (F.when(is_book, F.lit("book"))
-               .when(is_release, F.lit("off"))
-               .when(live & ~F.col("is_off"), F.lit("wait"))
-               .otherwise(F.lit("status")))
-    holder = (F.when(is_book, F.col("grp")).when(is_release, F.lit(""))
-               .when(live, F.col("_f.grp")).otherwise(F.lit("")))
-    booked = (F.when(is_book, at).when(is_release | live, F.col("_f.t_us")))
-    return s.select(*req.columns, action.alias("action"), holder.alias("holder"),
-                    booked.cast("long").alias("booked_us"))
+    """Actions for requests of known clusters (``request_id, t_us, cluster, grp, is_off`` and any other
+    columns). Output: input columns + ``action, holder, booked_us``."""
+    ship_package(req.sparkSession)
+    n = n_partitions or splits.measured_partitions(req, PIECE_BYTES)
+    out = T.StructType([*req.schema.fields, T.StructField("action", T.StringType()),
+                        T.StructField("holder", T.StringType()), T.StructField("booked_us", T.LongType())])
+    width = len(req.columns)
+    if n == 1:
+        rows = req.repartition(1).sortWithinPartitions(*KEYS)
+    else:
+        written = _prepared(req, n, limit_us)
+        borders = written.where("_kind <> 'row'").select(*BORDER.names)
+        carried = _carried_in(borders, n, limit_us)
+        rows = written.where("_kind = 'row'").select(*req.columns, "_bucket").join(
+            carried, (F.col("cluster") == F.col("_c")) & (F.col("_bucket") == F.col("_b")), "left")
+        rows = rows.select(*req.columns, "_bucket", *CARRIED).repartitionById(n, F.col("_bucket")) \
+            .sortWithinPartitions(*KEYS).select(*req.columns, *CARRIED)
+
+    def run(batches):
+        table = _whole(batches, pa.schema([]))
+        if not table.num_rows:
+            return
+
+        def carried_at(row):
+            if table.num_columns == width:
+                return (None,) * len(CARRIED)
+            return tuple(table.column(c)[row].as_py() for c in CARRIED)
+
+        plain = table.select(list(range(width)))
+        yield from _answered(plain, limit_us, carried_at).to_batches(max_chunksize=10_000)
+
+    return rows.mapInArrow(run, out)

@@ -81,16 +81,16 @@ def order_prefix(c: Column, t: T.DataType) -> tuple[Column, bool] | None:
     return F.coalesce(key, F.lit(_LOWEST)), exact
 
 
-def _from_bytes(size: int, cores: int) -> int:
-    return max(1, min(cores, -(-size // SMALL_BUCKET_BYTES)), -(-size // BUCKET_BYTES))
+def _from_bytes(size: int, cores: int, bucket: int | None = None) -> int:
+    return max(1, min(cores, -(-size // SMALL_BUCKET_BYTES)), -(-size // (bucket or BUCKET_BYTES)))
 
 
 def _estimate(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def measured_partitions(df: DataFrame) -> int:
-    """A partition count from the input alone, bounded by no session setting.
+def measured_partitions(df: DataFrame, bucket_bytes: int | None = None) -> int:
+    """A partition count from the input alone, bounded by no session setting: about ``bucket_bytes`` each.
 
     While Catalyst's estimate asks for one partition it is taken. Else the estimate is not trusted (joins
     multiply it, scans know compressed sizes): the rows' bytes are summed.
@@ -98,7 +98,7 @@ def measured_partitions(df: DataFrame) -> int:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if _estimate(df) <= SMALL_BUCKET_BYTES:
         return 1
-    return _from_bytes(df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0, cores)
+    return _from_bytes(df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0, cores, bucket_bytes)
 
 
 def plan(df: DataFrame, keys: Sequence[str], n: int | None = None) -> tuple[int, list[int] | None]:

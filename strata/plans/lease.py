@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import micros
 from ..operators import lease as LS
-from ..session import fresh_dir
+from ..session import checkpoint_dir, is_written
 from ..sources.tables import table
 
 CLUSTERS = ["c0", "c1", "c2", "c3"]
@@ -50,19 +50,20 @@ def _classified(spark, sf_dir):
     return LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)), directory(spark, sf_dir))
 
 
-_RESOLVED: dict[tuple[str, str, bool], str] = {}
-
-
 def _resolved(spark, sf_dir, one_cluster: bool = False):
-    """The resolved log, written once per application and input for the whole family of lease queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, one_cluster)
-    if key not in _RESOLVED:
+    """The resolved log of the events files as they are now. It is a table in the shared folder, named after the
+    application and a digest of the files' names, sizes and times, so the family of lease queries resolves
+    a log once, and a changed table is resolved anew."""
+    files = table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_size",
+                                                  "_metadata.file_modification_time").distinct()
+    n, digest = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()
+    path = (f"{checkpoint_dir(spark)}/lease-resolved-{spark.sparkContext.applicationId}-"
+            f"{n}-{digest}-{'one' if one_cluster else 'all'}")
+    if not is_written(spark, path):
         classified = LS.resolve_cluster(LS.parse_requests(request_log(spark, sf_dir)),
                                         directory(spark, sf_dir, one_cluster))
-        path = fresh_dir(spark, "lease-resolved")
-        LS.resolve_leases(classified).write.parquet(path)
-        _RESOLVED[key] = path
-    return spark.read.parquet(_RESOLVED[key])
+        LS.resolve_leases(classified).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _log_end(spark, sf_dir):

@@ -85,6 +85,13 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Has a job that wrote a table to ``path`` been committed?"""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 _SHIPPED: set[str] = set()
 
 

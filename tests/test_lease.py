@@ -163,3 +163,52 @@ def test_any_epoch(spark, start):
 def test_line_ends_and_tabs(spark, msg, grp, off):
     r = LS.parse_requests(spark.createDataFrame([(msg,)], "msg string")).first()
     assert (r.grp, r.is_off) == (grp, off)
+
+
+def _fold(rows, limit):
+    """Row by row: {request_id: (action, holder, booked)}."""
+    state, out = {}, {}
+    for cluster, t, rid, grp, off in sorted(rows):
+        holder, booked = state.get(cluster, ("", None))
+        live = holder != "" and t - booked < limit
+        holder = holder if live else ""
+        action = "wait" if live else "book"
+        if off:
+            action = "off" if live and holder == grp else "status"
+            holder = "" if action == "off" else holder
+        elif not live:
+            holder, booked = grp, t
+        state[cluster] = (holder, booked)
+        out[rid] = (action, holder, booked if holder != "" or action == "off" else None)
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 40])
+@pytest.mark.parametrize("seed, walked", [(1, 200_000), (3, 0), (4, 200_000)])
+def test_pieces_equal_the_fold(spark, monkeypatch, n, seed, walked):
+    """Dense logs (a lease spans several pieces), equal times, sparse ones; border links walked and doubled."""
+    import random
+
+    from strata.operators import lease_chain as LC
+
+    monkeypatch.setattr(LC, "WALKED_LINKS", walked)
+    rng, rows, t = random.Random(seed), [], dict.fromkeys("abc", 0)
+    for i in range(700):
+        c = rng.choice("aaaab" if seed % 2 else "abc")
+        t[c] += rng.choice([0, 0, 1, 3, 10, 30] if seed < 4 else [0, 5, 60, 250])
+        rows.append((c, t[c], i * 7 % 1009, f"g{rng.randrange(4)}", rng.random() < .35))
+    df = spark.createDataFrame(rows, "cluster string, t_us long, request_id long, grp string, is_off boolean")
+    got = LC.resolve_by_chain(df.withColumn("extra", F.lit("kept")), 100, n).collect()
+    assert {r.request_id: (r.action, r.holder, r.booked_us) for r in got} == _fold(rows, 100)
+    assert len(got) == len(rows) and all(r.extra == "kept" for r in got)
+
+
+def test_a_changed_log_is_resolved_anew(spark, tmp_path):
+    from strata.plans import lease as P
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.limit(50).write.parquet(f"{tmp_path}/events.parquet")
+    assert P.lease_resolve(spark, str(tmp_path)).count() == ev.limit(50).where("event_type <> 'view'").count()
+    ev.write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    n = ev.where("event_type <> 'view'").count()
+    assert P.lease_resolve(spark, str(tmp_path)).count() > n
