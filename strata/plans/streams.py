@@ -16,7 +16,7 @@ from ..functions.columns import micros, ntz_from_micros
 from ..operators import lease as LS
 from ..operators import ledger as L
 from ..operators.splits import measured_partitions
-from ..session import fresh_dir
+from ..session import fresh_dir, materialize, remove_folder
 from ..sources.tables import table
 from ..streaming import common as C
 from ..streaming import streams as S
@@ -119,7 +119,51 @@ def lease_stream_batched(spark, sf_dir):
                       ntz_from_micros(F.col("booked_us")).alias("booked_at"))
 
 
+def lease_expiry_stream(spark, sf_dir):
+    """L9 with timers: every lease that ran out, answered when the watermark passed its limit or a later request
+    found it so."""
+    C.use_rocksdb(spark)
+    log = lease_plan.request_log(spark, sf_dir)
+    directory = lease_plan.directory(spark, sf_dir)
+
+    def build(stream):
+        classified = LS.resolve_cluster(LS.parse_requests(stream), directory)
+        return S.streaming_leases(classified.withColumn("t_us", micros("ts")), expire=True)
+
+    out = fresh_dir(spark, "lease-expiry-out")
+    _run_parts(spark, log, "ts", "lease-expiry", C.append_batches(out), build)
+    gone = spark.read.parquet(out).where("action = 'expired'")
+    return gone.select("cluster", F.col("grp").alias("holder"), ntz_from_micros(F.col("booked_us")).alias("booked_at"),
+                       ntz_from_micros(F.col("booked_us") + LS.LIMIT_SECONDS * LS.US).alias("expired_at"))
+
+
+def lease_restart_stream(spark, sf_dir):
+    """The stream is stopped halfway, its leases are exported to a table, its checkpoint is removed, and a new
+    checkpoint starts from the table."""
+    C.use_rocksdb(spark)
+    log = lease_plan.request_log(spark, sf_dir)
+    directory = lease_plan.directory(spark, sf_dir)
+    t = micros("ts")
+    lo, hi = log.agg(F.min(t), F.max(t)).first()
+    middle = F.lit(((lo or 0) + (hi or 0)) // 2)
+    out = fresh_dir(spark, "lease-restart-out")
+    initial = None
+    with _sized_shuffles(spark, log):
+        for i, half in enumerate((log.where(t < middle), log.where(t >= middle))):
+            landing, ckpt = fresh_dir(spark, f"lease-restart-{i}"), fresh_dir(spark, f"lease-restart-ckpt-{i}")
+            half.write.parquet(landing)
+            classified = LS.resolve_cluster(LS.parse_requests(C.open_stream(spark, log.schema, landing)), directory)
+            answers = S.streaming_leases(classified.withColumn("t_us", t), initial=initial)
+            C.run_available_now(answers, C.append_batches(f"{out}/half={i}"), ckpt)
+            initial = materialize(S.export_leases(spark, ckpt), "lease-snapshot")
+            remove_folder(spark, ckpt)
+    return spark.read.parquet(out).select("request_id", "cluster", "grp", "action", "holder",
+                                          ntz_from_micros(F.col("booked_us")).alias("booked_at"))
+
+
 QUERIES = {
+    "lease_expiry_stream": lease_expiry_stream,
+    "lease_restart_stream": lease_restart_stream,
     "counter_values_stream": counter_values_stream,
     "counter_stream": counter_stream,
     "balances_stream": balances_stream,
@@ -137,6 +181,10 @@ def _sql():
         "balances_stream": vectors.SQL["balances"],
         "lease_stream": lease.SQL["lease_resolve"],
         "lease_stream_batched": lease.SQL["lease_resolve"],
+        "lease_restart_stream": lease.SQL["lease_resolve"],
+        "lease_expiry_stream": lease._BASE + lease._INTERVALS + """
+            select cluster, holder, start as booked_at, start + interval 900 seconds as expired_at from iv
+            where end_reason = 'expired'""",
     }
 
 

@@ -92,6 +92,12 @@ def is_written(spark: SparkSession, path: str) -> bool:
     return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote and nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -55,8 +55,8 @@ def open_stream(spark: SparkSession, schema, landing: str, files_per_trigger: in
 
 
 def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str,
-                      name: str | None = None, mode: str = "append") -> None:
-    """Process everything present, in micro-batches, then stop."""
+                      name: str | None = None, mode: str = "append"):
+    """Process everything present, in micro-batches, then stop; the stopped query is returned."""
     w = stream.writeStream.outputMode(mode)
     if name:
         w = w.queryName(name)
@@ -65,6 +65,7 @@ def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], No
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    return q
 
 
 def append_batches(out: str, keep: list[str] | None = None):

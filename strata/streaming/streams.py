@@ -9,7 +9,6 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..operators.lease import LIMIT_SECONDS, US
 from ..operators.ledger import transfer_legs
-from ..session import ship_package
+from ..session import remove_folder, ship_package
 
 # The stateful processor is also unpickled in a driver-side Python worker
 # that does not see ``addPyFile`` entries: ship this module's code by value.
@@ -78,6 +77,9 @@ LEASE_OUT = T.StructType([
 ])
 
 
+LEASE_STATE = "holder string, booked_us long, last_t long, last_id long"
+
+
 class LeaseProcessor(StatefulProcessor):
     """Per cluster, holder, booking time and the last (time, id) served,
     in a ValueState.
@@ -88,15 +90,52 @@ class LeaseProcessor(StatefulProcessor):
     in order: it is answered ``late`` and leaves the state alone (counted,
     not applied). A cluster's rows of one micro-batch are held by one task;
     bound them with ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``.
+
+    With ``expire`` every lease that runs out is answered too, by a row ``expired`` without a request: when the
+    watermark passes ``booked + limit`` (an event-time timer), or when a later request finds it run out.
+    State given at the start (``handleInitialState``) is taken over as it is.
     """
 
-    def __init__(self, limit_s: int = LIMIT_SECONDS, idle_ttl_s: int | None = None):
+    def __init__(self, limit_s: int = LIMIT_SECONDS, idle_ttl_s: int | None = None, expire: bool = False):
         self.limit_us = limit_s * US
         self.idle_ttl_s = idle_ttl_s
+        self.expire = expire
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl = self.idle_ttl_s * 1000 if self.idle_ttl_s else None
-        self.lease = handle.getValueState("lease", "holder string, booked_us long, last_t long, last_id long", ttl)
+        self.handle = handle
+        self.lease = handle.getValueState("lease", LEASE_STATE, ttl)
+
+    def _timer_ms(self, booked: int) -> int:
+        return -(-(booked + self.limit_us) // 1000)
+
+    def _set_timer(self, holder: str, booked) -> None:
+        """One timer per cluster, for the lease in force."""
+        if not self.expire:
+            return
+        wanted = self._timer_ms(booked) if holder and booked is not None else None
+        for t in list(self.handle.listTimers()):
+            if t != wanted:
+                self.handle.deleteTimer(t)
+        if wanted is not None:
+            self.handle.registerTimer(wanted)
+
+    def _expired_row(self, cluster, holder, booked) -> tuple:
+        return None, cluster, holder, "expired", "", booked
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        r = initialState.iloc[0]
+        booked, last_t, last_id = (None if pd.isna(r[c]) else int(r[c]) for c in ("booked_us", "last_t", "last_id"))
+        self.lease.update((r["holder"] or "", booked, last_t, last_id))
+        self._set_timer(r["holder"] or "", booked)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.lease.exists():
+            return
+        holder, booked, last_t, last_id = self.lease.get()
+        if holder and booked is not None and self._timer_ms(booked) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.lease.update(("", booked, last_t, last_id))
+            yield _answers([self._expired_row(key[0], holder, booked)])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "request_id"], kind="stable")
@@ -104,81 +143,98 @@ class LeaseProcessor(StatefulProcessor):
             holder, booked, last_t, last_id = self.lease.get()
         else:
             holder, booked, last_t, last_id = "", None, None, None
-        n = len(pdf)
-        grp, off, t = pdf["grp"].to_numpy(), pdf["is_off"].to_numpy(), pdf["t_us"].to_numpy()
-        rid = pdf["request_id"].to_numpy()
-        action = np.empty(n, dtype=object)
-        hold = np.empty(n, dtype=object)
-        bk = np.full(n, np.nan)
-        for i in range(n):
-            ti = int(t[i])
-            if last_t is not None and (ti, int(rid[i])) < (last_t, last_id):
-                action[i], hold[i] = "late", None
+        out = []
+        for grp, off, t, rid in zip(pdf["grp"], pdf["is_off"], pdf["t_us"].tolist(), pdf["request_id"].tolist()):
+            if last_t is not None and (t, rid) < (last_t, last_id):
+                out.append((rid, key[0], grp, "late", None, None))
                 continue
-            last_t, last_id = ti, int(rid[i])
-            live = holder != "" and booked is not None and ti - booked < self.limit_us
+            last_t, last_id = t, rid
+            live = holder != "" and booked is not None and t - booked < self.limit_us
             if not live:
+                if holder != "" and self.expire:
+                    out.append(self._expired_row(key[0], holder, booked))
                 holder = ""
-            if off[i]:
-                if live and holder == grp[i]:
-                    action[i], holder = "off", ""
-                else:
-                    action[i] = "status"
-            elif not live:
-                action[i] = "book"
-                holder, booked = grp[i], ti
+            if off:
+                action = "off" if live and holder == grp else "status"
+                holder = "" if action == "off" else holder
+            elif live:
+                action = "wait"
             else:
-                action[i] = "wait"
-            hold[i] = holder
-            if holder != "" or action[i] == "off":
-                bk[i] = booked
+                action, holder, booked = "book", grp, t
+            out.append((rid, key[0], grp, action, holder, booked if holder != "" or action == "off" else None))
         self.lease.update((holder, booked, last_t, last_id))
-        yield pd.DataFrame({
-            "request_id": pdf["request_id"].to_numpy(), "cluster": pdf["cluster"].to_numpy(),
-            "grp": grp, "action": action, "holder": hold,
-            "booked_us": pd.Series(bk).astype("Int64"),
-        })
+        self._set_timer(holder, booked)
+        yield _answers(out)
 
     def close(self) -> None:
         pass
 
 
+def _answers(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=LEASE_OUT.names)
+    return out.astype({"request_id": "Int64", "booked_us": "Int64"})
+
+
 def late_requests(answers: DataFrame) -> DataFrame:
     """Per cluster: requests served, and requests that came too late to be served in order."""
     return answers.where("cluster is not null").groupBy("cluster").agg(
         F.count_if(F.col("action") != "late").alias("served"), F.count_if(F.col("action") == "late").alias("late"))
 
 
-def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS, idle_ttl_s: int | None = None) -> DataFrame:
+def streaming_leases(classified: DataFrame, limit_s: int = LIMIT_SECONDS, idle_ttl_s: int | None = None,
+                     expire: bool = False, lateness_s: int = 0, initial: DataFrame | None = None) -> DataFrame:
     """One action per request as requests arrive.
 
     ``idle_ttl_s``: the state of a cluster without requests for so long (processing time) is dropped;
-    by default it is kept.
+    by default it is kept. ``expire``: answer leases that run out as well (see ``LeaseProcessor``), on the
+    watermark of the requests' own time less ``lateness_s``; Spark drops requests older than the watermark and
+    counts them (``dropped_late``). ``initial``: the state to start a new checkpoint from, as ``export_leases``
+    gives it.
 
     ``classified``: a stream of ``request_id, t_us, grp, is_off, cluster, kind``.
     Requests of a known cluster go through the stateful processor; status
     and wrong-group requests need no state.
     """
+    if expire and idle_ttl_s:
+        raise ValueError("state can be timed by the events (expire) or by the clock (idle_ttl_s), not by both")
     ship_package(classified.sparkSession)
-    req = classified.where(F.col("kind") == "request").select(
-        "request_id", "t_us", "grp", "is_off", "cluster")
+    columns = ["request_id", "t_us", "grp", "is_off", "cluster"]
+    if expire:
+        classified = classified.withColumn("event_time", F.timestamp_micros("t_us")) \
+                               .withWatermark("event_time", f"{lateness_s} seconds")
+        columns.append("event_time")
+    req = classified.where(F.col("kind") == "request").select(*columns)
     stateful = req.groupBy("cluster").transformWithStateInPandas(
-        statefulProcessor=LeaseProcessor(limit_s, idle_ttl_s), outputStructType=LEASE_OUT,
-        outputMode="Append", timeMode="ProcessingTime" if idle_ttl_s else "None")
+        statefulProcessor=LeaseProcessor(limit_s, idle_ttl_s, expire), outputStructType=LEASE_OUT,
+        outputMode="Append", timeMode="EventTime" if expire else "ProcessingTime" if idle_ttl_s else "None",
+        initialState=None if initial is None else initial.select(
+            "cluster", "holder", "booked_us", "last_t", "last_id").groupBy("cluster"))
     others = classified.where(F.col("kind") != "request").select(
         "request_id", "cluster", "grp", F.col("kind").alias("action"),
         F.lit(None).cast("string").alias("holder"), F.lit(None).cast("long").alias("booked_us"))
     return stateful.unionByName(others)
 
 
+def export_leases(spark, checkpoint: str) -> DataFrame:
+    """The lease state of a stopped stream's last committed batch, one row per cluster, read from its checkpoint."""
+    state = spark.read.format("statestore").option("stateVarName", "lease").load(checkpoint)
+    return state.select(F.col("key.cluster").alias("cluster"), *[F.col(f"value.{c}").alias(c) for c in
+                                                                 ("holder", "booked_us", "last_t", "last_id")])
+
+
+def dropped_late(query) -> int:
+    """Requests older than the watermark that the query's recent batches dropped."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 STATE_COLS = "cluster string, holder string, booked_us long, last_t long, last_id long"
 
 
 def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
     """L9 for busy clusters, as a ``foreachBatch`` sink.
 
-    Each micro-batch is resolved by the batch resolver (segment scan and
-    pointer chain), so one busy cluster is spread over all tasks. The
+    Each micro-batch is resolved by the batch resolver (pieces and their
+    borders), so one busy cluster is spread over all tasks. The
     state between batches is one row per cluster (holder, lease start, last
     request served), written per batch id in the shared folder. A live lease
     enters the next batch as a pseudo booking at its start time; requests
@@ -228,4 +284,6 @@ def lease_batches_sink(out: str, state: str, limit_s: int = LIMIT_SECONDS):
                   .select("cluster", "_s.*"))
         kept = prev.join(served.select("cluster"), "cluster", "left_anti")
         served.unionByName(kept).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        # a replay of this batch reads the state before it; what is older is read by nobody
+        remove_folder(spark, f"{state}/batch_id={batch_id - 2}")
     return on_batch

@@ -120,3 +120,63 @@ def test_an_unreadable_state_fails_the_batch(spark):
 def test_late_requests_are_counted(spark):
     df = spark.createDataFrame([("c1", "book"), ("c1", "late"), ("c1", "wait"), (None, "status")], "cluster string, action string")
     assert [tuple(r) for r in S.late_requests(df).collect()] == [("c1", 2, 1)]
+
+
+def _leases(spark, parts, **options):
+    """(answers, last query): each part is landed and run on one checkpoint."""
+    C.use_rocksdb(spark)
+    landing, out = fresh_dir(spark, "te-land"), fresh_dir(spark, "te-out")
+    ckpt = options.pop("ckpt", None) or fresh_dir(spark, "te-ckpt")
+    schema = "request_id long, ts timestamp_ntz, msg string"
+    directory = spark.createDataFrame([("group01", "c1", 0), ("group02", "c1", 0), ("group03", "c2", 0)],
+                                      "grp string, cluster string, cluster_order int")
+    for rows in parts:
+        spark.createDataFrame([(i, T0 + dt.timedelta(seconds=s), m) for i, s, m in rows], schema) \
+             .write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        classified = LS.resolve_cluster(LS.parse_requests(stream), directory).withColumn("t_us", micros("ts"))
+        q = C.run_available_now(S.streaming_leases(classified, **options), C.append_batches(out), ckpt)
+    return sorted((r.request_id, r.cluster, r.grp, r.action, r.holder) for r in spark.read.parquet(out).collect()
+                  if r.action != "expired"), sorted(
+        (r.cluster, r.grp, r.booked_us) for r in spark.read.parquet(out).where("action = 'expired'").collect()), q
+
+
+def test_timers_answer_leases_that_run_out_without_a_request(spark):
+    us = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    # only c2 is asked again: its request moves the watermark past c1's limit; c1 gets no request
+    answers, expired, _ = _leases(spark, [[(0, 0, "group01"), (1, 10, "group03"), (2, 20, "group03 off")],
+                                          [(3, 950, "group03")]], expire=True)
+    assert expired == [("c1", "group01", us)]
+    assert [a[3] for a in answers] == ["book", "book", "off", "book"]
+    # a request that finds the lease run out answers it once, and the timer does not again
+    answers, expired, _ = _leases(spark, [[(0, 0, "group01"), (1, 1000, "group02")], [(2, 1100, "group01"), (3, 2500, "group03")]],
+                                  expire=True)
+    assert expired == [("c1", "group01", us), ("c1", "group02", us + 1_000_000_000)]
+    assert [(a[0], a[3]) for a in answers] == [(0, "book"), (1, "book"), (2, "wait"), (3, "book")]
+
+
+def test_requests_behind_the_watermark_are_counted_by_the_query(spark):
+    parts = [[(0, 0, "group01"), (1, 600, "group03")], [(2, 100, "group02"), (3, 550, "group02"), (4, 700, "group02")]]
+    answers, _, q = _leases(spark, parts, expire=True, lateness_s=100)
+    assert S.dropped_late(q) == 1                                        # 100 s is behind 600 s - 100 s
+    assert [a[0] for a in answers] == [0, 1, 3, 4]
+
+
+def test_state_is_exported_and_starts_a_new_checkpoint(spark):
+    import os
+
+    from strata.session import remove_folder
+
+    first = [(0, 0, "group01"), (1, 100, "group02"), (5, 150, "group03"), (6, 160, "group03 off")]
+    second = [(2, 200, "group02"), (3, 50, "group02"), (4, 1000, "group02"), (7, 1010, "group03")]
+    whole, _, _ = _leases(spark, [first, second])
+    ckpt = fresh_dir(spark, "te-first")
+    one, _, _ = _leases(spark, [first], ckpt=ckpt)
+    state = S.export_leases(spark, ckpt)
+    rows = state.collect()
+    assert {(r.cluster, r.holder, r.last_id) for r in rows} == {("c1", "group01", 1), ("c2", "", 6)}
+    snapshot = spark.createDataFrame(rows, state.schema)
+    remove_folder(spark, ckpt)
+    assert not os.path.exists(ckpt)
+    two, _, _ = _leases(spark, [second], initial=snapshot)
+    assert sorted(one + two) == whole and ("late" in {a[3] for a in two})
