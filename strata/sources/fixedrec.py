@@ -15,16 +15,22 @@ as data.
 
 Writing (S4, S5). One file per partition, ``part-NNNNN`` by partition
 index, so a range-sorted frame gives files whose concatenation is sorted.
-Each task attempt writes a temporary file; the job commit renames them,
-an abort deletes them. The output path must be given. ``write_records``
+Parts stay where they are written: every task attempt writes a file of its own into the job's folder,
+and the commit writes one small manifest, ``_manifests/<job>.json``, that names the parts of the successful
+attempts in order. A part is read only if a manifest names it, so a job that dies before its manifest
+leaves nothing visible, and nothing is renamed or moved, which object stores cannot do. A manifest
+ends with a digest of itself; one that was cut short counts as not written. Files
+that lie in the folder outside of job folders (written by other tools) are read before the jobs' parts.
+The output path must be given. ``write_records``
 refuses an existing output by default (``error``); ``append`` writes into
-it (the reference's behaviour); ``overwrite`` clears old part files first.
-``columns=key`` reads keys only. All file access goes through ``pyarrow.fs``,
-so local, HDFS and S3 paths work alike.
+it (the reference's behaviour); the manifest of an ``overwrite`` hides what it found, which is then deleted.
+``columns=key`` reads keys only. All file access goes through ``pyarrow.fs``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 from dataclasses import dataclass
@@ -77,18 +83,16 @@ class _Reader(DataSourceReader):
         fs, root = _fs(self.path)
         info = fs.get_file_info(root)
         if info.type == pafs.FileType.Directory:
-            files = [f for f in fs.get_file_info(pafs.FileSelector(root, recursive=True))
-                     if f.type == pafs.FileType.File
-                     and not any(x.startswith(("_", ".")) for x in f.path.removeprefix(root).split("/"))]
+            files = _visible(fs, root)
         elif info.type == pafs.FileType.File:
-            files = [info]
+            files = [(info.path, info.size)]
         else:
             raise FileNotFoundError(f"fixedrec: no such path {self.path}")
         parts = []
-        for f in sorted(files, key=lambda f: f.path):
-            path = f.path if "://" not in self.path else self.path.split("://")[0] + "://" + f.path
-            for start in range(0, f.size, self.split):
-                parts.append(_Split(path, start, min(self.split, f.size - start)))
+        for path, size in files:
+            path = path if "://" not in self.path else self.path.split("://")[0] + "://" + path
+            for start in range(0, size, self.split):
+                parts.append(_Split(path, start, min(self.split, size - start)))
         return parts
 
     def read(self, partition: _Split):
@@ -141,16 +145,68 @@ def _columns(options) -> list[str]:
     return cols
 
 
+MANIFESTS = "_manifests"
+
+
+def _sealed(body: dict) -> bytes:
+    """A manifest's bytes: the JSON and, on a line of its own, its digest."""
+    text = json.dumps(body, sort_keys=True)
+    return f"{text}\n{hashlib.sha256(text.encode()).hexdigest()}\n".encode()
+
+
+def _opened(raw: bytes) -> dict | None:
+    """A manifest's content, or None if it isn't whole."""
+    text, _, seal = raw.decode(errors="replace").rstrip("\n").rpartition("\n")
+    return json.loads(text) if text and hashlib.sha256(text.encode()).hexdigest() == seal else None
+
+
+def _manifests(fs, root: str) -> list[tuple[str, dict]]:
+    """(path, content) of the whole manifests, in commit order."""
+    from pyarrow import fs as pafs
+
+    found = []
+    for f in fs.get_file_info(pafs.FileSelector(f"{root}/{MANIFESTS}", allow_not_found=True)):
+        with fs.open_input_stream(f.path) as i:
+            body = _opened(i.read())
+        if body is not None:
+            found.append((f.path, body))
+    return sorted(found, key=lambda m: m[0])
+
+
+def _plain(fs, root: str) -> list[tuple[str, int]]:
+    """(path, bytes) of files outside of job folders, in path order."""
+    from pyarrow import fs as pafs
+
+    out = []
+    for f in fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)):
+        names = f.path.removeprefix(root).strip("/").split("/")
+        if f.type == pafs.FileType.File and not names[0].startswith("job-") \
+                and not any(n.startswith(("_", ".")) for n in names):
+            out.append((f.path, f.size))
+    return sorted(out)
+
+
+def _visible(fs, root: str) -> list[tuple[str, int]]:
+    """(path, bytes) of what a reader sees, in order: plain files, then each job's parts."""
+    jobs = [body for _, body in _manifests(fs, root)]
+    at = max((i for i, body in enumerate(jobs) if body["overwrite"]), default=0)
+    hidden = set(jobs[at]["replaces"]) if jobs else set()
+    plain = [(p, size) for p, size in _plain(fs, root) if p.removeprefix(root).strip("/") not in hidden]
+    return plain + [(f"{root}/{name}", size) for body in jobs[at:] for name, size in body["parts"]]
+
+
 @dataclass
 class _Written(WriterCommitMessage):
-    path: str
+    name: str
+    size: int
+    partition: int
 
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, options, schema, overwrite):
         self.path = options.get("path")
         if not self.path:
-            raise ValueError("fixedrec: output directory not set")
+            raise ValueError("fixedrec: no path to write to")
         self.key_len = int(options.get("keyLength", KEY_LEN))
         self.value_len = int(options.get("valueLength", VALUE_LEN))
         self.overwrite = overwrite
@@ -168,12 +224,10 @@ class _Writer(DataSourceArrowWriter):
         ctx = TaskContext.get()
         pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         fs, root = _fs(self.path)
-        top = f"{root}/_temporary/{self.job}"
-        fs.create_dir(f"{top}/attempts", recursive=True)
-        fs.create_dir(f"{top}/{self.job}", recursive=True)
-        temp = f"{top}/attempts/part-{pid:010d}-{attempt}-{ctx.taskAttemptId()}"
-        final = f"{top}/{self.job}/part-{pid:010d}"
-        with fs.open_output_stream(temp) as out:
+        fs.create_dir(f"{root}/{self.job}", recursive=True)
+        # one file per attempt: the manifest names the attempt that succeeded
+        name, size = f"{self.job}/part-{pid:010d}-{attempt}-{ctx.taskAttemptId()}", 0
+        with fs.open_output_stream(f"{root}/{name}") as out:
             for batch in iterator:
                 n = batch.num_rows
                 if n == 0:
@@ -191,39 +245,35 @@ class _Writer(DataSourceArrowWriter):
                 rows[:, :self.key_len] = kb[ko[0]:ko[-1]].reshape(n, self.key_len)
                 rows[:, self.key_len:] = vb[vo[0]:vo[-1]].reshape(n, self.value_len)
                 out.write(rows.tobytes())
-        fs.move(temp, final)        # by the task; a second attempt writes the same records
-        return _Written(final)
+                size += rows.size
+        return _Written(name, size, pid)
 
     def commit(self, messages):
-        """One folder move publishes the job, whatever its number of parts."""
-        from pyarrow import fs as pafs
-
+        """One manifest publishes the job, whatever its number of parts."""
         fs, root = _fs(self.path)
-        older = [f for f in fs.get_file_info(pafs.FileSelector(root, recursive=False))
-                 if f.base_name.startswith(("part-", "job-"))] if self.overwrite else []
-        if any(m is not None for m in messages):
-            fs.move(f"{root}/_temporary/{self.job}/{self.job}", f"{root}/{self.job}")
-        for f in older:
-            if f.type == pafs.FileType.Directory:
-                fs.delete_dir(f.path)
-            else:
-                fs.delete_file(f.path)
-        _drop_temporary(fs, root, self.job)
+        older, plain = (_manifests(fs, root), _plain(fs, root)) if self.overwrite else ([], [])
+        done = sorted((m for m in messages if m is not None), key=lambda m: m.partition)
+        body = {"job": self.job, "overwrite": bool(self.overwrite), "parts": [[m.name, m.size] for m in done],
+                "replaces": [p.removeprefix(root).strip("/") for p, _ in plain]}
+        fs.create_dir(f"{root}/{MANIFESTS}", recursive=True)
+        with fs.open_output_stream(f"{root}/{MANIFESTS}/{self.job}.json") as out:
+            out.write(_sealed(body))
+        # from here on what the manifest hides is seen by nobody
+        for path, old in older:
+            _drop(fs, f"{root}/{old['job']}")
+            fs.delete_file(path)
+        for path, _ in plain:
+            fs.delete_file(path)
 
     def abort(self, messages):
         fs, root = _fs(self.path)
-        _drop_temporary(fs, root, self.job)
+        _drop(fs, f"{root}/{self.job}")
 
 
-def _drop_temporary(fs, root: str, job: str) -> None:
-    """Remove this job's temporary folder, and the parent once no job uses it."""
-    from pyarrow import fs as pafs
-
+def _drop(fs, folder: str) -> None:
     try:
-        fs.delete_dir(f"{root}/_temporary/{job}")
-        if not fs.get_file_info(pafs.FileSelector(f"{root}/_temporary")):
-            fs.delete_dir(f"{root}/_temporary")
-    except OSError:
+        fs.delete_dir(folder)
+    except OSError:              # a job without rows has none
         pass
 
 
@@ -269,15 +319,14 @@ def read_records(spark, path: str, split_size: int | None = None, include_origin
 def write_records(df, path: str, mode: str = "error", key_len: int = KEY_LEN, value_len: int = VALUE_LEN):
     """One file per partition, in partition order.
 
-    Every write makes a folder of its own whose name sorts after earlier ones;
-    part names sort by partition at any count. ``mode``: ``error`` (default)
-    refuses a folder that already holds files; ``append`` adds to it;
+    Every write makes a folder and a manifest of its own whose names sort after earlier ones.
+    ``mode``: ``error`` (default) refuses a folder that already holds committed files; ``append`` adds to it;
     ``overwrite`` replaces what it holds. Spark offers only append and overwrite to Python
     sinks, so the refusal is checked here, before any task runs.
     """
     register(df.sparkSession)
     if not path:
-        raise ValueError("fixedrec: output directory not set")
+        raise ValueError("fixedrec: no path to write to")
     mode = mode.lower()
     if mode in ("error", "errorifexists"):
         from pyarrow import fs as pafs
@@ -285,7 +334,7 @@ def write_records(df, path: str, mode: str = "error", key_len: int = KEY_LEN, va
         fs, root = _fs(path)
         info = fs.get_file_info(root)
         if info.type == pafs.FileType.File or (
-                info.type == pafs.FileType.Directory and fs.get_file_info(pafs.FileSelector(root))):
+                info.type == pafs.FileType.Directory and (_manifests(fs, root) or _plain(fs, root))):
             raise FileExistsError(f"fixedrec: output {path} already exists")
         mode = "append"
     elif mode not in ("append", "overwrite"):

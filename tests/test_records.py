@@ -48,9 +48,10 @@ def test_sort_write_read_round_trip(spark):
     recs = text_records(docs, "doc_id", "text").select("key", "value")
     out = tempfile.mkdtemp() + "/out"
     write_records(range_sort(recs, ["key"], 3), out)
-    (job,) = os.listdir(out)
+    (job,) = [x for x in os.listdir(out) if x.startswith("job-")]
     out_job = f"{out}/{job}"
-    assert sorted(os.listdir(out_job)) == [f"part-{i:010d}" for i in range(3)]
+    assert [x[:15] for x in sorted(os.listdir(out_job))] == [f"part-{i:010d}" for i in range(3)]
+    assert os.listdir(f"{out}/_manifests") == [f"{job}.json"]
     # the concatenated files are sorted by unsigned key
     blob = b"".join(open(f"{out_job}/{f}", "rb").read() for f in sorted(os.listdir(out_job)))
     keys = [blob[i:i + 10] for i in range(0, len(blob), 100)]
@@ -102,7 +103,8 @@ def test_append_keeps_earlier_records(spark):
     assert sorted(bytes(r.key) + bytes(r.value) for r in read_records(spark, out).collect()) == \
         sorted(recs + [b"0123456789" + b"v" * 90])
     write_records(more, out, mode="overwrite")
-    assert read_records(spark, out).count() == 1 and len(os.listdir(out)) == 1
+    assert read_records(spark, out).count() == 1
+    assert len(os.listdir(out)) == 2 and len(os.listdir(f"{out}/_manifests")) == 1       # older jobs are gone
 
 
 def test_part_names_sort_at_any_count():
@@ -121,3 +123,52 @@ def test_sort_job(spark):
     assert len({r._file for r in got}) == 4
     with pytest.raises(FileExistsError):
         sort_records(spark, f"{d}/a", f"{d}/out")
+
+
+def test_a_job_without_its_manifest_is_invisible(spark):
+    import shutil
+
+    d = tempfile.mkdtemp()
+    recs = _write(f"{d}/a", 20)
+    out = d + "/out"
+    write_records(read_records(spark, f"{d}/a"), out)
+    (job,) = [x for x in os.listdir(out) if x.startswith("job-")]
+    (manifest,) = os.listdir(f"{out}/_manifests")
+    # killed before the commit: parts lie there, no manifest; killed inside it: the manifest is cut short
+    shutil.copytree(f"{out}/{job}", f"{out}/job-99999999999999999999-dead")
+    whole = open(f"{out}/_manifests/{manifest}", "rb").read()
+    for cut in (0, 10, len(whole) - 30):
+        with open(f"{out}/_manifests/job-99999999999999999999-dead.json", "wb") as f:
+            f.write(whole[:cut])
+        assert read_records(spark, out).count() == 20
+    # a second attempt's file that no manifest names is not read either
+    part = sorted(os.listdir(f"{out}/{job}"))[0]
+    shutil.copy(f"{out}/{job}/{part}", f"{out}/{job}/{part}9")
+    assert sorted(bytes(r.key) + bytes(r.value) for r in read_records(spark, out).collect()) == sorted(recs)
+    with pytest.raises(FileExistsError):
+        write_records(read_records(spark, f"{d}/a"), out)
+
+
+def test_a_failed_job_leaves_what_was_there(spark):
+    d = tempfile.mkdtemp()
+    recs = _write(f"{d}/a", 8)
+    out = d + "/out"
+    write_records(read_records(spark, f"{d}/a"), out)
+    bad = spark.createDataFrame([(b"0123456789", b"v" * 90), (b"short", b"v")], "key binary, value binary").repartition(2)
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception, match="10 bytes"):
+            write_records(bad, out, mode=mode)
+        assert sorted(bytes(r.key) + bytes(r.value) for r in read_records(spark, out).collect()) == sorted(recs)
+
+
+def test_files_of_other_tools_come_first_and_go_with_an_overwrite(spark):
+    d = tempfile.mkdtemp()
+    recs = _write(f"{d}/a", 5)
+    more = spark.createDataFrame([(b"0123456789", b"v" * 90)], "key binary, value binary")
+    write_records(more, d, mode="append")
+    got = read_records(spark, d).coalesce(1).collect()
+    assert [bytes(r.key) for r in got] == [r[:10] for r in recs] + [b"0123456789"]
+    write_records(more, d, mode="overwrite")
+    assert read_records(spark, d).count() == 1 and not os.path.exists(f"{d}/a")
+    _write(f"{d}/b", 5)
+    assert read_records(spark, d).count() == 6
