@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import chunk_id
+from ..session import materialize
 
 
 def vector_add(dst: DataFrame, src: DataFrame, idx: str = "idx", x: str = "x", y: str = "y",
@@ -68,28 +70,62 @@ def copy_digest(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("digest"))
 
 
-def verify_copy(src: DataFrame, copy: DataFrame) -> DataFrame:
+FANOUT = 1024                # buckets of each level of the hash tree
+BROADCAST_LEAVES = 200_000
+
+
+def _plain_zero(c: Column, t: T.DataType) -> Column:
+    """``c`` with -0.0 as 0.0, also inside arrays and structs, so that equal values hash alike."""
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return c + F.lit(0).cast(t)
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda x: _plain_zero(x, t.elementType))
+    if isinstance(t, T.StructType) and t.fields:
+        return F.when(c.isNotNull(), F.struct(*[_plain_zero(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+    return c
+
+
+def _tree_digests(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per bucket: rows of either side, and the signed sums of two hashes, which are 0 where the sides agree."""
+    signed = [F.sum(F.col(h).cast("decimal(38,0)") * F.col("_d")).alias(h) for h in ("_h", "_g")]
+    return rows.groupBy(*keys).agg(F.count_if(F.col("_d") > 0).alias("_ns"), F.count_if(F.col("_d") < 0).alias("_nc"),
+                                   *signed)
+
+
+def verify_copy(src: DataFrame, copy: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """V5: multiset equality of two tables, by value (-0.0 equals 0.0).
 
-    One aggregation over the union: each distinct row gets ``net = copies in
-    src - copies in copy``. Identical rows are pre-aggregated map-side, so a
-    row repeated millions of times costs one row per task in the shuffle.
+    A hash tree of two levels. Rows fall into ``fanout`` buckets by their hash; per bucket, counts and
+    signed sums of two 64-bit hashes are compared. Only rows of buckets that differ are digested again in ``fanout``
+    finer ones each, and only in those that still differ full rows are compared: one aggregate that gives each
+    distinct row its copies in ``src`` less those in ``copy``, pre-aggregated in each task. Equal tables
+    shuffle digests alone. Buckets that differ with equal counts and two equal hash sums (128 bits) go unseen.
     """
     cols = src.columns
     schema_equal = [(f.name, f.dataType) for f in src.schema.fields] == \
                    [(f.name, f.dataType) for f in copy.schema.fields]
     u = (src.select(*cols, F.lit(1).alias("_d"))
             .unionByName(copy.select(*cols, F.lit(-1).alias("_d"))))
-    per_row = u.groupBy(*cols).agg(F.sum("_d").alias("_net"),
-                                   F.count_if(F.col("_d") > 0).alias("_ns"),
-                                   F.count_if(F.col("_d") < 0).alias("_nc"))
-    res = per_row.agg(
-        F.coalesce(F.sum("_ns"), F.lit(0)).cast("long").alias("n_source"),
-        F.coalesce(F.sum("_nc"), F.lit(0)).cast("long").alias("n_copy"),
-        F.coalesce(F.sum(F.greatest(F.col("_net"), F.lit(0))), F.lit(0)).cast("long").alias("missing"),
-        F.coalesce(F.sum(F.greatest(-F.col("_net"), F.lit(0))), F.lit(0)).cast("long").alias("extra"),
-    )
-    return res.select("*", ((F.col("missing") == 0) & (F.col("extra") == 0) & F.lit(schema_equal))
+    values = [_plain_zero(F.col(f"`{f.name}`"), f.dataType) for f in u.schema.fields[:-1]]
+    hashed = u.withColumns({"_h": F.xxhash64(*values), "_g": F.xxhash64(F.lit("second"), *values)})
+    hashed = hashed.withColumns({"_top": F.pmod("_h", F.lit(fanout)).cast("int"),
+                                 "_leaf": F.pmod(F.shiftright("_h", 32), F.lit(fanout)).cast("int")})
+    tops = _tree_digests(hashed.select("_top", "_d", "_h", "_g"), ["_top"]).collect()      # ``fanout`` rows at most
+    differ = [r["_top"] for r in tops if r["_ns"] != r["_nc"] or r["_h"] or r["_g"]]
+    n_source, n_copy = sum(r["_ns"] for r in tops), sum(r["_nc"] for r in tops)
+    if differ:
+        some = hashed.where(F.col("_top").isin(differ)) if len(differ) < fanout else hashed
+        leaves = _tree_digests(some.select("_top", "_leaf", "_d", "_h", "_g"), ["_top", "_leaf"])
+        leaves = materialize(leaves.where("_ns <> _nc or _h <> 0 or _g <> 0").select("_top", "_leaf"), "differing-leaves")
+        small = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+        per_row = some.join(small, ["_top", "_leaf"], "left_semi").groupBy(*cols).agg(F.sum("_d").alias("_net"))
+        res = per_row.agg(
+            F.coalesce(F.sum(F.greatest(F.col("_net"), F.lit(0))), F.lit(0)).cast("long").alias("missing"),
+            F.coalesce(F.sum(F.greatest(-F.col("_net"), F.lit(0))), F.lit(0)).cast("long").alias("extra"))
+    else:
+        res = src.sparkSession.sql("select 0L as missing, 0L as extra")
+    return res.select(F.lit(n_source).cast("long").alias("n_source"), F.lit(n_copy).cast("long").alias("n_copy"),
+                      "missing", "extra", ((F.col("missing") == 0) & (F.col("extra") == 0) & F.lit(schema_equal))
                       .alias("equal"), F.lit(schema_equal).alias("schema_equal"))
 
 

@@ -3,6 +3,9 @@ substring search, display labels and lookups (S8, G1-G6)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,29 +77,59 @@ def label(group_num: Column, first: Column, last: Column) -> Column:
     return F.format_string(LABEL_FORMAT, group_num.cast("int"), first, last)
 
 
+TERM_BYTES = 16 << 20            # of terms whose automaton a task holds
+
+
+def _matcher(terms: list[str]):
+    """Per task: (term number, lowest row of a label that holds it) of every batch of (row, label)."""
+
+    def run(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        words = ahocorasick.Automaton()
+        for i, t in enumerate(terms):
+            words.add_word(t, i)
+        words.make_automaton()
+        least: dict[int, int] = {}
+        for b in batches:
+            for at, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for _, i in words.iter(text):
+                    if at < least.get(i, at + 1):
+                        least[i] = at
+        yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.int32()), pa.array(list(least.values()), pa.int64())],
+                                         names=["_i", "_hit"])
+    return run
+
+
 def first_match(labels: DataFrame, terms: DataFrame, row: str = "row_idx", text: str = "label",
-                term: str = "term") -> DataFrame:
+                term: str = "term", block_bytes: int = TERM_BYTES) -> DataFrame:
     """For each term, the first row (lowest ``row``) whose label contains
     it, case-insensitively; -1 if none; the empty term matches the first row.
 
-    No (term, row) pair is ever formed. For every length that some term has,
-    each label yields all its substrings of that length; those are reduced
-    to the first row per substring (partial aggregation per task, so a
-    substring found in most rows costs one row per task), and the terms
-    equi-join that table. The work is linear in label characters times the
-    number of distinct term lengths, and exact.
+    No (term, row) pair is ever formed. Each task reads its labels once through an Aho-Corasick automaton of all
+    terms, whatever their lengths, and returns the lowest row of every term that it met. Terms are taken in
+    blocks of about ``block_bytes`` (measured); each block is one pass over the labels.
     """
-    lab = labels.select(F.col(row).alias("_row"), F.lower(F.col(text)).alias("_l"))
     t = terms.select(F.col(term).alias("term")).distinct().withColumn("_t", F.lower("term"))
-    # the distinct term lengths, as one small array that Spark fills in when the plan runs
-    lengths = t.where("_t <> ''").agg(F.collect_set(F.length("_t")).alias("_ms")).scalar()
-    first_row = lab.select(F.min("_row")).scalar()
-    cut = lab.withColumn("_ms", lengths).select("_row", "_l", F.explode("_ms").alias("_m")) \
-        .where(F.length("_l") >= F.col("_m"))
-    starts = F.sequence(F.lit(1), F.length("_l") - F.col("_m") + 1)
-    first_seen = (cut.select("_row", F.explode(F.transform(starts, lambda i: F.substr("_l", i, F.col("_m")))).alias("_s"))
-                     .groupBy("_s").agg(F.min("_row").alias("_hit")))
-    hits = t.join(first_seen, F.col("_t") == F.col("_s"), "left").select("term", "_t", "_hit")
+    first_row = labels.select(F.min(row)).scalar()
+    lab = labels.select(F.col(row).cast("long").alias("_row"), F.lower(F.col(text)).alias("_l")).where(
+        "_row is not null and _l is not null")
+    words = t.where("_t <> ''").select("_t").distinct()
+    size = words.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
+    blocks = -(-size // block_bytes)
+    seen = []
+    for i in range(blocks):
+        mine = words.where(F.pmod(F.xxhash64("_t"), F.lit(blocks)) == i) if blocks > 1 else words
+        some = [r["_t"] for r in mine.collect()]                   # one block
+        if not some:
+            continue
+        found = lab.mapInArrow(_matcher(some), "_i int, _hit long").groupBy("_i").agg(F.min("_hit").alias("_hit"))
+        names = labels.sparkSession.createDataFrame(pd.DataFrame({"_s": some, "_n": range(len(some))}), "_s string, _n int")
+        seen.append(found.join(names, F.col("_i") == F.col("_n")).select("_s", "_hit"))
+    if not seen:
+        seen = [labels.sparkSession.createDataFrame([], "_s string, _hit long")]
+    hits = t.join(reduce(DataFrame.unionByName, seen), F.col("_t") == F.col("_s"), "left")
     hit = F.when(F.length("_t") == 0, first_row).otherwise(F.col("_hit"))
     return hits.select("term", F.coalesce(hit.cast("long"), F.lit(-1).cast("long")).alias("first_row"))
 

@@ -43,6 +43,7 @@ REPLY_WAIT = "{holder} is on {cluster}. Please wait for [{min} min {sec} sec]."
 REPLY_STATUS_ITEM = '["{cluster}": {holder}]'
 REPLY_WRONG_GROUP = 'Wrong Group Name. Please use "groupXX", e.g., group01.'
 
+MOST_CLUSTERS = 100_000          # every listing names all clusters
 US = 1_000_000
 
 
@@ -134,11 +135,11 @@ def _changes(resolved: DataFrame) -> DataFrame:
 
 
 def as_of_state(resolved: DataFrame, probes: DataFrame, limit_s: int = LIMIT_SECONDS,
-                n_partitions: int | None = None) -> DataFrame:
+                n_partitions: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """State of each probe's cluster at the probe's time (changes at the same
     instant count when their request id is lower).
 
-    ``probes``: ``probe_id, cluster, t_us``. Output adds ``raw_holder``,
+    ``probes``: ``probe_id, cluster, t_us`` and the columns to ``keep``. Output adds ``raw_holder``,
     ``booked_us`` and ``holder`` ('' once expired). Union + forward fill per
     cluster, as an ordered scan: a busy cluster is split across tasks.
     """
@@ -147,56 +148,50 @@ def as_of_state(resolved: DataFrame, probes: DataFrame, limit_s: int = LIMIT_SEC
         F.col("holder").alias("_h"), F.col("booked_us").alias("_b"), F.lit(None).cast("long").alias("probe_id"))
     pr = probes.select("cluster", "t_us", F.col("probe_id").alias("_id"), F.lit(1).alias("_kind"),
                        F.lit(None).cast("string").alias("_h"), F.lit(None).cast("long").alias("_b"),
-                       F.col("probe_id"))
-    u = ch.unionByName(pr)
+                       F.col("probe_id"), *keep)
+    u = ch.unionByName(pr, allowMissingColumns=True)
     s = ordered_scan(u, ["t_us", "_id", "_kind"], ["cluster"],
                      [Scan("raw_holder", "ffill", "_h"), Scan("booked_us", "ffill", "_b")], n_partitions)
     live = (F.coalesce(F.col("raw_holder"), F.lit("")) != "") & \
            (F.col("t_us") - F.col("booked_us") < limit_s * US)
     return (s.where(F.col("_kind") == 1)
-             .select("probe_id", "cluster", "t_us", "raw_holder", "booked_us",
+             .select("probe_id", "cluster", "t_us", *keep, "raw_holder", "booked_us",
                      F.when(live, F.col("raw_holder")).otherwise(F.lit("")).alias("holder")))
 
 
+def cluster_list(directory: DataFrame, cluster: str = "cluster", order: str | None = "cluster_order") -> list[str]:
+    """The clusters of a directory in its order (by name, if it has none). Every listing names them all, so there are
+    at most ``MOST_CLUSTERS``."""
+    by = F.min(order) if order and order in directory.columns else F.min(cluster)
+    rows = directory.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(by.alias("_o")).orderBy("_o", cluster) \
+        .limit(MOST_CLUSTERS + 1).collect()
+    if len(rows) > MOST_CLUSTERS:
+        raise ValueError(f"a listing of more than {MOST_CLUSTERS} clusters")
+    return [r[cluster] for r in rows]
+
+
 def listing_state(resolved: DataFrame, probes: DataFrame, clusters: Sequence[str],
                   limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None) -> DataFrame:
-    """Holder of every listed cluster at each probe: one column ``_holder_<i>``
-    per cluster ('' when free or expired).
-
-    ``probes``: ``probe_id, t_us`` plus any payload columns, kept as they are.
-    Lease changes of all clusters and the probes form one time-ordered
-    stream; a forward fill per cluster column gives each probe the state of
-    every cluster in a single ordered scan (range partitioned by time, so it
-    spreads over all tasks), with no fan-out and no join.
+    """Holder of every listed cluster at each probe, in long form: ``probe_id, pos, cluster, holder`` ('' when free
+    or expired), ``pos`` being the cluster's place in the listing.
+
+    One row per probe and cluster is what a listing consists of. The rows of a cluster and its lease
+    changes are one time-ordered scan per cluster, which cuts a busy one into many tasks; the plan is the same for
+    any number of clusters.
     """
-    ch = _changes(resolved)
-    h = [f"_h{i}" for i in range(len(clusters))]
-    b = [f"_b{i}" for i in range(len(clusters))]
-    ch_rows = ch.select(
-        "t_us", F.col("request_id").alias("_id"), F.lit(0).alias("_kind"),
-        *[F.when(F.col("cluster") == c, F.col("holder")).alias(h[i]) for i, c in enumerate(clusters)],
-        *[F.when(F.col("cluster") == c, F.col("booked_us")).alias(b[i]) for i, c in enumerate(clusters)])
-    pr_rows = probes.withColumns({"_id": F.col("probe_id"), "_kind": F.lit(1)})
-    u = ch_rows.unionByName(pr_rows, allowMissingColumns=True)
-    scans = [Scan(x, "ffill", x) for x in h + b]
-    st = ordered_scan(u, ["t_us", "_id", "_kind"], [], scans, n_partitions).where(F.col("_kind") == 1)
-    live = [(F.coalesce(F.col(h[i]), F.lit("")) != "") & (F.col("t_us") - F.col(b[i]) < limit_s * US)
-            for i in range(len(clusters))]
-    return st.select(*probes.columns, *[F.when(live[i], F.col(h[i])).otherwise(F.lit("")).alias(f"_holder_{i}")
-                                        for i in range(len(clusters))])
+    names = F.split(F.lit("\x00".join(clusters)), "\x00") if clusters else F.array().cast("array<string>")
+    asked = probes.select("probe_id", "t_us", F.posexplode(names).alias("pos", "cluster"))
+    st = as_of_state(resolved, asked, limit_s, n_partitions, keep=["pos"])
+    return st.select("probe_id", "pos", "cluster", "holder")
 
 
 def status_snapshot(resolved: DataFrame, probes: DataFrame, clusters: Sequence[str],
                     limit_s: int = LIMIT_SECONDS, n_partitions: int | None = None) -> DataFrame:
     """Holder of every cluster at each probe time; an expired lease shows ''.
 
-    ``probes``: ``probe_id, t_us``. ``clusters`` is the directory's cluster
-    list (a dimension, as in the service's listing).
+    ``probes``: ``probe_id, t_us``. ``clusters``: the directory's ``cluster_list``.
     """
-    st = listing_state(resolved, probes.select("probe_id", "t_us"), clusters, limit_s, n_partitions)
-    pairs = F.array(*[F.struct(F.lit(c).alias("cluster"), F.col(f"_holder_{i}").alias("holder"))
-                      for i, c in enumerate(clusters)])
-    return st.select("probe_id", F.explode(pairs).alias("_p")).select("probe_id", "_p.cluster", "_p.holder")
+    return listing_state(resolved, probes, clusters, limit_s, n_partitions).select("probe_id", "cluster", "holder")
 
 
 # ------------------------------------------------------------------------ L7
@@ -237,28 +232,29 @@ def replies(resolved: DataFrame, clusters: Sequence[str], limit_s: int = LIMIT_S
 
     Book, off and wait replies are followed by a newline and the status
     listing (after the request); status replies are the listing alone;
-    unknown groups get the wrong-group text alone. The requests themselves
-    are the probes of ``listing_state``, so the listing needs no join back.
+    unknown groups get the wrong-group text alone.
     """
-    payload = resolved.where(F.col("action") != "wrong_group").select(
-        F.col("request_id").alias("probe_id"), "t_us", F.col("action").alias("_p_action"),
-        F.col("grp").alias("_p_grp"), F.col("cluster").alias("_p_cluster"),
-        F.col("holder").alias("_p_holder"), F.col("booked_us").alias("_p_booked"))
-    st = listing_state(resolved, payload, clusters, limit_s, n_partitions)
+    asked = resolved.where(F.col("action") != "wrong_group")
+    st = listing_state(resolved, asked.select(F.col("request_id").alias("probe_id"), "t_us"), clusters, limit_s,
+                       n_partitions)
     item = REPLY_STATUS_ITEM.replace("{cluster}", "%s").replace("{holder}", "%s")
-    listing = F.concat_ws(" ", *[F.format_string(item, F.lit(c), F.col(f"_holder_{i}"))
-                                 for i, c in enumerate(clusters)])
-    rem = F.lit(limit_s * US) - (F.col("t_us") - F.col("_p_booked"))
+    # one item per cluster: a list as long as the reply itself
+    listed = st.groupBy("probe_id").agg(F.concat_ws(" ", F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", F.format_string(item, "cluster", "holder").alias("item")))),
+        lambda x: x["item"])).alias("_listing"))
+    st = asked.join(listed, F.col("request_id") == F.col("probe_id"), "left")
+    listing = F.coalesce("_listing", F.lit(""))
+    rem = F.lit(limit_s * US) - (F.col("t_us") - F.col("booked_us"))
     wait = F.format_string(
         REPLY_WAIT.replace("{holder}", "%s").replace("{cluster}", "%s").replace("{min}", "%d").replace("{sec}", "%d"),
-        F.col("_p_holder"), F.col("_p_cluster"), F.floor(rem / (60 * US)).cast("long"),
+        F.col("holder"), F.col("cluster"), F.floor(rem / (60 * US)).cast("long"),
         F.floor((rem % (60 * US)) / US).cast("long"))
-    act = F.col("_p_action")
-    first = (F.when(act == "off", F.format_string(REPLY_OFF.replace("{grp}", "%s"), F.col("_p_grp")))
-              .when(act == "book", F.format_string(REPLY_ON.replace("{grp}", "%s"), F.col("_p_grp")))
+    act = F.col("action")
+    first = (F.when(act == "off", F.format_string(REPLY_OFF.replace("{grp}", "%s"), F.col("grp")))
+              .when(act == "book", F.format_string(REPLY_ON.replace("{grp}", "%s"), F.col("grp")))
               .when(act == "wait", wait))
     text = F.when(act == "status", listing).otherwise(F.concat_ws("\n", first, listing))
-    answered = st.select(F.col("probe_id").alias("request_id"), act.alias("action"), text.alias("reply"))
+    answered = st.select("request_id", act.alias("action"), text.alias("reply"))
     wrong = resolved.where(F.col("action") == "wrong_group").select(
         "request_id", "action", F.lit(REPLY_WRONG_GROUP).alias("reply"))
     return answered.unionByName(wrong)

@@ -17,7 +17,6 @@ from ..operators import lease as LS
 from ..session import checkpoint_dir, is_written
 from ..sources.tables import table
 
-CLUSTERS = ["c0", "c1", "c2", "c3"]
 LISTING_PREFIX = "drwxr-xr-x   - hduser supergroup          0 2024-01-01 10:00 "
 
 
@@ -95,7 +94,7 @@ def lease_wait(spark, sf_dir):
 def lease_status(spark, sf_dir):
     r = _resolved(spark, sf_dir)
     probes = r.where(F.col("action") == "status").select(F.col("request_id").alias("probe_id"), "t_us")
-    return LS.status_snapshot(r, probes, CLUSTERS)
+    return LS.status_snapshot(r, probes, LS.cluster_list(directory(spark, sf_dir)))
 
 
 def lease_intervals(spark, sf_dir):
@@ -103,7 +102,7 @@ def lease_intervals(spark, sf_dir):
 
 
 def lease_reply(spark, sf_dir):
-    return LS.replies(_resolved(spark, sf_dir), CLUSTERS)
+    return LS.replies(_resolved(spark, sf_dir), LS.cluster_list(directory(spark, sf_dir)))
 
 
 def lease_usage(spark, sf_dir):
@@ -202,7 +201,7 @@ res as (
 changes as (
   select cluster, t_us, request_id, case when action = 'book' then grp else '' end as holder, booked_us
   from res where action in ('book', 'off')),
-clusters as (select * from (values ('c0', 1), ('c1', 2), ('c2', 3), ('c3', 4)) v(cluster, pos))
+clusters as (select cluster, row_number() over (order by cluster) as pos from (select distinct cluster from dir))
 """
 
 _INTERVALS = """,
@@ -236,6 +235,15 @@ _SIGHT = """,
 sight as (select event_id as probe_id, 'c' || (user_id % 4) as cluster, epoch_us(ts) as t_us
           from events where event_type = 'view')"""
 
+
+
+def _filled(template: str, **columns: str) -> str:
+    """A reply template as a SQL expression over columns."""
+    for name, column in columns.items():
+        template = template.replace("{" + name + "}", f"' || {column} || '")
+    return f"'{template}'"
+
+
 SQL = {
     "request_parse": _BASE + " select request_id, grp, is_off from parsed",
     "request_cluster": _BASE + " select request_id, grp, cluster, kind from cl",
@@ -262,14 +270,15 @@ SQL = {
         w as (""" + _WAIT + """)
         select r.request_id, r.action,
                case r.action
-                 when 'wrong_group' then 'Wrong Group Name. Please use "groupXX", e.g., group01.'
+                 when 'wrong_group' then '{wrong}'
                  when 'status' then l.listing
-                 when 'off' then '[' || r.grp || '] Your booking is off.' || chr(10) || l.listing
-                 when 'book' then '[' || r.grp || '] Your booking is on. 15 minutes left.' || chr(10) || l.listing
-                 when 'wait' then r.holder || ' is on ' || r.cluster || '. Please wait for ['
-                                  || w.wait_min || ' min ' || w.wait_sec || ' sec].' || chr(10) || l.listing
+                 when 'off' then {off} || chr(10) || l.listing
+                 when 'book' then {on} || chr(10) || l.listing
+                 when 'wait' then {wait} || chr(10) || l.listing
                end as reply
-        from res r left join listing l using (request_id) left join w using (request_id)""",
+        from res r left join listing l using (request_id) left join w using (request_id)""".format(
+        wrong=LS.REPLY_WRONG_GROUP, off=_filled(LS.REPLY_OFF, grp="r.grp"), on=_filled(LS.REPLY_ON, grp="r.grp"),
+        wait=_filled(LS.REPLY_WAIT, holder="r.holder", cluster="r.cluster", min="w.wait_min", sec="w.wait_sec")),
     "lease_usage": _BASE + _INTERVALS + """
         select c.cluster, c.grp, c.bookings, c.waits, c.offs, coalesce(h.held_us, 0)::bigint as held_us
         from (select cluster, grp, count(*) filter (where action = 'book') as bookings,
@@ -287,12 +296,10 @@ SQL = {
         lst as (select s.probe_id, s.cluster, s.t_us,
                        regexp_extract('{LISTING_PREFIX}' || pg.upath, '(.+) (/.*)', 2) as path
                 from sight s join pg on pg.page_id = s.probe_id % (select count(*) from pages)),
-        st as (""" + _ASOF.format(probes="(select distinct probe_id, cluster, t_us from lst)") + """)
+        st as (""" + _ASOF.format(probes="(select distinct probe_id, cluster, t_us from lst)") + f""")
         select l.probe_id, l.cluster, st.holder, l.path
         from lst l join st using (probe_id)
         where l.path <> '' and st.holder <> '' and l.t_us - st.booked_us <= 10000000
-          and l.path not in ('/terainput20g-32m', '/terainput20g-64m', '/terainput20g-128m',
-                             '/terainput20g-256m', '/terainput20g-512m', '/tmp', '/user', '/user/hduser',
-                             '/user/hduser/.sparkStaging')
+          and l.path not in ({", ".join(f"'{p}'" for p in LS.PATH_WHITE_LIST)})
           and l.path <> '/user/' || st.holder""",
 }

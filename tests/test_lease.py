@@ -143,6 +143,19 @@ def test_dense_and_sparse_stretches(spark):
     assert got == plain
 
 
+def test_listings_of_many_clusters(spark):
+    clusters = [f"c{i}" for i in range(300)]
+    d = spark.createDataFrame([(f"group{i}", c, i) for i, c in enumerate(clusters)], "grp string, cluster string, cluster_order int")
+    assert LS.cluster_list(d) == clusters
+    req = spark.createDataFrame([(i, dt.datetime(2024, 1, 1, 0, i), f"group{i}") for i in range(3)]
+                                + [(9, dt.datetime(2024, 1, 1, 0, 16, 30), "status")],
+                                "request_id long, ts timestamp_ntz, msg string")
+    r = LS.resolve_leases(LS.resolve_cluster(LS.parse_requests(req), d))
+    replies = {x.request_id: x.reply for x in LS.replies(r, clusters).collect()}
+    items = replies[9].split("] ")
+    assert len(items) == 300 and items[1:4] == ['["c1": ', '["c2": group2', '["c3": ']      # c1's ran out at 16:00
+
+
 @pytest.mark.parametrize("start", [0, -40 * 365 * 86400 - 30000, -54 * 365 * 86400 - 200000])
 def test_any_epoch(spark, start):
     """Times before 1970 and across it resolve like any other."""

@@ -68,6 +68,29 @@ def test_copy_verify_detects_changes(spark, tmp_path):
     assert V.verify_copy(src, zeros).first().equal
 
 
+@pytest.mark.parametrize("fanout", [1, 3, 1024])
+def test_hash_tree_finds_single_rows(spark, fanout):
+    src = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 7, id) as id", "if(id % 5 = 0, null, cast(id as string)) as s", "array(-0.0D, id * 0.5D) as a",
+        "named_struct('x', cast('NaN' as double), 'y', if(id % 2 = 0, null, 1)) as st").withColumn("n", F.lit(1))
+    assert tuple(V.verify_copy(src, src.selectExpr("id", "s", "transform(a, x -> x + 0.0D) as a", "st", "n"), fanout)
+                 .first()) == (3000, 3000, 0, 0, True, True)
+    changed = src.withColumn("s", F.when(F.col("s") == "1234", "other").otherwise(F.col("s")))
+    assert tuple(V.verify_copy(src, changed, fanout).first())[:5] == (3000, 3000, 1, 1, False)
+    fewer = src.where("s is null or s <> '1234'")
+    assert tuple(V.verify_copy(src, fewer, fanout).first())[:5] == (3000, 2999, 1, 0, False)
+    none = src.limit(0)
+    assert tuple(V.verify_copy(none, none, fanout).first())[:5] == (0, 0, 0, 0, True)
+    assert tuple(V.verify_copy(none, fewer, fanout).first())[:5] == (0, 2999, 0, 2999, False)
+
+
+def test_equal_tables_shuffle_no_rows(spark, monkeypatch):
+    """Only digests are grouped: the grouping by whole rows is never built."""
+    src = spark.range(100).selectExpr("id", "'x' as s")
+    plan = V.verify_copy(src, src)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -105,3 +105,16 @@ def test_first_match_equals_brute_force(spark, labels, terms):
     for term in set(terms):
         hits = [i + 2 for i, x in enumerate(labels) if term.lower() in x.lower()]
         assert got[term] == (hits[0] if hits else -1), (term, labels)
+
+
+@pytest.mark.parametrize("block", [300, 1 << 24])
+def test_first_match_over_term_blocks(spark, block):
+    labels = [(i, f"({i % 7:02d}) Anna-{i} O'Neil é{i * i}") for i in range(2, 200)] + [(1, None), (None, "nobody")]
+    terms = ["anna", "É4", "zzz", "", "o'neil é9", "(03)", "Anna-1", "anna-19", "nobody", "a" * 300, *[str(i) for i in range(40)]]
+    got = {r.term: r.first_row for r in G.first_match(spark.createDataFrame(labels, "row_idx long, label string").repartition(5),
+                                                     spark.createDataFrame([(t,) for t in terms], "term string"),
+                                                     block_bytes=block).collect()}
+    known = sorted((i, x.lower()) for i, x in labels if i is not None and x is not None)
+    for t in terms:
+        want = 1 if t == "" else next((i for i, x in known if t.lower() in x), -1)
+        assert got[t] == want, t
