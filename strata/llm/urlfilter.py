@@ -6,9 +6,9 @@ the first ``PREFIX_HEX`` hex digits of their SHA-256; the full digest confirms a
 match. Of the rules that
 fit, the longest wins, then block over allow, then the greater rule text.
 
-Only (labels, path length) shapes that some rule has are expanded; beyond
-``MAX_SHAPES`` shapes all suffixes and prefixes are. Distinct (host, path)
-pairs are judged once, so a hot host or URL is pre-aggregated before any shuffle.
+Only (labels, path length) shapes that some rule has are expanded: the shapes are a table, joined by the number of
+labels, and each expression is a row of its own, so no URL's expressions are held together. Distinct (host, path)
+pairs are judged once, so a hot host or URL is pre-aggregated before any shuffle, and go by a digest from there.
 The rule table is small or large as it comes: Spark broadcasts it by its measured
 size or joins by a shuffle.
 
@@ -25,10 +25,9 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import join_small, unused
 
 PREFIX_HEX = 8
-MAX_SHAPES = 4096
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -45,18 +44,6 @@ def _labels(host: Column) -> Column:
     return F.length(host) - F.length(F.translate(host, ".", "")) + 1
 
 
-def _expressions(host: Column, path: Column, shapes: list[tuple[int, int]] | None) -> Column:
-    """Array of host suffix + path prefix, for the given (labels, path length) shapes or for all."""
-    labels, chars = _labels(host), F.length(path)
-    if shapes is None:
-        suffixes = F.transform(F.sequence(F.lit(1), labels), lambda k: _suffix(host, k))
-        return F.flatten(F.transform(suffixes, lambda s: F.transform(
-            F.sequence(F.lit(0), chars), lambda n: F.concat(s, F.substr(path, F.lit(1), n)))))
-    known = F.array(*(F.struct(F.lit(a).alias("labels"), F.lit(b).alias("chars")) for a, b in shapes))
-    fit = F.filter(known, lambda s: (s["labels"] <= labels) & (s["chars"] <= chars))
-    return F.transform(fit, lambda s: F.concat(_suffix(host, s["labels"]), F.substr(path, F.lit(1), s["chars"])))
-
-
 def _suffix(host: Column, labels: Column) -> Column:
     """The last ``labels`` labels of a host."""
     parts = F.split(host, r"\.")
@@ -70,9 +57,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     """
     r = rules.select(F.translate("host", string.ascii_uppercase, string.ascii_lowercase).alias("host"), "path",
                      "action").where("host is not null and path is not null and action in ('allow', 'block')")
-    shape = r.select(_labels(F.col("host")).alias("labels"), F.length("path").alias("chars")).distinct()
-    found = [tuple(x) for x in shape.limit(MAX_SHAPES + 1).collect()]
-    shapes = sorted(found) if len(found) <= MAX_SHAPES else None
+    shapes = r.select(_labels(F.col("host")).alias("labels"), F.length("path").alias("chars")).distinct()
     r = (r.select(F.concat("host", "path").alias("rule"),
                   (F.col("action") == "block").alias("block")).distinct()
          .withColumn("rule_digest", F.sha2("rule", 256))
@@ -80,18 +65,18 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     names = {n: unused(pages, n) for n in ("host", "path", "rule", "verdict")}
     host, path = host_and_path(F.col(url_col))
     split = pages.withColumns({names["host"]: host, names["path"]: path})
-    pairs = split.select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path")).distinct()
-    if not found:
-        out = split.withColumns({names["rule"]: F.lit(None).cast("string"), names["verdict"]: F.lit(default)})
-        return out, names
-    digests = pairs.select("host", "path", F.explode(_expressions(F.col("host"), F.col("path"), shapes)).alias("expression")) \
-        .select("host", "path", F.sha2("expression", 256).alias("digest"))
+    h, p, pair, b = F.col(names["host"]), F.col(names["path"]), unused(split, "_pair"), unused(split, "_best")
+    split = split.withColumn(pair, F.sha2(F.concat(h, F.lit("\x00"), p), 256))
+    pairs = split.select(F.col(pair).alias("pair"), h.alias("host"), p.alias("path")).distinct()
+    by_label = pairs.withColumn("labels", F.explode(F.sequence(F.lit(1), _labels(F.col("host")))))
+    shaped = join_small(by_label, shapes, ["labels"]).where(F.col("chars") <= F.length("path"))
+    expression = F.concat(_suffix(F.col("host"), F.col("labels")), F.substr("path", F.lit(1), F.col("chars")))
+    digests = shaped.select("pair", F.sha2(expression, 256).alias("digest"))
     digests = digests.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
     fits = digests.join(r, "prefix").where("digest = rule_digest")
-    best = fits.groupBy("host", "path").agg(
-        F.max(F.struct(F.length("rule").alias("size"), "block", "rule")).alias("best"))
-    h, p, b = (unused(split, n) for n in ("_h", "_p", "_best"))
-    best = best.select(F.col("host").alias(h), F.col("path").alias(p), F.col("best").alias(b))
-    out = split.join(best, (split[names["host"]] == best[h]) & (split[names["path"]] == best[p]), "left")
+    best = fits.groupBy(F.col("pair").alias(pair)).agg(
+        F.max(F.struct(F.length("rule").alias("size"), "block", "rule")).alias(b))
+    out = split.join(best, pair, "left")
     verdict = F.when(F.col(b).isNull(), F.lit(default)).when(F.col(b)["block"], "block").otherwise("allow")
-    return out.withColumns({names["rule"]: F.col(b)["rule"], names["verdict"]: verdict}).drop(h, p, b), names
+    return out.withColumns({names["rule"]: F.col(b)["rule"], names["verdict"]: verdict}).select(
+        *pages.columns, *names.values()), names

@@ -1,8 +1,6 @@
 import random
 import re
 
-import pytest
-
 from strata.llm import urlfilter as U
 
 SCHEMA = "page_id long, url string, host string, rule string, best int"
@@ -34,12 +32,9 @@ URLS = [None, "", "nothing", "http://", "http://org", "http://org/", "http://ORG
         "http://x.com?/fr/", "http://" + "a." * 300 + "org/" + "p/" * 3000, "://org/\nx"]
 
 
-@pytest.mark.parametrize("shapes", [4096, 2])
-def test_equals_plain(spark, shapes, monkeypatch):
-    monkeypatch.setattr(U, "MAX_SHAPES", shapes)
+def test_equals_plain(spark):
     rng = random.Random(1)
-    urls = URLS if shapes > 2 else [u for u in URLS if len(u or "") < 100]
-    urls = urls + ["http://" + ".".join(rng.choices(["a", "example", "org", "com"], k=rng.randint(1, 4)))
+    urls = URLS + ["http://" + ".".join(rng.choices(["a", "example", "org", "com"], k=rng.randint(1, 4)))
                    + rng.choice(["", "/", "/es/", "/en/1", "/fr/x", "/de/x", "/de"]) for _ in range(150)] + URLS[4:8]
     df = spark.createDataFrame([(i, u, "h", "r", 0) for i, u in enumerate(urls)] + [(None, "http://org/", None, None, None)],
                                SCHEMA)
@@ -58,3 +53,22 @@ def test_empty(spark):
     out, at = U.judge(df, rules.limit(0), default="block")
     assert [(r[at["rule"]], r[at["verdict"]]) for r in out.collect()] == [(None, "block")]
     assert U.judge(df.limit(0), rules)[0].collect() == []
+
+
+def test_many_shapes_and_a_very_long_url(spark):
+    long = "http://www.a.com/" + "x/" * 500_000
+    rules = [("a.com", "/" + "x/" * k, "block" if k % 2 else "allow") for k in range(2000)] + [
+        (".".join(["b"] * k) + ".org", "/" + "y" * k, "block") for k in range(1, 60)] + [
+        ("c.net", "/" + "z" * k, "allow") for k in range(3000)]
+    urls = [long, "http://a.com/x/x/x", "http://" + "b." * 30 + "org/" + "y" * 29, "http://c.net/zzz", "http://c.net", None]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    out, at = U.judge(df, spark.createDataFrame(rules, "host string, path string, action string"))
+    for r in out.collect():
+        assert tuple(r[at[n]] for n in ("host", "path", "rule", "verdict")) == plain(r.url, rules), r.page_id
+
+
+def test_a_hot_url_is_judged_once(spark):
+    df = spark.range(30_000).selectExpr("id as page_id", "if(id % 3 = 0, 'http://example.org/es/1', concat('http://', id, '.com/fr/')) as url")
+    out, at = U.judge(df, spark.createDataFrame(RULES, "host string, path string, action string"))
+    assert {(r[0], r[1]): r[2] for r in out.groupBy(at["rule"], at["verdict"]).count().collect()} == {
+        ("example.org/es/", "block"): 10_000, ("com/fr/", "allow"): 20_000}
