@@ -31,15 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, bounded_sample
+from .common import annotate, bounded_sample, join_small
 
 SAMPLE_PAGES = 300
+SAMPLE_CHARS = 100_000
 CHAIN_BLOCKS = 80         # longer pages give no training chain, only texts for rebuilt pages
 LABEL = "data-label"
 #: fixed values: HTML element classes
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
-SILENT = frozenset("noscript template svg canvas audio video object map datalist".split())
+SILENT = frozenset("noscript template svg canvas audio video object map datalist select option optgroup button".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
@@ -52,8 +53,11 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
            "tfoot": ({"tr", "td", "th", "thead", "tbody"}, {"table"})}
 PHRASING_ONLY = frozenset("p h1 h2 h3 h4 h5 h6".split())       # ended by any block-level start tag
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+'|["'])*+)>""",
+#: elements open inside each other; deeper ones become siblings, as in browsers
+DEPTH = 512
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+'|["'])*+)>""",
                     re.S)
+_CLOSED = re.compile(r"^<!---?>$|--!?>$")
 _ATTR = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _NAME = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
@@ -120,7 +124,9 @@ def blocks(page: str, paths: Paths) -> list[Block]:
         del stack[i:]
 
     find = _TOKEN.search
-    while m := find(page, at):
+    # behind the last > nothing closes: what is left is text, but for an unclosed comment. No tag is sought there
+    last = page.rfind(">") + 1
+    while m := find(page, at, last):
         if m.start() > at and not silent:
             s = page[at:m.start()]
             text.append(s)
@@ -129,6 +135,8 @@ def blocks(page: str, paths: Paths) -> list[Block]:
         at = m.end()
         tag = m[2]
         if tag is None:
+            if at == last and m[0].startswith("<!--") and not _CLOSED.search(m[0]):
+                at = len(page)
             continue
         tag = tag.lower()
         if tag in RAW:
@@ -155,6 +163,10 @@ def blocks(page: str, paths: Paths) -> list[Block]:
                     links = 0
                 pop_to(i)
             elif tag not in VOID and not (tag == "svg" and m[3].endswith("/") and not _UNQUOTED_SLASH.search(m[3])):
+                if len(stack) >= DEPTH:
+                    if silent:
+                        continue
+                    pop_to(DEPTH - 1)
                 stack.append((tag, paths.child(stack[-1][1] if stack else 0, tag, m[3].strip())))
                 silent += tag in SILENT
         elif tag in BLOCK:
@@ -179,9 +191,13 @@ def blocks(page: str, paths: Paths) -> list[Block]:
                     if stack[i][0] in ends:
                         low = i
                 pop_to(low)
+            if len(stack) >= DEPTH:
+                pop_to(DEPTH - 1)
             stack.append((tag, paths.child(stack[-1][1] if stack else 0, tag, m[3].strip())))
     if at < len(page) and not silent:
-        text.append(page[at:])
+        rest = page[at:]
+        cut = rest.find("<!--")
+        text.append(rest if cut < 0 else rest[:cut])
     if silent:
         pop_to(next(j for j, (t, _) in enumerate(stack) if t in SILENT))
     flush()
@@ -368,7 +384,8 @@ def rebuilt_page(texts: list[str], noise: list[str], rng: random.Random) -> str:
     return f"<html><body>{''.join(before)}{main}{''.join(after)}</body></html>"
 
 
-def labelled_pages(pages: list[str], rebuilt: int = 2, seed: int = 7) -> list[tuple[list[frozenset], list[int]]]:
+def labelled_pages(pages: list[str], rebuilt: int = 2, seed: int = 7, chain_blocks: int = CHAIN_BLOCKS
+                   ) -> list[tuple[list[frozenset], list[int]]]:
     """Training chains (features of each block, labels) from pages as they are and rebuilt."""
     rng, paths, out, stock = random.Random(seed), Paths(), [], []
 
@@ -381,7 +398,7 @@ def labelled_pages(pages: list[str], rebuilt: int = 2, seed: int = 7) -> list[tu
         labels = natural_labels(found, paths)
         if labels is None:
             continue
-        if len(labels) <= CHAIN_BLOCKS:
+        if len(labels) <= chain_blocks:
             chain(found, labels)
         stock.append(([b.text for b, y in zip(found, labels) if y], [b.text for b, y in zip(found, labels) if not y]))
     stock = [s for s in stock if s[0]] or [
@@ -391,7 +408,7 @@ def labelled_pages(pages: list[str], rebuilt: int = 2, seed: int = 7) -> list[tu
         texts, noise = rng.choice(stock)
         k = rng.randint(1, min(8, len(texts)))
         found = blocks(rebuilt_page(rng.sample(texts, k), noise, rng), paths)
-        if len(found) <= CHAIN_BLOCKS:
+        if len(found) <= chain_blocks:
             chain(found, [paths.label[b.path] or 0 for b in found])
     return [c for c in out if c[1]]
 
@@ -450,13 +467,17 @@ def fit(chains: list[tuple[list[frozenset], list[int]]], rounds: int = 120, ridg
                  (float(w[-2]), float(w[-1])))
 
 
-def train(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Model:
-    """Fit on at most ``sample_pages`` pages, those with the smallest hash of their HTML, of up to 100,000
-    characters; other pages teach nothing."""
-    rows = pages.select(F.col(html_col).alias("html")).where("html is not null and length(html) <= 100000")
+def train(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES,
+          sample_chars: int = SAMPLE_CHARS, chain_blocks: int = CHAIN_BLOCKS) -> Model:
+    """Fit on at most ``sample_pages`` different pages, those with the smallest hash of their HTML, of up to
+    ``sample_chars`` characters; pages of more than ``chain_blocks`` blocks give texts for rebuilt pages only."""
+    rows = pages.select(F.col(html_col).alias("html")).where(
+        F.col("html").isNotNull() & (F.length("html") <= sample_chars))
     keyed = rows.select(F.xxhash64("html").alias("key"), "html")
-    few = bounded_sample(keyed, F.pmod("key", F.lit(1)), F.col("key"), sample_pages)    # one group of all
-    return fit(labelled_pages(sorted(r["html"] for r in few.select("html").collect())))
+    # a page counts once, however often it is repeated
+    chosen = bounded_sample(keyed.select("key").distinct(), F.pmod("key", F.lit(1)), F.col("key"), sample_pages)
+    few = join_small(keyed, chosen, ["key"]).groupBy("key").agg(F.min("html").alias("html"))
+    return fit(labelled_pages(sorted(r["html"] for r in few.select("html").collect()), chain_blocks=chain_blocks))
 
 
 def extract(pages: DataFrame, model: Model, html_col: str = "html") -> tuple[DataFrame, str]:

@@ -120,3 +120,36 @@ def test_silent_elements_are_inline(page, want):
     got = H.blocks(page, paths)
     assert [b.text for b in got] == want
     assert all("a:svg" not in paths.features[b.path] for b in got)
+
+
+def texts(page):
+    return [b.text for b in H.blocks(page, H.Paths())]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>a<!-->b</p><!-- x -->c", ["ab", "c"]), ("<p>a<!--->b", ["ab"]), ("<p>a<!-- x --!>b<p>c", ["ab", "c"]),
+    ("<p>a<!-- x > y", ["a"]), ("<p>a<!-- x y", ["a"]), ("<p>a</p>b <!-- x", ["a", "b"]), ("<p>a<!----->b", ["ab"]),
+    ("<p>a <select><option>x<option>y</select>b</p>", ["a b"]), ("<p>a<button>x</button>b", ["ab"]),
+    ("<div><p>a<select><option>x</p></div><p>b", ["a", "b"]), ("<p>1 < 2", ["1 < 2"]), ("<p>a<b", ["a<b"])])
+def test_comment_ends_and_form_controls(page, want):
+    assert texts(page) == want
+
+
+@pytest.mark.parametrize("page", ["<a b=" * 200_000, "</li>" * 200_000, "<ul>" * 8_000 + "</li>" * 100_000,
+                                  "<ul><li>" + "<div>" * 8_000 + "<li>x" * 50_000, "<p '" * 200_000, "<!" * 400_000,
+                                  "<select>" * 100_000 + "</p>" * 100_000, "<div>" * 200_000 + "x"])
+def test_unclosed_tags_take_linear_time(page):
+    import time
+
+    t = time.perf_counter()
+    texts(page)
+    assert time.perf_counter() - t < 5
+
+
+def test_a_repeated_page_fills_no_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(H, "labelled_pages", lambda pages, **k: seen.append(pages))
+    monkeypatch.setattr(H, "fit", lambda chains: None)
+    pages = [(f"<article><p>page {i}</p></article>",) for i in range(30)] + [("<article><p>hot</p></article>",)] * 500
+    H.train(spark.createDataFrame(pages, "html string"), sample_pages=20)
+    assert len(seen[0]) == len(set(seen[0])) == 20
