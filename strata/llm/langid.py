@@ -131,12 +131,12 @@ def train_on_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        sample_rows: int = SAMPLE_ROWS) -> Profiles:
     """Fit on at most ``sample_rows`` documents of each language outside the held-out fold.
 
-    They are chosen on ids and languages; only their texts are read on.
+    They are chosen on ids and languages, each pair once; only their texts are read on, one of each.
     """
-    open_ = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(id_col, lang_col)
-    chosen = bounded_sample(open_, F.col(lang_col), F.col(id_col), sample_rows).distinct()
+    open_ = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()).select(id_col, lang_col).distinct()
+    chosen = bounded_sample(open_, F.col(lang_col), F.col(id_col), sample_rows)
     rows = join_small(docs.select(id_col, lang_col, text_col), chosen, [id_col, lang_col], "left_semi")
-    return train(rows, text_col, lang_col)
+    return train(rows.groupBy(id_col, lang_col).agg(F.min(text_col).alias(text_col)), text_col, lang_col)
 
 
 def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> tuple[DataFrame, list[str]]:

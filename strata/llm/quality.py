@@ -151,7 +151,9 @@ def train_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     most = 4 * max(SAMPLE_ROWS, CALIBRATION_ROWS)
     chosen = bounded_sample(known, F.col("label"), F.col(id_col), most)
     rows = join_small(docs.select(F.col(id_col), F.col(text_col).alias("text")), chosen, [id_col])
-    return train(materialize(rows.withColumnRenamed(id_col, "key"), "quality-sample"), counts=_counts(known))
+    # one row of each chosen id, however often it is repeated
+    rows = rows.groupBy(id_col, "label").agg(F.min("text").alias("text"))
+    return train(materialize(rows.select(F.col(id_col).alias("key"), "text", "label"), "quality-sample"), counts=_counts(known))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> tuple[DataFrame, list[str]]:

@@ -99,3 +99,15 @@ def test_every_group_is_sampled(spark, monkeypatch):
     assert got.count() == got.distinct().count() == 10_051          # one of each, and the null group
     monkeypatch.setattr(common, "BROADCAST_GROUPS", 10, raising=False)
     assert sorted(map(str, common.bounded_sample(df, F.col("lang"), F.col("id"), 1).collect())) == sorted(map(str, got.collect()))
+
+
+def test_a_repeated_document_fills_no_sample(spark, monkeypatch):
+    """Half as many copies of the id with the smallest hash as there are ids: the sample still holds distinct ids."""
+    seen = []
+    monkeypatch.setattr(L, "train", lambda rows, *a: seen.append(rows.collect()))
+    ids = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang")
+    hot = ids.where(~L.held_out(ids["doc_id"])).selectExpr(
+        "min_by(doc_id, pmod(xxhash64(doc_id), shiftleft(1L, 40))) as doc_id").first()[0]
+    copies = spark.range(2500).selectExpr(f"{hot}L as doc_id", "'a copy' as text", "'en' as lang")
+    L.train_on_documents(ids.unionByName(copies), sample_rows=300)
+    assert len(seen[0]) == len({r.doc_id for r in seen[0]}) == 300 and hot in {r.doc_id for r in seen[0]}
