@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gradebook as G
+from ..operators.ordering import range_sort
+from ..session import fresh_dir
 from ..sources.tables import table
+from ..sources.textfiles import read_sheet
 
 
 ROW_OFFSET = 2      # row_idx = p_partkey + 2 (the sheet's first data row is 2)
@@ -51,6 +54,18 @@ def _saves(spark, sf_dir):
                     grade.alias("grade"), F.col("o_orderpriority").alias("feedback"))
 
 
+def sheet_files(spark, sf_dir):
+    """S8 from a path: the sheet is written as CSV files in row order and read back, rows numbered by file and line."""
+    rows = sheet(spark, sf_dir)
+    cells = [c for c in rows.columns if c != "row_idx"]
+    folder = fresh_dir(spark, "sheet-files")
+    as_is = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    range_sort(rows, ["row_idx"], 3).select(F.to_csv(F.struct(*cells), as_is)).write.text(folder)
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in cells)
+    back = read_sheet(spark, folder, schema, first_row=G.FIRST_ROW)
+    return back.select("row_idx", "first", "last", "id_number", "group_num", "g3")
+
+
 def sheet_window(spark, sf_dir):
     """Rows 2..65 of the sheet (the window is also re-checked on row_idx)."""
     s = sheet(spark, sf_dir, rows=(G.FIRST_ROW, G.LAST_ROW))
@@ -99,6 +114,7 @@ def grade_lookup(spark, sf_dir):
 
 QUERIES = {
     "sheet_window": sheet_window,
+    "sheet_files": sheet_files,
     "grade_long": grade_long,
     "grade_coerce": grade_coerce,
     "grade_update": grade_update,
@@ -129,6 +145,7 @@ def _coerce(x):
 
 SQL = {
     "sheet_window": _SHEET + " select row_idx, first, last, id_number, group_num from sheet where row_idx between 2 and 65",
+    "sheet_files": _SHEET + " select row_idx, first, last, id_number, group_num, g3 from sheet",
     "grade_long": _SHEET + " select row_idx, assignment, grade, feedback from long",
     "grade_coerce": _SHEET + f" select row_idx, assignment, {_coerce('grade')} as grade_num,"
                     f" coalesce({_coerce('grade')}::varchar, '-') as cell from long",

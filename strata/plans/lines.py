@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import lines as X
+from ..operators.ordering import global_position, range_sort
+from ..session import fresh_dir
 from ..sources.tables import table
+from ..sources.textfiles import read_lines
 
 DOTTED_QUAD = r"(\d+)\.(\d+)\.(\d+)\.(\d+)"
 LISTING_PREFIX = "drwxr-xr-x   - hduser supergroup          0 2024-01-01 10:00 "
 NODE_BASE = "student"
+N_FILES = 3
 
 
 def text_lines(spark, sf_dir):
@@ -18,6 +22,16 @@ def text_lines(spark, sf_dir):
     return lines.select("doc_id", "line_no", F.length("line").cast("long").alias("line_chars"))
 
 
+def line_files(spark, sf_dir):
+    """S6 from a path: the documents' lines are written as ordered text files and read back, each with its number;
+    ``pos`` is the line's place over all files."""
+    lines = X.text_lines(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    folder = fresh_dir(spark, "line-files")
+    range_sort(lines, ["doc_id", "line_no"], N_FILES).select("line").write.option("lineSep", "\n").text(folder)
+    placed = global_position(read_lines(spark, folder), ["file", "line_no"])
+    return placed.select("pos", F.md5("line").alias("line_md5"))
+
+
 def extract_rows(spark, sf_dir):
     """Dotted quads in document lines, one row per match."""
     lines = X.text_lines(table(spark, sf_dir, "documents"), "text", ["doc_id"])
@@ -88,6 +102,7 @@ def roles(spark, sf_dir):
 
 QUERIES = {
     "text_lines": text_lines,
+    "line_files": line_files,
     "extract_rows": extract_rows,
     "pids": pids,
     "listing_paths": listing_paths,
@@ -111,6 +126,7 @@ _HOSTS = """with s as (select s_suppkey as line_no,
 
 SQL = {
     "text_lines": _DOC_LINES + " select doc_id, line_no, length(line)::bigint as line_chars from l",
+    "line_files": _DOC_LINES + " select row_number() over (order by doc_id, line_no) as pos, md5(line) as line_md5 from l",
     "extract_rows": _DOC_LINES + r""",
         m as (select doc_id, line_no, regexp_extract_all(line, '(\d+)\.(\d+)\.(\d+)\.(\d+)', 1) as a1,
                      regexp_extract_all(line, '(\d+)\.(\d+)\.(\d+)\.(\d+)', 2) as a2,
