@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,26 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def place(scanned: DataFrame) -> Column | None:
+    """A long key of each row's file and number in it, for a frame that reads Parquet files and repeats
+    no row (no join, no explode); None if the frame is not read from files."""
+    try:
+        at = scanned.metadataColumn("_metadata")
+        key = F.xxhash64(at["file_path"], at["row_index"])
+        scanned.select(key)
+    except AnalysisException:
+        return None
+    return key
+
+
+def placed(df: DataFrame, key: Column | None, name: str) -> tuple[DataFrame, Column]:
+    """``df`` and a key of its rows: as given, or else of ``df`` written once under ``name``."""
+    if key is None:
+        df = materialize(df, name)
+        key = place(df)
+    return df, key
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES):
     """``batch`` in row ranges whose ``column`` holds about ``limit`` bytes or one row."""
     n = batch.num_rows

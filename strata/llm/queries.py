@@ -11,7 +11,7 @@ from ..session import fresh_dir
 from ..sources.tables import table
 from . import (balltree, bpe, decontam, fim, hardneg, htmlcrf, langid, oph, quality, simhash, tokencount, toolcalls,
                urlfilter)
-from .common import held_out
+from .common import held_out, place
 
 
 def vocabulary(name: str) -> str:
@@ -106,8 +106,9 @@ def op7_bpe_encode_decode(spark, sf_dir):
 def op8_token_counts(spark, sf_dir):
     # a cache of its own for each run: what is timed is a cold cache
     cache = fresh_dir(spark, "token-cache")
-    counts = tokencount.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                     vocabulary("word_bpe_49k.json"), cache, drops_white_space=True)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = tokencount.count_tokens(docs, vocabulary("word_bpe_49k.json"), cache, drops_white_space=True,
+                                     key=place(docs))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 

@@ -28,11 +28,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, materialize, unused
+from .common import join_small, map_batches, materialize, placed, unused
 from .components import connected_components
 
 SEED = 42
@@ -243,18 +243,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
-                max_bits: int = 3) -> DataFrame:
+                max_bits: int = 3, key: Column | None = None) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (nulls last), then the
-    smallest text hash; of repeated rows, one."""
-    fp, h = unused(docs, "_fp"), unused(docs, "_hash")
-    signed = signatures(docs.select(F.col(id_col), F.col(text_col)), text_col, width, fp)
-    signed = materialize(signed.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"),
-                                       F.col(fp).alias("fp")), "simhash-signed")
-    named = signed.join(components(signed, "id", max_bits).select("fp", "component_key"), "fp")
-    first = named.groupBy("component_key").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("s"))
-    keep = first.select(F.col("s.id").alias("_keep_id"), F.col("s.hash").alias("_keep_hash"))
-    # the same id and hash twice are one row repeated: drop_duplicates reuses the join's partitioning
-    hashed = docs.withColumn(h, F.xxhash64(text_col))
-    on = hashed[id_col].eqNullSafe(keep["_keep_id"]) & (hashed[h] == keep["_keep_hash"])
-    return hashed.join(keep, on, "left_semi").dropDuplicates([id_col, h]).drop(h)
+    smallest text hash; of repeated rows, one.
+
+    Decided on (id, hash, row key) alone; then the rejected rows' keys leave ``docs``: by a broadcast if
+    their counted number allows, so that texts stay where they are, else by a join on the unique key.
+    ``key`` is ``place(docs)`` where that holds; without it ``docs`` is written once.
+    """
+    docs, key = placed(docs, key, "simhash-rows")
+    fp, k, h = (unused(docs, n) for n in ("_fp", "_key", "_hash"))
+    names = {k: key, h: F.xxhash64(text_col)}
+    signed = signatures(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                    *(c.alias(n) for n, c in names.items())), "text", width, fp)
+    signed = materialize(signed.select("id", F.col(h).alias("hash"), F.col(k).alias("key"), F.col(fp).alias("fp")),
+                         "simhash-signed")
+    fps = components(signed, "id", max_bits).select("fp", "component_key")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "key"))
+    # least row of each fingerprint, then of each component: copies are reduced before they move
+    first = (signed.groupBy("fp").agg(best.alias("s")).join(fps, "fp")
+             .groupBy("component_key").agg(F.min("s").alias("s")))
+    keep = first.select(F.col("s.key").alias("key"), F.col("s.hash").alias("hash"))
+    gone = signed.select("key", "hash").join(keep, ["key", "hash"], "left_anti") \
+        .select(F.col("key").alias(k), F.col("hash").alias(h))
+    # two hashes of 64 bits name a row: of its place and of its text
+    return join_small(docs.withColumns(names), gone, [k, h], "left_anti").select(*docs.columns)

@@ -6,9 +6,12 @@ of the tokenizer file, the library's version and the normalisation. Documents jo
 stored counts by digest. Only distinct misses are encoded (one row stands for all copies
 of a content), appended to the cache, and joined back.
 
-Texts move once, and only those of misses; every other join carries digests.
-Copies are spread: the row that stands for a digest is found by a partial minimum
-of ids, and texts are shuffled by (digest, id).
+A row is named by its file and its number there. The row that stands for a digest is found by a
+partial minimum of those keys, so repeated rows are one miss as well, and a hot content is spread. Texts
+move once, and only those of misses; every other join carries digests. The digest is taken again from the
+text that is encoded, so a clash of keys costs one more encoding and never a wrong count. Counts go back to
+the rows of frequent contents by a broadcast (each holds over 1/10,000 of all rows, so they are fewer
+than 10,000 at every size) and to all others by a join.
 
 Defined results: null counts as the empty text; repeated rows each get a row, as do rows
 with a null id; texts of any length are encoded whole; an append that ran twice
@@ -19,13 +22,16 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_bytes, materialize, slices
+from .common import broadcast_bytes, materialize, placed, slices
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
+FREQUENT_SHARE = 10_000  # a content with over this share of all rows gets its count by broadcast
 
 
 def normalised(text: Column, drops_white_space: bool) -> Column:
@@ -72,15 +78,18 @@ def by_words(count):
     known: dict[str, int] = {}
 
     def run(texts):
-        split = [t.split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in known}
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        new = [w for w in distinct if w not in known]
         if len(known) + len(new) > REMEMBERED:
             known.clear()
-            new = {w for words in split for w in words}
-        new = list(new)
+            new = distinct
         for at in range(0, len(new), 10_000):
             known.update(zip(new[at:at + 10_000], count(new[at:at + 10_000])))
-        return [sum(map(known.__getitem__, words)) for words in split]
+        each = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        sums = np.concatenate(([0], np.cumsum(each[words.indices.to_numpy()])))
+        return np.diff(sums[split.offsets.to_numpy()]).tolist()
 
     return run
 
@@ -95,8 +104,8 @@ def _encode(misses: DataFrame, path: str, drops_white_space: bool = False) -> Da
         count = by_words(count) if drops_white_space else count
         for whole in batches:
             for b in slices(whole, 1, (8 if drops_white_space else 1) << 20):
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count(b.column(1).to_pylist()), pa.int64())],
-                                                 ["digest", "n_tokens"])
+                got = count(b.column(1) if drops_white_space else b.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], ["digest", "n_tokens"])
 
     return misses.mapInArrow(run, CACHE_SCHEMA)
 
@@ -109,20 +118,32 @@ def open_cache(spark: SparkSession, cache: str, tokenizer_version: str) -> tuple
 
 
 def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id", text_col: str = "text",
-                 drops_white_space: bool = False) -> DataFrame:
-    """(id, n_bytes, n_tokens) of every row; misses are appended to ``cache``."""
+                 drops_white_space: bool = False, key: Column | None = None) -> DataFrame:
+    """(id, n_bytes, n_tokens) of every row; misses are appended to ``cache``. ``key`` is ``place(docs)`` where
+    that holds; without it ids and texts are written once."""
     spark = docs.sparkSession
-    text = normalised(F.col(text_col), drops_white_space)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
-                       F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    narrow = materialize(rows.select("id", "n_bytes", "digest"), "token-digests")
+    docs, key = placed(docs if key is not None else docs.select(id_col, text_col), key, "token-rows")
+    digest = F.unhex(F.sha2(normalised(F.col(text_col), drops_white_space), 256))
+    narrow = materialize(docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
+        digest.alias("digest"), key.alias("key")), "token-digests")
     folder, stored = open_cache(spark, cache, version(path, drops_white_space))
-    known = stored.select("digest").distinct()
-    misses = materialize(narrow.groupBy("digest").agg(F.min("id").alias("first_id"))
-                         .join(known, "digest", "left_anti"), "token-misses")
-    texts = rows.join(misses.withColumnRenamed("digest", "miss"),
-                      (rows["digest"] == F.col("miss")) & rows["id"].eqNullSafe(F.col("first_id")), "left_semi")
-    _encode(texts.select("digest", "text"), path, drops_white_space).write.mode("append").parquet(folder)
+    contents = materialize(narrow.groupBy("digest").agg(F.min("key").alias("key"), F.count("*").alias("n")),
+                           "token-contents")
+    misses = contents.join(stored, "digest", "left_anti").select("key")
+    # always by a merge join: the smaller side is a share of all rows, not a bounded table
+    texts = docs.select(key.alias("key"), F.col(text_col).alias("raw")) \
+        .join(misses.hint("merge"), "key", "left_semi") \
+        .select(normalised(F.col("raw"), drops_white_space).alias("text"))
+    texts = texts.select(F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    _encode(texts, path, drops_white_space).write.mode("append").parquet(folder)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return narrow.join(counts, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
+    return _give_back(narrow, contents, counts).select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
+
+
+def _give_back(narrow: DataFrame, contents: DataFrame, counts: DataFrame) -> DataFrame:
+    """``narrow`` with the count of each digest; the rows of frequent digests stay where they are."""
+    rows = contents.agg(F.sum("n")).first()[0] or 0
+    frequent = F.broadcast(contents.where(F.col("n") * FREQUENT_SHARE > rows).select("digest"))
+    few = F.broadcast(counts.join(frequent, "digest", "left_semi"))
+    return narrow.join(few, "digest").unionByName(narrow.join(frequent, "digest", "left_anti").join(counts, "digest"))

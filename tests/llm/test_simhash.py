@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Row
 
 from strata.llm import simhash as S
+from strata.llm.common import place
 from strata.llm.components import connected_components
 
 DOCS = "doc_id long, text string, fp string, component_id int, key string, hash int"
@@ -99,6 +100,21 @@ def test_edge_rows(spark):
     assert Row(*rows[4]) in [Row(*r) for r in kept]
 
 
+@pytest.mark.parametrize("small", [0, 200_000])
+def test_a_third_of_rows_repeat_one(spark, monkeypatch, small):
+    """Either way of taking rejected rows out gives one row of each component, all columns kept."""
+    real = S.join_small
+    monkeypatch.setattr(S, "join_small", lambda df, few, on, how: real(df, few, on, how, rows=small))
+    df = spark.range(900).selectExpr("if(id < 300, 0, id) AS doc_id", "if(id < 300, 'one two three four', "
+                                     "concat_ws(' ', sha1(string(id)), sha1(string(id + 1000)), sha1(string(id + 2000)), sha1(string(id + 3000)))) AS text",
+                                     "id AS _key").repartition(5)
+    df = S.materialize(df, "docs")
+    for key in (None, place(df)):
+        kept = S.deduplicate(df, key=key)
+        assert kept.columns == df.columns
+        assert sorted(r.doc_id for r in kept.collect()) == [0, *range(300, 900)]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], DOCS)
     assert S.near_duplicates(df).collect() == [] and S.deduplicate(df).collect() == []

@@ -3,6 +3,7 @@ import re
 import pytest
 
 from strata.llm import tokencount as C
+from strata.llm.common import place
 from strata.llm.queries import vocabulary
 from strata.session import fresh_dir
 
@@ -82,3 +83,33 @@ def test_counts_by_words_equal_whole_texts(monkeypatch):
     run = C.by_words(whole)
     got = [n for i in range(0, len(folded), 500) for n in run(folded[i:i + 500])]
     assert got == whole(texts)
+
+
+@pytest.mark.parametrize("from_files", [True, False])
+def test_repeated_rows_are_one_encoding(spark, from_files):
+    """3,000 rows, of which 1,000 repeat one row: 2,001 contents, 2,001 cache rows."""
+    path, cache = vocabulary("word_bpe_49k.json"), fresh_dir(spark, "cache")
+    df = spark.range(3000).selectExpr("if(id < 1000, 0, id) AS doc_id", "concat('text ', if(id < 1000, 0, id)) AS text",
+                                      "id AS extra").repartition(7)
+    if from_files:
+        df = C.materialize(df, "docs")
+    got = C.count_tokens(df, path, cache, key=place(df))
+    assert got.count() == 3000 and got.where("n_tokens IS NULL").count() == 0
+    assert C.open_cache(spark, cache, C.version(path, False))[1].count() == 2001
+
+
+@pytest.mark.parametrize("share", [2, 10_000])
+def test_frequent_and_rare_contents(spark, monkeypatch, share):
+    monkeypatch.setattr(C, "FREQUENT_SHARE", share)
+    path = vocabulary("word_bpe_49k.json")
+    rows = ROWS + [(7, "Hello World", None, None)] * 6
+    got = C.count_tokens(spark.createDataFrame(rows, SCHEMA), path, fresh_dir(spark, "cache"), drops_white_space=True)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected(path, rows)
+
+
+def test_clashing_row_keys_give_right_counts(spark):
+    from pyspark.sql import functions as F
+
+    path = vocabulary("word_bpe_49k.json")
+    got = C.count_tokens(spark.createDataFrame(ROWS, SCHEMA), path, fresh_dir(spark, "cache"), key=F.lit(1).cast("long"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected(path, ROWS)
