@@ -19,6 +19,7 @@ if _HERE not in sys.path:
 from pyspark.sql import functions as F  # noqa: E402
 
 from strata.llm import bpe, decontam, langid, quality, simhash  # noqa: E402
+from strata.llm.common import place  # noqa: E402
 from strata.llm.queries import vocabulary  # noqa: E402
 from strata.session import materialize, ship_package  # noqa: E402
 from strata.sources.tables import table  # noqa: E402
@@ -45,7 +46,7 @@ def known_language(spark, docs, sf_dir):
 def one_of_near_duplicates(spark, docs, sf_dir):
     """The smallest id of each group of near duplicates: shingles of 3 words, at most 3 bits apart."""
     ship_package(spark)
-    return simhash.deduplicate(docs, "doc_id", "text", width=3, max_bits=3)
+    return simhash.deduplicate(docs, "doc_id", "text", width=3, max_bits=3, key=place(docs))
 
 
 def without_benchmark(spark, docs, sf_dir):
