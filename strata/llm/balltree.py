@@ -1,18 +1,22 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
 Identical rows are first counted as one, of which no more than k copies can be among the k best.
-Vectors are dealt to shards, and queries to blocks, by a hash of id and vector, so repeated vectors and hot ids spread;
-a shard is built once into a ball tree of bounded bytes and written. Queries
-are a stated set, dealt into blocks; a (shard, block) pair is one group,
-and every pair is searched.
-
-Search is branch and bound in two passes over the written trees. The first
-visits each query's most promising leaf in every shard; the k-th best of those scores over all
-shards is a bound that every shard then starts from. The second expands, for each
-query, the nodes whose upper bound (query . centre + |query| * radius) reaches
-the current k-th score, and visits leaves in order of falling bound.
+Vectors get a cell of space: a binary tree of hyperplanes, fitted on a bounded sample, numbers its leaves from
+left to right, so that cells of near numbers are near in space. Shards, and blocks of queries, are
+runs of cells of bounded bytes; a cell larger than that (one very common vector, say) is cut by a hash of id
+and vector. A shard is built once into a ball tree and written, with its root ball. Queries are a stated set.
+
+Search is branch and bound in two passes over the written trees. Each query first searches one shard, the one with the
+highest upper bound (query . centre + |query| * radius) of its root: its k-th best score is a bound that every
+shard then starts from. Root balls are then held against the queries of a block, and only the (shard, block) pairs
+in which some query can still reach its bound are put together: other trees are never moved. A pair is one group, which expands,
+for each query, the nodes whose upper bound reaches the current k-th score, and visits leaves in order of falling bound.
 Scores are exact integers; bounds are widened by their rounding error, and a node that
-ties the k-th score is visited, so ties go to the smaller id in every case.
+ties the k-th score is visited, so ties go to the smaller id in every case. The cells only decide which
+rows share a shard, never what is found.
+
+Cells are fitted for the ``LENGTHS`` most frequent vector lengths that fill more than one shard and have at most
+``MOST_COMPONENTS`` components, on ``SAMPLE_ROWS`` rows of each; vectors of other lengths are dealt by hash alone.
 
 Defined results: vectors that are null, empty or hold a null or non-finite
 component, and rows with a null id, take no part; vectors of different lengths are
@@ -28,14 +32,22 @@ import io
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize
+from .common import SLICE_BYTES, bounded_sample, join_small, materialize
 
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
+ROOT_BYTES = 1 << 20             # of root centres that a task holds against a block
 LEAF_ROWS = 64
+SAMPLE_ROWS = 4096               # rows of one vector length that the cells are fitted on
+CELL_LEVELS = 8                  # a length has 2 ** 8 cells
+LENGTHS = 16
+MOST_COMPONENTS = 4096
+LEAST = -(1 << 63)
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -45,6 +57,38 @@ def quantised(vector: Column, scale: int = 256) -> Column:
     return F.when((F.size(x) > 0) & ~odd, F.transform(x, lambda v: F.floor(v * scale).cast("long")))
 
 
+class Cells:
+    """A complete binary tree of hyperplanes; its leaves, from left to right, are cells of space."""
+
+    def __init__(self, sample: np.ndarray, levels: int = CELL_LEVELS):
+        self.levels = levels
+        self.normals = np.zeros(((1 << levels) - 1, sample.shape[1]))
+        self.cuts = np.zeros((1 << levels) - 1)
+        parts = [np.arange(len(sample))]
+        for node in range(len(self.cuts)):
+            rows = parts[node]
+            low = high = rows[:0]
+            if len(rows) > 1:
+                part = sample[rows]
+                one = part[((part - part.mean(0)) ** 2).sum(1).argmax()]
+                two = part[((part - one) ** 2).sum(1).argmax()]
+                along = part @ (two - one)
+                self.normals[node], self.cuts[node] = two - one, np.median(along)
+                above = along > self.cuts[node]
+                low, high = rows[~above], rows[above]
+            else:
+                low = rows
+            parts += [low, high]
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        """The cell number of each row."""
+        node = np.zeros(len(points), np.int64)
+        for _ in range(self.levels):
+            above = np.einsum("ij,ij->i", points, self.normals[node]) > self.cuts[node]
+            node = 2 * node + 1 + above
+        return node - len(self.cuts)
+
+
 class BallTree:
     """A binary tree of balls over the rows of an integer matrix; leaves hold up to ``LEAF_ROWS`` rows."""
 
@@ -135,8 +179,14 @@ class _Best:
         self.have[rows] = np.take_along_axis(h, at, 1)
 
 
-def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray,
-           first_leaf_only: bool = False) -> _Best:
+def _upper(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """(queries, balls): what no inner product with a point of the ball exceeds, rounding included."""
+    norm = np.sqrt((queries ** 2).sum(1))[:, None]
+    dot = queries @ centres.T
+    return dot + norm * radii + 1e-9 * (np.abs(dot) + norm * (radii + np.sqrt((centres ** 2).sum(1)))) + 1e-6
+
+
+def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray) -> _Best:
     """The k best rows of a shard for each query, without rows of the query's own id.
 
     ``floor``: a score of each query that its k-th best is known to reach;
@@ -165,13 +215,8 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor:
         leaf_node.append(node[leaf])
         leaf_bound.append(bound[leaf])
         rows, left = rows[~leaf], left[~leaf]
-        if first_leaf_only and len(rows):
-            # follow the better child of each query only
-            a, b = upper(rows, left), upper(rows, _right(tree, left))
-            node = np.where(a >= b, left, _right(tree, left))
-        else:
-            node = np.concatenate((left, _right(tree, left)))
-            rows = np.concatenate((rows, rows))
+        node = np.concatenate((left, left + 1))        # ``add`` makes the two children in a row
+        rows = np.concatenate((rows, rows))
     rows, node, bound = map(np.concatenate, (leaf_rows, leaf_node, leaf_bound))
     # bound: each query's leaves by falling upper bound, one of each query per round
     order = np.lexsort((node, -bound, rows))
@@ -202,79 +247,172 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor:
     return best
 
 
-def _right(tree: BallTree, left: np.ndarray) -> np.ndarray:
-    """The sibling of left children: ``add`` makes the two in a row."""
-    return left + 1
+def _with_cells(points: DataFrame, shard_bytes: int, sample_rows: int) -> DataFrame:
+    """``points`` (id, v, q, n, dim) plus ``cell``, see the module text."""
+    sizes = points.groupBy("dim").agg(F.count("*").alias("n"))
+    lengths = [r["dim"] for r in sizes.where((F.col("n") * F.col("dim") * 8 > shard_bytes) & (
+        F.col("dim") <= MOST_COMPONENTS)).orderBy(F.col("n").desc(), "dim").limit(LENGTHS).collect()]
+    if not lengths:
+        return points.withColumn("cell", F.lit(0))
+    sample = bounded_sample(points.where(F.col("dim").isin(lengths)).select("id", "v", "dim"), F.col("dim"),
+                            F.struct("id", "v"), sample_rows)
+
+    def fit(key, pdf):
+        cells = Cells(np.stack(pdf["v"].to_numpy()).astype(np.float64))
+        return pd.DataFrame({"dim": [key[0]], "normals": [cells.normals.tobytes()], "cuts": [cells.cuts.tobytes()]})
+
+    # LENGTHS rows at most, each of 2 ** CELL_LEVELS * MOST_COMPONENTS doubles at most
+    fitted = {}
+    for r in sample.groupBy("dim").applyInPandas(fit, "dim int, normals binary, cuts binary").toLocalIterator():
+        cells = Cells.__new__(Cells)
+        cells.levels, cells.cuts = CELL_LEVELS, np.frombuffer(r["cuts"])
+        cells.normals = np.frombuffer(r["normals"]).reshape(len(cells.cuts), r["dim"])
+        fitted[r["dim"]] = cells
+    shared = points.sparkSession.sparkContext.broadcast(fitted)
+
+    def assign(batches):
+        for b in batches:
+            dims = b.column("dim").to_numpy()
+            out = np.zeros(b.num_rows, np.int32)
+            for dim, cells in shared.value.items():
+                rows = np.flatnonzero(dims == dim)
+                step = max(1, SLICE_BYTES // (8 * dim))
+                for some in (rows[i:i + step] for i in range(0, len(rows), step)):
+                    flat = b.column("v").take(pa.array(some)).flatten().to_numpy()
+                    out[some] = cells.of(flat.reshape(len(some), dim).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*b.schema.names, "cell"])
+
+    return points.mapInArrow(assign, T.StructType([*points.schema, T.StructField("cell", T.IntegerType())]))
+
+
+def _dealt(rows: DataFrame, name: str, limit: int) -> DataFrame:
+    """``rows`` with a number of the run of cells, about ``limit`` bytes long, that each falls into.
+
+    A row's place is that of its cell plus a share of the cell by a hash of id and vector, so a cell of any size is cut."""
+    counts = rows.groupBy("dim", "cell").agg(F.count("*").alias("in_cell"))
+    before = Window.partitionBy("dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)    # 2 ** CELL_LEVELS rows
+    counts = counts.withColumn("before", F.coalesce(F.sum("in_cell").over(before), F.lit(0)))
+    share = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    place = (F.col("before") + share * F.col("in_cell")) * F.col("dim") * 8 / limit
+    return join_small(rows, counts, ["dim", "cell"]).withColumn(name, F.floor(place).cast("long")).drop(
+        "in_cell", "before")
 
 
 def _trees(points: DataFrame, shard_bytes: int) -> DataFrame:
-    """(dim, shard, tree) from (id, v, dim)."""
-    counts = points.groupBy("dim").agg(F.count("*").alias("n"))
-    shards = counts.select(F.col("dim").alias("d"), F.greatest(
-        F.lit(1), F.ceil(F.col("n") * F.col("dim") * 8 / shard_bytes)).cast("int").alias("shards"))
-    dealt = points.join(shards, points["dim"] == shards["d"]).withColumn(
-        "shard", F.pmod(F.xxhash64("id", "v"), F.col("shards")).cast("int"))
+    """(dim, shard, tree, centre, radius) from (id, v, dim, cell); the ball is that of the root."""
 
     def build(key, pdf):
         t = BallTree(np.stack(pdf["v"].to_numpy()).astype(np.int64), pdf["id"].to_numpy(np.int64))
-        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "tree": [t.dumps()]})
+        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "tree": [t.dumps()], "centre": [t.centres[0]],
+                             "radius": [t.radii[0]]})
 
-    return dealt.select("id", "v", "dim", "shard").groupBy("dim", "shard").applyInPandas(
-        build, "dim int, shard int, tree binary")
+    return _dealt(points, "shard", shard_bytes).select("id", "v", "dim", "shard").groupBy("dim", "shard").applyInPandas(
+        build, "dim int, shard long, tree binary, centre array<double>, radius double")
 
 
 def _blocks(queries: DataFrame, block_bytes: int) -> DataFrame:
-    """(id, v, dim, block): queries dealt into blocks of bounded bytes."""
-    counts = queries.groupBy("dim").agg(F.count("*").alias("n"))
-    blocks = counts.select(F.col("dim").alias("d"), F.greatest(
-        F.lit(1), F.ceil(F.col("n") * F.col("dim") * 8 / block_bytes)).cast("int").alias("blocks"))
-    return queries.join(blocks, queries["dim"] == blocks["d"]).select(
-        "id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"))
+    """(id, v, dim, block): queries dealt into blocks of bounded bytes, near ones together."""
+    return _dealt(queries, "block", block_bytes).select("id", "v", "dim", "block")
+
+
+def _against_roots(roots: DataFrame, queries: DataFrame, run, schema: str) -> DataFrame:
+    """``run(roots, queries, bounds)`` for every chunk of root balls and every block of queries of one length;
+    ``bounds`` gives upper bounds of some of the queries at a time: (their numbers, (queries, balls))."""
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("shards") * F.col("dim") * 8 / ROOT_BYTES)).cast("int")
+    sizes = roots.groupBy("dim").agg(F.count("*").alias("shards")).select("dim", chunks.alias("chunks"))
+    roots = roots.join(sizes, "dim").withColumn("chunk", F.pmod(F.xxhash64("shard"), F.col("chunks")).cast("int"))
+    pairs = roots.select("dim", "chunk").distinct().join(queries.select("dim", "block").distinct(), "dim")
+    pairs = materialize(pairs, "root-pairs")
+    keys = ["dim", "chunk", "block"]
+
+    def meet(balls: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
+        def bounds():
+            centres, radii = np.stack(balls["centre"].to_numpy()), balls["radius"].to_numpy(np.float64)
+            wide = np.stack(qs["v"].to_numpy()).astype(np.float64)
+            step = max(1, (1 << 20) // len(balls))
+            for at in range(0, len(wide), step):
+                yield np.arange(at, min(len(wide), at + step)), _upper(wide[at:at + step], centres, radii)
+
+        return run(balls, qs, bounds() if len(balls) and len(qs) else ())
+
+    return roots.select("dim", "shard", "centre", "radius", "chunk").join(pairs, ["dim", "chunk"]).groupBy(
+        *keys).cogroup(queries.join(pairs, ["dim", "block"]).groupBy(*keys)).applyInPandas(meet, schema)
+
+
+def _home(roots: DataFrame, queries: DataFrame) -> DataFrame:
+    """(id, version, shard): the shard whose root has the highest upper bound for the query."""
+
+    def run(balls, qs, bounds):
+        best = [(row, col, up[r, col]) for rows, up in bounds for r, (row, col) in enumerate(zip(rows, up.argmax(1)))]
+        row, col, bound = (np.array(x) for x in (zip(*best) if best else ((), (), ())))
+        row, col = row.astype(np.int64), col.astype(np.int64)
+        return pd.DataFrame({"id": qs["id"].to_numpy(np.int64)[row], "version": qs["version"].to_numpy(np.int64)[row],
+                             "shard": balls["shard"].to_numpy(np.int64)[col], "bound": bound.astype(np.float64)})
+
+    found = _against_roots(roots, queries, run, "id long, version long, shard long, bound double")
+    return found.groupBy("id", "version").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard"))
+
+
+def _within_reach(roots: DataFrame, queries: DataFrame) -> DataFrame:
+    """(dim, shard, block) where the root's upper bound reaches the ``floor`` of some query of the block."""
+
+    def run(balls, qs, bounds):
+        floor, hit = qs["floor"].to_numpy(np.int64), np.zeros(len(balls), bool)
+        for rows, up in bounds:
+            hit |= (up >= floor[rows][:, None]).any(0)
+        shards = balls["shard"].to_numpy(np.int64)[hit]
+        return pd.DataFrame({"dim": np.full(len(shards), balls["dim"].iloc[0] if len(balls) else 0, np.int32),
+                             "shard": shards,
+                             "block": np.full(len(shards), qs["block"].iloc[0] if len(qs) else 0, np.int64)})
+
+    return _against_roots(roots, queries, run, "dim int, shard long, block long")
 
 
-def _searched(pairs_of_trees: DataFrame, queries: DataFrame, k: int, first_leaf_only: bool) -> DataFrame:
-    """(query_id, version, id, score): each (shard, block) group's best rows."""
+def _searched(trees: DataFrame, queries: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(query_id, version, id, score): the best rows of each (dim, shard, block) group of ``pairs``."""
 
     def run(trees: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if not len(trees) or not len(qs):
             return pd.DataFrame({"query_id": [], "version": [], "id": [], "score": []}, dtype=np.int64)
         ids = qs["id"].to_numpy(np.int64)
         b = search(BallTree.loads(trees["tree"].iloc[0]), np.stack(qs["v"].to_numpy()).astype(np.int64), ids, k,
-                   qs["floor"].to_numpy(np.int64), first_leaf_only)
+                   qs["floor"].to_numpy(np.int64))
         q, _ = np.nonzero(b.have)
         return pd.DataFrame({"query_id": ids[q], "version": qs["version"].to_numpy(np.int64)[q], "id": b.id[b.have],
                              "score": b.score[b.have]})
 
     keys = ["dim", "shard", "block"]
-    return pairs_of_trees.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
+    trees = trees.join(pairs, ["dim", "shard"]).select(*keys, "tree")
+    return trees.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
         run, "query_id long, version long, id long, score long")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-          scale: int = 256, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          scale: int = 256, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES,
+          sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(query_id, rank, id, score): for each query row the ``k`` highest integer inner products of
     quantised vectors over all other rows, ties to the smaller id."""
     points = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"),
                             F.coalesce(is_query, F.lit(False)).alias("q")).where("id is not null and v is not null")
     points = points.groupBy("id", "v").agg(F.max("q").alias("q"), F.count("*").alias("n"))
     points = materialize(points.withColumn("dim", F.size("v")), "vectors")
+    points = materialize(_with_cells(points, shard_bytes, sample_rows), "cells")
     # no more than k of a row's copies can be among the k best
-    copies = points.select("id", "v", "dim", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
-    trees = materialize(_trees(copies.select("id", "v", "dim"), shard_bytes), "ball-trees")
-    queries = points.where("q").select("id", "v", "dim")
-    queries = materialize(_blocks(queries, block_bytes).withColumn("version", F.xxhash64("v")), "query-blocks")
-    # every (shard, block) pair of one vector length is a group; the pairs come from key columns alone
-    shards = trees.select("dim", "shard")
-    blocks = queries.select("dim", "block").distinct()
-    pairs = materialize(shards.join(blocks, "dim"), "shard-blocks")
-    tree_pairs = trees.join(pairs, ["dim", "shard"])
-    least = np.iinfo(np.int64).min
-    start = queries.join(pairs, ["dim", "block"]).withColumn("floor", F.lit(int(least)))
+    copies = points.select("id", "v", "dim", "cell", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    trees = materialize(_trees(copies.select("id", "v", "dim", "cell"), shard_bytes), "ball-trees")
+    roots = trees.select("dim", "shard", "centre", "radius")
+    queries = _blocks(points.where("q").select("id", "v", "dim", "cell"), block_bytes)
+    queries = materialize(queries.withColumn("version", F.xxhash64("v")), "query-blocks")
     per_query = Window.partitionBy("query_id", "version").orderBy(F.col("score").desc(), "id")
-    seeds = _searched(tree_pairs, start, k, True).withColumn("r", F.row_number().over(per_query)).where(F.col("r") == k)
+    start = queries.join(_home(roots, queries), ["id", "version"]).withColumn("floor", F.lit(LEAST))
+    start = materialize(start, "home-shards")
+    homes = materialize(start.select("dim", "shard", "block").distinct(), "home-pairs")
+    seeds = _searched(trees, start, homes, k)
+    seeds = seeds.withColumn("r", F.row_number().over(per_query)).where(F.col("r") == k)
     floors = seeds.select(F.col("query_id").alias("id"), "version", F.col("score").alias("floor"))
     bounded = materialize(queries.join(floors, ["id", "version"], "left").withColumn(
-        "floor", F.coalesce("floor", F.lit(int(least)))), "query-floors")
-    found = _searched(tree_pairs, bounded.join(pairs, ["dim", "block"]), k, False)
+        "floor", F.coalesce("floor", F.lit(LEAST))), "query-floors")
+    pairs = materialize(_within_reach(roots, bounded), "shard-blocks")
+    found = _searched(trees, bounded.join(pairs, ["dim", "block"]), pairs, k)
     best = found.withColumn("rank", F.row_number().over(per_query)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "id", "score")

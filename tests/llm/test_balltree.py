@@ -100,3 +100,45 @@ def test_copies_and_hot_ids_are_spread(spark, monkeypatch):
     assert [r.id for r in sorted(got, key=lambda r: r["rank"])] == [1] * 4
     B.top_k(df, F.col("vec_id") == 2, k=5)
     assert max(dealt[0::2]) <= 5 and dealt[-1] > 1
+
+
+def test_pairs_out_of_reach_are_dropped_and_a_common_vector_is_cut(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    # far groups of different directions, a third of all rows one vector, and a second length
+    groups = [[40.0 * (j == g) for j in range(8)] for g in range(8)]
+    rows = [(i, [float(x) for x in groups[i % 8] + rng.normal(size=8) * 0.05], 0, "x") for i in range(1600)]
+    rows += [(10_000 + i, [1.0] * 8, 0, "x") for i in range(800)]
+    rows += [(20_000 + i, [float(x) for x in rng.normal(size=3)], 0, "x") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    seen = {}
+    trees, reach = B._trees, B._within_reach
+
+    def watched_trees(points, size):
+        out = seen["trees"] = trees(points, size)
+        return out
+
+    def watched_reach(roots, queries):
+        out = reach(roots, queries)
+        seen["all"] = roots.join(queries.select("dim", "block").distinct(), "dim").count()
+        seen["kept"] = out.count()
+        return out
+
+    monkeypatch.setattr(B, "_trees", watched_trees)
+    monkeypatch.setattr(B, "_within_reach", watched_reach)
+    got = B.top_k(df, F.col("vec_id") % 50 == 0, 5, shard_bytes=8 * 8 * 60, block_bytes=8 * 8 * 8, sample_rows=1000)
+    assert {tuple(r) for r in got.collect()} == plain(rows, 5, lambda i: i % 50 == 0)
+    assert 0 < seen["kept"] < 0.5 * seen["all"]
+    sizes = [len(B.BallTree.loads(bytes(r.tree)).ids) for r in seen["trees"].collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 160      # length 3: 160 rows fill a shard
+
+
+def test_cells_number_near_rows_alike():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(8, 5)) * 100
+    sample = centres[rng.integers(0, 8, 400)] + rng.normal(size=(400, 5))
+    cells = B.Cells(sample, levels=3)
+    of_centre = cells.of(centres)
+    assert (cells.of(centres + 0.5) == of_centre).all() and len(set(of_centre)) >= 4
+    assert cells.of(sample).min() >= 0 and cells.of(sample).max() < 8
+    one = B.Cells(np.ones((5, 3)), levels=2)                  # equal rows: one cell
+    assert set(one.of(np.ones((4, 3)))) == {0}
