@@ -1,10 +1,10 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
 Identical rows are first counted as one, of which no more than k copies can be among the k best.
-Vectors get a cell of space: a binary tree of hyperplanes, fitted on a bounded sample, numbers its leaves from
-left to right, so that cells of near numbers are near in space. Shards, and blocks of queries, are
-runs of cells of bounded bytes; a cell larger than that (one very common vector, say) is cut by a hash of id
-and vector. A shard is built once into a ball tree and written, with its root ball. Queries are a stated set.
+Vectors get a cell of space, that of the nearest of some centres fitted on a bounded sample; centres are
+numbered along a chain of nearest neighbours. A length has about as many cells as shards (up to ``CELLS``), and
+a shard lies in one cell; blocks of queries are runs of cells. Both are of bounded bytes: a
+larger cell (one very common vector, say) is cut by a hash of id and vector. A shard is built once into a ball tree and written, with its root ball. Queries are a stated set.
 
 Search is branch and bound in two passes over the written trees. Each query first searches one shard, the one with the
 highest upper bound (query . centre + |query| * radius) of its root: its k-th best score is a bound that every
@@ -44,7 +44,8 @@ BLOCK_BYTES = 4 << 20
 ROOT_BYTES = 1 << 20             # of root centres that a task holds against a block
 LEAF_ROWS = 64
 SAMPLE_ROWS = 4096               # rows of one vector length that the cells are fitted on
-CELL_LEVELS = 8                  # a length has 2 ** 8 cells
+CELLS = 256                      # of one vector length, at most
+ROUNDS = 5                       # in which centres move to the mean of their rows
 LENGTHS = 16
 MOST_COMPONENTS = 4096
 LEAST = -(1 << 63)
@@ -58,35 +59,33 @@ def quantised(vector: Column, scale: int = 256) -> Column:
 
 
 class Cells:
-    """A complete binary tree of hyperplanes; its leaves, from left to right, are cells of space."""
-
-    def __init__(self, sample: np.ndarray, levels: int = CELL_LEVELS):
-        self.levels = levels
-        self.normals = np.zeros(((1 << levels) - 1, sample.shape[1]))
-        self.cuts = np.zeros((1 << levels) - 1)
-        parts = [np.arange(len(sample))]
-        for node in range(len(self.cuts)):
-            rows = parts[node]
-            low = high = rows[:0]
-            if len(rows) > 1:
-                part = sample[rows]
-                one = part[((part - part.mean(0)) ** 2).sum(1).argmax()]
-                two = part[((part - one) ** 2).sum(1).argmax()]
-                along = part @ (two - one)
-                self.normals[node], self.cuts[node] = two - one, np.median(along)
-                above = along > self.cuts[node]
-                low, high = rows[~above], rows[above]
-            else:
-                low = rows
-            parts += [low, high]
+    """Centres of cells of space, each row belonging to the nearest one."""
+
+    def __init__(self, sample: np.ndarray, cells: int = CELLS):
+        rng = np.random.default_rng(0)
+        centres = sample[:1]
+        far = ((sample - centres[0]) ** 2).sum(1)
+        while len(centres) < cells and far.max() > 0:           # far rows are the likelier next centres
+            centres = np.vstack((centres, sample[rng.choice(len(sample), p=far / far.sum())]))
+            far = np.minimum(far, ((sample - centres[-1]) ** 2).sum(1))
+        self.centres = centres
+        for _ in range(ROUNDS):
+            cell = self.of(sample)
+            n = np.bincount(cell, minlength=len(self.centres))
+            sums = np.zeros_like(self.centres)
+            np.add.at(sums, cell, sample)
+            self.centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], self.centres)
+        chain, left = [0], set(range(1, len(self.centres)))
+        while left:
+            rest = np.array(sorted(left))
+            gaps = ((self.centres[rest] - self.centres[chain[-1]]) ** 2).sum(1)
+            chain.append(int(rest[gaps.argmin()]))
+            left.remove(chain[-1])
+        self.centres = self.centres[chain]
 
     def of(self, points: np.ndarray) -> np.ndarray:
         """The cell number of each row."""
-        node = np.zeros(len(points), np.int64)
-        for _ in range(self.levels):
-            above = np.einsum("ij,ij->i", points, self.normals[node]) > self.cuts[node]
-            node = 2 * node + 1 + above
-        return node - len(self.cuts)
+        return ((self.centres ** 2).sum(1) - 2 * (points @ self.centres.T)).argmin(1)
 
 
 class BallTree:
@@ -183,7 +182,8 @@ def _upper(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.nd
     """(queries, balls): what no inner product with a point of the ball exceeds, rounding included."""
     norm = np.sqrt((queries ** 2).sum(1))[:, None]
     dot = queries @ centres.T
-    return dot + norm * radii + 1e-9 * (np.abs(dot) + norm * (radii + np.sqrt((centres ** 2).sum(1)))) + 1e-6
+    slack = 1e-9 * (np.abs(dot) + norm * (radii + np.sqrt((centres ** 2).sum(1)))) + 1e-6
+    return np.maximum(dot + norm * radii + slack, float(LEAST))         # scores saturate there
 
 
 def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray) -> _Best:
@@ -200,7 +200,7 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor:
         c, r = tree.centres[node], tree.radii[node]
         dot = np.einsum("ij,ij->i", wide[rows], c)
         slack = 1e-9 * (np.abs(dot) + norm[rows] * (r + np.sqrt((c ** 2).sum(1)))) + 1e-6
-        return dot + norm[rows] * r + slack
+        return np.maximum(dot + norm[rows] * r + slack, float(LEAST))
 
     # branch: for every query the leaves whose bound reaches the floor
     rows, node = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
@@ -250,52 +250,51 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor:
 def _with_cells(points: DataFrame, shard_bytes: int, sample_rows: int) -> DataFrame:
     """``points`` (id, v, q, n, dim) plus ``cell``, see the module text."""
     sizes = points.groupBy("dim").agg(F.count("*").alias("n"))
-    lengths = [r["dim"] for r in sizes.where((F.col("n") * F.col("dim") * 8 > shard_bytes) & (
-        F.col("dim") <= MOST_COMPONENTS)).orderBy(F.col("n").desc(), "dim").limit(LENGTHS).collect()]
-    if not lengths:
+    sizes = sizes.where((F.col("n") * F.col("dim") * 8 > shard_bytes) & (F.col("dim") <= MOST_COMPONENTS))
+    cells = {r["dim"]: min(CELLS, -(-r["n"] * r["dim"] * 8 // shard_bytes))
+             for r in sizes.orderBy(F.col("n").desc(), "dim").limit(LENGTHS).collect()}
+    if not cells:
         return points.withColumn("cell", F.lit(0))
-    sample = bounded_sample(points.where(F.col("dim").isin(lengths)).select("id", "v", "dim"), F.col("dim"),
+    sample = bounded_sample(points.where(F.col("dim").isin(list(cells))).select("id", "v", "dim"), F.col("dim"),
                             F.struct("id", "v"), sample_rows)
 
     def fit(key, pdf):
-        cells = Cells(np.stack(pdf["v"].to_numpy()).astype(np.float64))
-        return pd.DataFrame({"dim": [key[0]], "normals": [cells.normals.tobytes()], "cuts": [cells.cuts.tobytes()]})
+        made = Cells(np.stack(pdf["v"].to_numpy()).astype(np.float64), cells[int(key[0])])
+        return pd.DataFrame({"dim": [key[0]], "centres": [made.centres.tobytes()]})
 
-    # LENGTHS rows at most, each of 2 ** CELL_LEVELS * MOST_COMPONENTS doubles at most
+    # LENGTHS rows at most, each of CELLS * MOST_COMPONENTS doubles at most
     fitted = {}
-    for r in sample.groupBy("dim").applyInPandas(fit, "dim int, normals binary, cuts binary").toLocalIterator():
-        cells = Cells.__new__(Cells)
-        cells.levels, cells.cuts = CELL_LEVELS, np.frombuffer(r["cuts"])
-        cells.normals = np.frombuffer(r["normals"]).reshape(len(cells.cuts), r["dim"])
-        fitted[r["dim"]] = cells
+    for r in sample.groupBy("dim").applyInPandas(fit, "dim int, centres binary").toLocalIterator():
+        fitted[r["dim"]] = made = Cells.__new__(Cells)
+        made.centres = np.frombuffer(r["centres"]).reshape(-1, r["dim"])
     shared = points.sparkSession.sparkContext.broadcast(fitted)
 
     def assign(batches):
         for b in batches:
             dims = b.column("dim").to_numpy()
             out = np.zeros(b.num_rows, np.int32)
-            for dim, cells in shared.value.items():
+            for dim, made in shared.value.items():
                 rows = np.flatnonzero(dims == dim)
                 step = max(1, SLICE_BYTES // (8 * dim))
                 for some in (rows[i:i + step] for i in range(0, len(rows), step)):
                     flat = b.column("v").take(pa.array(some)).flatten().to_numpy()
-                    out[some] = cells.of(flat.reshape(len(some), dim).astype(np.float64))
+                    out[some] = made.of(flat.reshape(len(some), dim).astype(np.float64))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*b.schema.names, "cell"])
 
     return points.mapInArrow(assign, T.StructType([*points.schema, T.StructField("cell", T.IntegerType())]))
 
 
-def _dealt(rows: DataFrame, name: str, limit: int) -> DataFrame:
-    """``rows`` with a number of the run of cells, about ``limit`` bytes long, that each falls into.
-
-    A row's place is that of its cell plus a share of the cell by a hash of id and vector, so a cell of any size is cut."""
+def _in_cells(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``in_cell``, the rows of their cell, and ``before``, those of the length's lower cells."""
     counts = rows.groupBy("dim", "cell").agg(F.count("*").alias("in_cell"))
-    before = Window.partitionBy("dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)    # 2 ** CELL_LEVELS rows
-    counts = counts.withColumn("before", F.coalesce(F.sum("in_cell").over(before), F.lit(0)))
-    share = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    place = (F.col("before") + share * F.col("in_cell")) * F.col("dim") * 8 / limit
-    return join_small(rows, counts, ["dim", "cell"]).withColumn(name, F.floor(place).cast("long")).drop(
-        "in_cell", "before")
+    lower = Window.partitionBy("dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)    # CELLS rows
+    counts = counts.withColumn("before", F.coalesce(F.sum("in_cell").over(lower), F.lit(0)))
+    return join_small(rows, counts, ["dim", "cell"])
+
+
+def _share() -> Column:
+    """A number from 0 up to 1 by a hash of id and vector."""
+    return F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
 def _trees(points: DataFrame, shard_bytes: int) -> DataFrame:
@@ -306,13 +305,16 @@ def _trees(points: DataFrame, shard_bytes: int) -> DataFrame:
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "tree": [t.dumps()], "centre": [t.centres[0]],
                              "radius": [t.radii[0]]})
 
-    return _dealt(points, "shard", shard_bytes).select("id", "v", "dim", "shard").groupBy("dim", "shard").applyInPandas(
+    parts = F.ceil(F.col("in_cell") * F.col("dim") * 8 / shard_bytes)
+    shard = F.col("cell") * F.lit(1 << 32) + F.floor(_share() * parts)
+    return _in_cells(points).select("id", "v", "dim", shard.alias("shard")).groupBy("dim", "shard").applyInPandas(
         build, "dim int, shard long, tree binary, centre array<double>, radius double")
 
 
 def _blocks(queries: DataFrame, block_bytes: int) -> DataFrame:
     """(id, v, dim, block): queries dealt into blocks of bounded bytes, near ones together."""
-    return _dealt(queries, "block", block_bytes).select("id", "v", "dim", "block")
+    place = F.col("before") + _share() * F.col("in_cell")
+    return _in_cells(queries).select("id", "v", "dim", F.floor(place * F.col("dim") * 8 / block_bytes).alias("block"))
 
 
 def _against_roots(roots: DataFrame, queries: DataFrame, run, schema: str) -> DataFrame:
