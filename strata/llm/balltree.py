@@ -7,8 +7,8 @@ a shard lies in one cell; blocks of queries are runs of cells. Both are of bound
 larger cell (one very common vector, say) is cut by a hash of id and vector. A shard is built once into a ball tree and written, with its root ball. Queries are a stated set.
 
 Search is branch and bound in two passes over the written trees. Each query first searches one shard, the one with the
-highest upper bound (query . centre + |query| * radius) of its root: its k-th best score is a bound that every
-shard then starts from. Root balls are then held against the queries of a block, and only the (shard, block) pairs
+highest upper bound (query . centre + |query| * radius) of its root: its k-th best score there is a bound that every
+other shard then starts from. Root balls are then held against the queries of a block, and only the (shard, block) pairs
 in which some query can still reach its bound are put together: other trees are never moved. A pair is one group, which expands,
 for each query, the nodes whose upper bound reaches the current k-th score, and visits leaves in order of falling bound.
 Scores are exact integers; bounds are widened by their rounding error, and a node that
@@ -356,13 +356,15 @@ def _home(roots: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def _within_reach(roots: DataFrame, queries: DataFrame) -> DataFrame:
-    """(dim, shard, block) where the root's upper bound reaches the ``floor`` of some query of the block."""
+    """(dim, shard, block) where the root's upper bound reaches the ``floor`` of some query of the block
+    that has not been there (``home``)."""
 
     def run(balls, qs, bounds):
-        floor, hit = qs["floor"].to_numpy(np.int64), np.zeros(len(balls), bool)
+        floor, home = qs["floor"].to_numpy(np.int64), qs["home"].to_numpy(np.int64)
+        shards, hit = balls["shard"].to_numpy(np.int64), np.zeros(len(balls), bool)
         for rows, up in bounds:
-            hit |= (up >= floor[rows][:, None]).any(0)
-        shards = balls["shard"].to_numpy(np.int64)[hit]
+            hit |= ((up >= floor[rows][:, None]) & (home[rows][:, None] != shards)).any(0)
+        shards = shards[hit]
         return pd.DataFrame({"dim": np.full(len(shards), balls["dim"].iloc[0] if len(balls) else 0, np.int32),
                              "shard": shards,
                              "block": np.full(len(shards), qs["block"].iloc[0] if len(qs) else 0, np.int64)})
@@ -371,9 +373,12 @@ def _within_reach(roots: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def _searched(trees: DataFrame, queries: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(query_id, version, id, score): the best rows of each (dim, shard, block) group of ``pairs``."""
+    """(query_id, version, id, score): the best rows of each (dim, shard, block) group of ``pairs``, for the
+    queries whose ``home`` is another shard."""
 
     def run(trees: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
+        if len(trees):
+            qs = qs[qs["home"] != trees["shard"].iloc[0]]
         if not len(trees) or not len(qs):
             return pd.DataFrame({"query_id": [], "version": [], "id": [], "score": []}, dtype=np.int64)
         ids = qs["id"].to_numpy(np.int64)
@@ -406,15 +411,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     queries = _blocks(points.where("q").select("id", "v", "dim", "cell"), block_bytes)
     queries = materialize(queries.withColumn("version", F.xxhash64("v")), "query-blocks")
     per_query = Window.partitionBy("query_id", "version").orderBy(F.col("score").desc(), "id")
-    start = queries.join(_home(roots, queries), ["id", "version"]).withColumn("floor", F.lit(LEAST))
-    start = materialize(start, "home-shards")
-    homes = materialize(start.select("dim", "shard", "block").distinct(), "home-pairs")
-    seeds = _searched(trees, start, homes, k)
-    seeds = seeds.withColumn("r", F.row_number().over(per_query)).where(F.col("r") == k)
-    floors = seeds.select(F.col("query_id").alias("id"), "version", F.col("score").alias("floor"))
-    bounded = materialize(queries.join(floors, ["id", "version"], "left").withColumn(
-        "floor", F.coalesce("floor", F.lit(LEAST))), "query-floors")
+    homes = materialize(queries.join(_home(roots, queries), ["id", "version"]), "home-shards")
+    start = homes.withColumns({"floor": F.lit(LEAST), "home": F.lit(-1).cast("long")})
+    pairs = materialize(homes.select("dim", "shard", "block").distinct(), "home-pairs")
+    seeds = materialize(_searched(trees, start, pairs, k), "home-results")         # k rows of a query at most
+    floors = seeds.groupBy(F.col("query_id").alias("id"), "version").agg(
+        F.min("score").alias("floor"), F.count("*").alias("found")).where(F.col("found") == k).drop("found")
+    bounded = homes.withColumnRenamed("shard", "home").join(floors, ["id", "version"], "left")
+    bounded = materialize(bounded.withColumn("floor", F.coalesce("floor", F.lit(LEAST))), "query-floors")
     pairs = materialize(_within_reach(roots, bounded), "shard-blocks")
-    found = _searched(trees, bounded.join(pairs, ["dim", "block"]), pairs, k)
+    found = seeds.unionByName(_searched(trees, bounded.join(pairs, ["dim", "block"]), pairs, k))
     best = found.withColumn("rank", F.row_number().over(per_query)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "id", "score")
