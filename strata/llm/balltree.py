@@ -42,7 +42,7 @@ from .common import SLICE_BYTES, bounded_sample, join_small, materialize
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
 ROOT_BYTES = 1 << 20             # of root centres that a task holds against a block
-LEAF_ROWS = 64
+LEAF_ROWS = 256
 SAMPLE_ROWS = 4096               # rows of one vector length that the cells are fitted on
 CELLS = 256                      # of one vector length, at most
 ROUNDS = 5                       # in which centres move to the mean of their rows
@@ -159,10 +159,10 @@ class _Best:
         self.id = np.full((n, k), np.iinfo(np.int64).max)
         self.have = np.zeros((n, k), bool)
 
-    def bound(self) -> np.ndarray:
-        """What a score must reach to matter."""
-        own = np.where(self.have[:, -1], self.score[:, -1], np.iinfo(np.int64).min)
-        return np.maximum(own, self.floor)
+    def bound(self, rows: np.ndarray) -> np.ndarray:
+        """What a score of each of these queries must reach to matter."""
+        own = np.where(self.have[rows, -1], self.score[rows, -1], LEAST)
+        return np.maximum(own, self.floor[rows])
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, ok: np.ndarray) -> None:
         s = np.concatenate((self.score[rows], np.where(ok, scores, np.iinfo(np.int64).min)), 1)
@@ -229,7 +229,7 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor:
         at, ends = at[live], ends[live]
         if not len(at):
             break
-        live = bound[at] >= best.bound()[rows[at]]
+        live = bound[at] >= best.bound(rows[at])
         at, ends = at[live], ends[live]         # the rest of a dropped query's leaves is lower still
         by = np.argsort(node[at], kind="stable")
         cuts = np.flatnonzero(np.diff(node[at[by]])) + 1
@@ -241,8 +241,11 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, k: int, floor:
                 found = tree.ids[part]
                 step = max(1, (1 << 20) // len(found))
                 for some in (q[i:i + step] for i in range(0, len(q), step)):
-                    best.add(some, _scores(vectors[some], tree.points[part]), found,
-                             found[None, :] != ids[some][:, None])
+                    scores = _scores(vectors[some], tree.points[part])
+                    ok = (scores >= best.bound(some)[:, None]) & (found[None, :] != ids[some][:, None])
+                    hit = ok.any(1)
+                    if hit.any():
+                        best.add(some[hit], scores[hit], found, ok[hit])
         at = at + 1
     return best
 
