@@ -14,7 +14,9 @@ verifies the bit distance of the rest. A list gives the edges of a spanning
 forest of its verified pairs, fewer than it has members, so the links of a
 large group of near copies are never written out pair by pair, and no
 connection is lost. Copies are one posting: the index holds distinct
-fingerprints.
+fingerprints. A departure: in a list of more than ``PAIRWISE_ROWS`` rows partners are
+looked up by flipping bits outside the list's shared bytes instead of by tallying pairs, which would grow with the square of
+the list; the links are the same.
 
 Defined results: null and wordless texts have fingerprint 0 and are linked like
 any other; repeated rows each get a row; rows with a null id take part, and a

@@ -20,7 +20,8 @@ root; calls on a cycle of parents, or behind one, have a null level and status
 ``cycle``. Null or invalid JSON, duplicate keys, values too large for a variant and
 anything but an object fail validation and serialise as null. A tool without schema rows
 fails validation; so do missing required, unknown and wrongly typed parameters.
-Numbers beyond 38 digits are serialised as doubles. Extra columns are ignored.
+Numbers beyond 38 digits are serialised as doubles. Arguments and contents of any length are taken whole, but for values
+too large for a variant. Extra columns are ignored.
 """
 
 from __future__ import annotations
