@@ -21,16 +21,17 @@ __all__ = [
 ]
 
 
-def range_sort(df: DataFrame, keys: Sequence, n: int | None = None) -> DataFrame:
+def range_sort(df: DataFrame, keys: Sequence, n: int | None = None, least: int = 1,
+               bucket_bytes: int | None = None) -> DataFrame:
     """O1-O3: partitions hold ascending, disjoint key ranges, each sorted.
 
     Split points are quantiles of a merged KLL sketch of the first key (``splits``), the sort
     runs inside each partition, so writing the partitions in order gives a
-    sorted whole. ``n`` follows from the measured bytes unless it is given, and is kept as
-    asked (REPARTITION_BY_NUM: AQE does not coalesce it).
+    sorted whole. ``n`` follows from the measured bytes unless it is given (``least`` partitions at
+    least, of about ``bucket_bytes``), and is kept as asked (REPARTITION_BY_NUM: AQE does not coalesce it).
     """
     named = _names(keys)
-    n, points = plan(df, named, n)
+    n, points = plan(df, named, n, least, bucket_bytes)
     return exchange(df, named if points else keys, n, points).sortWithinPartitions(*keys)
 
 

@@ -80,12 +80,16 @@ def _placed(df: DataFrame, order: list[str], outs: list[str], n: int, points: li
 
 
 def ordered_scan(df: DataFrame, order: Sequence, group: Sequence = (), scans: Sequence[Scan] = (),
-                 n_partitions: int | None = None) -> DataFrame:
-    """Add the scan columns to ``df``; see the module doc. ``order`` should be total."""
+                 n_partitions: int | None = None, bucket_bytes: int | None = None) -> DataFrame:
+    """Add the scan columns to ``df``; see the module doc. ``order`` should be total.
+
+    Without ``n_partitions`` there are as many as the measured bytes ask for, about ``bucket_bytes`` each.
+    """
     order, group = _names(order), _names(group)
     scans = [s if isinstance(s, Scan) else Scan(*s) for s in scans]
     # a group column has few values as a rule: its prefix parts nothing, so only the count is planned then
-    n, points = plan(df, order, n_partitions) if not group else (n_partitions or measured_partitions(df), None)
+    n, points = (plan(df, order, n_partitions, bucket_bytes=bucket_bytes) if not group
+                 else (n_partitions or measured_partitions(df, bucket_bytes), None))
     if n > 1 and not group and all(s.kind == "row_number" for s in scans):
         return _placed(df, order, [s.out for s in scans], n, points)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -182,6 +186,6 @@ def _stitched(s: Scan) -> Column:
 
 
 def global_position(df: DataFrame, order: Sequence, out: str = "pos", group: Sequence = (),
-                    n_partitions: int | None = None) -> DataFrame:
+                    n_partitions: int | None = None, bucket_bytes: int | None = None) -> DataFrame:
     """1-based position of every row in ``order`` (within ``group`` if given)."""
-    return ordered_scan(df, order, group, [Scan(out, "row_number")], n_partitions)
+    return ordered_scan(df, order, group, [Scan(out, "row_number")], n_partitions, bucket_bytes)

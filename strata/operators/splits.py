@@ -101,14 +101,16 @@ def measured_partitions(df: DataFrame, bucket_bytes: int | None = None) -> int:
     return _from_bytes(df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0, cores, bucket_bytes)
 
 
-def plan(df: DataFrame, keys: Sequence[str], n: int | None = None) -> tuple[int, list[int] | None]:
+def plan(df: DataFrame, keys: Sequence[str], n: int | None = None, least: int = 1,
+         bucket_bytes: int | None = None) -> tuple[int, list[int] | None]:
     """(partitions, split points of the first key's prefix), from one aggregate; the points are None where
-    Spark's own exchange is to be used. ``n`` fixes the count; else it follows from the measured bytes."""
-    if n == 1 or (n is None and _estimate(df) <= SMALL_BUCKET_BYTES):
+    Spark's own exchange is to be used. ``n`` fixes the count; else it follows from the measured bytes:
+    about ``bucket_bytes`` each, and ``least`` partitions at least."""
+    if n == 1 or (n is None and least == 1 and _estimate(df) <= SMALL_BUCKET_BYTES):
         return 1, None
     kind = order_prefix(F.col(f"`{keys[0]}`"), df.schema[keys[0]].dataType) if keys[0] in df.columns else None
     if kind is None:
-        return n or measured_partitions(df), None
+        return n or max(least, measured_partitions(df, bucket_bytes)), None
     prefix, exact = kind
     k = min(MOST_K, max(LEAST_K, 32 * (n or 1000)))
     sketch = F.kll_sketch_agg_bigint(prefix, F.lit(k))
@@ -117,8 +119,8 @@ def plan(df: DataFrame, keys: Sequence[str], n: int | None = None) -> tuple[int,
             "rows", F.when(F.col("rows") > 0, F.kll_sketch_get_quantile_bigint("s", _ranks(n)))).first()
     else:
         rows, total, merged = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df.schema)), sketch).first()
-        n = _from_bytes(total or 0, df.sparkSession.sparkContext.defaultParallelism)
-        if n > 1:                            # one row, evaluated on the driver
+        n = max(least, _from_bytes(total or 0, df.sparkSession.sparkContext.defaultParallelism, bucket_bytes))
+        if n > 1 and rows:                   # one row, evaluated on the driver
             points = df.sparkSession.sql("select 1").select(
                 F.kll_sketch_get_quantile_bigint(F.lit(bytes(merged)), _ranks(n))).first()[0]
     if n == 1 or not rows:

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gradebook as G
-from ..operators.ordering import range_sort
 from ..session import fresh_dir
 from ..sources.tables import table
-from ..sources.textfiles import read_sheet
+from ..sources.textfiles import read_sheet, write_lines
 
 
 ROW_OFFSET = 2      # row_idx = p_partkey + 2 (the sheet's first data row is 2)
+N_FILES = 3         # at least; more for more bytes
 
 
 def sheet(spark, sf_dir, rows: tuple[int, int] | None = None):
@@ -60,7 +60,7 @@ def sheet_files(spark, sf_dir):
     cells = [c for c in rows.columns if c != "row_idx"]
     folder = fresh_dir(spark, "sheet-files")
     as_is = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    range_sort(rows, ["row_idx"], 3).select(F.to_csv(F.struct(*cells), as_is)).write.text(folder)
+    write_lines(rows, ["row_idx"], F.to_csv(F.struct(*cells), as_is), folder, N_FILES)
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in cells)
     back = read_sheet(spark, folder, schema, first_row=G.FIRST_ROW)
     return back.select("row_idx", "first", "last", "id_number", "group_num", "g3")

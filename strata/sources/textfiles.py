@@ -7,12 +7,36 @@ place inside the split is the number. It is the same in every run and with any s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 BROADCAST_SPLITS = 200_000
+FILE_BYTES = 128 << 20           # a written file's share of the rows' bytes, and a bucket's when lines are placed
+
+
+def write_lines(df: DataFrame, order: Sequence[str], line: str | Column, path: str, least: int = 1,
+                line_sep: str = "\n") -> None:
+    """S6, the way out: ``line`` of every row into text files under ``path``; file names and the lines of a file
+    follow ``order``.
+
+    One task writes one file, so the files grow in number with the rows (``FILE_BYTES`` each), not in size;
+    there are ``least`` at least.
+    """
+    from ..operators.ordering import range_sort
+
+    rows = range_sort(df, order, least=least, bucket_bytes=FILE_BYTES)
+    rows.select(line).write.option("lineSep", line_sep).text(path)
+
+
+def place_lines(lines: DataFrame, out: str = "pos") -> DataFrame:
+    """``out``: the 1-based place of each line of ``read_lines`` over all files, in file and line order."""
+    from ..operators.scan import global_position
+
+    return global_position(lines, ["file", "line_no"], out=out, bucket_bytes=FILE_BYTES)
 
 
 def read_lines(spark: SparkSession, path: str, line_col: str = "line", line_sep: str = "\n") -> DataFrame:
@@ -40,10 +64,7 @@ def read_sheet(spark: SparkSession, path: str, schema: str, row: str = "row_idx"
 
     ``row`` numbers the rows of all files together from ``first_row``; the first ``header_lines`` of each file are no rows.
     """
-    from ..operators.scan import global_position
-
-    lines = read_lines(spark, path).where(F.col("line_no") > header_lines)
-    placed = global_position(lines, ["file", "line_no"], out="_place")
+    placed = place_lines(read_lines(spark, path).where(F.col("line_no") > header_lines), "_place")
     cells = placed.select((F.col("_place") + (first_row - 1)).cast("int").alias(row),
                           # a bare empty cell is null, "" is the empty text
                           F.from_csv("line", schema, {"nullValue": "\\N"}).alias("_c"))
